@@ -33,7 +33,7 @@ def min_support(df: DataFrame, threshold: int, scope: str = "self",
     else:
         raise ValueError("scope must be 'self' or 'train'")
     keep = item_support(base, item_col).filter(F.col("support") > F.lit(threshold)).select(item_col)
-    return df.join(keep, item_col, "left_semi")
+    return df.join(keep, item_col, "left_semi").select(*df.columns)
 
 
 def warm_start_filter(df: DataFrame, train: DataFrame, user_col: str = "user_id",
@@ -41,4 +41,5 @@ def warm_start_filter(df: DataFrame, train: DataFrame, user_col: str = "user_id"
     """Keep rows whose user and whose item both occur in ``train``."""
     users = train.select(user_col).distinct()
     items = train.select(item_col).distinct()
-    return df.join(users, user_col, "left_semi").join(items, item_col, "left_semi")
+    return (df.join(users, user_col, "left_semi").join(items, item_col, "left_semi")
+              .select(*df.columns))
