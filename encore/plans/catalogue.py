@@ -252,6 +252,16 @@ def q_bounded_export(spark, base):
     return bounded_export(sales_interactions(spark, base), list(SPLIT_KEYS), EXPORT_CAP)
 
 
+# --- end to end -----------------------------------------------------------------------
+
+def q_end_to_end_popularity(spark, base):
+    from encore.plans.flows import popularity_report, prepare
+    p = prepare(sales_interactions(spark, base), track_catalogue(spark, base),
+                split_keys=SPLIT_KEYS, how="any", frac=TRAIN_FRACTION,
+                support=SUPPORT_THRESHOLDS[0], label_k=TOP_K)
+    return _rounded_metrics(popularity_report(p, TOP_K, "damped", DAMPED_BETA))
+
+
 # --- ALS (no SQL oracle: factors are numeric) -------------------------------------------------
 
 def _als_model(spark, base, params):
@@ -321,6 +331,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "id_maps": q_id_maps,
     "coo_matrix": q_coo_matrix,
     "bounded_export": q_bounded_export,
+    "end_to_end_popularity": q_end_to_end_popularity,
     "als_recommend": q_als_recommend,
     "als_recommend_all": q_als_recommend_all,
     "als_eval": q_als_eval,

@@ -153,6 +153,17 @@ def _rounded_top(top: str) -> str:
 E_USERS = f"SELECT DISTINCT user_id FROM ({U_E_TRAIN})"
 E_ITEMS = f"SELECT DISTINCT item_id FROM ({U_E_TRAIN})"
 
+# raw -> clean(any) -> attach song ids -> split -> utility -> support > 3 -> damped top-k -> metrics
+E2E_CLEAN = f"SELECT DISTINCT * FROM ({I}) WHERE user_id IS NOT NULL AND item_id IS NOT NULL"
+E2E_IDX = (f"SELECT c.user_id, c.item_id, c.ts, c.l_orderkey, c.l_linenumber, t.song_id FROM ({E2E_CLEAN}) c "
+           f"JOIN ({_dense(f'SELECT DISTINCT recording_msid FROM ({T})', 'recording_msid', 'song_id')}) t "
+           f"ON CAST(c.item_id AS VARCHAR) = t.recording_msid")
+E2E_KEYS = "user_id, item_id, l_orderkey, l_linenumber"
+E2E_U_TRAIN = (f"SELECT user_id, song_id AS item_id, count(*) AS total_count "
+               f"FROM ({_split(E2E_IDX, E2E_KEYS, True)}) GROUP BY user_id, song_id")
+E2E_U_VAL = (f"SELECT user_id, song_id AS item_id, count(*) AS total_count "
+             f"FROM ({_split(E2E_IDX, E2E_KEYS, False)}) GROUP BY user_id, song_id")
+
 ORACLE: dict[str, str] = {
     "clean_all": f"SELECT DISTINCT * FROM ({I_NULL}) WHERE user_id IS NOT NULL OR item_id IS NOT NULL",
     "clean_any": f"SELECT DISTINCT * FROM ({I_NULL}) WHERE user_id IS NOT NULL AND item_id IS NOT NULL",
@@ -201,6 +212,8 @@ ORACLE: dict[str, str] = {
                    f"ON v.user_id = u.user_id "
                    f"JOIN (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS item_idx FROM ({E_ITEMS})) i "
                    f"ON v.item_id = i.item_id"),
+    "end_to_end_popularity": _metrics(_damped(_support_self(E2E_U_TRAIN, SUPPORT_THRESHOLDS[0]), DAMPED_BETA),
+                                      _labels(E2E_U_VAL, TOP_K)),
     "bounded_export": (f"SELECT * FROM ({I}) ORDER BY user_id, item_id, l_orderkey, l_linenumber "
                        f"LIMIT {EXPORT_CAP}"),
 }
