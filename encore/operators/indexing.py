@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 _PID = "__encore_pid"
 _MID = "__encore_mid"
@@ -41,14 +42,26 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _atomic_columns(df: DataFrame, exclude) -> list[str]:
+    skip = set(exclude)
+    return [f.name for f in df.schema.fields
+            if f.name not in skip and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+
+
 def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
               num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
-    """Number the rows ``start, start+1, ...`` in ``order_cols`` order (ties arbitrary)."""
+    """Number the rows ``start, start+1, ...`` in ``order_cols`` order.
+
+    Rows tied on the keys are ordered by their remaining columns, so the
+    numbering is reproduced when a task is recomputed (only fully identical
+    rows may swap numbers, which cannot be observed).
+    """
     keys = _as_list(order_cols)
     order = [F.col(k).asc_nulls_first() if ascending else F.col(k).desc_nulls_last() for k in keys]
+    ties = [F.col(c).asc_nulls_first() for c in _atomic_columns(df, keys)]
     n = _num_partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+                .sortWithinPartitions(*order, *ties)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))
     counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
@@ -113,6 +126,12 @@ def attach_index(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str |
     return facts.join(right, fact_key, "inner" if drop_unmatched else "left")
 
 
+def attach_key(df: DataFrame, dim: DataFrame, id_col: str = "song_id",
+               key_col: str = "recording_msid") -> DataFrame:
+    """Reverse lookup: bring the natural key back for rows that carry an id."""
+    return df.join(dim.select(id_col, key_col), id_col, "left")
+
+
 def id_maps(df: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
             start: int = 0) -> tuple[DataFrame, DataFrame]:
     """Contiguous ids for the distinct users and items (``user_idx``, ``item_idx``)."""

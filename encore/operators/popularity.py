@@ -77,3 +77,14 @@ def beta_sweep_top_k(utility: DataFrame, betas: Sequence[float], k: int = 100,
     w = Window.partitionBy("beta").orderBy(F.col("popularity").desc(), F.col(item_col).asc())
     return (scored.withColumn("rank", F.row_number().over(w))
                   .filter(F.col("rank") <= k))
+
+
+def ranked_list(top: DataFrame, item_col: str = "item_id", rank_col: str = "rank",
+                out_col: str = "popular_songs", group_cols: Sequence[str] = ()) -> DataFrame:
+    """The top-k as one ``ARRAY<item>`` row per group, in rank order.
+
+    Replaces collecting the list to the driver; the array holds at most k
+    items, so the single output row is bounded by k.
+    """
+    pairs = F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("r"), F.col(item_col).alias("i"))))
+    return top.groupBy(*group_cols).agg(F.transform(pairs, lambda s: s["i"]).alias(out_col))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,7 +12,8 @@ def item_support(df: DataFrame, item_col: str = "item_id", out_col: str = "suppo
 
 
 def min_support(df: DataFrame, threshold: int, scope: str = "self",
-                reference: DataFrame | None = None, item_col: str = "item_id") -> DataFrame:
+                reference: DataFrame | None = None, item_col: str = "item_id",
+                method: str = "semi_join") -> DataFrame:
     """Keep rows whose item has support strictly greater than ``threshold``.
 
     ``scope='self'`` counts support on ``df`` itself (the reference's rule for
@@ -23,7 +24,15 @@ def min_support(df: DataFrame, threshold: int, scope: str = "self",
     item's rows in a single task.  The kept-item set is broadcast only when its
     runtime size passes the broadcast threshold; otherwise the semi-join
     sort-merges and adaptive execution splits skewed partitions.
+    ``method='window'`` keeps the original window formulation (scope 'self'
+    only) for comparison.
     """
+    if method == "window":
+        if scope != "self":
+            raise ValueError("method='window' supports scope='self' only")
+        w = Window.partitionBy(item_col)
+        counted = df.withColumn("__support", F.count(F.lit(1)).over(w))
+        return counted.filter(F.col("__support") > F.lit(threshold)).drop("__support")
     if scope == "self":
         base = df
     elif scope == "train":

@@ -108,3 +108,25 @@ def test_write_by_user_round_trip(spark, scratch):
     util = utility_matrix(sales_interactions(spark, SMALL))
     write_by_user(util, f"{scratch}/by_user")
     assert spark.read.parquet(f"{scratch}/by_user").exceptAll(util).count() == 0
+
+
+def test_window_support_equals_semi_join(spark):
+    util = utility_matrix(sales_interactions(spark, SMALL))
+    a = min_support(util, 30, method="window")
+    b = min_support(util, 30)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_attach_key_round_trip(spark):
+    from encore.operators import attach_key
+    tracks = dense_index(track_catalogue(spark, SMALL), "recording_msid", "song_id")
+    ids = tracks.select("song_id").limit(5)
+    back = attach_key(ids, tracks).join(tracks.select("song_id", F.col("recording_msid").alias("k")), "song_id")
+    assert back.filter(F.col("k") != F.col("recording_msid")).count() == 0
+
+
+def test_ranked_list_one_row(spark):
+    from encore.operators import ranked_list
+    top = spark.createDataFrame([(30, 2), (10, 3), (20, 1)], "item_id long, rank int")
+    rows = ranked_list(top).collect()
+    assert len(rows) == 1 and rows[0].popular_songs == [20, 30, 10]
