@@ -2,33 +2,33 @@
 
 ``row_index`` numbers rows 1..N in key order without moving all rows to one
 task (the reference's ``row_number() OVER (ORDER BY constant)`` plan is a
-single-partition exchange).  It is the classic two-pass scheme expressed with
-DataFrame operators:
-
-1. range-partition on the order keys and sort inside each partition;
-2. count rows per partition (a tiny table, one row per partition), turn the
-   counts into starting offsets with a running sum;
-3. broadcast the offsets (bounded by the partition count) and add each row's
-   position inside its partition.
-
-Position inside a partition comes from ``monotonically_increasing_id`` whose
-lower 33 bits are, by its documented contract, the record number within the
-partition.  The range exchange carries an explicit partition count, so adaptive
-execution never coalesces it and both passes see the same partitions (the
-exchange is reused, not recomputed).
+single-partition exchange).  It is the classic two-pass scheme:
+
+1. range-partition on the order keys, sort inside each partition (full-row
+   tie-breaks), and ``checkpoint()`` the result into the shared checkpoint
+   folder — the partitions are now fixed on reliable storage;
+2. count rows per partition of that checkpoint (one small aggregate; one
+   number per partition reaches the driver) and turn the counts into offsets;
+3. a pure map adds offset + position inside the partition.
+
+Both passes read the same checkpointed partitions.  Running the range
+exchange twice instead would let each exchange draw its own sample for the
+partition bounds (the sample seed depends on the RDD id), so the counts and
+the numbering could disagree on large inputs.  Position inside a partition
+comes from ``monotonically_increasing_id``, whose lower 33 bits are, by its
+documented contract, the record number within the partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-_PID = "__encore_pid"
-_MID = "__encore_mid"
-_OFF = "__encore_off"
+from encore.session import ensure_checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -52,26 +52,29 @@ def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
               num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in ``order_cols`` order.
 
-    Rows tied on the keys are ordered by their remaining columns, so the
-    numbering is reproduced when a task is recomputed (only fully identical
-    rows may swap numbers, which cannot be observed).
+    Eager: runs the range shuffle + checkpoint and the per-partition count
+    when called.  Rows tied on the keys are ordered by their remaining
+    columns, so only fully identical rows may swap numbers.
     """
     keys = _as_list(order_cols)
     order = [F.col(k).asc_nulls_first() if ascending else F.col(k).desc_nulls_last() for k in keys]
     ties = [F.col(c).asc_nulls_first() for c in _atomic_columns(df, keys)]
     n = _num_partitions(df, num_partitions)
+    ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order, *ties)
-                .withColumn(_PID, F.spark_partition_id())
-                .withColumn(_MID, F.monotonically_increasing_id()))
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
-    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias(_OFF))
-    numbered = ranged.join(F.broadcast(offsets), _PID)
-    local = F.col(_MID).bitwiseAND(F.lit(_LOW_BITS))
-    return (numbered
-            .withColumn(out_col, F.col(_OFF) + local + F.lit(start))
-            .drop(_PID, _MID, _OFF))
+                .checkpoint(eager=True))
+    counts = dict(ranged.groupBy(F.spark_partition_id().alias("p"))
+                        .agg(F.count(F.lit(1)).alias("c")).collect())
+    n_parts = ranged.rdd.getNumPartitions()
+    offsets, acc = [], 0
+    for p in range(n_parts):
+        offsets.append(acc)
+        acc += int(counts.get(p, 0))
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
+                          F.spark_partition_id() + F.lit(1))
+    local = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
+    return ranged.withColumn(out_col, offset + local + F.lit(start))
 
 
 def dense_index(df: DataFrame, key_cols, out_col: str = "song_id", start: int = 1,

@@ -130,3 +130,13 @@ def test_ranked_list_one_row(spark):
     top = spark.createDataFrame([(30, 2), (10, 3), (20, 1)], "item_id long, rank int")
     rows = ranked_list(top).collect()
     assert len(rows) == 1 and rows[0].popular_songs == [20, 30, 10]
+
+
+def test_row_index_dense_when_range_bounds_are_sampled(spark):
+    # 300k rows in 6 input partitions: the range partitioner samples only part
+    # of each partition, so the numbering must come from one fixed partitioning
+    df = spark.range(0, 300_000, numPartitions=6).select(
+        ((F.col("id") * 104729) % 300_000).alias("k"), (F.col("id") % 7).alias("v"))
+    out = row_index(df, "k", "idx", num_partitions=16)
+    assert out.filter(F.col("idx") != F.col("k") + 1).count() == 0
+    assert out.agg(F.countDistinct("idx")).collect()[0][0] == 300_000
