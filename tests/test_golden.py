@@ -101,3 +101,15 @@ def test_metrics_match_spark_ml(spark, util):
                         ("precisionAtK", ours.precision_at_k)):
         ev = RankingEvaluator(metricName=metric, k=2, labelCol="label", predictionCol="prediction")
         assert ev.evaluate(joined) == pytest.approx(val, abs=1e-12)
+
+
+def test_beta_sweep_equals_separate_runs(spark):
+    from encore.operators import beta_sweep_top_k
+    from encore.sources.views import sales_interactions
+    from conftest import SMALL
+    util = utility_matrix(sales_interactions(spark, SMALL))
+    sweep = beta_sweep_top_k(util, [10, 1000], 20, "damped")
+    for b in (10, 1000):
+        one = popularity_top_k(util, 20, "damped", b).select("item_id", "rank")
+        part = sweep.filter(F.col("beta") == float(b)).select("item_id", "rank")
+        assert one.exceptAll(part).count() == 0 and part.exceptAll(one).count() == 0
