@@ -19,7 +19,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import (
+    ArrayType, BooleanType, DateType, MapType, StringType, StructType, TimestampNTZType, TimestampType,
+)
 
 from encore.functions.columns import hash_order_key, split_rule
 
@@ -29,6 +31,8 @@ _RN = "__encore_rn"
 _N = "__encore_n"
 _OFF = "__encore_off"
 _CNT = "__encore_cnt"
+_UN = "__encore_un"
+_UV = "__encore_uv"
 
 
 def _tie_breakers(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -38,26 +42,44 @@ def _tie_breakers(df: DataFrame, exclude: Sequence[str]) -> list[str]:
             if f.name not in skip and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
 
 
+def _null_safe_key(df: DataFrame, col: str) -> tuple[F.Column, F.Column]:
+    """(is-null flag, value with a type default) — an equi-joinable stand-in
+    for a nullable key, so NULL forms one group without a null-safe join."""
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, StringType):
+        default = F.lit("")
+    elif isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        default = F.lit("1970-01-01").cast(dtype)
+    elif isinstance(dtype, BooleanType):
+        default = F.lit(False)
+    else:
+        default = F.lit(0).cast(dtype)
+    return F.col(col).isNull(), F.coalesce(F.col(col), default)
+
+
 def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
                      salt: str | None = None, buckets: int = 4096) -> DataFrame:
     """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user."""
     # slices = 16 ** hex_digits >= buckets (4096 -> the first 3 hex digits)
     hex_digits = max(1, ((max(buckets, 2) - 1).bit_length() + 3) // 4)
-    tagged = (df.withColumn(_H, hash_order_key(order_cols, salt))
+    is_null, value = _null_safe_key(df, user_col)
+    tagged = (df.withColumn(_UN, is_null).withColumn(_UV, value)
+                .withColumn(_H, hash_order_key(order_cols, salt))
                 .withColumn(_B, F.conv(F.substring(_H, 1, hex_digits), 16, 10).cast("int")))
-    slice_counts = tagged.groupBy(user_col, _B).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(user_col).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(user_col)
+    key = [_UN, _UV]
+    slice_counts = tagged.groupBy(*key, _B).agg(F.count(F.lit(1)).alias(_CNT))
+    before = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*key)
     offsets = slice_counts.select(
-        user_col, _B,
+        *key, _B,
         F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
         F.sum(_CNT).over(whole).alias(_N),
     )
     ties = _tie_breakers(df, [user_col])
-    inner = Window.partitionBy(user_col, _B).orderBy(_H, *ties)
-    ranked = (tagged.join(offsets, [user_col, _B])
+    inner = Window.partitionBy(*key, _B).orderBy(_H, *ties)
+    ranked = (tagged.join(offsets, [*key, _B])
                     .withColumn(_RN, F.col(_OFF) + F.row_number().over(inner)))
-    return ranked.drop(_H, _B, _OFF)
+    return ranked.drop(_H, _B, _OFF, _UN, _UV)
 
 
 def rank_within_user_random(df: DataFrame, user_col: str, seed: int) -> DataFrame:

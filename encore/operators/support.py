@@ -41,8 +41,11 @@ def min_support(df: DataFrame, threshold: int, scope: str = "self",
         base = reference
     else:
         raise ValueError("scope must be 'self' or 'train'")
-    keep = item_support(base, item_col).filter(F.col("support") > F.lit(threshold)).select(item_col)
-    return df.join(keep, item_col, "left_semi").select(*df.columns)
+    keep = (item_support(base, item_col).filter(F.col("support") > F.lit(threshold))
+            .select(F.col(item_col).alias("__encore_item")))
+    # null-safe: a NULL item is one group, as in the window formulation
+    cond = F.col(item_col).eqNullSafe(F.col("__encore_item"))
+    return df.join(keep, cond, "left_semi").select(*df.columns)
 
 
 def warm_start_filter(df: DataFrame, train: DataFrame, user_col: str = "user_id",

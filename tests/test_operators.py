@@ -140,3 +140,18 @@ def test_row_index_dense_when_range_bounds_are_sampled(spark):
     out = row_index(df, "k", "idx", num_partitions=16)
     assert out.filter(F.col("idx") != F.col("k") + 1).count() == 0
     assert out.agg(F.countDistinct("idx")).collect()[0][0] == 300_000
+
+
+def test_split_keeps_null_user_group(spark):
+    rows = [(None, i) for i in range(10)] + [(1, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long")
+    train, val = per_user_split(df, "user_id", ["user_id", "item_id"])
+    assert train.count() + val.count() == 15
+    assert train.filter("user_id is null").count() == 8
+
+
+def test_min_support_null_item_group(spark):
+    rows = [(u, None) for u in range(5)] + [(u, 7) for u in range(2)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long")
+    assert min_support(df, 3).count() == 5
+    assert min_support(df, 3).count() == min_support(df, 3, method="window").count()
