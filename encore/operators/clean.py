@@ -37,20 +37,25 @@ def clean(df: DataFrame, keys: Sequence[str] = ("user_id", "item_id"), how: str
 
 
 def stage_counts(stages: Sequence[tuple[str, DataFrame]], user_col: str = "user_id",
-                 item_col: str = "item_id") -> DataFrame:
+                 item_col: str = "item_id", exact: bool = True, rsd: float = 0.01) -> DataFrame:
     """One row per named stage: rows, distinct non-null users and items.
 
     Each stage is one aggregate job (partial + final); the union of the one-row
     results replaces the reference's ad-hoc ``SELECT COUNT(*)`` prints.
+    ``exact=False`` uses HyperLogLog++ sketches (``approx_count_distinct``),
+    which avoids the row expansion of two exact distinct counts on huge stages.
     """
+    def distinct(c):
+        return F.countDistinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), rsd)
+
     parts = []
     for order, (name, frame) in enumerate(stages):
         parts.append(frame.agg(
             F.lit(order).alias("stage_order"),
             F.lit(name).alias("stage"),
             F.count(F.lit(1)).alias("n_rows"),
-            F.countDistinct(F.col(user_col)).alias("n_users"),
-            F.countDistinct(F.col(item_col)).alias("n_items"),
+            distinct(user_col).alias("n_users"),
+            distinct(item_col).alias("n_items"),
         ))
     out = parts[0]
     for p in parts[1:]:

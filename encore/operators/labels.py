@@ -24,8 +24,14 @@ def label_lists(utility: DataFrame, k: int | None = 100, user_col: str = "user_i
 
 
 def label_arrays(labels: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
-                 rank_col: str = "label_rank", out_col: str = "actual_songs") -> DataFrame:
-    """``(user, ARRAY<item>)`` in rank order from the exploded form (at most k per user)."""
+                 rank_col: str = "label_rank", out_col: str = "actual_songs",
+                 k: int = 100) -> DataFrame:
+    """``(user, ARRAY<item>)`` in rank order from the exploded form.
+
+    Ranks above ``k`` are cut before collecting, so an array never holds more
+    than k items whatever the size of a user's history.
+    """
+    labels = labels.filter(F.col(rank_col) <= k)
     pairs = F.array_sort(F.collect_list(F.struct(F.col(rank_col).alias("r"), F.col(item_col).alias("i"))))
     return labels.groupBy(user_col).agg(F.transform(pairs, lambda s: s["i"]).alias(out_col))
 

@@ -42,8 +42,15 @@ def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int | None
 def bounded_export(df: DataFrame, order_cols: Sequence[str], max_rows: int,
                    path: str | None = None, mode: str = "overwrite") -> DataFrame:
     """The first ``max_rows`` rows in key order (deterministic LIMIT); written
-    to ``path`` when given.  Returns the bounded frame."""
-    bounded = page(df, order_cols, 0, max_rows)
+    to ``path`` when given.  Returns the bounded frame.
+
+    One count runs first (footer metadata for a plain Parquet scan); when the
+    cap does not bind, every row is kept and no numbering pass is needed.
+    """
+    if df.count() <= max_rows:
+        bounded = df
+    else:
+        bounded = page(df, order_cols, 0, max_rows)
     if path is not None:
         bounded.write.mode(mode).parquet(path)
     return bounded

@@ -155,3 +155,18 @@ def test_min_support_null_item_group(spark):
     df = spark.createDataFrame(rows, "user_id long, item_id long")
     assert min_support(df, 3).count() == 5
     assert min_support(df, 3).count() == min_support(df, 3, method="window").count()
+
+
+def test_stage_counts_approx_close(spark):
+    from encore.operators import stage_counts
+    util = utility_matrix(sales_interactions(spark, SMALL))
+    exact = stage_counts([("u", util)]).collect()[0]
+    approx = stage_counts([("u", util)], exact=False).collect()[0]
+    assert approx.n_rows == exact.n_rows
+    assert abs(approx.n_users - exact.n_users) <= 0.05 * exact.n_users
+
+
+def test_bounded_export_cap_binding_and_not(spark):
+    df = spark.range(1, 501).withColumnRenamed("id", "k")
+    assert bounded_export(df, ["k"], 10_000).count() == 500
+    assert [r.k for r in bounded_export(df, ["k"], 7).orderBy("k").collect()] == list(range(1, 8))
