@@ -30,6 +30,19 @@ def prepare_ratings(utility: DataFrame, user_col: str = "user_id", item_col: str
                            F.col(rating_col).cast("float").alias(rating_col)))
 
 
+MAX_DEFAULT_BLOCKS = 256
+
+
+def default_blocks(spark) -> int:
+    """User/item block count: the cluster's default parallelism, at most 256.
+
+    Each half-iteration ships factors between user and item blocks, so the
+    traffic grows with the block count; one block per core up to a cap keeps
+    every core busy without an all-to-all explosion on large clusters.
+    """
+    return max(1, min(int(spark.sparkContext.defaultParallelism), MAX_DEFAULT_BLOCKS))
+
+
 def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: int = 10,
               seed: int = 0, user_col: str = "user_id", item_col: str = "item_id",
               rating_col: str = "total_count", cold_start: str = "drop",
@@ -51,7 +64,7 @@ def fit_als(utility: DataFrame, rank: int = 40, reg: float = 0.2, alpha: float =
     ensure_checkpoint_dir(utility.sparkSession)
     ratings = prepare_ratings(utility, user_col, item_col, rating_col)
     als = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col,
-                    num_blocks=num_blocks)
+                    num_blocks=num_blocks or default_blocks(utility.sparkSession))
     return als.fit(ratings)
 
 
@@ -101,7 +114,8 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
     ensure_checkpoint_dir(train.sparkSession)
     rows = []
     for rank, reg, alpha in itertools.product(ranks, regs, alphas):
-        model = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col).fit(ratings)
+        model = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col,
+                          num_blocks=default_blocks(train.sparkSession)).fit(ratings)
         m = evaluate_als(model, eval_users, labels, k, user_col, item_col)
         rows.append(m.select(F.lit(int(rank)).alias("rank"), F.lit(float(reg)).alias("reg_param"),
                              F.lit(float(alpha)).alias("alpha"), "*"))

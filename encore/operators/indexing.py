@@ -66,7 +66,7 @@ def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
                 .checkpoint(eager=True))
     counts = dict(ranged.groupBy(F.spark_partition_id().alias("p"))
                         .agg(F.count(F.lit(1)).alias("c")).collect())
-    n_parts = ranged.rdd.getNumPartitions()
+    n_parts = max(counts) + 1 if counts else 1
     offsets, acc = [], 0
     for p in range(n_parts):
         offsets.append(acc)
