@@ -1,20 +1,33 @@
 """Per-user train / validation split.
 
-Each user's rows are ranked in a pseudo-random but reproducible order and the
-first ``(n + 1) * frac`` go to train (``n`` = the user's row count), so users
-with one row always train and the split is stable under re-partitioning.
+Each user's rows are ranked in a pseudo-random but reproducible order (md5 of
+the row keys) and the first ``(n + 1) * frac`` go to train (``n`` = the
+user's row count), so users with one row always train and the split is stable
+under re-partitioning and recomputation.
 
-Skew: one user may own a large share of all rows.  A plain
+Skew: one user may own a large share of all rows, and a plain
 ``row_number() OVER (PARTITION BY user ORDER BY h)`` would sort that user in a
-single task.  Instead the hash space is cut into ``buckets`` slices
-(the first hex digits of the md5 key): a partial aggregate counts rows per
-(user, slice), a window over those small counts gives each slice its starting
-offset, and the final ``row_number`` runs per (user, slice).  The rank equals
-the global per-user rank because slices are contiguous ranges of the order key.
+single task.  The rank is therefore computed adaptively:
+
+1. rows per user (partial + final aggregate, one row per user); users with
+   more than ``slice_rows`` rows are *heavy*.  There are at most
+   ``N / slice_rows`` of them; the table is checkpointed and counted.
+2. no heavy user: one window per user (a single shuffle of the rows);
+3. otherwise each heavy user's hash space is cut into ``16**d`` slices (the
+   first ``d`` hex digits of the md5 key, ``d`` chosen so a slice holds about
+   ``slice_rows`` rows).  Slice counts of heavy users give each slice its
+   starting offset; the final ``row_number`` runs per (user, slice), so no task
+   sorts more than about ``slice_rows`` rows of one user.  The rank equals the
+   global per-user rank because slices are contiguous ranges of the order key.
+   The heavy-user table is broadcast only after its row count passed
+   ``broadcast_rows``;
+4. beyond that many heavy users every user is sliced into ``buckets`` slices
+   with plain shuffles (no broadcast).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -24,16 +37,23 @@ from pyspark.sql.types import (
 )
 
 from encore.functions.columns import hash_order_key, split_rule
+from encore.session import ensure_checkpoint_dir
 
 _H = "__encore_h"
 _B = "__encore_b"
+_D = "__encore_d"
 _RN = "__encore_rn"
 _N = "__encore_n"
+_NH = "__encore_nh"
 _OFF = "__encore_off"
 _CNT = "__encore_cnt"
 _UN = "__encore_un"
 _UV = "__encore_uv"
 
+SLICE_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
+MAX_DIGITS = 4
+
 
 def _tie_breakers(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Orderable columns used after the hash, so equal hashes order deterministically."""
@@ -57,28 +77,79 @@ def _null_safe_key(df: DataFrame, col: str) -> tuple[F.Column, F.Column]:
     return F.col(col).isNull(), F.coalesce(F.col(col), default)
 
 
-def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
-                     salt: str | None = None, buckets: int = 4096) -> DataFrame:
-    """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user."""
-    # slices = 16 ** hex_digits >= buckets (4096 -> the first 3 hex digits)
-    hex_digits = max(1, ((max(buckets, 2) - 1).bit_length() + 3) // 4)
+def _keyed(df: DataFrame, user_col: str, order_cols: Sequence[str], salt: str | None) -> DataFrame:
     is_null, value = _null_safe_key(df, user_col)
-    tagged = (df.withColumn(_UN, is_null).withColumn(_UV, value)
-                .withColumn(_H, hash_order_key(order_cols, salt))
-                .withColumn(_B, F.conv(F.substring(_H, 1, hex_digits), 16, 10).cast("int")))
+    return (df.withColumn(_UN, is_null).withColumn(_UV, value)
+              .withColumn(_H, hash_order_key(order_cols, salt)))
+
+
+def _slice_offsets(tagged: DataFrame) -> DataFrame:
+    """(user, slice) -> rows of the user in earlier slices, and the user's total."""
     key = [_UN, _UV]
-    slice_counts = tagged.groupBy(*key, _B).agg(F.count(F.lit(1)).alias(_CNT))
+    counts = tagged.groupBy(*key, _B).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*key)
-    offsets = slice_counts.select(
-        *key, _B,
-        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-        F.sum(_CNT).over(whole).alias(_N),
-    )
+    return counts.select(*key, _B,
+                         F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
+                         F.sum(_CNT).over(Window.partitionBy(*key)).alias(_NH))
+
+
+def _rank_plain(keyed: DataFrame, ties: list[str]) -> DataFrame:
+    key = [_UN, _UV]
+    ordered = Window.partitionBy(*key).orderBy(_H, *ties)
+    return (keyed.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(*key)))
+                 .withColumn(_RN, F.row_number().over(ordered)))
+
+
+def _rank_all_sliced(keyed: DataFrame, ties: list[str], buckets: int) -> DataFrame:
+    digits = max(1, ((max(buckets, 2) - 1).bit_length() + 3) // 4)
+    tagged = keyed.withColumn(_B, F.conv(F.substring(_H, 1, digits), 16, 10).cast("int"))
+    inner = Window.partitionBy(_UN, _UV, _B).orderBy(_H, *ties)
+    return (tagged.join(_slice_offsets(tagged), [_UN, _UV, _B])
+                  .withColumn(_RN, F.col(_OFF) + F.row_number().over(inner))
+                  .withColumnRenamed(_NH, _N))
+
+
+def _rank_heavy_sliced(keyed: DataFrame, heavy: DataFrame, ties: list[str]) -> DataFrame:
+    # heavy passed its row-count check: broadcasting it is bounded
+    tagged = (keyed.join(F.broadcast(heavy.select(_UN, _UV, _D)), [_UN, _UV], "left")
+                   .withColumn(_B, F.when(F.col(_D).isNull(), F.lit(0)).otherwise(
+                       F.conv(F.expr(f"substring({_H}, 1, {_D})"), 16, 10).cast("int"))))
+    offsets = _slice_offsets(tagged.filter(F.col(_D).isNotNull()))
+    inner = Window.partitionBy(_UN, _UV, _B)
+    ranked = (tagged.join(offsets, [_UN, _UV, _B], "left")
+                    .withColumn(_RN, F.coalesce(F.col(_OFF), F.lit(0))
+                                + F.row_number().over(inner.orderBy(_H, *ties)))
+                    .withColumn(_N, F.coalesce(F.col(_NH), F.count(F.lit(1)).over(inner))))
+    return ranked.drop(_D, _NH)
+
+
+def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
+                     salt: str | None = None, slice_rows: int = SLICE_ROWS,
+                     buckets: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user.
+
+    ``buckets`` forces the all-users-sliced plan with that many slices.
+    Otherwise the plan is chosen from the heavy-user count (eager: one
+    aggregate job and a small checkpoint run when called).
+    """
+    keyed = _keyed(df, user_col, order_cols, salt)
     ties = _tie_breakers(df, [user_col])
-    inner = Window.partitionBy(*key, _B).orderBy(_H, *ties)
-    ranked = (tagged.join(offsets, [*key, _B])
-                    .withColumn(_RN, F.col(_OFF) + F.row_number().over(inner)))
+    if buckets is not None:
+        ranked = _rank_all_sliced(keyed, ties, buckets)
+    else:
+        ensure_checkpoint_dir(df.sparkSession)
+        sizes = keyed.groupBy(_UN, _UV).agg(F.count(F.lit(1)).alias(_NH))
+        digits = F.ceil(F.log(F.col(_NH) / F.lit(float(slice_rows))) / F.lit(math.log(16.0)))
+        heavy = (sizes.filter(F.col(_NH) > F.lit(slice_rows))
+                      .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int"))
+                      .checkpoint(eager=True))
+        n_heavy = heavy.count()
+        if n_heavy == 0:
+            ranked = _rank_plain(keyed, ties)
+        elif n_heavy <= broadcast_rows:
+            ranked = _rank_heavy_sliced(keyed, heavy, ties)
+        else:
+            ranked = _rank_all_sliced(keyed, ties, 16 ** MAX_DIGITS)
     return ranked.drop(_H, _B, _OFF, _UN, _UV)
 
 
@@ -95,11 +166,12 @@ def rank_within_user_random(df: DataFrame, user_col: str, seed: int) -> DataFram
 
 def tag_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str] | None = None,
               frac: float = 0.8, salt: str | None = None, mode: str = "hash",
-              seed: int = 0, buckets: int = 4096, out_col: str = "is_train") -> DataFrame:
+              seed: int = 0, buckets: int | None = None, out_col: str = "is_train",
+              slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Add a boolean ``is_train`` column; see the module doc for the rule."""
     if mode == "hash":
         cols = list(order_cols) if order_cols else df.columns
-        ranked = rank_within_user(df, user_col, cols, salt, buckets)
+        ranked = rank_within_user(df, user_col, cols, salt, slice_rows, buckets)
     elif mode == "rand":
         ranked = rank_within_user_random(df, user_col, seed)
     else:
@@ -110,10 +182,11 @@ def tag_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str
 
 def per_user_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str] | None = None,
                    frac: float = 0.8, salt: str | None = None, mode: str = "hash",
-                   seed: int = 0, buckets: int = 4096) -> tuple[DataFrame, DataFrame]:
+                   seed: int = 0, buckets: int | None = None,
+                   slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
     """``(train, validation)``.  Both come from one tagged frame; persist or
     checkpoint the tagged frame first when both outputs are written."""
-    tagged = tag_split(df, user_col, order_cols, frac, salt, mode, seed, buckets)
+    tagged = tag_split(df, user_col, order_cols, frac, salt, mode, seed, buckets, slice_rows=slice_rows)
     train = tagged.filter(F.col("is_train")).drop("is_train")
     val = tagged.filter(~F.col("is_train")).drop("is_train")
     return train, val

@@ -45,6 +45,21 @@ def test_split_is_partition_independent_and_complete(spark):
     assert df.exceptAll(train.unionByName(val)).count() == 0
 
 
+def test_split_plans_agree(spark):
+    """Single window, heavy-user slicing and all-user slicing give one split."""
+    df = sales_interactions(spark, SMALL).unionByName(
+        spark.createDataFrame([(None, i, None, i, 1) for i in range(30)],
+                              "user_id long, item_id long, ts timestamp_ntz, l_orderkey long, l_linenumber int"))
+    keys = ["user_id", "item_id", "l_orderkey", "l_linenumber"]
+    cols = keys + ["is_train"]
+    plain = tag_split(df, "user_id", keys).select(*cols)
+    heavy = tag_split(df, "user_id", keys, slice_rows=10).select(*cols)
+    sliced = tag_split(df, "user_id", keys, buckets=256).select(*cols)
+    for other in (heavy, sliced):
+        assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
+    assert plain.filter("user_id is null and is_train").count() == 24
+
+
 def test_split_rand_mode_is_complete(spark):
     df = spark.createDataFrame([(u, i) for u in range(5) for i in range(12)], "user_id long, item_id long")
     train, val = per_user_split(df, "user_id", mode="rand", seed=3)
