@@ -195,11 +195,15 @@ def _rounded_metrics(m: DataFrame, *keys: str) -> DataFrame:
 
 
 def q_beta_sweep_metrics(spark, base):
+    """Every beta's list scored on the training labels and on the validation labels."""
     train, val = sales_split_utility(spark, base)
     top = beta_sweep_top_k(train, BETA_SWEEP, TOP_K, "damped")
-    labels = label_lists(val, TOP_K)
-    m = shared_list_metrics(top, labels, TOP_K, group_cols=["beta"])
-    return _rounded_metrics(m.withColumn("beta", F.col("beta").cast("long")), "beta")
+    parts = []
+    for name, util in (("train", train), ("val", val)):
+        m = shared_list_metrics(top, label_lists(util, TOP_K), TOP_K, group_cols=["beta"])
+        parts.append(m.select(F.lit(name).alias("label_set"), F.col("beta").cast("long").alias("beta"),
+                              "map_at_k", "ndcg_at_k", "precision_at_k", "n_users"))
+    return _rounded_metrics(parts[0].unionByName(parts[1]), "label_set", "beta")
 
 
 def q_popularity_eval(spark, base):

@@ -197,8 +197,11 @@ ORACLE: dict[str, str] = {
     "popularity_weighted_beta": _weighted(U_I, WEIGHTED_BETA),
     "beta_sweep_topk": (f"SELECT beta, item_id, round(popularity, 9) AS popularity, rank "
                         f"FROM ({_beta_top(U_I_TRAIN)})"),
-    "beta_sweep_metrics": _metrics(_beta_top(U_I_TRAIN), _labels(U_I_VAL, TOP_K), TOP_K, "beta",
-                                   f"SELECT unnest([{', '.join(str(b) for b in BETA_SWEEP)}]) AS beta"),
+    "beta_sweep_metrics": " UNION ALL ".join(
+        f"SELECT '{name}' AS label_set, * FROM ("
+        + _metrics(_beta_top(U_I_TRAIN), _labels(util, TOP_K), TOP_K, "beta",
+                   f"SELECT unnest([{', '.join(str(b) for b in BETA_SWEEP)}]) AS beta") + ")"
+        for name, util in (("train", U_I_TRAIN), ("val", U_I_VAL))),
     "popularity_eval": _metrics(_damped(U_I_TRAIN, DAMPED_BETA), _labels(U_I_VAL, TOP_K)),
     "label_lists": _labels(U_E, EVENT_LABEL_K),
     "warm_start_filter": WARM_VAL,
