@@ -25,14 +25,45 @@ DEFAULT_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Partition sizing for a given input volume and cluster size.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` (a size
+    a task sorts or aggregates comfortably within executor memory).  The
+    initial shuffle partition count covers the input at that size (at least
+    two waves of the cluster's cores, at most 200k) and AQE coalesces what
+    turns out smaller; skew splitting starts at 4x the target size.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    parts = min(parts, 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "encore",
                   shuffle_partitions: int | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine's defaults applied."""
+                  conf: dict[str, str] | None = None,
+                  input_bytes: int | None = None, total_cores: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the engine's defaults applied.
+
+    With ``input_bytes`` and ``total_cores`` the partition sizing of
+    ``cluster_conf`` is applied as well.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if input_bytes and total_cores:
+        settings.update(cluster_conf(input_bytes, total_cores))
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
