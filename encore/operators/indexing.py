@@ -7,9 +7,10 @@ single-partition exchange).  It is the classic two-pass scheme:
 1. range-partition on the order keys, sort inside each partition (full-row
    tie-breaks), and ``checkpoint()`` the result into the shared checkpoint
    folder — the partitions are now fixed on reliable storage;
-2. count rows per partition of that checkpoint (one small aggregate; one
-   number per partition reaches the driver) and turn the counts into offsets;
-3. a pure map adds offset + position inside the partition.
+2. count rows per partition of that checkpoint (one small aggregate) and turn
+   the counts into offsets with a running sum — a table with one row per
+   partition, broadcast back (its size is bounded by the partition count);
+3. each row gets offset + position inside its partition.
 
 Both passes read the same checkpointed partitions.  Running the range
 exchange twice instead would let each exchange draw its own sample for the
@@ -23,12 +24,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from encore.session import ensure_checkpoint_dir
 
+_PID = "__encore_pid"
+_MID = "__encore_mid"
+_OFF = "__encore_off"
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -52,9 +56,9 @@ def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
               num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in ``order_cols`` order.
 
-    Eager: runs the range shuffle + checkpoint and the per-partition count
-    when called.  Rows tied on the keys are ordered by their remaining
-    columns, so only fully identical rows may swap numbers.
+    Eager: the range shuffle and the checkpoint run when called.  Rows tied on
+    the keys are ordered by their remaining columns, so only fully identical
+    rows may swap numbers.
     """
     keys = _as_list(order_cols)
     order = [F.col(k).asc_nulls_first() if ascending else F.col(k).desc_nulls_last() for k in keys]
@@ -64,17 +68,16 @@ def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order, *ties)
                 .checkpoint(eager=True))
-    counts = dict(ranged.groupBy(F.spark_partition_id().alias("p"))
-                        .agg(F.count(F.lit(1)).alias("c")).collect())
-    n_parts = max(counts) + 1 if counts else 1
-    offsets, acc = [], 0
-    for p in range(n_parts):
-        offsets.append(acc)
-        acc += int(counts.get(p, 0))
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                          F.spark_partition_id() + F.lit(1))
-    local = F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW_BITS))
-    return ranged.withColumn(out_col, offset + local + F.lit(start))
+    tagged = (ranged.withColumn(_PID, F.spark_partition_id())
+                    .withColumn(_MID, F.monotonically_increasing_id()))
+    counts = ranged.groupBy(F.spark_partition_id().alias(_PID)).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per partition: the window and the broadcast are bounded by the partition count
+    running = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(running), F.lit(0)).alias(_OFF))
+    local = F.col(_MID).bitwiseAND(F.lit(_LOW_BITS))
+    return (tagged.join(F.broadcast(offsets), _PID)
+                  .withColumn(out_col, F.col(_OFF) + local + F.lit(start))
+                  .drop(_PID, _MID, _OFF))
 
 
 def dense_index(df: DataFrame, key_cols, out_col: str = "song_id", start: int = 1,
