@@ -93,10 +93,12 @@ def _slice_offsets(tagged: DataFrame) -> DataFrame:
                          F.sum(_CNT).over(Window.partitionBy(*key)).alias(_NH))
 
 
-def _rank_plain(keyed: DataFrame, ties: list[str]) -> DataFrame:
-    key = [_UN, _UV]
-    ordered = Window.partitionBy(*key).orderBy(_H, *ties)
-    return (keyed.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(*key)))
+def _rank_plain(keyed: DataFrame, user_col: str, ties: list[str]) -> DataFrame:
+    # partitioned on the user column itself (a window groups NULLs together), so
+    # the output stays hash-partitioned by user and a following per-user or
+    # per-(user, item) aggregate needs no further shuffle
+    ordered = Window.partitionBy(user_col).orderBy(_H, *ties)
+    return (keyed.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(user_col)))
                  .withColumn(_RN, F.row_number().over(ordered)))
 
 
@@ -145,7 +147,7 @@ def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
                       .checkpoint(eager=True))
         n_heavy = heavy.count()
         if n_heavy == 0:
-            ranked = _rank_plain(keyed, ties)
+            ranked = _rank_plain(keyed, user_col, ties)
         elif n_heavy <= broadcast_rows:
             ranked = _rank_heavy_sliced(keyed, heavy, ties)
         else:
