@@ -266,6 +266,14 @@ def q_end_to_end_popularity(spark, base):
     return _rounded_metrics(popularity_report(p, TOP_K, "damped", DAMPED_BETA))
 
 
+def q_end_to_end_stage_counts(spark, base):
+    from encore.plans.flows import prepare, stage_report
+    p = prepare(sales_interactions(spark, base), track_catalogue(spark, base),
+                split_keys=SPLIT_KEYS, how="any", frac=TRAIN_FRACTION,
+                support=SUPPORT_THRESHOLDS[0], label_k=TOP_K)
+    return stage_report(p)
+
+
 # --- ALS (no SQL oracle: factors are numeric) -------------------------------------------------
 
 def _als_model(spark, base, params):
@@ -336,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coo_matrix": q_coo_matrix,
     "bounded_export": q_bounded_export,
     "end_to_end_popularity": q_end_to_end_popularity,
+    "end_to_end_stage_counts": q_end_to_end_stage_counts,
     "als_recommend": q_als_recommend,
     "als_recommend_all": q_als_recommend_all,
     "als_eval": q_als_eval,

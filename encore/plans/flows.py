@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.als import evaluate_als, fit_als
-from encore.operators.clean import clean
+from encore.operators.clean import clean, stage_counts
 from encore.operators.indexing import attach_index, dense_index
 from encore.operators.labels import label_lists
 from encore.operators.metrics import shared_list_metrics
@@ -75,6 +75,15 @@ def prepare(interactions: DataFrame, tracks: DataFrame, *, user_col: str = "user
     )
 
 
+def stage_report(p: Prepared, user_col: str = "user_id", exact: bool = True) -> DataFrame:
+    """Rows, distinct users and distinct items at every prepared stage."""
+    return stage_counts([
+        ("train", p.train), ("val", p.val),
+        ("utility_train", p.utility_train), ("utility_val", p.utility_val),
+        ("filtered_train", p.filtered_train), ("filtered_val", p.filtered_val),
+    ], user_col, "song_id", exact=exact)
+
+
 def popularity_report(p: Prepared, k: int = 100, measure: str = "damped", beta: float = 0,
                       user_col: str = "user_id") -> DataFrame:
     top = popularity_top_k(p.filtered_train, k, measure, beta, item_col="song_id")

@@ -164,6 +164,25 @@ E2E_U_TRAIN = (f"SELECT user_id, song_id AS item_id, count(*) AS total_count "
 E2E_U_VAL = (f"SELECT user_id, song_id AS item_id, count(*) AS total_count "
              f"FROM ({_split(E2E_IDX, E2E_KEYS, False)}) GROUP BY user_id, song_id")
 
+E2E_TRAIN = _split(E2E_IDX, E2E_KEYS, True)
+E2E_VAL = _split(E2E_IDX, E2E_KEYS, False)
+
+
+def _e2e_stage_counts() -> str:
+    stages = [
+        ("train", f"SELECT user_id, song_id AS item_id FROM ({E2E_TRAIN})"),
+        ("val", f"SELECT user_id, song_id AS item_id FROM ({E2E_VAL})"),
+        ("utility_train", E2E_U_TRAIN),
+        ("utility_val", E2E_U_VAL),
+        ("filtered_train", _support_self(E2E_U_TRAIN, SUPPORT_THRESHOLDS[0])),
+        ("filtered_val", _support_self(E2E_U_VAL, SUPPORT_THRESHOLDS[0])),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT {i} AS stage_order, '{name}' AS stage, count(*) AS n_rows, "
+        f"count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items FROM ({src})"
+        for i, (name, src) in enumerate(stages))
+
+
 ORACLE: dict[str, str] = {
     "clean_all": f"SELECT DISTINCT * FROM ({I_NULL}) WHERE user_id IS NOT NULL OR item_id IS NOT NULL",
     "clean_any": f"SELECT DISTINCT * FROM ({I_NULL}) WHERE user_id IS NOT NULL AND item_id IS NOT NULL",
@@ -217,6 +236,7 @@ ORACLE: dict[str, str] = {
                    f"ON v.item_id = i.item_id"),
     "end_to_end_popularity": _metrics(_damped(_support_self(E2E_U_TRAIN, SUPPORT_THRESHOLDS[0]), DAMPED_BETA),
                                       _labels(E2E_U_VAL, TOP_K)),
+    "end_to_end_stage_counts": _e2e_stage_counts(),
     "bounded_export": (f"SELECT * FROM ({I}) ORDER BY user_id, item_id, l_orderkey, l_linenumber "
                        f"LIMIT {EXPORT_CAP}"),
 }
