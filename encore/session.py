@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints written by numbering and split steps are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -71,16 +73,18 @@ def build_session(master: str | None = None, app_name: str = "encore",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(spark, required=False)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | None:
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None,
+                          required: bool = True) -> str | None:
     """Point ``SparkContext`` at the shared checkpoint folder the cluster names.
 
     The folder is read from ``spark.checkpoint.dir``.  Only when that setting is
     absent (local runs and tests) is ``fallback`` used — or, with no fallback in
-    local mode, a fresh scratch folder.  Returns the folder in use (or None).
+    local mode, a fresh scratch folder.  On a cluster without the setting this
+    raises: a machine-local folder would not survive an executor loss.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -91,8 +95,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         folder = fallback
     if not folder and sc.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="encore-ckpt-")
-    if folder:
-        sc.setCheckpointDir(folder)
+    if not folder:
+        if not required:
+            return None
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                           "(lineage cuts and intermediate tables are written there)")
+    sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
@@ -104,6 +112,4 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark) or ensure_checkpoint_dir(spark)
-    if not base:
-        raise RuntimeError("no shared folder: set spark.checkpoint.dir")
     return os.path.join(base, "tables", name)
