@@ -18,7 +18,7 @@ from encore.operators.clean import clean, deduplicate, drop_nulls, stage_counts
 from encore.operators.indexing import attach_index, dense_index, id_maps, sparse_index, to_coo
 from encore.operators.labels import label_lists
 from encore.operators.metrics import shared_list_metrics
-from encore.operators.popularity import beta_sweep_top_k, popularity, popularity_top_k, top_k
+from encore.operators.popularity import beta_sweep_top_k, popularity_top_k
 from encore.operators.split import per_user_split
 from encore.operators.support import min_support, warm_start_filter
 from encore.operators.utility import items_per_user, users_per_item, utility_matrix
@@ -27,22 +27,23 @@ from encore.sources.views import (
     event_interactions, sales_interactions, sales_interactions_with_nulls, track_catalogue,
 )
 
-# --- fixed values (parameters of the original experiments) -------------------
+# --- fixed values: parameters of the original experiments ---------------------
 TRAIN_FRACTION = 0.8
 SUPPORT_THRESHOLDS = (3, 10, 15, 30)
 TOP_K = 100
 DAMPED_BETA = 500000
-WEIGHTED_BETA = 1
 BETA_SWEEP = (50000, 60000, 70000, 80000, 90000, 100000, 120000, 150000)
 EXPORT_CAP = 55000000
-PAGE_OFFSET = 1000
-PAGE_SIZE = 500
-EVENT_LABEL_K = 10
 ALS_TIMED = dict(rank=40, reg=0.2, alpha=1.0, max_iter=10)
 ALS_VALIDATE = dict(rank=40, reg=0.15, alpha=1.0, max_iter=20)
 ALS_GRID = dict(ranks=(40,), regs=(0.15, 0.2), alphas=(0.5, 0.75), max_iter=10)
-ALS_SEED = 42
 WARM_SUPPORT = 30
+# --- parameters chosen here for the test tables ---------------------------------
+WEIGHTED_BETA = 1        # the beta form of the weighted score (the original ran beta 0)
+PAGE_OFFSET = 1000       # a page inside the sf0.01 catalogue
+PAGE_SIZE = 500
+EVENT_LABEL_K = 10       # event users have at most 67 items, so k=10 exercises the cut
+ALS_SEED = 42            # the original passed no seed
 # ------------------------------------------------------------------------------
 
 SPLIT_KEYS = ("user_id", "item_id", "l_orderkey", "l_linenumber")
