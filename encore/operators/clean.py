@@ -41,7 +41,7 @@ def stage_counts(stages: Sequence[tuple[str, DataFrame]], user_col: str = "user_
     """One row per named stage: rows, distinct non-null users and items.
 
     Each stage is one aggregate job (partial + final); the union of the one-row
-    results replaces the reference's ad-hoc ``SELECT COUNT(*)`` prints.
+    results replaces the original ad-hoc ``SELECT COUNT(*)`` prints.
     ``exact=False`` uses HyperLogLog++ sketches (``approx_count_distinct``),
     which avoids the row expansion of two exact distinct counts on huge stages.
     """

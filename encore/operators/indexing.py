@@ -1,7 +1,7 @@
 """Dense and sparse integer ids, and attaching ids to fact rows.
 
 ``row_index`` numbers rows 1..N in key order without moving all rows to one
-task (the reference's ``row_number() OVER (ORDER BY constant)`` plan is a
+task (the original ``row_number() OVER (ORDER BY constant)`` plan is a
 single-partition exchange).  It is the classic two-pass scheme:
 
 1. range-partition on the order keys, sort inside each partition (full-row
@@ -87,7 +87,7 @@ def dense_index(df: DataFrame, key_cols, out_col: str = "song_id", start: int =
 
     ``distinct=True`` numbers each distinct non-null key once and joins the id
     back, so repeated keys share an id and the later fact join cannot fan out.
-    ``distinct=False`` numbers rows (the reference behaviour; ties arbitrary).
+    ``distinct=False`` numbers rows (the original behaviour; ties arbitrary).
     ``as_int`` casts to INT (Spark ML's ALS needs INT ids; overflow raises).
     """
     keys = _as_list(key_cols)

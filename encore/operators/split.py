@@ -156,7 +156,7 @@ def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
 
 
 def rank_within_user_random(df: DataFrame, user_col: str, seed: int) -> DataFrame:
-    """Reference behaviour: ``row_number() OVER (PARTITION BY user ORDER BY rand(seed))``.
+    """The original order: ``row_number() OVER (PARTITION BY user ORDER BY rand(seed))``.
 
     Not reproducible across partition layouts or recomputation; kept for parity.
     """

@@ -16,7 +16,7 @@ def min_support(df: DataFrame, threshold: int, scope: str = "self",
                 method: str = "semi_join") -> DataFrame:
     """Keep rows whose item has support strictly greater than ``threshold``.
 
-    ``scope='self'`` counts support on ``df`` itself (the reference's rule for
+    ``scope='self'`` counts support on ``df`` itself (the original rule for
     both train and validation); ``scope='train'`` counts it on ``reference``.
 
     Planned as aggregate (partial + final, skew-proof) + semi-join instead of a
