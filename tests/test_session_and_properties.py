@@ -27,3 +27,16 @@ def test_split_rule_random_users(spark, sizes, slice_rows):
         assert got.get(u, 0) == max(r for r in range(n + 1) if 5 * r <= 4 * (n + 1))
     assert train.count() + val.count() == len(rows)
     assert train.unionByName(val).exceptAll(df).count() == 0
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=60),
+       parts=st.integers(min_value=1, max_value=7))
+def test_row_index_dense_random(spark, keys, parts):
+    from pyspark.sql import functions as F
+    from encore.operators.indexing import row_index
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k int, v int")
+    rows = row_index(df, "k", "idx", num_partitions=parts).collect()
+    assert sorted(r.idx for r in rows) == list(range(1, len(keys) + 1))
+    by_idx = sorted(rows, key=lambda r: r.idx)
+    assert [r.k for r in by_idx] == sorted(keys)

@@ -22,3 +22,15 @@ def test_incremental_utility_matches_batch(spark, scratch):
     got = read_utility(spark, f"{scratch}/sink")
     want = utility_matrix(events)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_replayed_batch_is_idempotent(spark, scratch):
+    """A batch written twice (a retried micro-batch) replaces its own output."""
+    from encore.streaming.utility_stream import read_utility
+    events = event_interactions(spark, SMALL).select("user_id", "item_id")
+    sink = f"{scratch}/sink"
+    for _ in range(2):  # the same batch id written twice, as a retry would
+        utility_matrix(events).write.mode("overwrite").parquet(f"{sink}/batch_id=0")
+    got = read_utility(spark, sink)
+    want = utility_matrix(events)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
