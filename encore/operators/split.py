@@ -11,7 +11,7 @@ single task.  The rank is therefore computed adaptively:
 
 1. rows per user (partial + final aggregate, one row per user); users with
    more than ``slice_rows`` rows are *heavy*.  There are at most
-   ``N / slice_rows`` of them; the table is checkpointed and counted.
+   ``N / slice_rows`` of them; they are counted, and checkpointed when present.
 2. no heavy user: one window per user (a single shuffle of the rows);
 3. otherwise each heavy user's hash space is cut into ``16**d`` slices (the
    first ``d`` hex digits of the md5 key, ``d`` chosen so a slice holds about
@@ -143,9 +143,11 @@ def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
         sizes = keyed.groupBy(_UN, _UV).agg(F.count(F.lit(1)).alias(_NH))
         digits = F.ceil(F.log(F.col(_NH) / F.lit(float(slice_rows))) / F.lit(math.log(16.0)))
         heavy = (sizes.filter(F.col(_NH) > F.lit(slice_rows))
-                      .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int"))
-                      .checkpoint(eager=True))
+                      .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int")))
         n_heavy = heavy.count()
+        if n_heavy:
+            # fix the (small) heavy table so the slice counts and the rows use the same one
+            heavy = heavy.checkpoint(eager=True)
         if n_heavy == 0:
             ranked = _rank_plain(keyed, user_col, ties)
         elif n_heavy <= broadcast_rows:
