@@ -148,10 +148,11 @@ def id_maps(df: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
 
 def to_coo(df: DataFrame, users: DataFrame, items: DataFrame, user_col: str = "user_id",
            item_col: str = "item_id", weight_col: str = "total_count") -> DataFrame:
-    """Sparse COO triples ``(user_idx, item_idx, weight)``; rows whose user or
-    item has no id are dropped (inner joins against the maps)."""
+    """Sparse COO entries ``(user_idx, item_idx, interaction=1, weight)``; rows
+    whose user or item has no id are dropped (inner joins against the maps)."""
     return (df.join(users, user_col).join(items, item_col)
-              .select("user_idx", "item_idx", F.col(weight_col).alias("weight")))
+              .select("user_idx", "item_idx", F.lit(1).alias("interaction"),
+                      F.col(weight_col).alias("weight")))
 
 
 def in_range(col: str, low_exclusive: int, high_inclusive: int) -> Column:

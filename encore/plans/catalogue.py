@@ -248,7 +248,7 @@ def q_id_maps(spark, base):
 def q_coo_matrix(spark, base):
     train, val = events_split_utility(spark, base)
     users, items = id_maps(train)
-    return to_coo(val, users, items).withColumn("interaction", F.lit(1))
+    return to_coo(val, users, items)
 
 
 # --- export -----------------------------------------------------------------------------
