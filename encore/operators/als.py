@@ -30,17 +30,22 @@ def prepare_ratings(utility: DataFrame, user_col: str = "user_id", item_col: str
                            F.col(rating_col).cast("float").alias(rating_col)))
 
 
-MAX_DEFAULT_BLOCKS = 256
+MAX_DEFAULT_BLOCKS = 4096
+RATINGS_PER_BLOCK = 50_000_000
 
 
-def default_blocks(spark) -> int:
-    """User/item block count: the cluster's default parallelism, at most 256.
+def default_blocks(spark, n_ratings: int | None = None) -> int:
+    """User/item block count for the ALS solver.
 
-    Each half-iteration ships factors between user and item blocks, so the
-    traffic grows with the block count; one block per core up to a cap keeps
-    every core busy without an all-to-all explosion on large clusters.
+    One block per core of the cluster (default parallelism), at most 4096:
+    every core is busy and the factor exchange between user and item blocks
+    stays bounded.  With ``n_ratings`` the count is raised so that no block
+    holds more than about 50M ratings (its in-memory block stays around a GB).
     """
-    return max(1, min(int(spark.sparkContext.defaultParallelism), MAX_DEFAULT_BLOCKS))
+    blocks = max(1, min(int(spark.sparkContext.defaultParallelism), MAX_DEFAULT_BLOCKS))
+    if n_ratings:
+        blocks = max(blocks, min(-(-n_ratings // RATINGS_PER_BLOCK), 4 * MAX_DEFAULT_BLOCKS))
+    return blocks
 
 
 def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: int = 10,
@@ -60,11 +65,16 @@ def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: in
 def fit_als(utility: DataFrame, rank: int = 40, reg: float = 0.2, alpha: float = 1.0,
             max_iter: int = 10, seed: int = 0, user_col: str = "user_id",
             item_col: str = "item_id", rating_col: str = "total_count",
-            num_blocks: int | None = None) -> ALSModel:
-    ensure_checkpoint_dir(utility.sparkSession)
+            num_blocks: int | str | None = None) -> ALSModel:
+    """Fit implicit ALS.  ``num_blocks``: an int, None (one per core, capped),
+    or ``'auto'`` (also sized from the ratings count; runs one count job)."""
+    spark = utility.sparkSession
+    ensure_checkpoint_dir(spark)
     ratings = prepare_ratings(utility, user_col, item_col, rating_col)
+    if num_blocks == "auto":
+        num_blocks = default_blocks(spark, ratings.count())
     als = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col,
-                    num_blocks=num_blocks or default_blocks(utility.sparkSession))
+                    num_blocks=num_blocks or default_blocks(spark))
     return als.fit(ratings)
 
 

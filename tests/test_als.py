@@ -34,3 +34,14 @@ def test_als_metrics_in_range(spark):
     for v in (m.map_at_k, m.ndcg_at_k, m.precision_at_k):
         assert 0.0 <= v <= 1.0
     assert m.n_users > 0
+
+
+def test_block_sizing(spark):
+    from encore.operators.als import default_blocks
+    base = default_blocks(spark)
+    assert base == spark.sparkContext.defaultParallelism
+    assert default_blocks(spark, 10) == base
+    assert default_blocks(spark, 10_000_000_000) == 200
+    model = fit_als(events_split_utility(spark, SMALL)[0], rank=4, reg=0.1, alpha=1.0, max_iter=2,
+                    seed=1, num_blocks="auto")
+    assert model.rank == 4
