@@ -14,7 +14,8 @@ def label_lists(utility: DataFrame, k: int | None = 100, user_col: str = "user_i
     Order: larger ``total_count`` first, equal counts by the larger item id.
     ``row_number() <= k`` is planned with a partial window-group limit, so no
     task ever holds more than k rows of one user — unlike collecting a user's
-    whole history into an array and slicing it.
+    whole history into an array and slicing it.  (With ``k=None`` every pair is
+    ranked; metrics that need no rank can take the utility pairs directly.)
     """
     w = Window.partitionBy(user_col).orderBy(F.col(count_col).desc(), F.col(item_col).desc())
     ranked = utility.select(user_col, item_col, count_col).withColumn(rank_col, F.row_number().over(w))
