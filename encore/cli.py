@@ -49,20 +49,30 @@ def cmd_prepare(spark: SparkSession, a: argparse.Namespace) -> None:
     write_by_user(p.filtered_val, f"{out}/utility_val_filtered", a.user_col)
     write_parquet(p.labels_val, f"{out}/labels_val")
     write_parquet(label_arrays(p.labels_val, a.user_col, "song_id", k=a.label_k), f"{out}/selected_val")
+    if a.test_interactions:
+        from encore.plans.flows import prepare_holdout
+        h = prepare_holdout(spark.read.parquet(a.test_interactions), p.tracks, user_col=a.user_col,
+                            item_key=a.item_col, track_key=a.track_key, how=a.how, label_k=a.label_k)
+        write_parquet(h.utility, f"{out}/utility_test")
+        write_parquet(h.labels, f"{out}/labels_test")
     _print_rows(stage_report(p, a.user_col))
 
 
-def _prepared(spark: SparkSession, base: str):
+def _prepared(spark: SparkSession, base: str, on: str = "val"):
+    """(filtered train utility, evaluation utility, evaluation labels); ``on='test'``
+    scores against the held-out test set written by ``prepare --test-interactions``."""
     base = base.rstrip("/")
-    return (spark.read.parquet(f"{base}/utility_train_filtered"),
-            spark.read.parquet(f"{base}/utility_val_filtered"),
+    train = spark.read.parquet(f"{base}/utility_train_filtered")
+    if on == "test":
+        return train, spark.read.parquet(f"{base}/utility_test"), spark.read.parquet(f"{base}/labels_test")
+    return (train, spark.read.parquet(f"{base}/utility_val_filtered"),
             spark.read.parquet(f"{base}/labels_val"))
 
 
 def cmd_popularity(spark: SparkSession, a: argparse.Namespace) -> None:
     from encore.operators.metrics import shared_list_metrics
     from encore.operators.popularity import beta_sweep_top_k, popularity_top_k
-    train, _, labels = _prepared(spark, a.prepared)
+    train, _, labels = _prepared(spark, a.prepared, a.on)
     if a.sweep:
         betas = [float(b) for b in _split_list(a.sweep)]
         top = beta_sweep_top_k(train, betas, a.k, a.measure, item_col="song_id")
@@ -75,7 +85,7 @@ def cmd_popularity(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def cmd_als(spark: SparkSession, a: argparse.Namespace) -> None:
     from encore.operators.als import als_grid
-    train, val, labels = _prepared(spark, a.prepared)
+    train, val, labels = _prepared(spark, a.prepared, a.on)
     m = als_grid(train, val.select(a.user_col), labels,
                  [int(r) for r in _split_list(a.rank)], [float(r) for r in _split_list(a.reg)],
                  [float(x) for x in _split_list(a.alpha)], a.k, a.max_iter, a.seed,
@@ -98,6 +108,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--interactions", required=True)
     p.add_argument("--tracks", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--test-interactions", default=None, help="held-out test interactions (optional)")
     p.add_argument("--user-col", default="user_id")
     p.add_argument("--item-col", default="recording_msid")
     p.add_argument("--track-key", default="recording_msid")
@@ -114,6 +125,7 @@ def build_parser() -> argparse.ArgumentParser:
     q.add_argument("--sweep", default=None, help="comma-separated betas")
     q.add_argument("--k", type=int, default=100)
     q.add_argument("--user-col", default="user_id")
+    q.add_argument("--on", default="val", choices=["val", "test"])
 
     r = sub.add_parser("als", help="implicit ALS fit + validation metrics (grid over lists)")
     r.add_argument("--prepared", required=True)
@@ -124,6 +136,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--seed", type=int, default=0)
     r.add_argument("--k", type=int, default=100)
     r.add_argument("--user-col", default="user_id")
+    r.add_argument("--on", default="val", choices=["val", "test"])
 
     e = sub.add_parser("export", help="deterministic bounded export of a table")
     e.add_argument("--table", required=True)

@@ -75,6 +75,33 @@ def prepare(interactions: DataFrame, tracks: DataFrame, *, user_col: str = "user
     )
 
 
+@dataclass
+class Holdout:
+    interactions: DataFrame
+    utility: DataFrame
+    labels: DataFrame
+
+
+def prepare_holdout(interactions: DataFrame, indexed_tracks: DataFrame, *, user_col: str = "user_id",
+                    item_key: str = "item_id", track_key: str = "recording_msid", how: str = "any",
+                    label_k: int = 100, materialize_stages: bool = False) -> Holdout:
+    """A separately given test set: cleaned, joined to the *training* catalogue's
+    ids (rows without an id are dropped), aggregated, and cut into label lists."""
+    cleaned = clean(interactions, (user_col, item_key), how=how)
+    indexed = attach_index(cleaned, indexed_tracks, item_key, track_key, "song_id", drop_unmatched=True)
+    util = utility_matrix(indexed, user_col, "song_id")
+    if materialize_stages:
+        util = materialize(util, "utility_test")
+    return Holdout(indexed, util, label_lists(util, label_k, user_col, "song_id"))
+
+
+def holdout_popularity_report(p: Prepared, h: Holdout, k: int = 100, measure: str = "damped",
+                              beta: float = 0, user_col: str = "user_id") -> DataFrame:
+    """The training popularity list scored on the held-out labels."""
+    top = popularity_top_k(p.filtered_train, k, measure, beta, item_col="song_id")
+    return shared_list_metrics(top, h.labels, k, user_col=user_col, item_col="song_id")
+
+
 def stage_report(p: Prepared, user_col: str = "user_id", exact: bool = True) -> DataFrame:
     """Rows, distinct users and distinct items at every prepared stage."""
     return stage_counts([

@@ -17,14 +17,18 @@ def test_cli_round_trip(spark, scratch, capsys):
     inter.write.parquet(f"{scratch}/interactions")
     track_catalogue(spark, SMALL).write.parquet(f"{scratch}/tracks")
     out = f"{scratch}/out"
+    inter.filter("l_orderkey % 3 = 0").write.parquet(f"{scratch}/test_interactions")
     main(["prepare", "--interactions", f"{scratch}/interactions", "--tracks", f"{scratch}/tracks",
-          "--out", out, "--order-cols", "user_id,recording_msid,l_orderkey,l_linenumber"], spark)
+          "--out", out, "--order-cols", "user_id,recording_msid,l_orderkey,l_linenumber",
+          "--test-interactions", f"{scratch}/test_interactions"], spark)
     stages = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [s["stage"] for s in stages][:2] == ["train", "val"]
     assert stages[0]["n_rows"] + stages[1]["n_rows"] == inter.dropDuplicates().count()
     main(["popularity", "--prepared", out, "--measure", "damped", "--beta", "500000"], spark)
     m = json.loads(capsys.readouterr().out.strip())
     assert 0 <= m["map_at_k"] <= 1 and m["n_users"] > 0
+    main(["popularity", "--prepared", out, "--measure", "weighted", "--on", "test"], spark)
+    assert json.loads(capsys.readouterr().out.strip())["n_users"] > 0
     main(["popularity", "--prepared", out, "--sweep", "10,1000"], spark)
     assert len(capsys.readouterr().out.strip().splitlines()) == 2
     main(["als", "--prepared", out, "--rank", "4", "--max-iter", "2", "--k", "20"], spark)
