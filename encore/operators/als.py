@@ -129,6 +129,8 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
         m = evaluate_als(model, eval_users, labels, k, user_col, item_col)
         rows.append(m.select(F.lit(int(rank)).alias("rank"), F.lit(float(reg)).alias("reg_param"),
                              F.lit(float(alpha)).alias("alpha"), "*"))
+    # every fit is done; the metric frames need only the models' factors
+    ratings.unpersist()
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
