@@ -185,3 +185,21 @@ def test_bounded_export_cap_binding_and_not(spark):
     df = spark.range(1, 501).withColumnRenamed("id", "k")
     assert bounded_export(df, ["k"], 10_000).count() == 500
     assert [r.k for r in bounded_export(df, ["k"], 7).orderBy("k").collect()] == list(range(1, 8))
+
+
+def test_page_with_tied_keys_is_layout_independent(spark):
+    rows = [(k % 5, k) for k in range(200)]  # 40 rows share each key
+    df = spark.createDataFrame(rows, "k long, v long")
+    a = page(df, ["k"], 30, 50)
+    b = page(df.repartition(7, "v"), ["k"], 30, 50)
+    assert a.count() == 50
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_split_salt_changes_rows_not_sizes(spark):
+    df = spark.createDataFrame([(u, i) for u in range(20) for i in range(u + 1)], "user_id long, item_id long")
+    a = tag_split(df, "user_id", ["user_id", "item_id"])
+    b = tag_split(df, "user_id", ["user_id", "item_id"], salt="round-2")
+    sizes = lambda t: dict(t.filter("is_train").groupBy("user_id").count().collect())
+    assert sizes(a) == sizes(b)
+    assert a.exceptAll(b).count() > 0
