@@ -203,3 +203,17 @@ def test_split_salt_changes_rows_not_sizes(spark):
     sizes = lambda t: dict(t.filter("is_train").groupBy("user_id").count().collect())
     assert sizes(a) == sizes(b)
     assert a.exceptAll(b).count() > 0
+
+
+def test_sql_surface_over_registered_views(spark):
+    """The original SQL statements run over registered views and agree with the operators."""
+    from encore.sources.tables import register_views
+    from encore.sources.views import sales_interactions_with_nulls
+    register_views(spark, SMALL, ["lineitem"])
+    assert spark.sql("SELECT COUNT(*) FROM lineitem").collect()[0][0] == 6000
+    sales_interactions_with_nulls(spark, SMALL).createOrReplaceTempView("interactions")
+    spark.sql("SELECT * FROM interactions WHERE user_id IS NOT NULL OR item_id IS NOT NULL") \
+         .createOrReplaceTempView("noNull")
+    distinct = spark.sql("SELECT DISTINCT(*) FROM noNull")
+    assert distinct.count() == clean(sales_interactions_with_nulls(spark, SMALL), how="all").count()
+    assert spark.sql("SELECT * FROM noNull LIMIT 10").count() == 10
