@@ -125,29 +125,46 @@ def _rank_heavy_sliced(keyed: DataFrame, heavy: DataFrame, ties: list[str]) -> D
     return ranked.drop(_D, _NH)
 
 
+def heavy_users(df: DataFrame, user_col: str, slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
+    """Users with more than ``slice_rows`` rows and their slice depth, and their count.
+
+    One aggregate (partial + final, one row per user shuffled).  Counting on a
+    frame that still holds duplicates gives an upper bound: a user that is not
+    heavy there is not heavy after de-duplication either.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    is_null, value = _null_safe_key(df, user_col)
+    sizes = (df.select(is_null.alias(_UN), value.alias(_UV))
+               .groupBy(_UN, _UV).agg(F.count(F.lit(1)).alias(_NH)))
+    digits = F.ceil(F.log(F.col(_NH) / F.lit(float(slice_rows))) / F.lit(math.log(16.0)))
+    heavy = (sizes.filter(F.col(_NH) > F.lit(slice_rows))
+                  .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int")))
+    n_heavy = heavy.count()
+    if n_heavy:
+        # fix the (small) heavy table so the slice counts and the rows use the same one
+        heavy = heavy.checkpoint(eager=True)
+    return heavy, n_heavy
+
+
 def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
                      salt: str | None = None, slice_rows: int = SLICE_ROWS,
-                     buckets: int | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     buckets: int | None = None, broadcast_rows: int = BROADCAST_ROWS,
+                     no_heavy_users: bool = False) -> DataFrame:
     """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user.
 
     ``buckets`` forces the all-users-sliced plan with that many slices.
-    Otherwise the plan is chosen from the heavy-user count (eager: one
-    aggregate job and a small checkpoint run when called).
+    ``no_heavy_users`` states that the caller already ran ``heavy_users``
+    and found none.  Otherwise the plan is chosen from the heavy-user count
+    (eager: one aggregate job, plus a small checkpoint when heavy users exist).
     """
     keyed = _keyed(df, user_col, order_cols, salt)
     ties = _tie_breakers(df, [user_col])
     if buckets is not None:
         ranked = _rank_all_sliced(keyed, ties, buckets)
+    elif no_heavy_users:
+        ranked = _rank_plain(keyed, user_col, ties)
     else:
-        ensure_checkpoint_dir(df.sparkSession)
-        sizes = keyed.groupBy(_UN, _UV).agg(F.count(F.lit(1)).alias(_NH))
-        digits = F.ceil(F.log(F.col(_NH) / F.lit(float(slice_rows))) / F.lit(math.log(16.0)))
-        heavy = (sizes.filter(F.col(_NH) > F.lit(slice_rows))
-                      .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int")))
-        n_heavy = heavy.count()
-        if n_heavy:
-            # fix the (small) heavy table so the slice counts and the rows use the same one
-            heavy = heavy.checkpoint(eager=True)
+        heavy, n_heavy = heavy_users(df, user_col, slice_rows)
         if n_heavy == 0:
             ranked = _rank_plain(keyed, user_col, ties)
         elif n_heavy <= broadcast_rows:
@@ -171,11 +188,12 @@ def rank_within_user_random(df: DataFrame, user_col: str, seed: int) -> DataFram
 def tag_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str] | None = None,
               frac: float = 0.8, salt: str | None = None, mode: str = "hash",
               seed: int = 0, buckets: int | None = None, out_col: str = "is_train",
-              slice_rows: int = SLICE_ROWS) -> DataFrame:
+              slice_rows: int = SLICE_ROWS, no_heavy_users: bool = False) -> DataFrame:
     """Add a boolean ``is_train`` column; see the module doc for the rule."""
     if mode == "hash":
         cols = list(order_cols) if order_cols else df.columns
-        ranked = rank_within_user(df, user_col, cols, salt, slice_rows, buckets)
+        ranked = rank_within_user(df, user_col, cols, salt, slice_rows, buckets,
+                                  no_heavy_users=no_heavy_users)
     elif mode == "rand":
         ranked = rank_within_user_random(df, user_col, seed)
     else:

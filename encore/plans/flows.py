@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.als import evaluate_als, fit_als
-from encore.operators.clean import clean, stage_counts
+from encore.operators.clean import clean, deduplicate, drop_nulls, stage_counts
 from encore.operators.indexing import attach_index, dense_index
 from encore.operators.labels import label_lists
 from encore.operators.metrics import shared_list_metrics
 from encore.operators.popularity import popularity_top_k
-from encore.operators.split import tag_split
+from encore.operators.split import SLICE_ROWS, heavy_users, tag_split
 from encore.operators.support import min_support
 from encore.operators.utility import utility_matrix
 from encore.session import scratch_path
@@ -52,11 +52,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def prepare(interactions: DataFrame, tracks: DataFrame, *, user_col: str = "user_id",
             item_key: str = "item_id", track_key: str = "recording_msid",
             split_keys: Sequence[str] | None = None, how: str = "any", frac: float = 0.8,
-            support: int = 3, label_k: int = 100, materialize_stages: bool = False) -> Prepared:
-    cleaned = clean(interactions, (user_col, item_key), how=how)
+            support: int = 3, label_k: int = 100, materialize_stages: bool = False,
+            slice_rows: int = SLICE_ROWS) -> Prepared:
     indexed_tracks = dense_index(tracks, track_key, "song_id")
-    indexed = attach_index(cleaned, indexed_tracks, item_key, track_key, "song_id", drop_unmatched=True)
-    tagged = tag_split(indexed, user_col, split_keys, frac)
+    # attach before de-duplicating: the inner join on a unique key only adds a
+    # dependent column, so the two steps commute, and de-duplication can then
+    # share the split's partitioning by user
+    kept = drop_nulls(interactions, (user_col, item_key), how=how)
+    indexed = attach_index(kept, indexed_tracks, item_key, track_key, "song_id", drop_unmatched=True)
+    _, n_heavy = heavy_users(indexed, user_col, slice_rows)  # upper bound: counted before de-duplication
+    if n_heavy == 0:
+        # one shuffle by user serves de-duplication, split, utility and labels
+        deduped = deduplicate(indexed.repartition(user_col))
+        tagged = tag_split(deduped, user_col, split_keys, frac, no_heavy_users=True)
+    else:
+        # heavy users: keep de-duplication hash-balanced; the split slices them
+        tagged = tag_split(deduplicate(indexed), user_col, split_keys, frac, slice_rows=slice_rows)
     if materialize_stages:
         tagged = materialize(tagged, "split")
     train = tagged.filter(F.col("is_train")).drop("is_train")

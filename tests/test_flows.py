@@ -25,3 +25,11 @@ def test_flow_als_report(spark):
                 split_keys=SPLIT_KEYS, support=3)
     m = als_report(p, rank=4, reg=0.1, alpha=1.0, max_iter=3, seed=1, k=20).collect()[0]
     assert 0.0 <= m.map_at_k <= 1.0 and m.n_users > 0
+
+
+def test_flow_heavy_branch_equals_single_shuffle_branch(spark):
+    args = dict(split_keys=SPLIT_KEYS, support=3)
+    plain = prepare(sales_interactions(spark, SMALL), track_catalogue(spark, SMALL), **args)
+    heavy = prepare(sales_interactions(spark, SMALL), track_catalogue(spark, SMALL), slice_rows=5, **args)
+    for a, b in ((plain.utility_train, heavy.utility_train), (plain.labels_val, heavy.labels_val)):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
