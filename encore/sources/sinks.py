@@ -24,6 +24,23 @@ def write_by_user(df: DataFrame, path: str, user_col: str = "user_id", mode: str
     df.hint("rebalance", user_col).write.mode(mode).parquet(path)
 
 
+def write_bucketed_by_user(df: DataFrame, table: str, path: str, num_buckets: int,
+                           user_col: str = "user_id", sort_cols: Sequence[str] = (),
+                           mode: str = "overwrite") -> DataFrame:
+    """Save ``df`` as a table bucketed (and optionally sorted) by user at ``path``.
+
+    Tables bucketed on the same key with the same bucket count join and group
+    on that key without a shuffle.  Each writing task writes its own files per
+    bucket, so the write itself needs no shuffle and no task receives a whole
+    bucket.  Returns the table as read back through the catalog.
+    """
+    writer = df.write.mode(mode).format("parquet").option("path", path).bucketBy(num_buckets, user_col)
+    if sort_cols:
+        writer = writer.sortBy(*sort_cols)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int | None,
          index_col: str = "__encore_idx") -> DataFrame:
     """Rows ``offset+1 .. offset+size`` in ``order_cols`` order (``size=None``: to the end).

@@ -217,3 +217,21 @@ def test_sql_surface_over_registered_views(spark):
     distinct = spark.sql("SELECT DISTINCT(*) FROM noNull")
     assert distinct.count() == clean(sales_interactions_with_nulls(spark, SMALL), how="all").count()
     assert spark.sql("SELECT * FROM noNull LIMIT 10").count() == 10
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch, capsys):
+    from encore.sources.sinks import write_bucketed_by_user
+    util = utility_matrix(sales_interactions(spark, SMALL))
+    a = write_bucketed_by_user(util, "encore_bucket_a", f"{scratch}/a", 8)
+    b = write_bucketed_by_user(util.groupBy("user_id").count(), "encore_bucket_b", f"{scratch}/b", 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the sort-merge path
+    try:
+        joined = a.join(b, "user_id")
+        capsys.readouterr()
+        joined.explain("simple")
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert joined.count() == util.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
