@@ -1,8 +1,9 @@
 """End-to-end flows: raw interactions -> prepared sets -> recommenders -> metrics.
 
-``prepare`` chains the preparation operators in their real order
-(clean -> index -> attach -> split -> utility -> support filter -> labels).
-With ``materialize=True`` the split and the utility matrices are written as
+``prepare`` chains the preparation operators: index the catalogue, drop null
+keys, attach ids, de-duplicate, split, utility matrix, support filter, labels
+(de-duplication runs after the attach join so it can share the split's shuffle
+by user).  With ``materialize_stages=True`` the split and the utility matrices are written as
 Parquet tables in the shared checkpoint folder (``spark.checkpoint.dir``) and
 read back, which cuts the lineage: a lost executor then recomputes from those
 tables, not from the raw scan, and the split (which feeds two outputs) is
