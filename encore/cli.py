@@ -3,7 +3,7 @@
     python -m encore prepare --interactions in/interactions --tracks in/tracks --out out/
     python -m encore popularity --prepared out/ --measure damped --beta 500000
     python -m encore popularity --prepared out/ --sweep 50000,60000,70000
-    python -m encore als --prepared out/ --rank 40 --reg 0.2 --alpha 1.0 --max-iter 10
+    python -m encore als --prepared out/ --rank 40 --reg 0.2 --alpha 1.0 --max-iter 10 --seed 42
     python -m encore export --table out/utility_train_filtered --order user_id,song_id \
         --max-rows 55000000 --out out/utility_train_export
 
@@ -88,7 +88,7 @@ def cmd_als(spark: SparkSession, a: argparse.Namespace) -> None:
     train, val, labels = _prepared(spark, a.prepared, a.on)
     m = als_grid(train, val.select(a.user_col), labels,
                  [int(r) for r in _split_list(a.rank)], [float(r) for r in _split_list(a.reg)],
-                 [float(x) for x in _split_list(a.alpha)], a.k, a.max_iter, a.seed,
+                 [float(x) for x in _split_list(a.alpha)], a.k, a.max_iter, seed=a.seed,
                  user_col=a.user_col, item_col="song_id")
     _print_rows(m)
 
@@ -133,7 +133,7 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("--reg", default="0.2")
     r.add_argument("--alpha", default="1.0")
     r.add_argument("--max-iter", type=int, default=10)
-    r.add_argument("--seed", type=int, default=0)
+    r.add_argument("--seed", type=int, required=True, help="required: fits are reproducible")
     r.add_argument("--k", type=int, default=100)
     r.add_argument("--user-col", default="user_id")
     r.add_argument("--on", default="val", choices=["val", "test"])

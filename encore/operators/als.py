@@ -49,7 +49,7 @@ def default_blocks(spark, n_ratings: int | None = None) -> int:
 
 
 def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: int = 10,
-              seed: int = 0, user_col: str = "user_id", item_col: str = "item_id",
+              *, seed: int, user_col: str = "user_id", item_col: str = "item_id",
               rating_col: str = "total_count", cold_start: str = "drop",
               checkpoint_interval: int = 10, num_blocks: int | None = None) -> ALS:
     als = ALS(rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter, seed=seed,
@@ -63,18 +63,19 @@ def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: in
 
 
 def fit_als(utility: DataFrame, rank: int = 40, reg: float = 0.2, alpha: float = 1.0,
-            max_iter: int = 10, seed: int = 0, user_col: str = "user_id",
+            max_iter: int = 10, *, seed: int, user_col: str = "user_id",
             item_col: str = "item_id", rating_col: str = "total_count",
             num_blocks: int | str | None = None) -> ALSModel:
-    """Fit implicit ALS.  ``num_blocks``: an int, None (one per core, capped),
-    or ``'auto'`` (also sized from the ratings count; runs one count job)."""
+    """Fit implicit ALS.  ``seed`` is required, so a fit is reproducible.
+    ``num_blocks``: an int, None (one per core, capped), or ``'auto'`` (also
+    sized from the ratings count; runs one count job)."""
     spark = utility.sparkSession
     ensure_checkpoint_dir(spark)
     ratings = prepare_ratings(utility, user_col, item_col, rating_col)
     if num_blocks == "auto":
         num_blocks = default_blocks(spark, ratings.count())
-    als = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col,
-                    num_blocks=num_blocks or default_blocks(spark))
+    als = build_als(rank, reg, alpha, max_iter, seed=seed, user_col=user_col, item_col=item_col,
+                    rating_col=rating_col, num_blocks=num_blocks or default_blocks(spark))
     return als.fit(ratings)
 
 
@@ -116,7 +117,7 @@ def evaluate_als(model: ALSModel, eval_users: DataFrame, labels: DataFrame, k: i
 
 def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
              ranks: Iterable[int], regs: Iterable[float], alphas: Iterable[float],
-             k: int = 100, max_iter: int = 10, seed: int = 0, user_col: str = "user_id",
+             k: int = 100, max_iter: int = 10, *, seed: int, user_col: str = "user_id",
              item_col: str = "item_id", rating_col: str = "total_count") -> DataFrame:
     """One metrics row per (rank, reg, alpha).  The training ratings are
     persisted once and reused by every fit; each fit is a distributed job."""
@@ -124,8 +125,8 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
     ensure_checkpoint_dir(train.sparkSession)
     rows = []
     for rank, reg, alpha in itertools.product(ranks, regs, alphas):
-        model = build_als(rank, reg, alpha, max_iter, seed, user_col, item_col, rating_col,
-                          num_blocks=default_blocks(train.sparkSession)).fit(ratings)
+        model = build_als(rank, reg, alpha, max_iter, seed=seed, user_col=user_col, item_col=item_col,
+                          rating_col=rating_col, num_blocks=default_blocks(train.sparkSession)).fit(ratings)
         m = evaluate_als(model, eval_users, labels, k, user_col, item_col)
         rows.append(m.select(F.lit(int(rank)).alias("rank"), F.lit(float(reg)).alias("reg_param"),
                              F.lit(float(alpha)).alias("alpha"), "*"))

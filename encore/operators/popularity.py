@@ -66,6 +66,8 @@ def beta_sweep_top_k(utility: DataFrame, betas: Sequence[float], k: int = 100,
     with a partial window-group limit before the shuffle, so each task sends at
     most k rows per beta.
     """
+    if measure == "damped" and any(b < 0 for b in betas):
+        raise ValueError("beta must be >= 0")  # n_users + beta must stay positive
     stats = item_stats(utility, item_col, count_col)
     grid = F.explode(F.array(*[F.lit(float(b) if measure == "damped" else int(b)) for b in betas]))
     expanded = stats.select(item_col, "total", "n_users", grid.alias("beta"))

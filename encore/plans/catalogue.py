@@ -280,7 +280,8 @@ def q_end_to_end_stage_counts(spark, base):
 
 def _als_model(spark, base, params):
     train, val = events_split_utility(spark, base)
-    model = als_ops.fit_als(train, params["rank"], params["reg"], params["alpha"], params["max_iter"], ALS_SEED)
+    model = als_ops.fit_als(train, params["rank"], params["reg"], params["alpha"], params["max_iter"],
+                            seed=ALS_SEED)
     return model, train, val
 
 
@@ -304,7 +305,7 @@ def q_als_test(spark, base):
     train, val = events_split_utility(spark, base)
     train = min_support(train, SUPPORT_THRESHOLDS[0], scope="self")
     p = ALS_TIMED
-    model = als_ops.fit_als(train, p["rank"], p["reg"], p["alpha"], p["max_iter"], ALS_SEED)
+    model = als_ops.fit_als(train, p["rank"], p["reg"], p["alpha"], p["max_iter"], seed=ALS_SEED)
     return als_ops.evaluate_als(model, val.select("user_id"), label_lists(val, TOP_K), TOP_K)
 
 
@@ -312,7 +313,7 @@ def q_als_grid(spark, base):
     train, val = events_split_utility(spark, base)
     g = ALS_GRID
     return als_ops.als_grid(train, val.select("user_id"), label_lists(val, TOP_K),
-                            g["ranks"], g["regs"], g["alphas"], TOP_K, g["max_iter"], ALS_SEED)
+                            g["ranks"], g["regs"], g["alphas"], TOP_K, g["max_iter"], seed=ALS_SEED)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -130,7 +130,8 @@ def popularity_report(p: Prepared, k: int = 100, measure: str = "damped", beta:
 
 
 def als_report(p: Prepared, rank: int = 40, reg: float = 0.2, alpha: float = 1.0,
-               max_iter: int = 10, seed: int = 0, k: int = 100, user_col: str = "user_id") -> DataFrame:
-    model = fit_als(p.filtered_train, rank, reg, alpha, max_iter, seed, user_col, "song_id")
+               max_iter: int = 10, *, seed: int, k: int = 100, user_col: str = "user_id") -> DataFrame:
+    model = fit_als(p.filtered_train, rank, reg, alpha, max_iter, seed=seed, user_col=user_col,
+                    item_col="song_id")
     users = p.filtered_val.select(user_col)
     return evaluate_als(model, users, p.labels_val, k, user_col, "song_id")

@@ -31,7 +31,7 @@ def test_cli_round_trip(spark, scratch, capsys):
     assert json.loads(capsys.readouterr().out.strip())["n_users"] > 0
     main(["popularity", "--prepared", out, "--sweep", "10,1000"], spark)
     assert len(capsys.readouterr().out.strip().splitlines()) == 2
-    main(["als", "--prepared", out, "--rank", "4", "--max-iter", "2", "--k", "20"], spark)
+    main(["als", "--prepared", out, "--rank", "4", "--max-iter", "2", "--k", "20", "--seed", "1"], spark)
     assert json.loads(capsys.readouterr().out.strip())["n_users"] > 0
     main(["export", "--table", f"{out}/utility_train", "--order", "user_id,song_id", "--max-rows", "100",
           "--out", f"{scratch}/export"], spark)
