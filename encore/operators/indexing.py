@@ -111,6 +111,9 @@ def attach_index(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str |
                  drop_unmatched: bool = False) -> DataFrame:
     """Join the dimension's id (and ``columns``) onto the fact rows.
 
+    With no extra ``columns`` the dimension is reduced to distinct (key, id)
+    pairs first, so a repeated catalogue key cannot duplicate fact rows.
+
     Left outer by default (unmatched facts keep a null id); ``drop_unmatched``
     gives the inner form needed before ALS.  No broadcast hint: adaptive
     execution broadcasts the dimension only once its runtime size is under
@@ -120,6 +123,10 @@ def attach_index(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str |
     dim_key = dim_key or fact_key
     keep = [dim_key, id_col] + [c for c in (columns or []) if c not in (dim_key, id_col)]
     right = dim.select(*keep)
+    if not columns:
+        # a catalogue that repeats a key carries the same id on each copy; one
+        # (key, id) pair per key keeps the join from multiplying fact rows
+        right = right.distinct()
     if dim_key != fact_key:
         right = right.withColumnRenamed(dim_key, "__encore_dim_key")
         left_key = F.col(fact_key)

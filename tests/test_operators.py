@@ -235,3 +235,11 @@ def test_bucketed_tables_join_without_shuffle(spark, scratch, capsys):
         assert joined.count() == util.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_attach_does_not_fan_out_on_repeated_catalogue_keys(spark):
+    tracks = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z")], "recording_msid string, name string")
+    idx = dense_index(tracks, "recording_msid", "song_id")
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "user_id long, recording_msid string")
+    out = attach_index(facts, idx, "recording_msid", id_col="song_id", drop_unmatched=True)
+    assert sorted((r.user_id, r.song_id) for r in out.collect()) == [(1, 1), (2, 2)]
