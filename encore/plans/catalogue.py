@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.functions.columns import rounded
 from encore.operators import als as als_ops
 from encore.operators.clean import clean, deduplicate, drop_nulls, stage_counts
 from encore.operators.indexing import attach_index, dense_index, id_maps, sparse_index, to_coo
@@ -52,7 +53,7 @@ R9 = 9
 
 
 def _r(col: str) -> F.Column:
-    return F.round(F.col(col), R9).alias(col)
+    return rounded(col, R9).alias(col)
 
 
 # --- shared building blocks ---------------------------------------------------
