@@ -83,14 +83,17 @@ def indexed_tracks(spark: SparkSession, base: str, max_size: int | None = None)
 # --- cleaning and counts ------------------------------------------------------
 
 def q_clean_all(spark, base):
+    """Null-injected sales rows without rows whose keys are both null, de-duplicated."""
     return clean(sales_interactions_with_nulls(spark, base), ("user_id", "item_id"), how="all")
 
 
 def q_clean_any(spark, base):
+    """Null-injected sales rows without rows having any null key, de-duplicated."""
     return clean(sales_interactions_with_nulls(spark, base), ("user_id", "item_id"), how="any")
 
 
 def q_stage_counts(spark, base):
+    """Rows, users and items after each cleaning stage."""
     raw = sales_interactions_with_nulls(spark, base)
     kept = drop_nulls(raw, ("user_id", "item_id"), how="all")
     dedup = deduplicate(kept)
@@ -101,14 +104,17 @@ def q_stage_counts(spark, base):
 # --- indexing -------------------------------------------------------------------
 
 def q_dense_track_index(spark, base):
+    """Track catalogue with dense song ids 1..N in key order."""
     return indexed_tracks(spark, base)
 
 
 def q_page_by_row_number(spark, base):
+    """One page of the catalogue in key order (rows 1001-1500)."""
     return page(track_catalogue(spark, base), ["recording_msid"], PAGE_OFFSET, PAGE_SIZE)
 
 
 def q_sparse_track_index(spark, base):
+    """Row count and distinct-id count of the gapped LONG ids."""
     ids = sparse_index(track_catalogue(spark, base), "row_id")
     return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_ids"))
 
@@ -121,38 +127,46 @@ def _attach(spark, base, drop_unmatched):
 
 
 def q_attach_index_left(spark, base):
+    """Sales rows with song ids of small tracks; unmatched rows keep a null id."""
     return _attach(spark, base, False)
 
 
 def q_attach_index_matched(spark, base):
+    """Sales rows with song ids of small tracks; unmatched rows dropped."""
     return _attach(spark, base, True)
 
 
 # --- split ------------------------------------------------------------------------
 
 def q_split_train(spark, base):
+    """Per-user training part of the sales rows (first 80% in md5 order)."""
     return sales_split(spark, base)[0]
 
 
 def q_split_val(spark, base):
+    """Per-user validation part of the sales rows."""
     return sales_split(spark, base)[1]
 
 
 # --- utility matrix and counts ---------------------------------------------------
 
 def q_utility_matrix(spark, base):
+    """Sales utility matrix (user, item, total_count)."""
     return utility_matrix(sales_interactions(spark, base))
 
 
 def q_utility_matrix_dense(spark, base):
+    """Event utility matrix (user, item, total_count)."""
     return utility_matrix(event_interactions(spark, base))
 
 
 def q_items_per_user(spark, base):
+    """Items per user of the event utility matrix."""
     return items_per_user(utility_matrix(event_interactions(spark, base)))
 
 
 def q_users_per_item(spark, base):
+    """Users per item of the event utility matrix."""
     return users_per_item(utility_matrix(event_interactions(spark, base)))
 
 
@@ -174,19 +188,23 @@ def _min_support_train(threshold):
 # --- popularity ---------------------------------------------------------------------
 
 def q_popularity_damped(spark, base):
+    """Top-100 items by sum / (listeners + 500000)."""
     top = popularity_top_k(utility_matrix(sales_interactions(spark, base)), TOP_K, "damped", DAMPED_BETA)
     return top.select("item_id", _r("popularity"), "rank")
 
 
 def q_popularity_weighted(spark, base):
+    """Top-100 items by sum * listeners."""
     return popularity_top_k(utility_matrix(sales_interactions(spark, base)), TOP_K, "weighted", 0)
 
 
 def q_popularity_weighted_beta(spark, base):
+    """Top-100 items by sum * (listeners + 1)."""
     return popularity_top_k(utility_matrix(sales_interactions(spark, base)), TOP_K, "weighted", WEIGHTED_BETA)
 
 
 def q_beta_sweep_topk(spark, base):
+    """Top-100 damped list for every beta of the sweep, in one pass."""
     train, _ = sales_split_utility(spark, base)
     top = beta_sweep_top_k(train, BETA_SWEEP, TOP_K, "damped")
     return top.select(F.col("beta").cast("long").alias("beta"), "item_id", _r("popularity"), "rank")
@@ -209,6 +227,7 @@ def q_beta_sweep_metrics(spark, base):
 
 
 def q_popularity_eval(spark, base):
+    """Damped top-100 of the training split scored on validation labels."""
     train, val = sales_split_utility(spark, base)
     top = popularity_top_k(train, TOP_K, "damped", DAMPED_BETA)
     return _rounded_metrics(shared_list_metrics(top, label_lists(val, TOP_K), TOP_K))
@@ -217,6 +236,7 @@ def q_popularity_eval(spark, base):
 # --- labels -----------------------------------------------------------------------------
 
 def q_label_lists(spark, base):
+    """Each event user's top-10 items by count (larger item first on ties)."""
     return label_lists(utility_matrix(event_interactions(spark, base)), EVENT_LABEL_K)
 
 
@@ -229,10 +249,12 @@ def _warm_val(spark, base):
 
 
 def q_warm_start_filter(spark, base):
+    """Validation pairs whose user and item occur in the support-filtered training set."""
     return _warm_val(spark, base)[1]
 
 
 def q_precision_at_k_warm(spark, base):
+    """Weighted top-100 of the filtered training set scored on the warm validation pairs."""
     train_kept, warm = _warm_val(spark, base)
     top = popularity_top_k(train_kept, TOP_K, "weighted", 0)
     # every held-out pair is a label (no cut), so no per-user ranking is needed
@@ -240,6 +262,7 @@ def q_precision_at_k_warm(spark, base):
 
 
 def q_id_maps(spark, base):
+    """Contiguous 0-based ids of event users and items."""
     util = utility_matrix(event_interactions(spark, base))
     users, items = id_maps(util)
     return (users.select(F.lit("user").alias("kind"), F.col("user_id").alias("key"), F.col("user_idx").alias("idx"))
@@ -248,6 +271,7 @@ def q_id_maps(spark, base):
 
 
 def q_coo_matrix(spark, base):
+    """Validation events as COO entries over the training id maps."""
     train, val = events_split_utility(spark, base)
     users, items = id_maps(train)
     return to_coo(val, users, items)
@@ -256,12 +280,14 @@ def q_coo_matrix(spark, base):
 # --- export -----------------------------------------------------------------------------
 
 def q_bounded_export(spark, base):
+    """The first 55M sales rows in key order."""
     return bounded_export(sales_interactions(spark, base), list(SPLIT_KEYS), EXPORT_CAP)
 
 
 # --- end to end -----------------------------------------------------------------------
 
 def q_end_to_end_popularity(spark, base):
+    """Raw tables -> prepared sets -> damped popularity scored on validation."""
     from encore.plans.flows import popularity_report, prepare
     p = prepare(sales_interactions(spark, base), track_catalogue(spark, base),
                 split_keys=SPLIT_KEYS, how="any", frac=TRAIN_FRACTION,
@@ -270,6 +296,7 @@ def q_end_to_end_popularity(spark, base):
 
 
 def q_end_to_end_stage_counts(spark, base):
+    """Rows, users and items at every stage of the prepared flow."""
     from encore.plans.flows import prepare, stage_report
     p = prepare(sales_interactions(spark, base), track_catalogue(spark, base),
                 split_keys=SPLIT_KEYS, how="any", frac=TRAIN_FRACTION,
@@ -287,16 +314,19 @@ def _als_model(spark, base, params):
 
 
 def q_als_recommend(spark, base):
+    """Top-100 ALS recommendations for the validation users."""
     model, _, val = _als_model(spark, base, ALS_TIMED)
     return als_ops.recommend(model, val.select("user_id"), TOP_K)
 
 
 def q_als_recommend_all(spark, base):
+    """Top-100 ALS recommendations for every user."""
     model, _, _ = _als_model(spark, base, ALS_TIMED)
     return als_ops.recommend(model, None, TOP_K)
 
 
 def q_als_eval(spark, base):
+    """ALS (validation parameters) scored on validation labels."""
     model, _, val = _als_model(spark, base, ALS_VALIDATE)
     return als_ops.evaluate_als(model, val.select("user_id"), label_lists(val, TOP_K), TOP_K)
 
