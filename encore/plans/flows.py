@@ -12,7 +12,6 @@ computed once.  The split order is a hash, so a recomputation reproduces it.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -28,7 +27,7 @@ from encore.operators.popularity import popularity_top_k
 from encore.operators.split import SLICE_ROWS, heavy_users, tag_split
 from encore.operators.support import min_support
 from encore.operators.utility import utility_matrix
-from encore.session import scratch_path
+from encore.sources.scratch import materialize
 
 
 @dataclass
@@ -43,13 +42,6 @@ class Prepared:
     labels_val: DataFrame
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back."""
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def prepare(interactions: DataFrame, tracks: DataFrame, *, user_col: str = "user_id",
             item_key: str = "item_id", track_key: str = "recording_msid",
             split_keys: Sequence[str] | None = None, how: str = "any", frac: float = 0.8,

@@ -8,7 +8,7 @@ split hot keys when writing.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,11 +37,10 @@ def cluster_conf(input_bytes: int, total_cores: int,
     Scan splits and post-shuffle partitions target ``partition_bytes`` (a size
     a task sorts or aggregates comfortably within executor memory).  The
     initial shuffle partition count covers the input at that size (at least
-    two waves of the cluster's cores, at most 200k) and AQE coalesces what
+    two waves of the cluster's cores) and AQE coalesces what
     turns out smaller; skew splitting starts at 4x the target size.
     """
     parts = max(2 * total_cores, -(-input_bytes // partition_bytes))
-    parts = min(parts, 200_000)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
@@ -77,23 +76,20 @@ def build_session(master: str | None = None, app_name: str = "encore",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None,
-                          required: bool = True) -> str | None:
-    """Point ``SparkContext`` at the shared checkpoint folder the cluster names.
+def ensure_checkpoint_dir(spark: SparkSession, required: bool = True) -> str | None:
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is read from ``spark.checkpoint.dir``.  Only when that setting is
-    absent (local runs and tests) is ``fallback`` used — or, with no fallback in
-    local mode, a fresh scratch folder.  On a cluster without the setting this
-    raises: a machine-local folder would not survive an executor loss.
+    Only a single-process ``local`` session without that setting gets a scratch
+    folder of its own: there the driver and the executors are one machine.  Any
+    other master without the setting raises, because a machine-local folder
+    would not survive a lost executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = fallback
-    if not folder and sc.master.startswith("local"):
+    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         folder = tempfile.mkdtemp(prefix="encore-ckpt-")
     if not folder:
         if not required:
@@ -104,12 +100,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None,
     return sc.getCheckpointDir()
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder used for lineage cuts and intermediate tables."""
-    return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark) or ensure_checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``, without the per-application part."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return named or ensure_checkpoint_dir(spark)

@@ -17,15 +17,21 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from encore.operators.utility import utility_matrix
-from encore.session import scratch_path
 
 
 def start_incremental_utility(spark: SparkSession, source_dir: str, schema: StructType | str,
-                              sink_dir: str, checkpoint: str | None = None,
+                              sink_dir: str, checkpoint: str,
                               user_col: str = "user_id", item_col: str = "item_id",
                               available_now: bool = True,
                               max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Stream Parquet interaction files from ``source_dir`` into utility deltas."""
+    """Stream Parquet interaction files from ``source_dir`` into utility deltas.
+
+    ``checkpoint`` is the query's own checkpoint location.  It must stay the same
+    across restarts (it records which files were consumed) and must not be shared
+    with another query or sink, so it has no default.
+    """
+    if not checkpoint:
+        raise ValueError("checkpoint: a location of this query's own is required")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -36,7 +42,7 @@ def start_incremental_utility(spark: SparkSession, source_dir: str, schema: Stru
         delta.write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/batch_id={batch_id}")
 
     writer = (stream.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "utility-stream-checkpoint")))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
