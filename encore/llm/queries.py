@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.sources.tables import load_table
 
@@ -17,6 +18,41 @@ from encore.sources.tables import load_table
 TOKENIZERS = "/opt/tokenizers"
 PIECE_MODEL = "piece_bpe_32k.model"
 
+#: Site rules for the pages' urls.
+SITE_RULES = (
+    ("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+    ("com/fr/", "allow"), ("com/de/", "block"),
+)
+#: Patterns that block urls no site rule fits.
+BLOCK_PATTERNS = (
+    "/wp-admin/", "/wp-login.", "/cgi-bin/", "/xmlrpc.", "?sessionid=", "&sessionid=", "/cart/*checkout=", "://ads.",
+)
+SHARDS = tuple(f"shard-{k:04d}" for k in range(512))
+
+
+def op1_warc(spark: SparkSession, base: str) -> DataFrame:
+    """Archive every page as a WARC record, read the archive back, describe each rebuilt record."""
+    from encore.llm.warc import read_archive, write_archive
+    from encore.sources.scratch import adopt, scratch_path
+    path = adopt(spark, scratch_path(spark, "warc"))
+    write_archive(load_table(spark, base, "pages"), path)
+    return read_archive(spark, path).select(
+        F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        "payload_digest", "record_type", "refers_to")
+
+
+def op4_url_rules(spark: SparkSession, base: str) -> DataFrame:
+    """Judge every page's url by the site rules, else by the block patterns."""
+    from encore.llm.url_rules import BlockPattern, SiteRule, judge_urls
+    return judge_urls(load_table(spark, base, "pages"), [SiteRule(*r) for r in SITE_RULES],
+                      [BlockPattern(p) for p in BLOCK_PATTERNS]).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_sharding(spark: SparkSession, base: str) -> DataFrame:
+    """Place every document on one of the shards by its id."""
+    from encore.llm.sharding import place
+    return place(load_table(spark, base, "documents").select("doc_id"), SHARDS)
+
 
 def op9_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
     """Encode and decode every text with the public 32k BPE model."""
@@ -25,8 +61,49 @@ def op9_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
                          outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op10_quality_rules(spark: SparkSession, base: str) -> DataFrame:
+    """Judge every document by base rules and the likelihood ratio to documents labelled good."""
+    from encore.llm.quality_llr import judge
+    trusted = load_table(spark, base, "labels").where("quality = 1").select("doc_id")
+    return judge(load_table(spark, base, "documents"), trusted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
+    "op4_url_rules": op4_url_rules,
+    "op7_sharding": op7_sharding,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+        q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM q""",
+    "op4_url_rules": """
+        WITH u AS (SELECT page_id, lower(coalesce(url, '')) AS low,
+                          CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
+                   FROM pages),
+        s AS (SELECT page_id, low,
+                     translate(CASE WHEN contains(rest, '/') THEN substr(rest, 1, strpos(rest, '/') - 1) ELSE rest END,
+                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     CASE WHEN contains(rest, '/') THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path
+              FROM u),
+        r AS (SELECT *, CASE
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM s)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+                    WHEN contains(low, '/wp-admin/') OR contains(low, '/wp-login.') OR contains(low, '/cgi-bin/')
+                      OR contains(low, '/xmlrpc.') OR contains(low, '?sessionid=') OR contains(low, '&sessionid=')
+                      OR low LIKE '%/cart/%checkout=%' OR contains(low, '://ads.') THEN 'block'
+                    ELSE 'allow' END AS verdict
+        FROM r""",
+}
