@@ -54,6 +54,13 @@ def op7_sharding(spark: SparkSession, base: str) -> DataFrame:
     return place(load_table(spark, base, "documents").select("doc_id"), SHARDS)
 
 
+def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Remove from every text the 50-word runs that a document with a smaller id has."""
+    from encore.llm.substring import duplicate_spans, kept_digest, remove_spans
+    docs = load_table(spark, base, "documents").select("doc_id", "text")
+    return remove_spans(docs, duplicate_spans(docs)).select("doc_id", "n_words", "n_removed", kept_digest().alias("kept_sha256"))
+
+
 def op9_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
     """Encode and decode every text with the public 32k BPE model."""
     from encore.llm.pieces import encode_decode, load_pieces
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op4_url_rules": op4_url_rules,
     "op7_sharding": op7_sharding,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
 }
