@@ -41,6 +41,13 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
         "payload_digest", "record_type", "refers_to")
 
 
+def op3_quality_classifier(spark: SparkSession, base: str) -> DataFrame:
+    """Fit on the labels that are not held out and score every document."""
+    from encore.llm.quality_gam import score, train
+    docs = load_table(spark, base, "documents")
+    return score(docs, train(docs, load_table(spark, base, "labels")))
+
+
 def op4_url_rules(spark: SparkSession, base: str) -> DataFrame:
     """Judge every page's url by the site rules, else by the block patterns."""
     from encore.llm.url_rules import BlockPattern, SiteRule, judge_urls
@@ -77,6 +84,7 @@ def op10_quality_rules(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_url_rules": op4_url_rules,
     "op7_sharding": op7_sharding,
     "op8_substring_dedup": op8_substring_dedup,
