@@ -92,12 +92,11 @@ def ratio_table(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_
     counts = (rows.select("target", F.explode(F.array(one, two)).alias("bucket")).where("bucket IS NOT NULL")
                   .groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("target").alias("target")))
     counts = materialize(counts, "llr-counts")
-    totals = F.broadcast(counts.agg(F.sum("raw").alias("raw_all"), F.sum("target").alias("target_all"),
-                                    F.lit(buckets).alias("k")))
-    share = lambda n, total: (F.col(n) + 1) / (F.col(total) + buckets)
-    return (counts.withColumn("k", F.lit(buckets)).join(totals, "k")
-                  .select("bucket", F.when(F.col("target_all") > 0, F.log(share("target", "target_all") / share("raw", "raw_all")))
-                          .otherwise(F.lit(0.0)).alias("ratio")))
+    totals = counts.agg(F.sum("raw"), F.sum("target")).first()
+    raw_all, target_all = totals[0] or 0, totals[1] or 0
+    share = lambda n, total: (F.col(n) + 1) / F.lit(float(total + buckets))
+    ratio = F.log(share("target", target_all) / share("raw", raw_all)) if target_all else F.lit(0.0)
+    return counts.select("bucket", ratio.alias("ratio"))
 
 
 def judge(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",

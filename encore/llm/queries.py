@@ -55,6 +55,12 @@ def op4_url_rules(spark: SparkSession, base: str) -> DataFrame:
                       [BlockPattern(p) for p in BLOCK_PATTERNS]).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_ngram_join(spark: SparkSession, base: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document, by five-word shingles at 0.8."""
+    from encore.llm.ngram_join import near_duplicates
+    return near_duplicates(load_table(spark, base, "documents"))
+
+
 def op7_sharding(spark: SparkSession, base: str) -> DataFrame:
     """Place every document on one of the shards by its id."""
     from encore.llm.sharding import place
@@ -86,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_rules": op4_url_rules,
+    "op5_ngram_join": op5_ngram_join,
     "op7_sharding": op7_sharding,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
