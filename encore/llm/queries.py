@@ -61,6 +61,14 @@ def op5_ngram_join(spark: SparkSession, base: str) -> DataFrame:
     return near_duplicates(load_table(spark, base, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    """Verified overlaps of every document with the benchmark's items."""
+    from encore.llm.decontam import find_overlaps
+    found = find_overlaps(load_table(spark, base, "documents"), load_table(spark, base, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").alias("start_word"),
+                        "n_equal", "n_item", "n_seeds")
+
+
 def op7_sharding(spark: SparkSession, base: str) -> DataFrame:
     """Place every document on one of the shards by its id."""
     from encore.llm.sharding import place
@@ -93,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_rules": op4_url_rules,
     "op5_ngram_join": op5_ngram_join,
+    "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
