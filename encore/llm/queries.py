@@ -41,6 +41,12 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
         "payload_digest", "record_type", "refers_to")
 
 
+def op2_chat_format(spark: SparkSession, base: str) -> DataFrame:
+    """Link, order, validate and serialise the tool calls of every conversation."""
+    from encore.llm.chat import SCHEMAS, format_calls, traffic
+    return format_calls(traffic(load_table(spark, base, "conversations")), SCHEMAS).withColumn("errors", F.concat_ws("; ", "errors"))
+
+
 def op3_quality_classifier(spark: SparkSession, base: str) -> DataFrame:
     """Fit on the labels that are not held out and score every document."""
     from encore.llm.quality_gam import score, train
@@ -98,6 +104,7 @@ def op10_quality_rules(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_chat_format": op2_chat_format,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_url_rules": op4_url_rules,
     "op5_ngram_join": op5_ngram_join,
