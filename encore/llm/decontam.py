@@ -33,6 +33,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize
 
 #: 1: the word counts, 0: it may differ.
@@ -43,6 +44,9 @@ MIN_WORDS = 8
 WINDOW, LEAST = 20, 0.8
 #: Seeds of the benchmark in one broadcast table.
 BLOCK_SEEDS = 500_000
+#: Contaminated rows whose ids and digests are sent to all executors at most (some 50 bytes
+#: each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _SPACE = r" \t\n\x0B\f\r"
 _CHARS = " \t\n\x0b\x0c\r"
@@ -122,8 +126,9 @@ def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequ
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that no item of the benchmark contaminates, with all their columns."""
-    bad = find_overlaps(df, benchmark, id_col, text_col, item_col, item_text_col).select(
-        F.col("id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct()
+    bad = materialize(find_overlaps(df, benchmark, id_col, text_col, item_col, item_text_col).select(
+        F.col("id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct(), "decon-bad")
+    bad = broadcast_within(bad, BROADCAST_IDS)
     names = [f"c{k}" for k in range(len(df.columns))]
     key, text = (F.col(names[df.columns.index(c)]) for c in (id_col, text_col))
     digest = F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))

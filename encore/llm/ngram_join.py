@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.components import components
+from encore.llm.sizes import broadcast_within
 from encore.llm.words import WordHashes, mix, signed, window_hashes
 from encore.sources.scratch import materialize, release
 
@@ -77,7 +78,7 @@ def shingle_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _digest(words: list[bytes]) -> bytes:
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+    return hashlib.sha256(b" ".join(words)).digest()[:16]
 
 
 def _band_hashes(shingles: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -246,10 +247,8 @@ def _verified(n: int, threshold: float, bands: int):
     return run
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
-                    threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """For every row: the id, ``class_id`` (the smallest id linked to it directly or over other
-    rows, its own included) and ``n_links`` (other rows at least ``threshold`` similar)."""
+def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float, block: int) -> DataFrame:
+    """``id``, ``node``, ``class_id``, ``n_links`` of every row."""
     bands, rows = choose_bands(threshold, recall)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows_of = materialize(signatures(docs, n, bands, rows), "join-signatures")
@@ -268,7 +267,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     pairs = placed.repartition(*dealt).sortWithinPartitions(*dealt)
     left = materialize(pairs.mapInArrow(_left_in_unit(bands), pairs.schema), "join-left")
     needed = materialize(left.select(F.col("rep").alias("id")).distinct(), "join-needed")
-    wanted = docs.join(F.broadcast(needed) if needed.count() <= BROADCAST_IDS else needed, "id", "left_semi")
+    wanted = docs.join(broadcast_within(needed, BROADCAST_IDS), "id", "left_semi")
     ready = (left.join(wanted.withColumnRenamed("id", "rep"), "rep").select(*dealt, "block", "band", "node", "copies", "bands", "text")
                  .repartition(*dealt).sortWithinPartitions(*dealt))
     found = materialize(ready.mapInArrow(_verified(n, threshold, bands), "node binary, links long, root binary"), "join-links")
@@ -281,4 +280,37 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     info = materialize(info.join(classes, "root").select(
         F.col("node").alias("key"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "join-classes")
     release(found, nodes)
-    return rows_of.join(info, F.col("node") == F.col("key")).select(F.col("id").alias(id_col), "class_id", "n_links")
+    return rows_of.join(info, F.col("node") == F.col("key")).select("id", "node", "class_id", "n_links")
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
+                    threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """For every row: the id, ``class_id`` (the smallest id linked to it directly or over other
+    rows, its own included) and ``n_links`` (other rows at least ``threshold`` similar)."""
+    rows = _classified(df, id_col, text_col, n, threshold, recall, block)
+    return rows.select(F.col("id").alias(id_col), "class_id", "n_links")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
+             threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """One row of each class, that of the smallest id, with all columns.
+
+    An id that is its own class's smallest keeps one row; of the rows without an id one
+    per text stays, unless a row with an id has the same text.
+    """
+    rows = _classified(df, id_col, text_col, n, threshold, recall, block)
+    # ids that go, or have more rows than one
+    odd = materialize(rows.where("id IS NOT NULL").groupBy("id").agg(
+        F.min(F.col("class_id") == F.col("id")).alias("stays"), F.count(F.lit(1)).alias("rows")).where("NOT stays OR rows > 1"), "join-odd")
+    nameless = rows.where("class_id IS NULL").select("node").distinct()
+    names = [f"c{k}" for k in range(len(df.columns))]
+    docs = df.toDF(*names)
+    key, text = (F.col(names[df.columns.index(c)]) for c in (id_col, text_col))
+    listed = broadcast_within(odd, BROADCAST_IDS)
+    single = docs.where(key.isNotNull()).join(listed, key.cast("long") == F.col("id"), "left_anti")
+    repeated = (docs.join(broadcast_within(odd.where("stays"), BROADCAST_IDS), key.cast("long") == F.col("id"))
+                    .dropDuplicates(["id"]).select(*names))
+    words = F.btrim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+", " "), F.lit(" "))
+    unnamed = (docs.where(key.isNull()).withColumn("digest", F.substring(F.unhex(F.sha2(words.cast("binary"), 256)), 1, 16))
+                   .join(nameless, F.col("digest") == F.col("node")).dropDuplicates(["digest"]).select(*names))
+    return single.unionByName(repeated).unionByName(unnamed).toDF(*df.columns)

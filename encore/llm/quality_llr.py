@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize
 
 #: Hash classes of words and word pairs.
@@ -82,9 +83,8 @@ def _classes(buckets: int) -> tuple:
 def ratio_table(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 buckets: int = BUCKETS) -> DataFrame:
     """``bucket``, ``ratio`` = log(target / raw) for each class that occurs, over all documents."""
-    ids = trusted.select(F.col(id_col).alias("trusted_id")).dropna().distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = materialize(trusted.select(F.col(id_col).alias("trusted_id")).dropna().distinct(), "llr-trusted")
+    ids = broadcast_within(ids, BROADCAST_IDS)
     docs = _with_words(df, id_col, text_col).select("id", "words")
     flagged = docs.join(ids, F.col("id") == F.col("trusted_id"), "left")
     rows = _word_rows(flagged.select(F.col("trusted_id").isNotNull().cast("long").alias("target"), "words"), "target")

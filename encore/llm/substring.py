@@ -163,9 +163,11 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return out
 
 
-def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``df`` with ``text_col`` replaced by its kept words, joined by one
-    space, where a span covers words of it, and ``n_words``, ``n_removed``."""
+def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 counts: bool = True) -> DataFrame:
+    """All rows and columns of ``df``; ``text_col`` is replaced by its kept words, joined by one
+    space, where a span covers words of it.  With ``counts``, ``n_words`` and ``n_removed`` are added
+    (and replace columns of these names)."""
     packed = (spans.select("id", F.struct("start", "length").alias("span"))
                    .groupBy("id").agg(F.collect_list("span").alias("spans")))
     names = [f"c{k}" for k in range(len(df.columns))]
@@ -195,9 +197,10 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     schema = df.toDF(*names).withColumn(names[at], F.col(names[at]).cast("string")).schema
     out = joined.withColumn(names[at], F.col(names[at]).cast("string")).mapInArrow(
         run, schema.add("n_words", "long").add("n_removed", "long"))
-    counts = ["n_words", "n_removed"]
-    kept = [(n, c) for n, c in zip(names, df.columns, strict=True) if c not in counts]
-    return out.select(*(F.col(n).alias(c) for n, c in kept), *counts)
+    if not counts:
+        return out.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))
+    added = ["n_words", "n_removed"]
+    return out.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True) if c not in added), *added)
 
 
 def kept_digest(text_col: str = "text"):
