@@ -62,12 +62,9 @@ def _hash(mask: str, number: int, array: str, at: str) -> str:
     return f"CASE WHEN {at} + {len(mask)} <= size({array}) THEN xxhash64({number}, {kept}) END"
 
 
-def _continues(masks: Sequence[str], array: str, at: str, item: str, item_at: str) -> str:
-    """Whether the hit's mask also fits one word to the left."""
-    fits = [" AND ".join(f"get({array}, {at} - 1 + {k}) = get({item}, {item_at} - 1 + {k})" for k, c in enumerate(m) if c == "1")
-            for m in masks]
-    cases = " ".join(f"WHEN {n} THEN {f}" for n, f in enumerate(fits))
-    return f"{at} > 0 AND {item_at} > 0 AND coalesce(CASE mask {cases} END, false)"
+def _any_hash(masks: Sequence[str], array: str, at: str) -> str:
+    """The hash at a position under the mask numbered ``mask``."""
+    return "CASE mask " + " ".join(f"WHEN {k} THEN {_hash(m, k, array, at)}" for k, m in enumerate(masks)) + " END"
 
 
 def _positions(array: str, least: int) -> str:
@@ -88,8 +85,10 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     masks = [*MASKS, *("1" * n for n in short)]
     fits = " ".join(f"WHEN {k} THEN n_item {'>=' if k < len(MASKS) else '='} {len(m)}" for k, m in enumerate(masks))
     seeds = (items.select("item_no", "item_words", "n_item", F.explode(F.expr(_positions("item_words", MIN_WORDS))).alias("p"))
-                  .select("item_no", "n_item", "p", F.posexplode(F.array(*(F.expr(_hash(m, k, "item_words", "p")) for k, m in enumerate(masks)))).alias("mask", "seed"))
-                  .where("seed IS NOT NULL").where(f"CASE mask {fits} END"))
+                  .select("item_no", "item_words", "n_item", "p", F.posexplode(F.array(*(F.expr(_hash(m, k, "item_words", "p")) for k, m in enumerate(masks)))).alias("mask", "seed"))
+                  .where("seed IS NOT NULL").where(f"CASE mask {fits} END")
+                  .select("item_no", "n_item", "p", "mask", "seed",
+                          F.expr(f"CASE WHEN p > 0 THEN {_any_hash(masks, 'item_words', 'p - 1')} END").alias("before")))
     total = seeds.count()
     docs = (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .select("id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"), _words(F.col("text")).alias("words")))
@@ -107,11 +106,17 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequence[str], block: int, blocks: int,
               window: int, least: float) -> DataFrame:
     mine = F.pmod(F.col("item_no"), F.lit(blocks)) == block
-    table = F.broadcast(seeds.where(mine).select("seed", "mask", "item_no", "p"))
-    texts = F.broadcast(items.where(mine).select("item_no", "item", "item_words", "n_item"))
-    hits = probes.join(table, "seed").join(texts, "item_no").where(f"NOT ({_continues(masks, 'words', 'q', 'item_words', 'p')})")
-    laid = (hits.withColumn("start", F.col("q") - F.col("p"))
-                .withColumn("equal", F.expr("transform(item_words, (w, k) -> CAST(coalesce(get(words, start + k) = w, false) AS int))"))
+    table = F.broadcast(seeds.where(mine))
+    texts = F.broadcast(items.where(mine).select(F.col("item_no").alias("no"), "item", "item_words"))
+    # from here on a hit carries the words beside the item, not the whole text
+    first = "greatest(q - p, 0)"
+    hits = (probes.join(table, "seed")
+                  .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(masks, 'words', '(q - 1)')}")
+                  .select("id", "digest", "item_no", "n_item", (F.col("q") - F.col("p")).alias("start"),
+                          F.expr(f"slice(words, {first} + 1, q - p + n_item - {first})").alias("beside"),
+                          F.expr(f"{first} - (q - p)").alias("missing")))
+    laid = (hits.join(texts, F.col("item_no") == F.col("no"))
+                .withColumn("equal", F.expr("transform(item_words, (w, k) -> CAST(coalesce(get(beside, k - missing) = w, false) AS int))"))
                 .withColumn("width", F.least(F.col("n_item"), F.lit(window)))
                 .withColumn("best", F.expr("array_max(transform(sequence(0, n_item - width), "
                                            "s -> aggregate(slice(equal, s + 1, width), 0, (a, x) -> a + x)))")))
