@@ -17,8 +17,8 @@ the same record id (all of them are responses if the id is the largest); a null
 never is the largest, and a payload held by null ids alone gives responses only; an
 empty table gives an empty archive; columns beside the named ones are dropped.
 
-Payloads are shuffled twice, once to store one copy and once to rebuild the
-records; all else moves narrow rows.  A payload that a third of all records share is
+Payloads are shuffled once, to rebuild the records; all else moves narrow rows
+(beyond ``BROADCAST_DIGESTS`` shared payloads, storing shuffles payloads as well).  A payload that a third of all records share is
 reduced to one row by partial aggregation, and adaptive execution splits its
 records in the joins (both sides are plain scans or exchanges for that reason).
 """
@@ -28,11 +28,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize, release
 
 CRLF = "\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_URN = "urn:x-record:"
+#: Digests of payloads with several records that are sent to all executors at most (some
+#: 100 bytes each); more are joined by a shuffle.
+BROADCAST_DIGESTS = 500_000
 
 
 def _checked(ok: Column, value: Column, message: str) -> Column:
@@ -76,11 +80,11 @@ def write_archive(df: DataFrame, path: str, id_col: str = "page_id", uri_col: st
                          F.octet_length("payload").cast("long").alias("bytes"))
     # one row per payload; equal SHA-256 must mean equal SHA-1 and size
     index = materialize(
-        narrow.groupBy("sha256").agg(F.max("id").alias("response_id"),
+        narrow.groupBy("sha256").agg(F.max("id").alias("response_id"), F.count(F.lit(1)).alias("records"),
                                      F.min("sha1").alias("a"), F.max("sha1").alias("b"),
                                      F.min("bytes").alias("c"), F.max("bytes").alias("d"))
         .select(_checked((F.col("a") == F.col("b")) & (F.col("c") == F.col("d")), F.col("sha256"),
-                         "two payloads share a digest").alias("sha256"), "response_id"), "warc-index")
+                         "two payloads share a digest").alias("sha256"), "response_id", "records"), "warc-index")
     other = index.withColumnRenamed("sha256", "key")
     is_revisit = (F.col("bytes") >= min_revisit_bytes) & F.coalesce(~F.col("id").eqNullSafe(F.col("response_id")), F.lit(False)) \
         & F.col("response_id").isNotNull()
@@ -88,11 +92,14 @@ def write_archive(df: DataFrame, path: str, id_col: str = "page_id", uri_col: st
            .withColumn("record_type", F.when(is_revisit, "revisit").otherwise("response"))
            .select("sha256", _head(date).alias("head"))
            .write.parquet(f"{path}/headers"))
-    (full.select("id", "payload", "sha256")
-         .join(other, (F.col("sha256") == F.col("key")) & F.col("id").eqNullSafe(F.col("response_id")))
-         .dropDuplicates(["sha256"])  # repeated rows of one id
-         .select("sha256", "payload")
-         .write.parquet(f"{path}/payloads"))
+    # a payload with one record is stored where it is read; of the others, the copy of the largest id
+    shared = other.where("records > 1").select("key", "response_id")
+    shared = broadcast_within(shared, BROADCAST_DIGESTS)
+    full = full.select("id", "payload", "sha256")
+    alone = full.join(shared, F.col("sha256") == F.col("key"), "left_anti")
+    copies = (full.join(shared, (F.col("sha256") == F.col("key")) & F.col("id").eqNullSafe(F.col("response_id")))
+                  .dropDuplicates(["sha256"]))  # repeated rows of one id
+    alone.unionByName(copies.select("id", "payload", "sha256")).select("sha256", "payload").write.parquet(f"{path}/payloads")
     release(index)
 
 
