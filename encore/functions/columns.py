@@ -2,26 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def hash_order_key(cols: Sequence[str], salt: str | None = None) -> Column:
+def hash_order_key(cols: Sequence[str], salt: str | None = None, types: Mapping[str, str] = {}) -> Column:
     """Stable pseudo-random order: ``md5(concat_ws('|', [salt,] c1, c2, ...))``.
 
     Unlike ``rand(seed)`` it does not depend on partition layout, so a split is
     reproduced exactly when a lost executor's tasks are recomputed, and the same
-    text gives the same order in any SQL engine with ``md5``.
+    text gives the same order in any SQL engine with ``md5``.  ``types`` (column ->
+    Spark type name) lets time-zone dependent types be written independently of it.
     """
-    parts = [F.col(c).cast("string") for c in cols]
+    parts = [key_text(c, types.get(c)) for c in cols]
     if salt is not None:
         parts = [F.lit(salt)] + parts
     return F.md5(F.concat_ws("|", *parts))
 
 
+def key_text(col: str, kind: str | None = None) -> Column:
+    """A key as text that does not depend on the session: a timestamp as microseconds since the epoch."""
+    if kind == "timestamp":
+        return F.unix_micros(F.col(col)).cast("string")
+    return F.col(col).cast("string")
+
+
 def split_rule(rank: Column, n: Column, frac: float = 0.8) -> Column:
     """``rank <= (n + 1) * frac`` in exact integer arithmetic.
 
@@ -30,7 +38,8 @@ def split_rule(rank: Column, n: Column, frac: float = 0.8) -> Column:
     (n = 1..4 -> all train, n = 5 -> 4 train / 1 validation).
     """
     f = Fraction(frac).limit_denominator(1_000_000)
-    return F.lit(f.denominator) * rank <= F.lit(f.numerator) * (n + F.lit(1))
+    big = lambda c: c.cast("long")  # noqa: E731  a user's rank times the denominator passes 32 bits
+    return F.lit(f.denominator).cast("long") * big(rank) <= F.lit(f.numerator).cast("long") * (big(n) + F.lit(1))
 
 
 def damped_mean(total: Column, n_users: Column, beta: float) -> Column:
@@ -40,9 +49,17 @@ def damped_mean(total: Column, n_users: Column, beta: float) -> Column:
     return total / (n_users + F.lit(beta))
 
 
-def weighted_popularity(total: Column, n_users: Column, beta: int = 0) -> Column:
-    """``sum(count) * (n_users + beta)`` (BIGINT for integer beta)."""
-    return total * (n_users + F.lit(beta))
+def weighted_popularity(total: Column, n_users: Column, beta: float = 0) -> Column:
+    """``sum(count) * (n_users + beta)``: DECIMAL(38,0) for a whole beta, else DOUBLE.
+
+    The product of two BIGINT sums passes 64 bits on large inputs, so a whole beta
+    is computed exactly in decimals.
+    """
+    if beta < 0:
+        raise ValueError("beta must be >= 0")
+    if float(beta).is_integer():
+        return total.cast("decimal(20,0)") * (n_users + F.lit(int(beta))).cast("decimal(17,0)")
+    return total.cast("double") * (n_users + F.lit(float(beta)))
 
 
 def ideal_dcg(m: Column) -> Column:

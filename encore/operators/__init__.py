@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators (column names are parameters)."""
 
-from encore.operators.clean import drop_nulls, deduplicate, clean, stage_counts
+from encore.operators.clean import drop_nulls, deduplicate, clean, cleaning_counts, stage_counts
 from encore.operators.indexing import (
     row_index, dense_index, sparse_index, attach_index, attach_key, id_maps, to_coo,
 )
@@ -14,7 +14,7 @@ from encore.operators.labels import label_lists, label_arrays, explode_lists
 from encore.operators.metrics import ranking_metrics, shared_list_metrics
 
 __all__ = [
-    "drop_nulls", "deduplicate", "clean", "stage_counts",
+    "drop_nulls", "deduplicate", "clean", "cleaning_counts", "stage_counts",
     "row_index", "dense_index", "sparse_index", "attach_index", "attach_key", "id_maps", "to_coo",
     "tag_split", "per_user_split",
     "utility_matrix", "items_per_user", "users_per_item", "distinct_users",

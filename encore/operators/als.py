@@ -30,53 +30,33 @@ def prepare_ratings(utility: DataFrame, user_col: str = "user_id", item_col: str
                            F.col(rating_col).cast("float").alias(rating_col)))
 
 
-MAX_DEFAULT_BLOCKS = 4096
-RATINGS_PER_BLOCK = 50_000_000
-
-
-def default_blocks(spark, n_ratings: int | None = None) -> int:
-    """User/item block count for the ALS solver.
-
-    One block per core of the cluster (default parallelism), at most 4096:
-    every core is busy and the factor exchange between user and item blocks
-    stays bounded.  With ``n_ratings`` the count is raised so that no block
-    holds more than about 50M ratings (its in-memory block stays around a GB).
-    """
-    blocks = max(1, min(int(spark.sparkContext.defaultParallelism), MAX_DEFAULT_BLOCKS))
-    if n_ratings:
-        blocks = max(blocks, min(-(-n_ratings // RATINGS_PER_BLOCK), 4 * MAX_DEFAULT_BLOCKS))
-    return blocks
-
-
 def build_als(rank: int = 40, reg: float = 0.2, alpha: float = 1.0, max_iter: int = 10,
-              *, seed: int, user_col: str = "user_id", item_col: str = "item_id",
+              *, seed: int, num_blocks: int, user_col: str = "user_id", item_col: str = "item_id",
               rating_col: str = "total_count", cold_start: str = "drop",
-              checkpoint_interval: int = 10, num_blocks: int | None = None) -> ALS:
-    als = ALS(rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter, seed=seed,
-              userCol=user_col, itemCol=item_col, ratingCol=rating_col,
-              implicitPrefs=True, coldStartStrategy=cold_start,
-              checkpointInterval=checkpoint_interval,
-              intermediateStorageLevel="MEMORY_AND_DISK", finalStorageLevel="MEMORY_AND_DISK")
-    if num_blocks:
-        als = als.setNumBlocks(num_blocks)
-    return als
+              checkpoint_interval: int = 10) -> ALS:
+    return ALS(rank=rank, regParam=reg, alpha=alpha, maxIter=max_iter, seed=seed,
+               numUserBlocks=int(num_blocks), numItemBlocks=int(num_blocks),
+               userCol=user_col, itemCol=item_col, ratingCol=rating_col,
+               implicitPrefs=True, coldStartStrategy=cold_start,
+               checkpointInterval=checkpoint_interval,
+               intermediateStorageLevel="MEMORY_AND_DISK", finalStorageLevel="MEMORY_AND_DISK")
 
 
 def fit_als(utility: DataFrame, rank: int = 40, reg: float = 0.2, alpha: float = 1.0,
-            max_iter: int = 10, *, seed: int, user_col: str = "user_id",
-            item_col: str = "item_id", rating_col: str = "total_count",
-            num_blocks: int | str | None = None) -> ALSModel:
-    """Fit implicit ALS.  ``seed`` is required, so a fit is reproducible.
-    ``num_blocks``: an int, None (one per core, capped), or ``'auto'`` (also
-    sized from the ratings count; runs one count job)."""
-    spark = utility.sparkSession
-    ensure_checkpoint_dir(spark)
+            max_iter: int = 10, *, seed: int, num_blocks: int, user_col: str = "user_id",
+            item_col: str = "item_id", rating_col: str = "total_count") -> ALSModel:
+    """Fit implicit ALS.
+
+    The solver draws its first factors block by block, so a fit is reproduced by
+    equal ``seed`` *and* equal ``num_blocks``; both are required and neither is
+    derived from the cluster.  A good ``num_blocks`` is at least the cores in use
+    and at least the ratings divided by some 50 million (a block's ratings are held
+    in memory by one task); more blocks mean more factor exchange between them.
+    """
+    ensure_checkpoint_dir(utility.sparkSession)
     ratings = prepare_ratings(utility, user_col, item_col, rating_col)
-    if num_blocks == "auto":
-        num_blocks = default_blocks(spark, ratings.count())
-    als = build_als(rank, reg, alpha, max_iter, seed=seed, user_col=user_col, item_col=item_col,
-                    rating_col=rating_col, num_blocks=num_blocks or default_blocks(spark))
-    return als.fit(ratings)
+    return build_als(rank, reg, alpha, max_iter, seed=seed, num_blocks=num_blocks, user_col=user_col,
+                     item_col=item_col, rating_col=rating_col).fit(ratings)
 
 
 def recommend(model: ALSModel, users: DataFrame | None, k: int = 100,
@@ -117,25 +97,37 @@ def evaluate_als(model: ALSModel, eval_users: DataFrame, labels: DataFrame, k: i
 
 def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
              ranks: Iterable[int], regs: Iterable[float], alphas: Iterable[float],
-             k: int = 100, max_iter: int = 10, *, seed: int, user_col: str = "user_id",
+             k: int = 100, max_iter: int = 10, *, seed: int, num_blocks: int, user_col: str = "user_id",
              item_col: str = "item_id", rating_col: str = "total_count") -> DataFrame:
-    """One metrics row per (rank, reg, alpha).  The training ratings are
-    persisted once and reused by every fit; each fit is a distributed job."""
-    ratings = prepare_ratings(train, user_col, item_col, rating_col).persist(StorageLevel.MEMORY_AND_DISK)
-    ensure_checkpoint_dir(train.sparkSession)
+    """One metrics row per (rank, reg, alpha).
+
+    Ratings, evaluation users and labels are persisted once for all fits.  Each
+    model is scored as soon as it is fitted and its factors are released before
+    the next fit; only its one row of metrics stays.
+    """
+    spark = train.sparkSession
+    ensure_checkpoint_dir(spark)
+    shared = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in (
+        prepare_ratings(train, user_col, item_col, rating_col), eval_users.select(user_col).distinct(), labels)]
+    ratings, users, labels = shared
     rows = []
-    for rank, reg, alpha in itertools.product(ranks, regs, alphas):
-        model = build_als(rank, reg, alpha, max_iter, seed=seed, user_col=user_col, item_col=item_col,
-                          rating_col=rating_col, num_blocks=default_blocks(train.sparkSession)).fit(ratings)
-        m = evaluate_als(model, eval_users, labels, k, user_col, item_col)
-        rows.append(m.select(F.lit(int(rank)).alias("rank"), F.lit(float(reg)).alias("reg_param"),
-                             F.lit(float(alpha)).alias("alpha"), "*"))
-    # every fit is done; the metric frames need only the models' factors
-    ratings.unpersist()
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    try:
+        for f in shared:
+            f.count()  # fills the cache, so that what a fit adds to it can be told apart
+        for rank, reg, alpha in itertools.product(ranks, regs, alphas):
+            before = set(spark.sparkContext._jsc.getPersistentRDDs())
+            model = build_als(rank, reg, alpha, max_iter, seed=seed, num_blocks=num_blocks, user_col=user_col,
+                              item_col=item_col, rating_col=rating_col).fit(ratings)
+            metrics = evaluate_als(model, users, labels, k, user_col, item_col).first()
+            rows.append((int(rank), float(reg), float(alpha), *metrics))
+            held = spark.sparkContext._jsc.getPersistentRDDs()
+            for i in set(held) - before:  # the model's factors
+                held[i].unpersist()
+    finally:
+        for f in shared:
+            f.unpersist()
+    return spark.createDataFrame(
+        rows, "rank int, reg_param double, alpha double, map_at_k double, ndcg_at_k double, precision_at_k double, n_users long")
 
 
 __all__ = ["prepare_ratings", "build_als", "fit_als", "recommend", "recommendation_lists",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.sources.scratch import materialize, release
+
 
 def drop_nulls(df: DataFrame, keys: Sequence[str], how: str = "any") -> DataFrame:
     """Drop rows whose ``keys`` are null.
@@ -61,3 +63,33 @@ def stage_counts(stages: Sequence[tuple[str, DataFrame]], user_col: str = "user_
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def cleaning_counts(df: DataFrame, user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
+    """``stage_counts`` of the cleaning steps of one table, reading it once.
+
+    Rows are grouped whole with their number of copies, those groups by (user, item),
+    and that table, written once, gives every stage by conditional sums: ``raw``,
+    ``non_null`` (not both keys null), ``deduplicated`` (its distinct rows) and
+    ``utility`` (pairs without a null).  Distinct users and items come from one more
+    aggregate each, of one row per user or item; no distinct count expands rows.
+    """
+    user, item = F.col(user_col), F.col(item_col)
+    some, both = user.isNotNull() | item.isNotNull(), user.isNotNull() & item.isNotNull()
+    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    pairs = materialize(copies.groupBy(user_col, item_col).agg(F.sum("__n").alias("__rows"), F.count(F.lit(1)).alias("__kept")),
+                        "cleaning-pairs")
+    zero = F.lit(0).cast("long")
+    total = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c)) if when is not None else F.col(c)), zero)
+    rows = pairs.agg(total("__rows", None).alias("raw"), total("__rows", some).alias("non_null"),
+                     total("__kept", some).alias("deduplicated"), F.count(F.when(both, 1)).alias("utility")).first()
+
+    def side(key: str, other: str) -> tuple[int, int]:
+        per = pairs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(other).alias("__with"))
+        return tuple(per.agg(F.count(F.lit(1)), F.count(F.when(F.col("__with") > 0, 1))).first())
+
+    (users, paired_users), (items, paired_items) = side(user_col, item_col), side(item_col, user_col)
+    release(pairs)
+    out = [(n, stage, rows[stage], paired_users if stage == "utility" else users, paired_items if stage == "utility" else items)
+           for n, stage in enumerate(("raw", "non_null", "deduplicated", "utility"))]
+    return df.sparkSession.createDataFrame(out, "stage_order int, stage string, n_rows long, n_users long, n_items long")

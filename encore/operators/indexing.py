@@ -40,32 +40,29 @@ def _as_list(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _atomic_columns(df: DataFrame, exclude) -> list[str]:
     skip = set(exclude)
     return [f.name for f in df.schema.fields
             if f.name not in skip and not isinstance(f.dataType, (ArrayType, MapType, StructType))]
 
 
-def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
-              num_partitions: int | None = None, ascending: bool = True) -> DataFrame:
+def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1, *,
+              num_partitions: int, ascending: bool = True) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in ``order_cols`` order.
 
     Eager: the range shuffle and the checkpoint run when called.  Rows tied on
     the keys are ordered by their remaining columns, so only fully identical
-    rows may swap numbers.
+    rows may swap numbers.  The ranges are cut on keys and remaining columns, so
+    a key that many rows share is spread over several tasks.
+
+    ``num_partitions`` is how many ranges are sorted and numbered; choose it so
+    that input bytes / num_partitions is what a task sorts well (some 256 MB).
     """
     keys = _as_list(order_cols)
     order = [F.col(k).asc_nulls_first() if ascending else F.col(k).desc_nulls_last() for k in keys]
     ties = [F.col(c).asc_nulls_first() for c in _atomic_columns(df, keys)]
-    n = _num_partitions(df, num_partitions)
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order)
+    ranged = (df.repartitionByRange(int(num_partitions), *order, *ties)
                 .sortWithinPartitions(*order, *ties)
                 .checkpoint(eager=True))
     tagged = (ranged.withColumn(_PID, F.spark_partition_id())
@@ -81,8 +78,7 @@ def row_index(df: DataFrame, order_cols, out_col: str, start: int = 1,
 
 
 def dense_index(df: DataFrame, key_cols, out_col: str = "song_id", start: int = 1,
-                distinct: bool = True, as_int: bool = True,
-                num_partitions: int | None = None) -> DataFrame:
+                distinct: bool = True, as_int: bool = True, *, num_partitions: int) -> DataFrame:
     """Attach a dense id ``start..start+N-1`` numbering the keys in key order.
 
     ``distinct=True`` numbers each distinct non-null key once and joins the id
@@ -93,10 +89,10 @@ def dense_index(df: DataFrame, key_cols, out_col: str = "song_id", start: int =
     keys = _as_list(key_cols)
     cast = (lambda c: c.cast("int")) if as_int else (lambda c: c)
     if not distinct:
-        out = row_index(df, keys, out_col, start, num_partitions)
+        out = row_index(df, keys, out_col, start, num_partitions=num_partitions)
         return out.withColumn(out_col, cast(F.col(out_col)))
     key_set = df.select(*keys).dropna(how="any").distinct()
-    ids = row_index(key_set, keys, out_col, start, num_partitions)
+    ids = row_index(key_set, keys, out_col, start, num_partitions=num_partitions)
     ids = ids.withColumn(out_col, cast(F.col(out_col)))
     return df.join(ids, keys, "left")
 
@@ -146,10 +142,10 @@ def attach_key(df: DataFrame, dim: DataFrame, id_col: str = "song_id",
 
 
 def id_maps(df: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
-            start: int = 0) -> tuple[DataFrame, DataFrame]:
+            start: int = 0, *, num_partitions: int) -> tuple[DataFrame, DataFrame]:
     """Contiguous ids for the distinct users and items (``user_idx``, ``item_idx``)."""
-    users = row_index(df.select(user_col).dropna().distinct(), user_col, "user_idx", start)
-    items = row_index(df.select(item_col).dropna().distinct(), item_col, "item_idx", start)
+    users = row_index(df.select(user_col).dropna().distinct(), user_col, "user_idx", start, num_partitions=num_partitions)
+    items = row_index(df.select(item_col).dropna().distinct(), item_col, "item_idx", start, num_partitions=num_partitions)
     return users, items
 
 

@@ -24,9 +24,8 @@ def label_lists(utility: DataFrame, k: int | None = 100, user_col: str = "user_i
     return ranked.select(user_col, item_col, rank_col)
 
 
-def label_arrays(labels: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
-                 rank_col: str = "label_rank", out_col: str = "actual_songs",
-                 k: int = 100) -> DataFrame:
+def label_arrays(labels: DataFrame, k: int, user_col: str = "user_id", item_col: str = "item_id",
+                 rank_col: str = "label_rank", out_col: str = "actual_songs") -> DataFrame:
     """``(user, ARRAY<item>)`` in rank order from the exploded form.
 
     Ranks above ``k`` are cut before collecting, so an array never holds more

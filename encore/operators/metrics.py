@@ -91,7 +91,7 @@ def ranking_metrics(predictions: DataFrame, labels: DataFrame, k: int = 100,
         n_users = predictions.select(*groups, user_col).distinct().groupBy(*groups).agg(
             F.count(F.lit(1)).alias("n_users"))
     elif users == "all":
-        n_lab = labels.select(user_col).distinct().agg(F.count(F.lit(1)).alias("n_users"))
+        n_lab = label_sizes(labels, user_col).agg(F.count(F.lit(1)).alias("n_users"))
         if groups:
             n_users = predictions.select(*groups).distinct().withColumn(
                 "n_users", n_lab.select("n_users").scalar())
@@ -115,7 +115,8 @@ def shared_list_metrics(top: DataFrame, labels: DataFrame, k: int = 100,
     hits = labels.select(user_col, item_col).join(F.broadcast(lst), item_col)
     terms = _per_user_terms(hits, label_sizes(labels, user_col), k, groups + [user_col],
                             user_col, rank_col)
-    n_lab = labels.select(user_col).distinct().agg(F.count(F.lit(1)).alias("n_users"))
+    # the same aggregate the terms are joined with, so its shuffle is shared
+    n_lab = label_sizes(labels, user_col).agg(F.count(F.lit(1)).alias("n_users"))
     if groups:
         n_users = lst.select(*groups).distinct().withColumn("n_users", n_lab.select("n_users").scalar())
     else:

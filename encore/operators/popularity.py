@@ -30,7 +30,7 @@ def popularity(utility: DataFrame, measure: str = "damped", beta: float = 0,
     """``(item, popularity)``.
 
     * ``damped``:   sum / (n_users + beta)  (DOUBLE)
-    * ``weighted``: sum * (n_users + beta)  (BIGINT for integer beta; beta 0 = sum * n)
+    * ``weighted``: sum * (n_users + beta)  (DECIMAL for a whole beta, else DOUBLE; beta 0 = sum * n)
     """
     stats = item_stats(utility, item_col, count_col)
     if measure == "damped":
@@ -66,15 +66,22 @@ def beta_sweep_top_k(utility: DataFrame, betas: Sequence[float], k: int = 100,
     with a partial window-group limit before the shuffle, so each task sends at
     most k rows per beta.
     """
-    if measure == "damped" and any(b < 0 for b in betas):
-        raise ValueError("beta must be >= 0")  # n_users + beta must stay positive
+    if any(b < 0 for b in betas):
+        raise ValueError("beta must be >= 0")
+    if measure not in ("damped", "weighted"):
+        raise ValueError("measure must be 'damped' or 'weighted'")
+    # exact integers while every beta of the sweep is whole, as in the single form
+    whole = measure == "weighted" and all(float(b).is_integer() for b in betas)
     stats = item_stats(utility, item_col, count_col)
-    grid = F.explode(F.array(*[F.lit(float(b) if measure == "damped" else int(b)) for b in betas]))
+    grid = F.explode(F.array(*[F.lit(int(b)).cast("long") if whole else F.lit(float(b)) for b in betas]))
     expanded = stats.select(item_col, "total", "n_users", grid.alias("beta"))
+    listeners = F.col("n_users") + F.col("beta")
     if measure == "damped":
-        score = F.col("total") / (F.col("n_users") + F.col("beta"))
+        score = F.col("total") / listeners
+    elif whole:
+        score = F.col("total").cast("decimal(20,0)") * listeners.cast("decimal(17,0)")
     else:
-        score = F.col("total") * (F.col("n_users") + F.col("beta"))
+        score = F.col("total").cast("double") * listeners
     scored = expanded.select("beta", item_col, score.alias("popularity"))
     w = Window.partitionBy("beta").orderBy(F.col("popularity").desc(), F.col(item_col).asc())
     return (scored.withColumn("rank", F.row_number().over(w))

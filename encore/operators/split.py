@@ -7,27 +7,23 @@ under re-partitioning and recomputation.
 
 Skew: one user may own a large share of all rows, and a plain
 ``row_number() OVER (PARTITION BY user ORDER BY h)`` would sort that user in a
-single task.  The rank is therefore computed adaptively:
-
-1. rows per user (partial + final aggregate, one row per user); users with
-   more than ``slice_rows`` rows are *heavy*.  There are at most
-   ``N / slice_rows`` of them; they are counted, and checkpointed when present.
-2. no heavy user: one window per user (a single shuffle of the rows);
-3. otherwise each heavy user's hash space is cut into ``16**d`` slices (the
-   first ``d`` hex digits of the md5 key, ``d`` chosen so a slice holds about
-   ``slice_rows`` rows).  Slice counts of heavy users give each slice its
-   starting offset; the final ``row_number`` runs per (user, slice), so no task
-   sorts more than about ``slice_rows`` rows of one user.  The rank equals the
-   global per-user rank because slices are contiguous ranges of the order key.
-   The heavy-user table is broadcast only after its row count passed
-   ``broadcast_rows``;
-4. beyond that many heavy users every user is sliced into ``buckets`` slices
-   with plain shuffles (no broadcast).
+single task.  The order key's range is therefore cut into ``slices`` equal
+parts, the same for every user and every size of the input:
+
+1. rows are shuffled once, on (user, slice), and each task ranks the rows of
+   its slices;
+2. the first row of every (user, slice) carries the slice's row count; a running
+   sum of these heads per user gives the rows in earlier slices and the total;
+3. heads are joined back on (user, slice), where the rows already are.
+
+The rank equals the rank among all rows of the user because slices are
+contiguous ranges of the order key.  Everything is lazy, there is one plan, and
+the source is read once: the heads come out of the same shuffle as the rows.  A
+user with ``m`` rows puts about ``m / slices`` of them into one task.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -37,22 +33,19 @@ from pyspark.sql.types import (
 )
 
 from encore.functions.columns import hash_order_key, split_rule
-from encore.session import ensure_checkpoint_dir
 
 _H = "__encore_h"
 _B = "__encore_b"
-_D = "__encore_d"
 _RN = "__encore_rn"
 _N = "__encore_n"
-_NH = "__encore_nh"
-_OFF = "__encore_off"
+_IN = "__encore_in"
 _CNT = "__encore_cnt"
+_OFF = "__encore_off"
 _UN = "__encore_un"
 _UV = "__encore_uv"
 
-SLICE_ROWS = 2_000_000
-BROADCAST_ROWS = 1_000_000
-MAX_DIGITS = 4
+#: Parts of the order key's range; a power of 16 keeps the slice readable as leading hex digits.
+SLICES = 4096
 
 
 def _tie_breakers(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -77,138 +70,50 @@ def _null_safe_key(df: DataFrame, col: str) -> tuple[F.Column, F.Column]:
     return F.col(col).isNull(), F.coalesce(F.col(col), default)
 
 
-def _keyed(df: DataFrame, user_col: str, order_cols: Sequence[str], salt: str | None) -> DataFrame:
-    is_null, value = _null_safe_key(df, user_col)
-    return (df.withColumn(_UN, is_null).withColumn(_UV, value)
-              .withColumn(_H, hash_order_key(order_cols, salt)))
-
-
-def _slice_offsets(tagged: DataFrame) -> DataFrame:
-    """(user, slice) -> rows of the user in earlier slices, and the user's total."""
-    key = [_UN, _UV]
-    counts = tagged.groupBy(*key, _B).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.partitionBy(*key).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.select(*key, _B,
-                         F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-                         F.sum(_CNT).over(Window.partitionBy(*key)).alias(_NH))
-
-
-def _rank_plain(keyed: DataFrame, user_col: str, ties: list[str]) -> DataFrame:
-    # partitioned on the user column itself (a window groups NULLs together), so
-    # the output stays hash-partitioned by user and a following per-user or
-    # per-(user, item) aggregate needs no further shuffle
-    ordered = Window.partitionBy(user_col).orderBy(_H, *ties)
-    return (keyed.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(user_col)))
-                 .withColumn(_RN, F.row_number().over(ordered)))
-
-
-def _rank_all_sliced(keyed: DataFrame, ties: list[str], buckets: int) -> DataFrame:
-    digits = max(1, ((max(buckets, 2) - 1).bit_length() + 3) // 4)
-    tagged = keyed.withColumn(_B, F.conv(F.substring(_H, 1, digits), 16, 10).cast("int"))
-    inner = Window.partitionBy(_UN, _UV, _B).orderBy(_H, *ties)
-    return (tagged.join(_slice_offsets(tagged), [_UN, _UV, _B])
-                  .withColumn(_RN, F.col(_OFF) + F.row_number().over(inner))
-                  .withColumnRenamed(_NH, _N))
-
-
-def _rank_heavy_sliced(keyed: DataFrame, heavy: DataFrame, ties: list[str]) -> DataFrame:
-    # heavy passed its row-count check: broadcasting it is bounded
-    tagged = (keyed.join(F.broadcast(heavy.select(_UN, _UV, _D)), [_UN, _UV], "left")
-                   .withColumn(_B, F.when(F.col(_D).isNull(), F.lit(0)).otherwise(
-                       F.conv(F.expr(f"substring({_H}, 1, {_D})"), 16, 10).cast("int"))))
-    offsets = _slice_offsets(tagged.filter(F.col(_D).isNotNull()))
-    inner = Window.partitionBy(_UN, _UV, _B)
-    ranked = (tagged.join(offsets, [_UN, _UV, _B], "left")
-                    .withColumn(_RN, F.coalesce(F.col(_OFF), F.lit(0))
-                                + F.row_number().over(inner.orderBy(_H, *ties)))
-                    .withColumn(_N, F.coalesce(F.col(_NH), F.count(F.lit(1)).over(inner))))
-    return ranked.drop(_D, _NH)
-
-
-def heavy_users(df: DataFrame, user_col: str, slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
-    """Users with more than ``slice_rows`` rows and their slice depth, and their count.
-
-    One aggregate (partial + final, one row per user shuffled).  Counting on a
-    frame that still holds duplicates gives an upper bound: a user that is not
-    heavy there is not heavy after de-duplication either.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    is_null, value = _null_safe_key(df, user_col)
-    sizes = (df.select(is_null.alias(_UN), value.alias(_UV))
-               .groupBy(_UN, _UV).agg(F.count(F.lit(1)).alias(_NH)))
-    digits = F.ceil(F.log(F.col(_NH) / F.lit(float(slice_rows))) / F.lit(math.log(16.0)))
-    heavy = (sizes.filter(F.col(_NH) > F.lit(slice_rows))
-                  .withColumn(_D, F.least(F.greatest(digits, F.lit(1)), F.lit(MAX_DIGITS)).cast("int")))
-    n_heavy = heavy.count()
-    if n_heavy:
-        # fix the (small) heavy table so the slice counts and the rows use the same one
-        heavy = heavy.checkpoint(eager=True)
-    return heavy, n_heavy
-
-
 def rank_within_user(df: DataFrame, user_col: str, order_cols: Sequence[str],
-                     salt: str | None = None, slice_rows: int = SLICE_ROWS,
-                     buckets: int | None = None, broadcast_rows: int = BROADCAST_ROWS,
-                     no_heavy_users: bool = False) -> DataFrame:
-    """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user.
-
-    ``buckets`` forces the all-users-sliced plan with that many slices.
-    ``no_heavy_users`` states that the caller already ran ``heavy_users``
-    and found none.  Otherwise the plan is chosen from the heavy-user count
-    (eager: one aggregate job, plus a small checkpoint when heavy users exist).
-    """
-    keyed = _keyed(df, user_col, order_cols, salt)
-    ties = _tie_breakers(df, [user_col])
-    if buckets is not None:
-        ranked = _rank_all_sliced(keyed, ties, buckets)
-    elif no_heavy_users:
-        ranked = _rank_plain(keyed, user_col, ties)
-    else:
-        heavy, n_heavy = heavy_users(df, user_col, slice_rows)
-        if n_heavy == 0:
-            ranked = _rank_plain(keyed, user_col, ties)
-        elif n_heavy <= broadcast_rows:
-            ranked = _rank_heavy_sliced(keyed, heavy, ties)
-        else:
-            ranked = _rank_all_sliced(keyed, ties, 16 ** MAX_DIGITS)
-    return ranked.drop(_H, _B, _OFF, _UN, _UV)
-
-
-def rank_within_user_random(df: DataFrame, user_col: str, seed: int) -> DataFrame:
-    """The original order: ``row_number() OVER (PARTITION BY user ORDER BY rand(seed))``.
-
-    Not reproducible across partition layouts or recomputation; kept for parity.
-    """
-    w_all = Window.partitionBy(user_col)
-    w_ord = Window.partitionBy(user_col).orderBy(F.rand(seed))
-    return (df.withColumn(_N, F.count(F.lit(1)).over(w_all))
-              .withColumn(_RN, F.row_number().over(w_ord)))
+                     salt: str | None = None, slices: int = SLICES) -> DataFrame:
+    """Add ``__encore_rn`` (1-based rank in hash order) and ``__encore_n`` per user (lazy)."""
+    if not 1 <= slices <= 1 << 20:
+        raise ValueError("slices must be between 1 and 2**20")
+    is_null, value = _null_safe_key(df, user_col)
+    # with every column in the order and a slice that cannot be null, the heads' branch reads the
+    # same columns under the same filters as the rows' branch, so both share one shuffle
+    key, ties = [_UN, _UV], _tie_breakers(df, [])
+    part = F.floor(F.conv(F.substring(_H, 1, 5), 16, 10).cast("long") * F.lit(slices) / F.lit(1 << 20)).cast("int")
+    part = F.coalesce(part, F.lit(0))
+    keyed = (df.withColumn(_UN, is_null).withColumn(_UV, value)
+               .withColumn(_H, hash_order_key(order_cols, salt, dict(df.dtypes))).withColumn(_B, part))
+    inner = Window.partitionBy(*key, _B)
+    # a running count, not row_number: the heads' filter must not change the plan below
+    # the shuffle, or rows and heads would each shuffle the source
+    ranked = (keyed.withColumn(_IN, F.count(F.lit(1)).over(
+                  inner.orderBy(_H, *ties).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                   .withColumn(_CNT, F.count(F.lit(1)).over(inner)))
+    user = Window.partitionBy(*key)
+    before = user.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    heads = (ranked.filter(F.col(_IN) == 1).select(*key, _B, _CNT)
+                   .select(*key, _B, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
+                           F.sum(_CNT).over(user).alias(_N)))
+    out = ranked.join(heads, [*key, _B]).withColumn(_RN, F.col(_OFF) + F.col(_IN))
+    return out.select(*df.columns, _RN, _N)
 
 
 def tag_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str] | None = None,
-              frac: float = 0.8, salt: str | None = None, mode: str = "hash",
-              seed: int = 0, buckets: int | None = None, out_col: str = "is_train",
-              slice_rows: int = SLICE_ROWS, no_heavy_users: bool = False) -> DataFrame:
+              frac: float = 0.8, salt: str | None = None, out_col: str = "is_train",
+              slices: int = SLICES) -> DataFrame:
     """Add a boolean ``is_train`` column; see the module doc for the rule."""
-    if mode == "hash":
-        cols = list(order_cols) if order_cols else df.columns
-        ranked = rank_within_user(df, user_col, cols, salt, slice_rows, buckets,
-                                  no_heavy_users=no_heavy_users)
-    elif mode == "rand":
-        ranked = rank_within_user_random(df, user_col, seed)
-    else:
-        raise ValueError("mode must be 'hash' or 'rand'")
+    cols = list(order_cols) if order_cols else df.columns
+    ranked = rank_within_user(df, user_col, cols, salt, slices)
     return (ranked.withColumn(out_col, split_rule(F.col(_RN), F.col(_N), frac))
                   .drop(_RN, _N))
 
 
 def per_user_split(df: DataFrame, user_col: str = "user_id", order_cols: Sequence[str] | None = None,
-                   frac: float = 0.8, salt: str | None = None, mode: str = "hash",
-                   seed: int = 0, buckets: int | None = None,
-                   slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """``(train, validation)``.  Both come from one tagged frame; persist or
-    checkpoint the tagged frame first when both outputs are written."""
-    tagged = tag_split(df, user_col, order_cols, frac, salt, mode, seed, buckets, slice_rows=slice_rows)
+                   frac: float = 0.8, salt: str | None = None,
+                   slices: int = SLICES) -> tuple[DataFrame, DataFrame]:
+    """``(train, validation)``.  Both come from one tagged frame; materialize the
+    tagged frame first when both outputs are used."""
+    tagged = tag_split(df, user_col, order_cols, frac, salt, slices=slices)
     train = tagged.filter(F.col("is_train")).drop("is_train")
     val = tagged.filter(~F.col("is_train")).drop("is_train")
     return train, val

@@ -6,9 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from encore.operators.indexing import row_index
 
+_IDX = "__encore_idx"
+_HASH = "__encore_hash"
+_COPIES = "__encore_copies"
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
@@ -41,33 +46,47 @@ def write_bucketed_by_user(df: DataFrame, table: str, path: str, num_buckets: in
     return df.sparkSession.table(table)
 
 
-def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int | None,
-         index_col: str = "__encore_idx") -> DataFrame:
+def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int | None, *,
+         num_partitions: int) -> DataFrame:
     """Rows ``offset+1 .. offset+size`` in ``order_cols`` order (``size=None``: to the end).
 
-    Numbered with the distributed ``row_index`` and cut with a range filter;
-    unlike ``orderBy().offset().limit()`` nothing is gathered into one task,
-    whatever the offset.
+    Only the order keys and a hash of the row are numbered (``row_index``); the
+    page's keys then select the rows.  The key range of the page is pushed into
+    the scan, so a source sorted by its keys is read in part only.  Rows tied on
+    the keys follow in the order of their hash; fully identical rows are counted,
+    so a page that ends among copies has the right number of them.
     """
-    numbered = row_index(df, list(order_cols), index_col, start=1)
-    cond = F.col(index_col) > F.lit(offset)
+    keys = list(order_cols)
+    row_hash = F.xxhash64(*[F.to_json(F.struct(c)) if isinstance(f.dataType, MapType) else F.col(c)
+                            for c, f in zip(df.columns, df.schema.fields, strict=True)])
+    names = [f"__encore_k{k}" for k in range(len(keys))]
+    narrow = df.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), row_hash.alias(_HASH))
+    numbered = row_index(narrow, names, _IDX, num_partitions=num_partitions)
+    inside = F.col(_IDX) > F.lit(offset)
     if size is not None:
-        cond = cond & (F.col(index_col) <= F.lit(offset + size))
-    return numbered.filter(cond).drop(index_col)
-
-
-def bounded_export(df: DataFrame, order_cols: Sequence[str], max_rows: int,
-                   path: str | None = None, mode: str = "overwrite") -> DataFrame:
-    """The first ``max_rows`` rows in key order (deterministic LIMIT); written
-    to ``path`` when given.  Returns the bounded frame.
-
-    One count runs first (footer metadata for a plain Parquet scan); when the
-    cap does not bind, every row is kept and no numbering pass is needed.
-    """
-    if df.count() <= max_rows:
-        bounded = df
-    else:
-        bounded = page(df, order_cols, 0, max_rows)
-    if path is not None:
-        bounded.write.mode(mode).parquet(path)
-    return bounded
+        inside = inside & (F.col(_IDX) <= F.lit(offset + size))
+    chosen = numbered.filter(inside).groupBy(*names, _HASH).agg(F.count(F.lit(1)).alias(_COPIES))
+    first, last = chosen.agg(F.min(names[0]), F.max(names[0])).first()  # one row
+    rows = df.withColumn(_HASH, row_hash)
+    if first is not None and chosen.filter(F.col(names[0]).isNull()).isEmpty():
+        rows = rows.filter(F.col(keys[0]).between(first, last))
+    # null keys are equal to themselves here; the hash of the whole row decides
+    same = F.col(_HASH) == F.col("__encore_hash2")
+    for k, n in zip(keys, names, strict=True):
+        same = same & F.col(k).eqNullSafe(F.col(n))
+    met = rows.join(chosen.withColumnRenamed(_HASH, "__encore_hash2"), same)
+    maps = any(isinstance(f.dataType, MapType) for f in df.schema.fields)  # DISTINCT cannot compare maps
+    one = met.dropDuplicates([_HASH, *keys]) if maps else met.select(*df.columns, _COPIES).distinct()
+    return (one.withColumn("__encore_copy", F.explode(F.sequence(F.lit(1), F.col(_COPIES).cast("int"))))
+               .select(*df.columns))
+
+
+def bounded_export(df: DataFrame, order_cols: Sequence[str], max_rows: int, path: str | None = None,
+                   mode: str = "overwrite", *, num_partitions: int) -> DataFrame:
+    """The first ``max_rows`` rows in key order (a deterministic LIMIT, whatever the input's
+    size); written to ``path`` and read back when given."""
+    bounded = page(df, order_cols, 0, max_rows, num_partitions=num_partitions)
+    if path is None:
+        return bounded
+    bounded.write.mode(mode).parquet(path)
+    return df.sparkSession.read.schema(bounded.schema).parquet(path)

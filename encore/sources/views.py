@@ -40,6 +40,26 @@ def sales_interactions_with_nulls(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+#: Added to an item's key to give a key that no catalogue row has.
+ORPHAN_SHIFT = 1_000_000_000
+
+
+def sales_interactions_raw(spark: SparkSession, base: str) -> DataFrame:
+    """Sales interactions as they might arrive: null users and items (fixed rules on the
+    supplier) and items that the catalogue does not have (every seventh part key)."""
+    orders = load_table(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = load_table(spark, base, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    item = F.when(F.col("l_partkey") % 7 == 0, F.col("l_partkey") + F.lit(ORPHAN_SHIFT)).otherwise(F.col("l_partkey"))
+    return joined.select(
+        F.when(F.col("l_suppkey") % 10 == 0, F.lit(None)).otherwise(F.col("o_custkey")).alias("user_id"),
+        F.when(F.col("l_suppkey") % 15 == 0, F.lit(None)).otherwise(item).alias("item_id"),
+        F.col("o_orderdate").alias("ts"),
+        "l_orderkey",
+        "l_linenumber",
+    )
+
+
 def event_interactions(spark: SparkSession, base: str) -> DataFrame:
     events = load_table(spark, base, "events")
     return events.select(

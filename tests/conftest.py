@@ -15,10 +15,9 @@ MEDIUM = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from encore.session import build_session
-    # the checkpoint folder comes from spark.checkpoint.dir when the environment
-    # sets it; only when it is unset does the local session get a scratch folder
     session = build_session("local[4]", app_name="encore-tests", shuffle_partitions=8,
-                            conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="encore-wh-")})
+                            conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="encore-wh-"),
+                                  "spark.checkpoint.dir": tempfile.mkdtemp(prefix="encore-ckpt-")})
     yield session
     session.stop()
 

@@ -1,18 +1,22 @@
-"""ALS invariants (no oracle: factors are numeric)."""
+"""ALS invariants: what must hold of any model, and that a fit is reproducible."""
+
+import os
+import subprocess
+import sys
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from encore.operators.als import evaluate_als, fit_als, recommend, recommendation_lists
+from encore.operators.als import als_grid, evaluate_als, fit_als, recommend, recommendation_lists
 from encore.operators.labels import label_lists
 from encore.plans.catalogue import events_split_utility
 
-from conftest import SMALL
+from conftest import MEDIUM, ROOT, SMALL
 
 
 def test_als_recommendations_invariants(spark):
     train, val = events_split_utility(spark, SMALL)
-    model = fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7)
+    model = fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7, num_blocks=4)
     recs = recommend(model, val.select("user_id"), 10)
     per_user = recs.groupBy("user_id").agg(F.count("*").alias("n"), F.countDistinct("item_id").alias("d"))
     assert per_user.filter("n > 10 or n != d").count() == 0
@@ -21,7 +25,7 @@ def test_als_recommendations_invariants(spark):
     assert bad.count() == 0
     # only users known to the model get recommendations
     assert recs.join(train.select("user_id").distinct(), "user_id", "left_anti").count() == 0
-    again = recommend(fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7), val.select("user_id"), 10)
+    again = recommend(fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7, num_blocks=4), val.select("user_id"), 10)
     assert recs.select("user_id", "item_id", "rank").exceptAll(again.select("user_id", "item_id", "rank")).count() == 0
     lists = recommendation_lists(recs).collect()
     assert all(len(r.song_id) <= 10 for r in lists)
@@ -29,19 +33,43 @@ def test_als_recommendations_invariants(spark):
 
 def test_als_metrics_in_range(spark):
     train, val = events_split_utility(spark, SMALL)
-    model = fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7)
+    model = fit_als(train, rank=8, reg=0.1, alpha=1.0, max_iter=5, seed=7, num_blocks=4)
     m = evaluate_als(model, val.select("user_id"), label_lists(val, 100), 100).collect()[0]
     for v in (m.map_at_k, m.ndcg_at_k, m.precision_at_k):
         assert 0.0 <= v <= 1.0
     assert m.n_users > 0
 
 
-def test_block_sizing(spark):
-    from encore.operators.als import default_blocks
-    base = default_blocks(spark)
-    assert base == spark.sparkContext.defaultParallelism
-    assert default_blocks(spark, 10) == base
-    assert default_blocks(spark, 10_000_000_000) == 200
-    model = fit_als(events_split_utility(spark, SMALL)[0], rank=4, reg=0.1, alpha=1.0, max_iter=2,
-                    seed=1, num_blocks="auto")
-    assert model.rank == 4
+FIT = """
+import sys, tempfile
+from encore.session import build_session
+spark = build_session(f"local[{sys.argv[1]}]", shuffle_partitions=int(sys.argv[1]) * 3,
+                      conf={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="encore-als-")})
+from encore.operators.als import fit_als, recommend
+from encore.plans.catalogue import sales_split_utility
+train, _ = sales_split_utility(spark, sys.argv[2])
+model = fit_als(train, rank=8, reg=0.2, alpha=1.0, max_iter=3, seed=42, num_blocks=5)
+rows = recommend(model, train.select("user_id"), 10).select("user_id", "rank", "item_id").collect()
+print("LISTS", len(rows), hash(tuple(sorted(map(tuple, rows)))))
+spark.stop()
+"""
+
+
+def test_fit_does_not_depend_on_the_number_of_cores():
+    said = []
+    for cores in ("2", "4"):
+        env = {**os.environ, "PYTHONPATH": ROOT, "PYTHONHASHSEED": "0"}
+        run = subprocess.run([sys.executable, "-c", FIT, cores, MEDIUM], env=env, capture_output=True, text=True, timeout=300)
+        said.append([x for x in run.stdout.splitlines() if x.startswith("LISTS")])
+    assert said[0] and said[0] == said[1]
+
+
+def test_grid_releases_its_models(spark):
+    train, val = events_split_utility(spark, SMALL)
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    out = als_grid(train, val.select("user_id"), label_lists(val, 10), [4], [0.1, 0.2], [1.0], 10, 2, seed=1, num_blocks=3)
+    assert out.count() == 2 and len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+    one = fit_als(train, rank=4, reg=0.1, alpha=1.0, max_iter=2, seed=1, num_blocks=3)
+    m = evaluate_als(one, val.select("user_id"), label_lists(val, 10), 10).first()
+    row = out.filter("reg_param = 0.1").first()
+    assert abs(row.map_at_k - m.map_at_k) < 1e-9 and row.n_users == m.n_users

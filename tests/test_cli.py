@@ -19,7 +19,7 @@ def test_cli_round_trip(spark, scratch, capsys):
     out = f"{scratch}/out"
     inter.filter("l_orderkey % 3 = 0").write.parquet(f"{scratch}/test_interactions")
     main(["prepare", "--interactions", f"{scratch}/interactions", "--tracks", f"{scratch}/tracks",
-          "--out", out, "--order-cols", "user_id,recording_msid,l_orderkey,l_linenumber",
+          "--out", out, "--support", "3,10", "--index-partitions", "4", "--order-cols", "user_id,recording_msid,l_orderkey,l_linenumber",
           "--test-interactions", f"{scratch}/test_interactions"], spark)
     stages = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert [s["stage"] for s in stages][:2] == ["train", "val"]
@@ -29,10 +29,12 @@ def test_cli_round_trip(spark, scratch, capsys):
     assert 0 <= m["map_at_k"] <= 1 and m["n_users"] > 0
     main(["popularity", "--prepared", out, "--measure", "weighted", "--on", "test"], spark)
     assert json.loads(capsys.readouterr().out.strip())["n_users"] > 0
-    main(["popularity", "--prepared", out, "--sweep", "10,1000"], spark)
-    assert len(capsys.readouterr().out.strip().splitlines()) == 2
-    main(["als", "--prepared", out, "--rank", "4", "--max-iter", "2", "--k", "20", "--seed", "1"], spark)
+    for on in ("val", "train"):
+        main(["popularity", "--prepared", out, "--sweep", "10,1000", "--on", on], spark)
+        assert len(capsys.readouterr().out.strip().splitlines()) == 2
+    assert spark.read.parquet(f"{out}/utility_val_filtered_10").count() < spark.read.parquet(f"{out}/utility_val_filtered").count()
+    main(["als", "--prepared", out, "--rank", "4", "--max-iter", "2", "--k", "20", "--seed", "1", "--num-blocks", "4"], spark)
     assert json.loads(capsys.readouterr().out.strip())["n_users"] > 0
-    main(["export", "--table", f"{out}/utility_train", "--order", "user_id,song_id", "--max-rows", "100",
+    main(["export", "--table", f"{out}/utility_train", "--order", "user_id,song_id", "--max-rows", "100", "--partitions", "4",
           "--out", f"{scratch}/export"], spark)
     assert json.loads(capsys.readouterr().out.strip())["rows"] == 100

@@ -43,7 +43,7 @@ def test_split_and_support_counts(spark):
 def test_index_and_event_counts(spark):
     tracks = track_catalogue(spark, MEDIUM).filter("p_size <= 40")
     assert tracks.count() == 1605
-    idx = dense_index(tracks, "recording_msid", "song_id")
+    idx = dense_index(tracks, "recording_msid", "song_id", num_partitions=4)
     matched = attach_index(sales_interactions(spark, MEDIUM), idx, "item_id", "recording_msid",
                            "song_id", drop_unmatched=True)
     assert matched.count() == 48169

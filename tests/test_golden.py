@@ -44,13 +44,13 @@ def test_top_k_order(util):
 
 
 def test_labels(util):
-    arrays = {r.user_id: r.actual_songs for r in label_arrays(label_lists(util, 100)).collect()}
+    arrays = {r.user_id: r.actual_songs for r in label_arrays(label_lists(util, 100), 100).collect()}
     assert arrays == {1: [A, B], 2: [B, A], 3: [A], 4: [C]}
 
 
 def test_label_ties_larger_item_first(spark):
     util = spark.createDataFrame([(1, 5, 2), (1, 9, 2), (1, 7, 3)], "user_id long, item_id long, total_count long")
-    arrays = label_arrays(label_lists(util, 100)).collect()
+    arrays = label_arrays(label_lists(util, 100), 100).collect()
     assert arrays[0].actual_songs == [7, 9, 5]
 
 
@@ -93,7 +93,7 @@ def test_metrics_match_spark_ml(spark, util):
     preds = spark.createDataFrame([(u, i, r) for u in (1, 2, 3, 4) for r, i in ((1, C), (2, B), (3, A))],
                                   "user_id long, item_id long, rank int")
     ours = ranking_metrics(preds, labels, 2, users="recommended").collect()[0]
-    lab = label_arrays(labels).select("user_id", F.col("actual_songs").cast("array<double>").alias("label"))
+    lab = label_arrays(labels, 100).select("user_id", F.col("actual_songs").cast("array<double>").alias("label"))
     pred = spark.createDataFrame([(u, [float(C), float(B), float(A)]) for u in (1, 2, 3, 4)],
                                  "user_id long, prediction array<double>")
     joined = pred.join(lab, "user_id")

@@ -77,14 +77,14 @@ def test_als_metrics_match_ranking_evaluator(spark):
     from encore.plans.catalogue import events_split_utility
     from conftest import SMALL
     train, val = events_split_utility(spark, SMALL)
-    model = fit_als(train, rank=6, reg=0.1, alpha=1.0, max_iter=4, seed=3)
+    model = fit_als(train, rank=6, reg=0.1, alpha=1.0, max_iter=4, seed=3, num_blocks=4)
     recs = recommend(model, val.select("user_id"), 20)
     labels = label_lists(val, 100)
     ours = ranking_metrics(recs, labels.select(F.col("user_id").cast("int").alias("user_id"),
                                                F.col("item_id").cast("int").alias("item_id")),
                            20, users="recommended").collect()[0]
     pred = recommendation_lists(recs).select("user_id", F.col("song_id").cast("array<double>").alias("prediction"))
-    lab = label_arrays(labels).select(F.col("user_id").cast("int").alias("user_id"),
+    lab = label_arrays(labels, 100).select(F.col("user_id").cast("int").alias("user_id"),
                                       F.col("actual_songs").cast("array<double>").alias("label"))
     joined = pred.join(lab, "user_id", "left").select(
         "prediction", F.coalesce("label", F.array().cast("array<double>")).alias("label"))

@@ -13,9 +13,14 @@ def _skewed(spark):
 
 def test_hot_user_is_spread_over_tasks(spark):
     df = _skewed(spark)
-    ranked = rank_within_user(df, "user_id", ["user_id", "item_id"], slice_rows=200)
-    per_task = (ranked.filter("user_id = 0")
-                      .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    ranked = rank_within_user(df, "user_id", ["user_id", "item_id"])
+    # rows this few would all be coalesced into one partition
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        per_task = (ranked.filter("user_id = 0")
+                          .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(per_task) > 1
     assert max(r["count"] for r in per_task) < 0.5 * 6000
     # ranks of the hot user are exactly 1..n and n is the full count
@@ -26,9 +31,9 @@ def test_hot_user_is_spread_over_tasks(spark):
 def test_all_plans_agree_on_skewed_input(spark):
     df = _skewed(spark)
     cols = ["user_id", "item_id", "is_train"]
-    plain = tag_split(df, "user_id", ["user_id", "item_id"]).select(*cols)
-    heavy = tag_split(df, "user_id", ["user_id", "item_id"], slice_rows=200).select(*cols)
-    fallback = (rank_within_user(df, "user_id", ["user_id", "item_id"], slice_rows=200, broadcast_rows=0)
+    plain = tag_split(df, "user_id", ["user_id", "item_id"], slices=1).select(*cols)
+    heavy = tag_split(df, "user_id", ["user_id", "item_id"]).select(*cols)
+    fallback = (rank_within_user(df, "user_id", ["user_id", "item_id"], slices=100)
                 .select("user_id", "item_id", (5 * F.col(_RN) <= 4 * (F.col(_N) + 1)).alias("is_train")))
     for other in (heavy, fallback):
         assert plain.exceptAll(other).count() == 0 and other.exceptAll(plain).count() == 0
