@@ -107,7 +107,9 @@ def shared_list_metrics(top: DataFrame, labels: DataFrame, k: int = 100,
                         item_col: str = "item_id", rank_col: str = "rank") -> DataFrame:
     """Metrics when every labelled user receives the same list ``top``.
 
-    ``top``: ``(group..., item, rank)``, at most k rows per group.  Averages
+    ``top``: ``(group..., item, rank)``, at most k rows per group.  It is broadcast: its
+    size is k times the number of groups, both given by the caller and not by the data
+    (a group is one parameter value, such as a beta of a sweep).  Averages
     over all users having labels (the popularity baseline's population).
     """
     groups = list(group_cols)

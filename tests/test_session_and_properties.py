@@ -18,7 +18,7 @@ def test_cluster_conf_scales():
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(sizes=st.lists(st.integers(min_value=1, max_value=25), min_size=1, max_size=12),
-       slices=st.sampled_from([1, 3, 4096]))
+       slices=st.sampled_from([1, 3, 1024]))
 def test_split_rule_random_users(spark, sizes, slices):
     rows = [(u, i) for u, n in enumerate(sizes) for i in range(n)]
     df = spark.createDataFrame(rows, "user_id long, item_id long")
