@@ -1,7 +1,7 @@
 """Registered queries of the subpackage: one per operator, with production parameters.
 
-Each query applies its operator to the whole intended table.  ``ORACLE`` has the
-DuckDB statement where SQL can express the result; the other queries are held
+Each query applies its operator to the whole intended table.  ``encore.llm.oracle``
+has the DuckDB statement where SQL can express the result; all queries are held
 against brute-force versions in the tests.
 """
 
@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.llm.oracle import ORACLE
 from encore.sources.tables import load_table
 
 #: Where the public tokenizers' files are; the model is read by the driver only.
@@ -115,34 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {
-    "op1_warc": """
-        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
-        q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
-        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
-               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
-        FROM q""",
-    "op4_url_rules": """
-        WITH u AS (SELECT page_id, lower(coalesce(url, '')) AS low,
-                          CASE WHEN contains(url, '://') THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest
-                   FROM pages),
-        s AS (SELECT page_id, low,
-                     translate(CASE WHEN contains(rest, '/') THEN substr(rest, 1, strpos(rest, '/') - 1) ELSE rest END,
-                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-                     CASE WHEN contains(rest, '/') THEN substr(rest, strpos(rest, '/')) ELSE '' END AS path
-              FROM u),
-        r AS (SELECT *, CASE
-                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
-                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
-                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
-                WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/de/') THEN 'com/de/'
-                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/') THEN 'org/' END AS rule FROM s)
-        SELECT page_id, host, path, rule,
-               CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-                    WHEN contains(low, '/wp-admin/') OR contains(low, '/wp-login.') OR contains(low, '/cgi-bin/')
-                      OR contains(low, '/xmlrpc.') OR contains(low, '?sessionid=') OR contains(low, '&sessionid=')
-                      OR low LIKE '%/cart/%checkout=%' OR contains(low, '://ads.') THEN 'block'
-                    ELSE 'allow' END AS verdict
-        FROM r""",
-}
+
+__all__ = ["QUERIES", "ORACLE", "PIECE_MODEL", "TOKENIZERS", "SITE_RULES", "BLOCK_PATTERNS", "SHARDS"]
