@@ -13,7 +13,7 @@ reference blocks under its own anchors.
    with several distinct blocks, each distinct block is parsed run by run against
    all blocks of the anchor at once: a factor starts at a run that a smaller
    document owns and goes on as long as the next run also has a smaller owner.  Only
-   one row per distinct block and run is moved, never pairs of blocks.
+   one row per distinct block and run of a document is moved, never pairs of blocks.
 3. *Boundaries*: factors are at least ``window`` words long by construction.  Runs
    across the end of a factor or block belong to the anchor of their own, so they are
    looked up like all others; touching and overlapping factors are joined.
@@ -90,7 +90,8 @@ def _block_hashes(runs: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
 
 
 def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per block of (``id``, ``text``): ``anchor``, ``block`` (hash), ``id``, ``start``, ``n`` (runs)."""
+    """A row per distinct block of each row of (``id``, ``text``): ``anchor``, ``block`` (hash), ``id``,
+    ``starts`` (repetitive texts have the same block again and again), ``n`` (runs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
@@ -101,16 +102,18 @@ def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
                     hashes = table.of((text or "").encode().split())
                     if i is not None and len(hashes) >= window:
                         anchors, starts, counts, runs = _anchored(hashes, window, seed)
-                        found.append((anchors, _block_hashes(runs, starts, counts), np.full(len(starts), i, np.int64),
-                                      starts.astype(np.int32), counts.astype(np.int32)))
+                        kinds, order, first, times = _distinct(_block_hashes(runs, starts, counts))
+                        found.append((anchors[first], kinds, np.full(len(kinds), i, np.int64),
+                                      counts[first].astype(np.int32), starts[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "block", "id", "start", "n"])
+                    yield _batch(found, ["anchor", "block", "id", "n"])
 
-    return df.select("id", "text").mapInArrow(run, "anchor long, block long, id long, start int, n int")
+    return df.select("id", "text").mapInArrow(run, "anchor long, block long, id long, n int, starts array<int>")
 
 
 def _run_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per run of the blocks of (``id``, ``text``) whose hashes are in ``wanted``: ``anchor``, ``run``, ``id``, ``start``."""
+    """A row per distinct run of the blocks of (``id``, ``text``) whose hashes are in ``wanted``:
+    ``anchor``, ``run``, ``id``, ``starts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
@@ -124,28 +127,40 @@ def _run_table(df: DataFrame, window: int, seed: int) -> DataFrame:
                     anchors, starts, counts, runs = _anchored(hashes, window, seed)
                     mine = np.isin(signed(_block_hashes(runs, starts, counts)), np.array(wanted, np.int64))
                     take = np.flatnonzero(np.repeat(mine, counts))
-                    found.append((np.repeat(anchors, counts)[take], runs[take], np.full(len(take), i, np.int64),
-                                  take.astype(np.int32)))
+                    kinds, order, first, times = _distinct(runs[take])
+                    found.append((np.repeat(anchors, counts)[take][first], kinds, np.full(len(kinds), i, np.int64),
+                                  take[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "run", "id", "start"])
+                    yield _batch(found, ["anchor", "run", "id"])
 
-    return df.select("id", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, start int")
+    return df.select("id", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, starts array<int>")
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct values; places of all values, grouped by value; the first place and the number of each."""
+    order = np.argsort(values, kind="stable")
+    kinds, first, times = np.unique(values[order], return_index=True, return_counts=True)
+    return kinds, order, order[first], times
 
 
 def _batch(found: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(signed(c) if c.dtype == np.uint64 else c) for c in columns], names=names)
+    """Columns of the given names, and ``starts`` from the last two of each tuple (values, list sizes)."""
+    *columns, starts, times = (np.concatenate(c) for c in zip(*found, strict=True))
+    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(times)).astype(np.int32)), pa.array(starts))
+    return pa.RecordBatch.from_arrays(
+        [*(pa.array(signed(c) if c.dtype == np.uint64 else c) for c in columns), lists], names=[*names, "starts"])
 
 
 def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """The factors: ``id``, ``start``, ``length`` (in words); not yet joined where they overlap."""
+    """The factors: ``id``, ``starts`` (places of equal factors), ``length`` (in words); not yet
+    joined where they overlap."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(_block_table(docs, window, seed), "rlz-blocks")
     # every distinct block with its smallest owner
     owned = materialize(rows.groupBy("anchor", "block").agg(F.min("id").alias("owner"), F.max("id").alias("last")), "rlz-index")
     whole = (rows.join(owned.where("owner < last").select("anchor", "block", "owner"), ["anchor", "block"])
-                 .where("id > owner").select("id", "start", (F.col("n") + (window - 1)).alias("length")))
+                 .where("id > owner").select("id", "starts", (F.col("n") + (window - 1)).alias("length")))
     # under anchors with several distinct blocks, the owner of each is parsed run by run
     several = materialize(
         owned.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("owner").alias("lo"), F.max("last").alias("hi"))
@@ -157,7 +172,7 @@ def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     owners = materialize(runs.groupBy("anchor", "run").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
                              .where("owner < last").select("anchor", "run", "owner"), "rlz-owners")
     single = (runs.join(owners, ["anchor", "run"]).where("id > owner")
-                  .select("id", "start", F.lit(window).alias("length")))
+                  .select("id", "starts", F.lit(window).alias("length")))
     out = materialize(whole.unionByName(single), "rlz-factors")
     release(rows, owned, several, wanted, owners)
     return out
@@ -168,7 +183,7 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     """All rows and columns of ``df``; ``text_col`` is replaced by its kept words, joined by one
     space, where a span covers words of it.  With ``counts``, ``n_words`` and ``n_removed`` are added
     (and replace columns of these names)."""
-    packed = (spans.select("id", F.struct("start", "length").alias("span"))
+    packed = (spans.select("id", F.struct("starts", "length").alias("span"))
                    .groupBy("id").agg(F.collect_list("span").alias("spans")))
     names = [f"c{k}" for k in range(len(df.columns))]
     at = df.columns.index(text_col)
@@ -181,9 +196,10 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
                 words = (text or "").encode().split()
                 edge = np.zeros(len(words) + 1, np.int64)
                 for s in found or ():
-                    if s["start"] < len(words):
-                        edge[s["start"]] += 1
-                        edge[min(s["start"] + s["length"], len(words))] -= 1
+                    starts = np.array(s["starts"], np.int64)
+                    starts = starts[starts < len(words)]  # spans of another row of the same id
+                    np.add.at(edge, starts, 1)
+                    np.add.at(edge, np.minimum(starts + s["length"], len(words)), -1)
                 cut = np.cumsum(edge[:-1]) > 0
                 totals.append(len(words))
                 removed.append(int(cut.sum()))
