@@ -1,7 +1,5 @@
 """End-to-end flow, lazily and with stages materialized in the checkpoint folder."""
 
-import pytest
-
 from encore.plans.catalogue import SPLIT_KEYS
 from encore.plans.flows import als_report, popularity_report, prepare
 from encore.sources.views import sales_interactions, track_catalogue
