@@ -24,7 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Entries after which a task's table of encoded words starts anew, to bound its memory.
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 200_000
+#: Distinct words merged at a time, which bounds the arrays.
+MERGED = 20_000
 _NONE = np.int64(1) << np.int64(40)
 
 
@@ -100,6 +102,41 @@ def load_pieces(path: str) -> Pieces:
                   pieces.index("<s>"), pieces.index("</s>"), bool(norm.get(3, 1)))
 
 
+class _Lookup:
+    """Places of 64-bit keys in an array: a table of buckets, each with room for the fullest one."""
+
+    BITS = 18
+
+    def __init__(self, keys: np.ndarray):
+        bucket = self._bucket(keys)
+        order = np.argsort(bucket, kind="stable")
+        b = bucket[order]
+        row = np.arange(len(b)) - np.searchsorted(b, b)
+        depth = int(row.max(initial=0)) + 1
+        self.keys = np.full((depth, 1 << self.BITS), -1, np.int64)  # keys are not negative
+        self.at = np.full((depth, 1 << self.BITS), -1, np.int32)
+        self.keys[row, b] = keys[order]
+        self.at[row, b] = order
+
+    def _bucket(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, -1 where it is none of them."""
+        bucket = self._bucket(keys).astype(np.int64)
+        out = np.full(len(keys), -1, np.int64)
+        todo = np.arange(len(keys))
+        for own, at in zip(self.keys, self.at, strict=True):
+            there = own[bucket[todo]]
+            hit = there == keys[todo]
+            out[todo[hit]] = at[bucket[todo[hit]]]
+            todo = todo[~hit & (there >= 0)]  # a bucket's keys fill its rows from the first one
+            if not len(todo):
+                break
+        out[keys < 0] = -1
+        return out
+
+
 class Encoder:
     """Merge tables of a model and a bounded table of encoded words."""
 
@@ -120,11 +157,10 @@ class Encoder:
                 if left is not None and right is not None:
                     pairs[left * int(self.size) + right] = (rank[model.scores[i]], i)
                 joints.add(number[p[k - 1]] * int(self.size) + number[p[k]])
-        keys = np.array(sorted(pairs), np.int64)
-        self.keys = np.append(keys, np.iinfo(np.int64).max)
-        self.ranks = np.array([pairs[k][0] for k in keys.tolist()] + [_NONE], np.int64)
-        self.made = np.array([pairs[k][1] for k in keys.tolist()] + [-1], np.int64)
-        self.joints = np.append(np.array(sorted(joints), np.int64), np.iinfo(np.int64).max)
+        self.pairs = _Lookup(np.array(list(pairs), np.int64))
+        self.ranks = np.array([r for r, _ in pairs.values()], np.int64)
+        self.made = np.array([m for _, m in pairs.values()], np.int64)
+        self.joints = _Lookup(np.array(sorted(joints), np.int64))
         self.symbol = np.full(0x110000, -1, np.int32)
         for s, i in number.items():
             if len(s) == 1:
@@ -165,11 +201,12 @@ class Encoder:
             cut, new = [], set()
             while at < len(texts) and (not cut or len(self.table) + len(new) < TABLE_ENTRIES):
                 words = self.words(texts[at] or "")
-                new.update(w for w in words if w not in self.table)
+                new.update(set(words).difference(self.table))
                 cut.append(words)
                 at += 1
             fresh = sorted(new)
-            self.table.update(zip(fresh, self._encode_words(fresh), strict=True))
+            for k in range(0, len(fresh), MERGED):
+                self.table.update(zip(fresh[k:k + MERGED], self._encode_words(fresh[k:k + MERGED]), strict=True))
             out += [begin + b"".join(map(self.table.__getitem__, words)) + end for words in cut]
         return out
 
@@ -179,10 +216,11 @@ class Encoder:
         made = np.full(len(sym), -1, np.int64)
         ok = np.flatnonzero((seg[:-1] == seg[1:]) & (sym[:-1] >= 0) & (sym[1:] >= 0))
         key = sym[ok] * self.size + sym[ok + 1]
-        found = np.searchsorted(self.keys, key)
-        hit = self.keys[found] == key
-        rank[ok[hit]] = self.ranks[found[hit]]
-        made[ok[hit]] = self.made[found[hit]]
+        found = self.pairs.places(key)
+        hit = found >= 0
+        ok, found = ok[hit], found[hit]
+        rank[ok] = self.ranks[found]
+        made[ok] = self.made[found]
         return rank, made
 
     def _merge(self, sym: np.ndarray, made: np.ndarray, merge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +241,7 @@ class Encoder:
         new_word[np.cumsum(sizes)[:-1]] = True
         # no piece joins these two characters, so nothing merges across them
         key = np.where((sym[:-1] >= 0) & (sym[1:] >= 0), sym[:-1] * self.size + sym[1:], -1)
-        new_word[1:] |= self.joints[np.searchsorted(self.joints, key)] != key
+        new_word[1:] |= self.joints.places(key) < 0
         seg, at = np.cumsum(new_word), np.arange(len(sym))
         rank, made = self._pairs(sym, seg)
         while len(sym):
@@ -309,13 +347,14 @@ def encode_decode(df: DataFrame, model: Pieces, id_col: str = "doc_id", text_col
     shuffle, one Arrow batch in memory at a time, and the model (bounded by its
     file, under a megabyte) is the only thing broadcast.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # as plain values: a broadcast class would have to be installed on the executors
+    shared = df.sparkSession.sparkContext.broadcast(astuple(model))
     wanted = tuple(outputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Pieces(*shared.value))
         for batch in batches:
-            for part in (batch.slice(k, 512) for k in range(0, batch.num_rows, 512)):
+            for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 ids = encoder.encode_batch(part.column(1).to_pylist())
                 columns = {"n_tokens": [len(b) // 4 for b in ids], "ids": ids}
                 if "ids_sha256" in wanted:
