@@ -189,6 +189,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, some at a time, so that few texts are Python strings at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _feature_rows(batch: pa.RecordBatch, column: int) -> np.ndarray:
     return np.array([text_features(t) for t in batch.column(column).to_pylist()], np.float64).reshape(-1, len(FEATURES))
 
@@ -203,7 +210,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
               .join(F.broadcast(chosen), "id").select("id", "y", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             x = _feature_rows(batch, 2)
             values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), values], names=["id", "y", "x"])
@@ -222,7 +229,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     source = df.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             s = model.score(model.bins(_feature_rows(batch, 2)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))],
@@ -239,7 +246,7 @@ def filter_good(df: DataFrame, model: Model, text_col: str = "text", threshold:
     at = df.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             good = model.score(model.bins(_feature_rows(batch, at))) >= threshold
             yield batch.filter(pa.array(good))
 

@@ -190,7 +190,7 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     joined = df.toDF(*names).join(packed, F.col(names[df.columns.index(id_col)]) == F.col("id"), "left").drop("id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
             texts, totals, removed = [], [], []
             for text, found in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 words = (text or "").encode().split()
