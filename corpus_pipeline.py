@@ -38,7 +38,7 @@ def remove_repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str
 
 def drop_benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain passages of the benchmark go."""
-    return decontam.drop_contaminated(docs, load_table(spark, sf_dir, "benchmark"))
+    return decontam.drop_contaminated(docs, load_table(spark, sf_dir, "benchmark"), fold=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

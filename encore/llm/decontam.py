@@ -19,6 +19,10 @@ same diagonal is dropped before verification.
 Items of ``MIN_WORDS`` to ``SPAN - 1`` words are sought whole, under a mask of all their
 words; shorter ones are ignored, since chance equals them.
 
+With ``fold``, as the registered query and the pipeline run it, words are compared without
+case and without characters that are no letters, marks or digits, on both sides; a word of
+such characters alone does not count.  Without it words are compared as they are written.
+
 Edge cases: a null text has no words; documents with a null or repeated id are judged
 row by row (rows are told apart by their id and the text's digest, and equal rows get
 equal results); items that repeat an id are items of their own under that id; an empty
@@ -52,11 +56,23 @@ _SPACE = r" \t\n\x0B\f\r"
 _CHARS = " \t\n\x0b\x0c\r"
 
 
-def _words(text: Column) -> Column:
-    inner = F.btrim(F.coalesce(text.cast("string"), F.lit("")), F.lit(_CHARS))
+def _words(text: Column, fold: bool) -> Column:
+    inner = F.coalesce(text.cast("string"), F.lit(""))
+    if fold:  # capitals first, since some letters have more than one small form
+        inner = F.regexp_replace(F.upper(inner), rf"[^\p{{L}}\p{{M}}\p{{N}}{_SPACE}]+", "")
+        inner = F.lower(inner)  # right around upper, it would be all that the optimizer keeps
+    inner = F.btrim(inner, F.lit(_CHARS))
     return F.when(inner != "", F.split(inner, f"[{_SPACE}]+")).otherwise(F.array().cast("array<string>"))
 
 
+def _places(text: Column) -> Column:
+    """Where each folded word stands among all words of the text; null if every word has a letter or digit."""
+    alone = F.coalesce(text.cast("string"), F.lit("")).rlike(rf"(^|[{_SPACE}])[^\p{{L}}\p{{M}}\p{{N}}{_SPACE}]+([{_SPACE}]|$)")
+    raw = _words(text, False)
+    kept = F.filter(F.transform(raw, lambda w, k: F.when(w.rlike(r"[\p{L}\p{M}\p{N}]"), k)), lambda k: k.isNotNull())
+    return F.when(alone, kept)
+
+
 def _hash(mask: str, number: int, array: str, at: str) -> str:
     kept = ", ".join(f"get({array}, {at} + {k})" for k, c in enumerate(mask) if c == "1")
     return f"CASE WHEN {at} + {len(mask)} <= size({array}) THEN xxhash64({number}, {kept}) END"
@@ -73,12 +89,13 @@ def _positions(array: str, least: int) -> str:
 
 def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  least: float = LEAST, block_seeds: int = BLOCK_SEEDS) -> DataFrame:
+                  least: float = LEAST, block_seeds: int = BLOCK_SEEDS, fold: bool = False) -> DataFrame:
     """A row per contaminated document row and item: the document's ``id`` and ``digest`` (MD5 of
-    the text), ``item``, ``start`` (the first word of the item laid over the document; below 0
-    if the item begins before it), ``n_equal`` words of ``n_item``, and ``n_seeds`` verified hits."""
+    the text), ``item``, ``start`` (the first word of the item laid over the document, counted in all
+    its words; below 0 if the item begins before it), ``n_equal`` words of ``n_item``, and ``n_seeds``
+    verified hits.  ``fold`` compares words without case and punctuation."""
     items = materialize(
-        benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col)).alias("item_words")).distinct()
+        benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col), fold).alias("item_words")).distinct()
                  .withColumn("n_item", F.size("item_words")).where(F.col("n_item") >= MIN_WORDS)
                  .withColumn("item_no", F.xxhash64("item", "item_words")), "decon-items")
     short = [r[0] for r in items.where(F.col("n_item") < SPAN).select("n_item").distinct().orderBy("n_item").collect()]  # 4 rows at most
@@ -91,9 +108,10 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
                           F.expr(f"CASE WHEN p > 0 THEN {_any_hash(masks, 'item_words', 'p - 1')} END").alias("before")))
     total = seeds.count()
     docs = (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-              .select("id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"), _words(F.col("text")).alias("words")))
-    probes = (docs.select("id", "digest", "words", F.explode(F.expr(_positions("words", MIN_WORDS))).alias("q"))
-                  .select("id", "digest", "words", "q",
+              .select("id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"), _words(F.col("text"), fold).alias("words"),
+                      (_places(F.col("text")) if fold else F.lit(None).cast("array<int>")).alias("places")))
+    probes = (docs.select("id", "digest", "words", "places", F.explode(F.expr(_positions("words", MIN_WORDS))).alias("q"))
+                  .select("id", "digest", "words", "places", "q",
                           F.explode(F.array(*(F.expr(_hash(m, k, "words", "q")) for k, m in enumerate(masks)))).alias("seed")))
     blocks = max(1, math.ceil(total / block_seeds))
     found = [_verified(probes, seeds, items, masks, b, blocks, window, least) for b in range(blocks)]
@@ -112,7 +130,7 @@ def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequ
     first = "greatest(q - p, 0)"
     hits = (probes.join(table, "seed")
                   .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(masks, 'words', '(q - 1)')}")
-                  .select("id", "digest", "item_no", "n_item", (F.col("q") - F.col("p")).alias("start"),
+                  .select("id", "digest", "item_no", "n_item", F.expr("if(q < p, q - p, coalesce(get(places, q - p), q - p))").alias("start"),
                           F.expr(f"slice(words, {first} + 1, q - p + n_item - {first})").alias("beside"),
                           F.expr(f"{first} - (q - p)").alias("missing")))
     laid = (hits.join(texts, F.col("item_no") == F.col("no"))
@@ -129,9 +147,9 @@ def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequ
 
 
 def drop_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+                      item_col: str = "item_id", item_text_col: str = "text", fold: bool = False) -> DataFrame:
     """The rows of ``df`` that no item of the benchmark contaminates, with all their columns."""
-    bad = materialize(find_overlaps(df, benchmark, id_col, text_col, item_col, item_text_col).select(
+    bad = materialize(find_overlaps(df, benchmark, id_col, text_col, item_col, item_text_col, fold=fold).select(
         F.col("id").alias("bad_id"), F.col("digest").alias("bad_digest")).distinct(), "decon-bad")
     bad = broadcast_within(bad, BROADCAST_IDS)
     names = [f"c{k}" for k in range(len(df.columns))]

@@ -69,9 +69,9 @@ def op5_ngram_join(spark: SparkSession, base: str) -> DataFrame:
 
 
 def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
-    """Verified overlaps of every document with the benchmark's items."""
+    """Verified overlaps of every document with the benchmark's items, without case and punctuation."""
     from encore.llm.decontam import find_overlaps
-    found = find_overlaps(load_table(spark, base, "documents"), load_table(spark, base, "benchmark"))
+    found = find_overlaps(load_table(spark, base, "documents"), load_table(spark, base, "benchmark"), fold=True)
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").alias("start_word"),
                         "n_equal", "n_item", "n_seeds")
 

@@ -263,6 +263,18 @@ def test_decontamination_edges(spark):
         assert find_overlaps(docs, ben).count() == 0 and drop_contaminated(docs, ben).count() == docs.count()
 
 
+def test_folded_words(spark):
+    """Capitals, changed punctuation and lone punctuation do not hide a passage."""
+    words = "the straße of seven bridges, where nobody's boat has ever been seen twice in one summer night by two people".split()
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    loud, apart = " ".join(words).upper(), " - ".join(f'"{w.strip(",")}";' for w in words)
+    rows = [(1, "x " + loud), (2, "- y " + apart + " z"), (3, " ".join(words)), (4, " ".join(words[::-1])), (5, "— … —"), (6, None)]
+    got = {(r.id, r.start, r.n_equal) for r in find_overlaps(frame(spark, rows), benchmark, fold=True).collect()}
+    assert got == {(1, 1, 20), (2, 2, 20), (3, 0, 20)}
+    assert {r.doc_id for r in drop_contaminated(frame(spark, rows), benchmark, fold=True).collect()} == {4, 5, 6}
+    assert {r.id for r in find_overlaps(frame(spark, rows), benchmark).collect()} == {3}
+
+
 def test_native_operators_have_no_python(spark):
     for name in ("op2_chat_format", "op6_decontamination", "op10_quality_rules"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
