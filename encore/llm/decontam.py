@@ -1,12 +1,12 @@
-"""Benchmark decontamination by spaced-seed hashing.
+"""Benchmark decontamination by verified seeds.
 
-A mask fixes which of ``SPAN`` consecutive words count; the others may differ.  Every
-position of every document and benchmark item is hashed under each mask, and equal
-hashes are hits: the document and the item agree on the mask's words there.  Around a
-hit the item is laid over the document without gaps, and the overlap is verified word
-by word: a document is contaminated by an item if some ``window`` consecutive words of
-the item (all of a shorter item) equal the document's words beside them but for at most
-a share ``1 - least`` of substitutions.
+A document is contaminated by an item if some ``window`` consecutive words of the item
+(all of a shorter item) equal the document's words beside them but for at most a share
+``1 - least`` of substitutions.  However the permitted substitutions fall, they leave
+some number of equal words in a row (``run_length``; 4 for 16 of 20 words).  Runs of that
+many words of every document and benchmark item are hashed, and equal hashes are hits, so
+every permitted overlap has one.  Around a hit the item is laid over the document without
+gaps, and the overlap is verified word by word.
 
 Only DataFrame functions.  The positions of a document are generated and probed
 against a broadcast table of the benchmark's seeds inside one stage, so neither
@@ -16,8 +16,9 @@ broadcast in turn, which bounds the broadcast whatever the benchmark's size (an
 longer than a block is still one block).  A hit that continues the previous one on the
 same diagonal is dropped before verification.
 
-Items of ``MIN_WORDS`` to ``SPAN - 1`` words are sought whole, under a mask of all their
-words; shorter ones are ignored, since chance equals them.
+Items of ``MIN_WORDS`` to ``SPAN - 1`` words are sought whole, by a run of all their words;
+shorter ones are ignored, since chance equals them.  ``n_seeds`` counts the spaced masks
+``MASKS`` that a verified overlap meets, and may be 0.
 
 With ``fold``, as the registered query and the pipeline run it, words are compared without
 case and without characters that are no letters, marks or digits, on both sides; a word of
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize
 
-#: 1: the word counts, 0: it may differ.
+#: What ``n_seeds`` counts; 1: the word must be equal, 0: it may differ.
 MASKS = ("110110101011", "111001011011", "101101110101")
 SPAN = 12
 MIN_WORDS = 8
@@ -73,14 +74,31 @@ def _places(text: Column) -> Column:
     return F.when(alone, kept)
 
 
-def _hash(mask: str, number: int, array: str, at: str) -> str:
-    kept = ", ".join(f"get({array}, {at} + {k})" for k, c in enumerate(mask) if c == "1")
-    return f"CASE WHEN {at} + {len(mask)} <= size({array}) THEN xxhash64({number}, {kept}) END"
+def run_length(n: int, window: int = WINDOW, least: float = LEAST) -> int:
+    """Equal words in a row that any permitted overlap with an item of ``n`` words has at least."""
+    width = min(n, window)
+    if n < SPAN:
+        return n
+    equal = max(1, math.ceil(least * width))
+    return math.ceil(equal / (width - equal + 1))
 
 
-def _any_hash(masks: Sequence[str], array: str, at: str) -> str:
-    """The hash at a position under the mask numbered ``mask``."""
-    return "CASE mask " + " ".join(f"WHEN {k} THEN {_hash(m, k, array, at)}" for k, m in enumerate(masks)) + " END"
+def _hash(run: int, array: str, at: str) -> str:
+    kept = ", ".join(f"get({array}, {at} + {k})" for k in range(run))
+    return f"CASE WHEN {at} + {run} <= size({array}) THEN xxhash64({run}, {kept}) END"
+
+
+def _any_hash(runs: Sequence[int], array: str, at: str) -> str:
+    """The hash at a position of the run of length ``run``."""
+    return "CASE run " + " ".join(f"WHEN {r} THEN {_hash(r, array, at)}" for r in runs) + " END"
+
+
+def _mask_runs(mask: str) -> str:
+    """How often the mask fits the equal words of an overlap, a fit that continues the one a word before not counted."""
+    def fits(at: str) -> str:
+        return " AND ".join(f"equal[{at} + {k}] = 1" for k, c in enumerate(mask) if c == "1")
+    return (f"CASE WHEN n_item >= {len(mask)} THEN size(filter(sequence(0, n_item - {len(mask)}), "
+            f"s -> {fits('s')} AND NOT (s > 0 AND {fits('greatest(s - 1, 0)')}))) ELSE 0 END")
 
 
 def _positions(array: str, least: int) -> str:
@@ -92,36 +110,35 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
                   least: float = LEAST, block_seeds: int = BLOCK_SEEDS, fold: bool = False) -> DataFrame:
     """A row per contaminated document row and item: the document's ``id`` and ``digest`` (MD5 of
     the text), ``item``, ``start`` (the first word of the item laid over the document, counted in all
-    its words; below 0 if the item begins before it), ``n_equal`` words of ``n_item``, and ``n_seeds``
-    verified hits.  ``fold`` compares words without case and punctuation."""
+    its words; below 0 if the item begins before it), ``n_equal`` words of ``n_item``, and ``n_seeds``.  ``fold`` compares words without case and punctuation."""
     items = materialize(
         benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col), fold).alias("item_words")).distinct()
                  .withColumn("n_item", F.size("item_words")).where(F.col("n_item") >= MIN_WORDS)
                  .withColumn("item_no", F.xxhash64("item", "item_words")), "decon-items")
-    short = [r[0] for r in items.where(F.col("n_item") < SPAN).select("n_item").distinct().orderBy("n_item").collect()]  # 4 rows at most
-    masks = [*MASKS, *("1" * n for n in short)]
-    fits = " ".join(f"WHEN {k} THEN n_item {'>=' if k < len(MASKS) else '='} {len(m)}" for k, m in enumerate(masks))
-    seeds = (items.select("item_no", "item_words", "n_item", F.explode(F.expr(_positions("item_words", MIN_WORDS))).alias("p"))
-                  .select("item_no", "item_words", "n_item", "p", F.posexplode(F.array(*(F.expr(_hash(m, k, "item_words", "p")) for k, m in enumerate(masks)))).alias("mask", "seed"))
-                  .where("seed IS NOT NULL").where(f"CASE mask {fits} END")
-                  .select("item_no", "n_item", "p", "mask", "seed",
-                          F.expr(f"CASE WHEN p > 0 THEN {_any_hash(masks, 'item_words', 'p - 1')} END").alias("before")))
+    lengths = [r[0] for r in items.select(F.least("n_item", F.lit(max(window, SPAN)))).distinct().collect()]  # as many as a window has words at most
+    run_of = {n: run_length(n, window, least) for n in sorted(lengths)}
+    runs = sorted(set(run_of.values())) or [SPAN]
+    run = "CASE least(n_item, {}) {} END".format(max(window, SPAN), " ".join(f"WHEN {n} THEN {r}" for n, r in run_of.items()) or "WHEN 0 THEN 0")
+    seeds = (items.withColumn("run", F.expr(run))
+                  .select("item_no", "item_words", "n_item", "run", F.explode(F.expr("sequence(0, n_item - run)")).alias("p"))
+                  .select("item_no", "n_item", "p", "run", F.expr(_any_hash(runs, "item_words", "p")).alias("seed"),
+                          F.expr(f"CASE WHEN p > 0 THEN {_any_hash(runs, 'item_words', 'p - 1')} END").alias("before")))
     total = seeds.count()
     docs = (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .select("id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"), _words(F.col("text"), fold).alias("words"),
                       (_places(F.col("text")) if fold else F.lit(None).cast("array<int>")).alias("places")))
-    probes = (docs.select("id", "digest", "words", "places", F.explode(F.expr(_positions("words", MIN_WORDS))).alias("q"))
+    probes = (docs.select("id", "digest", "words", "places", F.explode(F.expr(_positions("words", runs[0]))).alias("q"))
                   .select("id", "digest", "words", "places", "q",
-                          F.explode(F.array(*(F.expr(_hash(m, k, "words", "q")) for k, m in enumerate(masks)))).alias("seed")))
+                          F.explode(F.array(*(F.expr(_hash(r, "words", "q")) for r in runs))).alias("seed")).where("seed IS NOT NULL"))
     blocks = max(1, math.ceil(total / block_seeds))
-    found = [_verified(probes, seeds, items, masks, b, blocks, window, least) for b in range(blocks)]
+    found = [_verified(probes, seeds, items, runs, b, blocks, window, least) for b in range(blocks)]
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return out
 
 
-def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequence[str], block: int, blocks: int,
+def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, runs: Sequence[int], block: int, blocks: int,
               window: int, least: float) -> DataFrame:
     mine = F.pmod(F.col("item_no"), F.lit(blocks)) == block
     table = F.broadcast(seeds.where(mine))
@@ -129,8 +146,8 @@ def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequ
     # from here on a hit carries the words beside the item, not the whole text
     first = "greatest(q - p, 0)"
     hits = (probes.join(table, "seed")
-                  .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(masks, 'words', '(q - 1)')}")
-                  .select("id", "digest", "item_no", "n_item", F.expr("if(q < p, q - p, coalesce(get(places, q - p), q - p))").alias("start"),
+                  .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(runs, 'words', '(q - 1)')}")
+                  .select("id", "digest", "item_no", "n_item", (F.col("q") - F.col("p")).alias("laid"), F.expr("if(q < p, q - p, coalesce(get(places, q - p), q - p))").alias("start"),
                           F.expr(f"slice(words, {first} + 1, q - p + n_item - {first})").alias("beside"),
                           F.expr(f"{first} - (q - p)").alias("missing")))
     laid = (hits.join(texts, F.col("item_no") == F.col("no"))
@@ -139,10 +156,14 @@ def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, masks: Sequ
                 .withColumn("best", F.expr("array_max(transform(sequence(0, n_item - width), "
                                            "s -> aggregate(slice(equal, s + 1, width), 0, (a, x) -> a + x)))")))
     ok = F.col("best") >= F.ceil(F.lit(least) * F.col("width"))
+    # several hits may have found one overlap
     return (laid.where(ok).withColumn("n_equal", F.expr("aggregate(equal, 0, (a, x) -> a + x)"))
+                .withColumn("n_seeds", F.expr(" + ".join(map(_mask_runs, MASKS))))
+                .groupBy("id", "digest", "item_no", "laid")
+                .agg(*(F.first(c).alias(c) for c in ("item", "start", "n_equal", "n_item", "n_seeds")))
                 .groupBy("id", "digest", "item_no")
                 .agg(F.first("item").alias("item"), F.min("start").alias("start"), F.max("n_equal").cast("long").alias("n_equal"),
-                     F.first("n_item").cast("long").alias("n_item"), F.count(F.lit(1)).alias("n_seeds"))
+                     F.first("n_item").cast("long").alias("n_item"), F.sum("n_seeds").cast("long").alias("n_seeds"))
                 .drop("item_no"))
 
 

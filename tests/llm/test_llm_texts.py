@@ -1,6 +1,7 @@
 """Tokens, substring dedup, quality rules and decontamination against brute force."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from encore.llm.decontam import drop_contaminated, find_overlaps
+from encore.llm.decontam import drop_contaminated, find_overlaps, run_length
 from encore.llm.pieces import Encoder, encode_decode, load_pieces
 from encore.llm.quality_llr import judge, ratio_table
 from encore.llm.queries import PIECE_MODEL, QUERIES, TOKENIZERS
@@ -263,6 +264,24 @@ def test_decontamination_edges(spark):
         assert find_overlaps(docs, ben).count() == 0 and drop_contaminated(docs, ben).count() == docs.count()
 
 
+def test_every_permitted_overlap_has_a_run(spark):
+    """All placements of the permitted substitutions in items of 12 to 20 words leave a run of seed length, and all overlaps are found."""
+    rows, items, rnd = [], [], random.Random(8)
+    for n in range(12, 26):
+        width = min(n, 20)
+        changes = width - math.ceil(0.8 * width)
+        placed = list(itertools.combinations(range(width), changes))
+        for at in placed:
+            cuts = [-1, *at, width]
+            assert max(b - a - 1 for a, b in itertools.pairwise(cuts)) >= run_length(n)
+        words = [f"n{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for at in rnd.sample(placed, 25):
+            rows.append((1000 * n + len(rows), " ".join(["x", *("zzz" if k in at or k >= width else w for k, w in enumerate(words)), "y"])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.id, r.item) for r in find_overlaps(frame(spark, rows), benchmark).collect()} == {(i, i // 1000) for i, _ in rows}
+
+
 def test_folded_words(spark):
     """Capitals, changed punctuation and lone punctuation do not hide a passage."""
     words = "the straße of seven bridges, where nobody's boat has ever been seen twice in one summer night by two people".split()
