@@ -10,7 +10,7 @@ Rows with the same word sequence form a node, so copies are never compared.
    into blocks, and each pair of blocks is a unit, so no task ever holds more than two
    blocks, however large a group is.  A pair of nodes that meets in several bands is
    dealt with in the first of them only; nodes without such a pair leave the unit.
-4. *Verification*: the texts of the nodes that are left are joined in, and the exact
+4. *Verification*: the texts of the nodes that are left are joined in by node, and the exact
    Jaccard similarity of their full shingle sets decides.  A unit returns one row per
    node, the number of rows linked to it and the smallest node of its links' component
    within the unit, never the pairs.
@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.components import components
@@ -247,6 +247,18 @@ def _verified(n: int, threshold: float, bands: int):
     return run
 
 
+def _node(text: Column) -> Column:
+    """``_digest`` of the text's words as a column."""
+    words = F.btrim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+", " "), F.lit(" "))
+    return F.substring(F.unhex(F.sha2(words.cast("binary"), 256)), 1, 16)
+
+
+def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """``node`` and ``text``, one row per node, of the rows with a needed id, however often ids and texts repeat."""
+    wanted = docs.join(broadcast_within(needed, BROADCAST_IDS), "id", "left_semi")
+    return wanted.select(_node(F.col("text")).alias("node"), "text").dropDuplicates(["node"])
+
+
 def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float, block: int) -> DataFrame:
     """``id``, ``node``, ``class_id``, ``n_links`` of every row."""
     bands, rows = choose_bands(threshold, recall)
@@ -267,8 +279,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: fl
     pairs = placed.repartition(*dealt).sortWithinPartitions(*dealt)
     left = materialize(pairs.mapInArrow(_left_in_unit(bands), pairs.schema), "join-left")
     needed = materialize(left.select(F.col("rep").alias("id")).distinct(), "join-needed")
-    wanted = docs.join(broadcast_within(needed, BROADCAST_IDS), "id", "left_semi")
-    ready = (left.join(wanted.withColumnRenamed("id", "rep"), "rep").select(*dealt, "block", "band", "node", "copies", "bands", "text")
+    ready = (left.join(_texts(docs, needed), "node").select(*dealt, "block", "band", "node", "copies", "bands", "text")
                  .repartition(*dealt).sortWithinPartitions(*dealt))
     found = materialize(ready.mapInArrow(_verified(n, threshold, bands), "node binary, links long, root binary"), "join-links")
     release(buckets, left, needed)
@@ -310,7 +321,6 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: i
     single = docs.where(key.isNotNull()).join(listed, key.cast("long") == F.col("id"), "left_anti")
     repeated = (docs.join(broadcast_within(odd.where("stays"), BROADCAST_IDS), key.cast("long") == F.col("id"))
                     .dropDuplicates(["id"]).select(*names))
-    words = F.btrim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[ \t\n\x0B\f\r]+", " "), F.lit(" "))
-    unnamed = (docs.where(key.isNull()).withColumn("digest", F.substring(F.unhex(F.sha2(words.cast("binary"), 256)), 1, 16))
+    unnamed = (docs.where(key.isNull()).withColumn("digest", _node(text))
                    .join(nameless, F.col("digest") == F.col("node")).dropDuplicates(["digest"]).select(*names))
     return single.unionByName(repeated).unionByName(unnamed).toDF(*df.columns)

@@ -11,7 +11,7 @@ import pytest
 
 from encore.llm import decontam, pieces, quality_gam
 from encore.llm.components import components
-from encore.llm.ngram_join import choose_bands, keep_one, near_duplicates
+from encore.llm.ngram_join import _digest, _texts, choose_bands, keep_one, near_duplicates
 from encore.llm.quality_gam import FEATURES, Model, filter_good, fit, score, text_features, train
 from encore.llm.queries import PIECE_MODEL, QUERIES, TOKENIZERS
 
@@ -102,6 +102,18 @@ def test_near_duplicate_edges(spark):
     assert near_duplicates(empty).count() == 0 and keep_one(empty).count() == 0
 
 
+def test_repeated_rows_with_near_duplicates(spark):
+    """Rows that repeat an id and text, and an id with many similar texts, are each counted once."""
+    text, near = near_group(3, 1, changes=0)[0], near_group(3, 1, changes=0)[0] + " end"
+    hot = near_group(5, 40)
+    rows = [(7, text), (7, text), (10, near), *((5, t) for t in hot), (5, hot[0]), (6, hot[1])]
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in near_duplicates(frame(spark, rows), block=8).collect())
+    assert got == Counter((i, *c) for (i, _), c in zip(rows, brute_classes(rows), strict=True))
+    docs = spark.createDataFrame(rows, "id long, text string")
+    texts = _texts(docs, docs.select("id").distinct()).collect()
+    assert Counter(r.node for r in texts) == Counter({_digest(t.encode().split()) for _, t in rows})
+
+
 def test_components_of_random_graphs(spark):
     for seed in range(3):
         rnd = random.Random(seed)
