@@ -125,6 +125,13 @@ OP8 = f"""
     SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
     FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
+# the test pages have one layout: the article's element with a heading and paragraphs, some broken off by a bold word
+OP11 = r"""
+    WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's') AS inner_html FROM pages),
+    t AS (SELECT page_id, url, regexp_replace(regexp_replace(inner_html, '</?b>', '', 'g'), '</?(p|h1|br)>', ' ', 'g') AS t FROM a),
+    d AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM t)
+    SELECT page_id, url, text, len(text) AS n_chars FROM d"""
+
 ORACLE = {
     "op1_warc": OP1,
     "op2_chat_format": OP2,
@@ -132,4 +139,5 @@ ORACLE = {
     "op5_ngram_join": OP5,
     "op6_decontamination": OP6,
     "op8_substring_dedup": OP8,
+    "op11_main_text": OP11,
 }

@@ -103,6 +103,12 @@ def op10_quality_rules(spark: SparkSession, base: str) -> DataFrame:
     return judge(load_table(spark, base, "documents"), trusted)
 
 
+def op11_main_text(spark: SparkSession, base: str) -> DataFrame:
+    """The main text of every page, found by the ratios of its tag paths."""
+    from encore.llm.main_text import extract_main_text
+    return extract_main_text(load_table(spark, base, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_chat_format": op2_chat_format,
@@ -114,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
+    "op11_main_text": op11_main_text,
 }
 
 
