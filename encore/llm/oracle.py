@@ -132,6 +132,27 @@ OP11 = r"""
     d AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(replace(t, '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM t)
     SELECT page_id, url, text, len(text) AS n_chars FROM d"""
 
+# every prefix of every rebuilt conversation, by its turns themselves; CRC-32 bit by bit
+OP13 = """
+    WITH o AS (SELECT conv_id AS c, list([coalesce(role, ''), coalesce(text, '')] ORDER BY turn NULLS FIRST) AS t
+               FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    h AS (SELECT c, t, xor(4294967295, list_reduce(
+              list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))),
+              lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 9 AS h FROM o),
+    r AS (SELECT h.c, list_concat(coalesce(b.t[1:h.h], []), h.t[h.h + 1:]) AS t FROM h LEFT JOIN o AS b ON b.c = h.c - h.c % 5),
+    p AS (SELECT c, t, unnest(range(0, len(t) + 1)) AS depth FROM r),
+    k AS (SELECT c, depth, t[1:depth] AS node, len(t) = depth AS at_end, CASE WHEN depth > 0 THEN strlen(t[depth][2]) ELSE 0 END AS bytes FROM p),
+    n AS (SELECT node, depth, min(c) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes,
+                 sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (at_end), '')) AS ends_sha256
+          FROM k GROUP BY node, depth),
+    children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+    full_n AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN children USING (node)),
+    over AS (SELECT n_children, n_convs, bytes, node, unnest(range(0, depth + 1)) AS d FROM full_n),
+    sums AS (SELECT node[1:d] AS node, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+             FROM over GROUP BY ALL)
+    SELECT f.conv_id, f.depth, u.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+    FROM full_n AS f JOIN sums USING (node) LEFT JOIN n AS u ON f.depth > 0 AND u.node = f.node[1:f.depth - 1]"""
+
 ORACLE = {
     "op1_warc": OP1,
     "op2_chat_format": OP2,
@@ -140,4 +161,5 @@ ORACLE = {
     "op6_decontamination": OP6,
     "op8_substring_dedup": OP8,
     "op11_main_text": OP11,
+    "op13_prefix_trie": OP13,
 }

@@ -109,6 +109,13 @@ def op11_main_text(spark: SparkSession, base: str) -> DataFrame:
     return extract_main_text(load_table(spark, base, "pages"))
 
 
+def op13_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
+    """Every node of the prefix trie of the conversations, which share first turns within families of five."""
+    from encore.llm.prefix_trie import fork, ordered_turns, prefix_trie
+    from encore.sources.scratch import materialize
+    return prefix_trie(fork(materialize(ordered_turns(load_table(spark, base, "conversations")), "trie-turns")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_chat_format": op2_chat_format,
@@ -121,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
     "op11_main_text": op11_main_text,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 
