@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from encore.llm.oracle import ORACLE
 from encore.sources.tables import load_table
 
-#: Where the public tokenizers' files are; the model is read by the driver only.
+#: Files of the public tokenizers; they are read by the driver only.
+PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
 TOKENIZERS = "/opt/tokenizers"
-PIECE_MODEL = "piece_bpe_32k.model"
 
 #: Site rules for the pages' urls.
 SITE_RULES = (
@@ -31,6 +31,12 @@ BLOCK_PATTERNS = (
 SHARDS = tuple(f"shard-{k:04d}" for k in range(512))
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file is on the driver."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op1_warc(spark: SparkSession, base: str) -> DataFrame:
     """Archive every page as a WARC record, read the archive back, describe each rebuilt record."""
     from encore.llm.warc import read_archive, write_archive
@@ -92,7 +98,7 @@ def op8_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, base: str) -> DataFrame:
     """Encode and decode every text with the public 32k BPE model."""
     from encore.llm.pieces import encode_decode, load_pieces
-    return encode_decode(load_table(spark, base, "documents"), load_pieces(f"{TOKENIZERS}/{PIECE_MODEL}"),
+    return encode_decode(load_table(spark, base, "documents"), load_pieces(tokenizer_path(PIECE_MODEL)),
                          outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
@@ -116,6 +122,13 @@ def op13_prefix_trie(spark: SparkSession, base: str) -> DataFrame:
     return prefix_trie(fork(materialize(ordered_turns(load_table(spark, base, "conversations")), "trie-turns")))
 
 
+def op12_token_alignment(spark: SparkSession, base: str) -> DataFrame:
+    """Groups and weighted links between the tokens of two public tokenizers, for every document."""
+    from encore.llm.alignment import load_tokenizers, score_alignment
+    models = load_tokenizers(tokenizer_path(BYTE_MODEL), tokenizer_path(PIECE_MODEL))
+    return score_alignment(load_table(spark, base, "documents"), models)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_chat_format": op2_chat_format,
@@ -128,8 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality_rules": op10_quality_rules,
     "op11_main_text": op11_main_text,
+    "op12_token_alignment": op12_token_alignment,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
 
-__all__ = ["QUERIES", "ORACLE", "PIECE_MODEL", "TOKENIZERS", "SITE_RULES", "BLOCK_PATTERNS", "SHARDS"]
+__all__ = ["QUERIES", "ORACLE", "PIECE_MODEL", "BYTE_MODEL", "TOKENIZERS", "tokenizer_path", "SITE_RULES", "BLOCK_PATTERNS", "SHARDS"]

@@ -13,7 +13,7 @@ from encore.llm import decontam, pieces, quality_gam
 from encore.llm.components import components
 from encore.llm.ngram_join import _digest, _texts, choose_bands, keep_one, near_duplicates
 from encore.llm.quality_gam import FEATURES, Model, filter_good, fit, score, text_features, train
-from encore.llm.queries import PIECE_MODEL, QUERIES, TOKENIZERS
+from encore.llm.queries import PIECE_MODEL, QUERIES, tokenizer_path
 
 from conftest import MEDIUM, SMALL
 from llm.test_llm_texts import EDGES, brute_overlaps, brute_substrings, documents, frame
@@ -214,7 +214,7 @@ def test_pipeline_matches_brute_force(spark):
     items = {r.item_id: r.text.split() for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").collect()}
     bad = {i for i, _ in brute_overlaps(kept, items)}
     kept = [(i, t) for i, t in kept if i not in bad]
-    encoder = pieces.Encoder(pieces.load_pieces(f"{TOKENIZERS}/{PIECE_MODEL}"))
+    encoder = pieces.Encoder(pieces.load_pieces(tokenizer_path(PIECE_MODEL)))
     ids = encoder.encode_batch([t for _, t in kept])
     want = {i: (len(b) // 4, b, hashlib.sha256(encoder.decode(b).encode()).hexdigest()) for (i, _), b in zip(kept, ids, strict=True)}
     got = {r.doc_id: (r.n_tokens, bytes(r.ids), r.decoded_sha256) for r in corpus_pipeline.run(spark, MEDIUM).collect()}

@@ -14,12 +14,12 @@ import sentencepiece
 from encore.llm.decontam import drop_contaminated, find_overlaps, run_length
 from encore.llm.pieces import Encoder, encode_decode, load_pieces
 from encore.llm.quality_llr import judge, ratio_table
-from encore.llm.queries import PIECE_MODEL, QUERIES, TOKENIZERS
+from encore.llm.queries import PIECE_MODEL, QUERIES, tokenizer_path
 from encore.llm.substring import _sliding_argmin, duplicate_spans, kept_digest, remove_spans
 
 from conftest import MEDIUM, SMALL
 
-MODEL = f"{TOKENIZERS}/{PIECE_MODEL}"
+MODEL = tokenizer_path(PIECE_MODEL)
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 EDGES = [None, "", " ", "\n", "a", " a  b\tc\x0bd\x0ce\rf\n", "é x\x85y\x1cz", "one " * 30_000, "x" * 30_000, "a b c " * 40]
 
