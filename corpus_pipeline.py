@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import decontam, ngram_join, pieces, quality_gam, substring
-from encore.llm.queries import PIECE_MODEL, TOKENIZERS
+from encore.llm.queries import PIECE_MODEL, tokenizer_path
 from encore.sources.scratch import materialize, release
 from encore.sources.tables import load_table
 
@@ -43,7 +43,7 @@ def drop_benchmark_overlaps(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every text, with the digest of what they decode to."""
-    model = pieces.load_pieces(f"{TOKENIZERS}/{PIECE_MODEL}")
+    model = pieces.load_pieces(tokenizer_path(PIECE_MODEL))
     return pieces.encode_decode(docs, model, outputs=("n_tokens", "ids", "decoded_sha256"))
 
 
