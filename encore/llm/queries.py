@@ -17,7 +17,6 @@ from encore.sources.tables import load_table
 
 #: Files of the public tokenizers; they are read by the driver only.
 PIECE_MODEL, BYTE_MODEL = "piece_bpe_32k.model", "byte_bpe_50k.json"
-TOKENIZERS = "/opt/tokenizers"
 
 #: Site rules for the pages' urls.
 SITE_RULES = (
@@ -146,4 +145,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-__all__ = ["QUERIES", "ORACLE", "PIECE_MODEL", "BYTE_MODEL", "TOKENIZERS", "tokenizer_path", "SITE_RULES", "BLOCK_PATTERNS", "SHARDS"]
+__all__ = ["QUERIES", "ORACLE", "PIECE_MODEL", "BYTE_MODEL", "tokenizer_path", "SITE_RULES", "BLOCK_PATTERNS", "SHARDS"]
