@@ -1,24 +1,25 @@
-"""Benchmark decontamination by verified seeds.
+"""Benchmark decontamination by spaced seeds.
 
 A document is contaminated by an item if some ``window`` consecutive words of the item
 (all of a shorter item) equal the document's words beside them but for at most a share
-``1 - least`` of substitutions.  However the permitted substitutions fall, they leave
-some number of equal words in a row (``run_length``; 4 for 16 of 20 words).  Runs of that
-many words of every document and benchmark item are hashed, and equal hashes are hits, so
-every permitted overlap has one.  Around a hit the item is laid over the document without
+``1 - least`` of substitutions.  A mask is a row of places of which some are ignored; the
+words at the others are hashed at every place of every document and item, and equal hashes
+are hits.  The masks for each length of item are chosen so that wherever the permitted
+substitutions fall, at least one mask fits between them (an exhaustive test shows it), so
+every permitted overlap has a hit.  Around a hit the item is laid over the document without
 gaps, and the overlap is verified word by word.
 
-Only DataFrame functions.  The positions of a document are generated and probed
-against a broadcast table of the benchmark's seeds inside one stage, so neither
-positions nor hashes of documents are shuffled; only verified overlaps are.  A
-benchmark with more than ``block_seeds`` seeds is dealt with in blocks of items, each
-broadcast in turn, which bounds the broadcast whatever the benchmark's size (an item
-longer than a block is still one block).  A hit that continues the previous one on the
-same diagonal is dropped before verification.
+Only DataFrame functions.  Places of documents are generated and hashed in one pass.  With up to
+``BROADCAST_SEEDS`` seeds of the benchmark they are probed against a broadcast table inside that
+stage, and a hit carries the words beside the item, so nothing of a document is shuffled
+but verified overlaps.  Beyond it, the same pass drops the places whose hash is not
+in a bitmap of the seeds (its size is a parameter, whatever the benchmark's), the rest meets the
+seeds in a shuffled join, and hits go back to their documents once per diagonal.  A hit that
+continues the previous one of its mask on the same diagonal is dropped before verification.
 
-Items of ``MIN_WORDS`` to ``SPAN - 1`` words are sought whole, by a run of all their words;
-shorter ones are ignored, since chance equals them.  ``n_seeds`` counts the spaced masks
-``MASKS`` that a verified overlap meets, and may be 0.
+Items of ``MIN_WORDS`` to 7 words are sought whole, without substitutions; shorter ones are
+ignored, since chance equals them.  ``n_seeds`` counts the places where a mask of the item fits
+the equal words of its verified overlaps.
 
 With ``fold``, as the registered query and the pipeline run it, words are compared without
 case and without characters that are no letters, marks or digits, on both sides; a word of
@@ -26,8 +27,9 @@ such characters alone does not count.  Without it words are compared as they are
 
 Edge cases: a null text has no words; documents with a null or repeated id are judged
 row by row (rows are told apart by their id and the text's digest, and equal rows get
-equal results); items that repeat an id are items of their own under that id; an empty
-benchmark or table gives no overlaps; ``drop_contaminated`` keeps all other columns.
+equal results); items that repeat an id are items of their own under that id; a phrase that many
+items and documents share is verified for each of them (no cap), but only where all words of a mask
+agree; an empty benchmark or table gives no overlaps; ``drop_contaminated`` keeps all other columns.
 """
 
 from __future__ import annotations
@@ -41,14 +43,22 @@ from pyspark.sql import functions as F
 from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize
 
-#: What ``n_seeds`` counts; 1: the word must be equal, 0: it may differ.
-MASKS = ("110110101011", "111001011011", "101101110101")
-SPAN = 12
-MIN_WORDS = 8
 #: Verified overlap: words, and the share of them that must be equal.
 WINDOW, LEAST = 20, 0.8
-#: Seeds of the benchmark in one broadcast table.
-BLOCK_SEEDS = 500_000
+#: Words of an item, the least, and the masks sought for it; 1: the word must be equal, 0: it may differ.
+#: They fit all overlaps that ``WINDOW`` and ``LEAST`` permit for items of that many words up to the next line.
+MASKS = (
+    (15, ("1101111", "111010011", "11101000011")),
+    (8, ("111011", "11010011", "11100101")),
+)
+#: Items below the masks' lengths are sought whole, down to this many words.
+MIN_WORDS = 4
+#: Seeds of the benchmark that are sent to all executors at most (some 60 bytes each).
+BROADCAST_SEEDS = 1_000_000
+#: Bits of the bitmap of seeds beyond that: 16 MB in all.
+BITMAP_BITS = 1 << 27
+#: Items that are sent to all executors at most; more are joined by a shuffle.
+BROADCAST_ITEMS = 100_000
 #: Contaminated rows whose ids and digests are sent to all executors at most (some 50 bytes
 #: each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -74,40 +84,41 @@ def _places(text: Column) -> Column:
     return F.when(alone, kept)
 
 
-def run_length(n: int, window: int = WINDOW, least: float = LEAST) -> int:
-    """Equal words in a row that any permitted overlap with an item of ``n`` words has at least."""
+def masks_for(n: int, window: int = WINDOW, least: float = LEAST) -> tuple[str, ...]:
+    """Masks of which one fits every permitted overlap with an item of ``n`` words."""
+    lowest = MASKS[-1][0]
+    if n < lowest:
+        return ("1" * n,) if n >= MIN_WORDS else ()
+    if (window, least) == (WINDOW, LEAST):
+        return next(masks for size, masks in MASKS if n >= size)
+    # other rules: the equal words in a row that the substitutions leave at least
     width = min(n, window)
-    if n < SPAN:
-        return n
     equal = max(1, math.ceil(least * width))
-    return math.ceil(equal / (width - equal + 1))
+    return ("1" * math.ceil(equal / (width - equal + 1)),)
 
 
-def _hash(run: int, array: str, at: str) -> str:
-    kept = ", ".join(f"get({array}, {at} + {k})" for k in range(run))
-    return f"CASE WHEN {at} + {run} <= size({array}) THEN xxhash64({run}, {kept}) END"
+def _hash(number: int, mask: str, array: str, at: str) -> str:
+    kept = ", ".join(f"get({array}, {at} + {k})" for k, c in enumerate(mask) if c == "1")
+    return f"CASE WHEN {at} + {len(mask)} <= size({array}) THEN xxhash64({number}, {kept}) END"
 
 
-def _any_hash(runs: Sequence[int], array: str, at: str) -> str:
-    """The hash at a position of the run of length ``run``."""
-    return "CASE run " + " ".join(f"WHEN {r} THEN {_hash(r, array, at)}" for r in runs) + " END"
+def _any_hash(masks: Sequence[str], array: str, at: str) -> str:
+    """The hash at a place under the mask number ``mask``."""
+    return "CASE mask " + " ".join(f"WHEN {k} THEN {_hash(k, m, array, at)}" for k, m in enumerate(masks)) + " END"
 
 
-def _mask_runs(mask: str) -> str:
-    """How often the mask fits the equal words of an overlap, a fit that continues the one a word before not counted."""
-    def fits(at: str) -> str:
-        return " AND ".join(f"equal[{at} + {k}] = 1" for k, c in enumerate(mask) if c == "1")
-    return (f"CASE WHEN n_item >= {len(mask)} THEN size(filter(sequence(0, n_item - {len(mask)}), "
-            f"s -> {fits('s')} AND NOT (s > 0 AND {fits('greatest(s - 1, 0)')}))) ELSE 0 END")
-
-
-def _positions(array: str, least: int) -> str:
-    return f"CASE WHEN size({array}) >= {least} THEN sequence(0, size({array}) - {least}) END"
+def _fits(masks: Sequence[str]) -> str:
+    """At how many places the item's masks fit its equal words."""
+    def fit(mask: str) -> str:
+        each = " AND ".join(f"equal[s + {k}] = 1" for k, c in enumerate(mask) if c == "1")
+        return f"size(filter(sequence(0, n_item - {len(mask)}), s -> {each}))"
+    each = [f"CASE WHEN array_contains(masks, {k}) THEN {fit(m)} ELSE 0 END" for k, m in enumerate(masks)]
+    return " + ".join(each) or "0"
 
 
 def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
-                  least: float = LEAST, block_seeds: int = BLOCK_SEEDS, fold: bool = False) -> DataFrame:
+                  least: float = LEAST, broadcast_seeds: int = BROADCAST_SEEDS, fold: bool = False) -> DataFrame:
     """A row per contaminated document row and item: the document's ``id`` and ``digest`` (MD5 of
     the text), ``item``, ``start`` (the first word of the item laid over the document, counted in all
     its words; below 0 if the item begins before it), ``n_equal`` words of ``n_item``, and ``n_seeds``.  ``fold`` compares words without case and punctuation."""
@@ -115,50 +126,72 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
         benchmark.select(F.col(item_col).alias("item"), _words(F.col(item_text_col), fold).alias("item_words")).distinct()
                  .withColumn("n_item", F.size("item_words")).where(F.col("n_item") >= MIN_WORDS)
                  .withColumn("item_no", F.xxhash64("item", "item_words")), "decon-items")
-    lengths = [r[0] for r in items.select(F.least("n_item", F.lit(max(window, SPAN)))).distinct().collect()]  # as many as a window has words at most
-    run_of = {n: run_length(n, window, least) for n in sorted(lengths)}
-    runs = sorted(set(run_of.values())) or [SPAN]
-    run = "CASE least(n_item, {}) {} END".format(max(window, SPAN), " ".join(f"WHEN {n} THEN {r}" for n, r in run_of.items()) or "WHEN 0 THEN 0")
-    seeds = (items.withColumn("run", F.expr(run))
-                  .select("item_no", "item_words", "n_item", "run", F.explode(F.expr("sequence(0, n_item - run)")).alias("p"))
-                  .select("item_no", "n_item", "p", "run", F.expr(_any_hash(runs, "item_words", "p")).alias("seed"),
-                          F.expr(f"CASE WHEN p > 0 THEN {_any_hash(runs, 'item_words', 'p - 1')} END").alias("before")))
-    total = seeds.count()
+    longest = max(window, MASKS[0][0])
+    lengths = sorted(r[0] for r in items.select(F.least("n_item", F.lit(longest))).distinct().collect())  # as many as a window has words at most
+    of = {n: masks_for(n, window, least) for n in lengths}
+    masks = sorted({m for own in of.values() for m in own})
+    if not masks:
+        masks, of = ["1"], {0: ()}
+    own = " ".join(f"WHEN {n} THEN array({', '.join(str(masks.index(m)) for m in ms)})" for n, ms in of.items())
+    items = items.withColumn("masks", F.expr(f"CASE least(n_item, {longest}) {own} END"))
+    spans = f"array({', '.join(str(len(m)) for m in masks)})"
+    seeds = materialize(
+        items.select("item_no", "item_words", "n_item", F.explode("masks").alias("mask"))
+             .select("item_no", "item_words", "n_item", "mask", F.explode(F.expr(f"sequence(0, n_item - {spans}[mask])")).alias("p"))
+             .select("item_no", "n_item", "p", "mask", F.expr(_any_hash(masks, "item_words", "p")).alias("seed"),
+                     F.expr(f"CASE WHEN p > 0 THEN {_any_hash(masks, 'item_words', 'p - 1')} END").alias("before")), "decon-seeds")
     docs = (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
               .select("id", F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("digest"), _words(F.col("text"), fold).alias("words"),
                       (_places(F.col("text")) if fold else F.lit(None).cast("array<int>")).alias("places")))
-    probes = (docs.select("id", "digest", "words", "places", F.explode(F.expr(_positions("words", runs[0]))).alias("q"))
-                  .select("id", "digest", "words", "places", "q",
-                          F.explode(F.array(*(F.expr(_hash(r, "words", "q")) for r in runs))).alias("seed")).where("seed IS NOT NULL"))
-    blocks = max(1, math.ceil(total / block_seeds))
-    found = [_verified(probes, seeds, items, runs, b, blocks, window, least) for b in range(blocks)]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
-
-
-def _verified(probes: DataFrame, seeds: DataFrame, items: DataFrame, runs: Sequence[int], block: int, blocks: int,
-              window: int, least: float) -> DataFrame:
-    mine = F.pmod(F.col("item_no"), F.lit(blocks)) == block
-    table = F.broadcast(seeds.where(mine))
-    texts = F.broadcast(items.where(mine).select(F.col("item_no").alias("no"), "item", "item_words"))
+    shortest = min(map(len, masks))
+    probes = (docs.select("id", "digest", "words", "places", F.explode(F.expr(
+                  f"CASE WHEN size(words) >= {shortest} THEN sequence(0, size(words) - {shortest}) END")).alias("q"))
+              .select("id", "digest", "words", "places", "q",
+                      F.explode(F.array(*(F.expr(_hash(k, m, "words", "q")) for k, m in enumerate(masks)))).alias("seed")).where("seed IS NOT NULL"))
+    if seeds.count() <= broadcast_seeds:
+        hits = (probes.join(F.broadcast(seeds), "seed")
+                      .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(masks, 'words', '(q - 1)')}")
+                      .select("id", "digest", "words", "places", "item_no", "n_item", (F.col("q") - F.col("p")).alias("laid")))
+    else:
+        hits = _shuffled_hits(docs, probes, seeds)
+    return _verified(hits, items, masks, window, least)
+
+
+def _shuffled_hits(docs: DataFrame, probes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The hits of a large benchmark, one per document, item and diagonal, with the document's words."""
+    slot = F.pmod(F.col("seed"), F.lit(BITMAP_BITS)) + 1
+    bits = F.broadcast(seeds.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+                            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")))
+    byte = F.conv(F.hex(F.expr("substring(bits, CAST(bitmap_bit_position(slot) DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    maybe = (probes.select("id", "digest", "q", "seed", slot.alias("slot")).join(bits, F.bitmap_bucket_number("slot") == F.col("bucket"))
+                   .where(byte.bitwiseAND(F.expr("CAST(shiftleft(1, CAST(bitmap_bit_position(slot) % 8 AS INT)) AS INT)")) != 0)
+                   .select("id", "digest", "q", "seed"))
+    met = materialize(maybe.join(seeds.select("seed", "item_no", "n_item", "p"), "seed")
+                           .select("id", "digest", "item_no", "n_item", (F.col("q") - F.col("p")).alias("laid")).distinct(), "decon-hits")
+    held = broadcast_within(met.select(F.col("id").alias("h_id"), F.col("digest").alias("h_digest")).distinct().transform(
+        lambda d: materialize(d, "decon-held")), BROADCAST_IDS)
+    same = F.col("id").eqNullSafe(F.col("h_id")) & (F.col("digest") == F.col("h_digest"))
+    texts = docs.join(held, same, "left_semi").dropDuplicates(["id", "digest"])
+    return texts.join(met.withColumnsRenamed({"id": "h_id", "digest": "h_digest"}), same).select(
+        "id", "digest", "words", "places", "item_no", "n_item", "laid")
+
+
+def _verified(hits: DataFrame, items: DataFrame, masks: Sequence[str], window: int, least: float) -> DataFrame:
     # from here on a hit carries the words beside the item, not the whole text
-    first = "greatest(q - p, 0)"
-    hits = (probes.join(table, "seed")
-                  .where(f"before IS NULL OR q = 0 OR NOT before <=> {_any_hash(runs, 'words', '(q - 1)')}")
-                  .select("id", "digest", "item_no", "n_item", (F.col("q") - F.col("p")).alias("laid"), F.expr("if(q < p, q - p, coalesce(get(places, q - p), q - p))").alias("start"),
-                          F.expr(f"slice(words, {first} + 1, q - p + n_item - {first})").alias("beside"),
-                          F.expr(f"{first} - (q - p)").alias("missing")))
-    laid = (hits.join(texts, F.col("item_no") == F.col("no"))
-                .withColumn("equal", F.expr("transform(item_words, (w, k) -> CAST(coalesce(get(beside, k - missing) = w, false) AS int))"))
-                .withColumn("width", F.least(F.col("n_item"), F.lit(window)))
-                .withColumn("best", F.expr("array_max(transform(sequence(0, n_item - width), "
-                                           "s -> aggregate(slice(equal, s + 1, width), 0, (a, x) -> a + x)))")))
-    ok = F.col("best") >= F.ceil(F.lit(least) * F.col("width"))
+    first = "greatest(laid, 0)"
+    cut = hits.select("id", "digest", "item_no", "laid", F.expr("if(laid < 0, laid, coalesce(get(places, laid), laid))").alias("start"),
+                      F.expr(f"slice(words, {first} + 1, laid + n_item - {first})").alias("beside"), F.expr(f"{first} - laid").alias("missing"))
+    texts = broadcast_within(items.select(F.col("item_no").alias("no"), "item", "item_words", "n_item", "masks"), BROADCAST_ITEMS)
+    laid = (cut.join(texts, F.col("item_no") == F.col("no"))
+               .withColumn("equal", F.expr("transform(item_words, (w, k) -> CAST(coalesce(get(beside, k - missing) = w, false) AS int))"))
+               .withColumn("width", F.when(F.col("n_item") < MASKS[-1][0], F.col("n_item")).otherwise(F.least(F.col("n_item"), F.lit(window))))
+               .withColumn("best", F.expr("array_max(transform(sequence(0, n_item - width), "
+                                          "s -> aggregate(slice(equal, s + 1, width), 0, (a, x) -> a + x)))")))
+    share = F.when(F.col("n_item") < MASKS[-1][0], F.lit(1.0)).otherwise(F.lit(least))
+    ok = F.col("best") >= F.ceil(share * F.col("width"))
     # several hits may have found one overlap
     return (laid.where(ok).withColumn("n_equal", F.expr("aggregate(equal, 0, (a, x) -> a + x)"))
-                .withColumn("n_seeds", F.expr(" + ".join(map(_mask_runs, MASKS))))
+                .withColumn("n_seeds", F.expr(_fits(masks)))
                 .groupBy("id", "digest", "item_no", "laid")
                 .agg(*(F.first(c).alias(c) for c in ("item", "start", "n_equal", "n_item", "n_seeds")))
                 .groupBy("id", "digest", "item_no")

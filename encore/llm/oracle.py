@@ -6,7 +6,7 @@ every pair that shares a shingle, every masked position.
 
 from __future__ import annotations
 
-from encore.llm.decontam import LEAST, MASKS, MIN_WORDS, SPAN, WINDOW as OVERLAP
+from encore.llm.decontam import LEAST, MASKS, MIN_WORDS, WINDOW as OVERLAP
 
 _SPACE = r"[\x20\x09-\x0D]+"
 
@@ -88,30 +88,40 @@ OP5 = f"""
     SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM class LEFT JOIN links USING (doc_id)"""
 
 
-def _masked(words: str, at: str) -> str:
-    """The words at a position that each mask counts, or null where the mask does not fit."""
-    each = [f"CASE WHEN {at} + {SPAN} <= len({words}) THEN concat_ws(' ', "
-            + ", ".join(f"{words}[{at} + {k + 1}]" for k, c in enumerate(m) if c == "1") + ") END" for m in MASKS]
-    return f"[{', '.join(each)}]"
+def _folded(text: str) -> str:
+    """Words without case and punctuation, each with its place among all words."""
+    fold = r"regexp_replace(replace(lower(x), 'ß', 'ss'), '[^\p{L}\p{M}\p{N}]+', '', 'g')"
+    return f"list_filter(list_transform({_words(text)}, lambda x, i: {{'k': i - 1, 'w': {fold}}}), lambda e: e.w <> '')"
 
 
-# hits of the masks that do not continue the hit one word before, verified on the words beside the item
+def _fitting() -> str:
+    """At how many places the masks of an item's length fit the equal words."""
+    def fit(mask: str) -> str:
+        each = " AND ".join(f"eq[s + {k + 1}] = 1" for k, c in enumerate(mask) if c == "1")
+        return f"len(list_filter(range(0, n_item - {len(mask) - 1}), lambda s: {each}))"
+    return "CASE " + " ".join(f"WHEN n_item >= {n} THEN {' + '.join(map(fit, masks))}" for n, masks in MASKS) + " ELSE 1 END"
+
+
+# every way to lay an item over a document that shares three words in a row with it (16 equal words of 20 leave four,
+# the permitted changes of shorter items at least three), judged word by word; items below the masks' lengths are sought whole
 OP6 = f"""
-    WITH d AS (SELECT doc_id, {_words("text")} AS ws FROM documents),
-    i AS (SELECT DISTINCT item_id, {_words("text")} AS iw FROM benchmark),
-    dp AS (SELECT doc_id, q, unnest([1, 2, 3]) AS m, unnest({_masked("ws", "q")}) AS key
-           FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - {SPAN - 1})) AS q FROM d)),
-    ip AS (SELECT item_id, p, unnest([1, 2, 3]) AS m, unnest({_masked("iw", "p")}) AS key
-           FROM (SELECT item_id, iw, unnest(range(0, len(iw) - {SPAN - 1})) AS p FROM i WHERE len(iw) >= {MIN_WORDS})),
-    h AS (SELECT doc_id, item_id, q, p, m FROM dp JOIN ip USING (m, key)),
-    f AS (SELECT h.* FROM h ANTI JOIN h AS o ON o.doc_id = h.doc_id AND o.item_id = h.item_id AND o.m = h.m AND o.q = h.q - 1 AND o.p = h.p - 1),
-    v AS (SELECT f.doc_id, f.item_id, q - p AS start, len(iw) AS n_item, least(len(iw), {OVERLAP}) AS width,
-                 list_transform(range(0, len(iw)), lambda k: CASE WHEN q - p + k >= 0 AND ws[q - p + k + 1] = iw[k + 1] THEN 1 ELSE 0 END) AS eq
-          FROM f JOIN d USING (doc_id) JOIN i USING (item_id)),
-    ok AS (SELECT * FROM v WHERE list_max(list_transform(range(0, n_item - width + 1), lambda k: list_sum(eq[k + 1:k + width]))) >= ceil({LEAST} * width))
+    WITH d AS (SELECT doc_id, list_transform(e, lambda x: x.k) AS ks, list_transform(e, lambda x: x.w) AS ws
+               FROM (SELECT doc_id, {_folded("text")} AS e FROM documents)),
+    i AS (SELECT *, row_number() OVER () AS no FROM (
+              SELECT DISTINCT item_id, list_transform(e, lambda x: x.w) AS iw FROM (SELECT item_id, {_folded("text")} AS e FROM benchmark))
+          WHERE len(iw) >= {MIN_WORDS}),
+    dr AS (SELECT doc_id, q, ws[q + 1:q + 3] AS run FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 2)) AS q FROM d)),
+    ir AS (SELECT no, p, iw[p + 1:p + 3] AS run FROM (SELECT no, iw, unnest(range(0, len(iw) - 2)) AS p FROM i)),
+    c AS (SELECT DISTINCT doc_id, no, q - p AS laid FROM dr JOIN ir USING (run)),
+    v AS (SELECT doc_id, item_id, no, CASE WHEN laid < 0 THEN laid ELSE ks[laid + 1] END AS start, len(iw) AS n_item,
+                 CASE WHEN len(iw) < {MASKS[-1][0]} THEN len(iw) ELSE least(len(iw), {OVERLAP}) END AS width,
+                 list_transform(range(0, len(iw)), lambda k: CASE WHEN laid + k >= 0 AND ws[laid + k + 1] = iw[k + 1] THEN 1 ELSE 0 END) AS eq
+          FROM c JOIN d USING (doc_id) JOIN i USING (no)),
+    ok AS (SELECT * FROM v WHERE list_max(list_transform(range(0, n_item - width + 1), lambda k: list_sum(eq[k + 1:k + width])))
+                                 >= CASE WHEN n_item < {MASKS[-1][0]} THEN width ELSE ceil({LEAST} * width) END)
     SELECT doc_id, item_id, CAST(min(start) AS INTEGER) AS start_word, CAST(max(list_sum(eq)) AS BIGINT) AS n_equal,
-           max(n_item) AS n_item, count(*) AS n_seeds
-    FROM ok GROUP BY doc_id, item_id"""
+           max(n_item) AS n_item, CAST(sum({_fitting()}) AS BIGINT) AS n_seeds
+    FROM ok GROUP BY doc_id, item_id, no"""
 
 OP8 = f"""
     WITH w AS (SELECT doc_id, {_words("text")} AS ws FROM documents),

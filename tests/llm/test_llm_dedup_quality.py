@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from encore.llm import decontam, pieces, quality_gam
+from encore.llm import pieces, quality_gam
 from encore.llm.components import components
 from encore.llm.ngram_join import _digest, _texts, choose_bands, keep_one, near_duplicates
 from encore.llm.quality_gam import FEATURES, Model, filter_good, fit, score, text_features, train
@@ -232,4 +232,3 @@ def test_stages_keep_the_columns_and_survive_odd_rows(spark):
                 assert out.columns == docs.columns, name
             assert out.count() <= frames.count()
     assert corpus_pipeline.encode(spark, docs, SMALL).count() == len(rows)
-    assert decontam.SPAN == len(decontam.MASKS[0])

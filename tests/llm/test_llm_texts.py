@@ -5,13 +5,16 @@ import itertools
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 import sentencepiece
 
-from encore.llm.decontam import drop_contaminated, find_overlaps, run_length
+from encore.llm.decontam import LEAST, MASKS, WINDOW, drop_contaminated, find_overlaps, masks_for
+from encore.llm.oracle import OP6
 from encore.llm.pieces import Encoder, encode_decode, load_pieces
 from encore.llm.quality_llr import judge, ratio_table
 from encore.llm.queries import PIECE_MODEL, QUERIES, tokenizer_path
@@ -218,9 +221,9 @@ def brute_overlaps(rows, items):
                 diagonals[i, q - p] += 1
         for i, at in diagonals:
             m = items[i]
-            width = min(len(m), 20)
+            width = len(m) if len(m) < 8 else min(len(m), 20)
             equal = [int(0 <= at + k < len(w) and w[at + k] == m[k]) for k in range(len(m))]
-            if max(sum(equal[a:a + width]) for a in range(len(m) - width + 1)) >= math.ceil(0.8 * width):
+            if max(sum(equal[a:a + width]) for a in range(len(m) - width + 1)) >= (width if len(m) < 8 else math.ceil(0.8 * width)):
                 out.add((d, i))
     return out
 
@@ -238,8 +241,10 @@ def test_planted_passages(spark):
     df = frame(spark, rows)
     want = brute_overlaps(rows, items)
     got = {(r.id, r.item) for r in find_overlaps(df, benchmark).collect()}
-    assert got <= want and len(want - got) <= 0.01 * len(want)
-    assert {(r.id, r.item) for r in find_overlaps(df, benchmark, block_seeds=700).collect()} == got
+    assert got == want
+    # a benchmark beyond the broadcast bound: the same rows through the bitmap and the shuffled join
+    rows_of = lambda f: Counter(map(tuple, f.collect()))
+    assert rows_of(find_overlaps(df, benchmark, broadcast_seeds=700)) == rows_of(find_overlaps(df, benchmark))
     left = drop_contaminated(df, benchmark)
     assert left.columns == df.columns
     assert {r.doc_id for r in left.collect()} == {i for i, _ in rows} - {i for i, _ in got}
@@ -247,41 +252,86 @@ def test_planted_passages(spark):
 
 def test_decontamination_edges(spark):
     words = [f"b{k}" for k in range(40)]
-    items = [(1, " ".join(words)), (1, " ".join(words[::-1])), (2, "nine words that are short but long enough now"), (3, "too short to tell"),
+    items = [(1, " ".join(words)), (1, " ".join(words[::-1])), (2, "nine words that are short but long enough now"), (3, "too short too"), (6, "but four words do"),
              (4, None), (None, "an item without an id but with a dozen words of its own here"), (5, "")]
     benchmark = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, words string")
     rows = [(k, t) for k, t in enumerate(EDGES)] + [
         (None, " ".join(words)), (70, " ".join(words[10:])), (70, "clean text under the same id"), (71, " ".join(words[:19])),
         (72, "x nine words that are short but long enough now y"), (73, "nine words that are short but long enough NOW"),
-        (74, "too short to tell"), (75, "z an item without an id but with a dozen words of its own here"), (76, " ".join(words[::-1])),
+        (74, "too short too"), (78, "oh but four words do it"), (79, "but four other do"), (75, "z an item without an id but with a dozen words of its own here"), (76, " ".join(words[::-1])),
         (77, " ".join(words * 300))]
     got = {(r.id, r.item) for r in find_overlaps(frame(spark, rows), benchmark).collect()}
-    assert got == {(None, 1), (70, 1), (71, 1), (72, 2), (75, None), (76, 1), (77, 1)}
+    assert got == {(None, 1), (70, 1), (71, 1), (72, 2), (73, 2), (75, None), (76, 1), (77, 1), (78, 6)}
+    assert {(r.id, r.item) for r in find_overlaps(frame(spark, rows), benchmark, broadcast_seeds=0).collect()} == got
     left = Counter((r.doc_id, r.text) for r in drop_contaminated(frame(spark, rows), benchmark).collect())
-    gone = {(None, " ".join(words)), (70, " ".join(words[10:])), *((i, t) for i, t in rows if i in (71, 72, 75, 76, 77))}
+    gone = {(None, " ".join(words)), (70, " ".join(words[10:])), *((i, t) for i, t in rows if i in (71, 72, 73, 75, 76, 77, 78))}
     assert left == Counter(r for r in rows if r not in gone)
     for docs, ben in ((frame(spark, rows).limit(0), benchmark), (frame(spark, rows), benchmark.limit(0))):
         assert find_overlaps(docs, ben).count() == 0 and drop_contaminated(docs, ben).count() == docs.count()
 
 
-def test_every_permitted_overlap_has_a_run(spark):
-    """All placements of the permitted substitutions in items of 12 to 20 words leave a run of seed length, and all overlaps are found."""
+def test_every_permitted_overlap_has_a_seed(spark):
+    """Wherever the permitted substitutions fall, a mask fits between them: all placements, for items of 8 to 25 words."""
     rows, items, rnd = [], [], random.Random(8)
-    for n in range(12, 26):
-        width = min(n, 20)
-        changes = width - math.ceil(0.8 * width)
+    for n in range(8, 26):
+        width = min(n, WINDOW)
+        changes = width - math.ceil(LEAST * width)
         placed = list(itertools.combinations(range(width), changes))
-        for at in placed:
-            cuts = [-1, *at, width]
-            assert max(b - a - 1 for a, b in itertools.pairwise(cuts)) >= run_length(n)
+        changed = np.zeros((len(placed), width), bool)
+        for r, at in enumerate(placed):
+            changed[r, list(at)] = True
+        hit = np.zeros(len(placed), bool)
+        for mask in masks_for(n):
+            at = np.array([k for k, c in enumerate(mask) if c == "1"])
+            assert len(at) < len(mask) and len(at) >= 5  # spaced
+            for s in range(width - len(mask) + 1):
+                hit |= ~changed[:, s + at].any(1)
+        assert hit.all(), n
         words = [f"n{n}w{k}" for k in range(n)]
         items.append((n, " ".join(words)))
-        for at in rnd.sample(placed, 25):
+        for at in rnd.sample(placed, min(25, len(placed))):
             rows.append((1000 * n + len(rows), " ".join(["x", *("zzz" if k in at or k >= width else w for k, w in enumerate(words)), "y"])))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     assert {(r.id, r.item) for r in find_overlaps(frame(spark, rows), benchmark).collect()} == {(i, i // 1000) for i, _ in rows}
 
 
+def test_other_rules_and_masks(spark):
+    words = [f"w{k}" for k in range(30)]
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    rows = [(k, " ".join(w if j % 5 or j < k else "x" for j, w in enumerate(words))) for k in range(30)]
+    got = {r.id for r in find_overlaps(frame(spark, rows), benchmark, window=12, least=0.9).collect()}
+    want = {i for i, t in rows if max(sum(a == b for a, b in zip(t.split()[s:s + 12], words[s:s + 12])) for s in range(19)) >= 11}
+    assert got == want and 0 < len(want) < 30
+    assert masks_for(3) == () and masks_for(5) == ("11111",) and masks_for(14) == MASKS[1][1] and masks_for(400) == MASKS[0][1]
+
+
+def test_frequent_phrase(spark):
+    """A phrase that every item and document holds many times costs little more than other words."""
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(20_000)}"
+    def table(phrase, times, n):
+        return [" ".join(sum(([word() for _ in range(12)] + phrase for _ in range(times)), [])) for _ in range(n)]
+    took = {}
+    for name, phrase in (("cold", []), ("hot", "at the end of".split())):
+        items, docs = table(phrase, 3, 400), table(phrase, 40, 400)
+        docs += [items[k] for k in range(5)]
+        benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+        start = time.monotonic()
+        got = {(r.id, r.item) for r in find_overlaps(frame(spark, list(enumerate(docs))), benchmark).collect()}
+        took[name] = time.monotonic() - start
+        assert got >= {(400 + k, k) for k in range(5)}
+    assert took["hot"] < 3 * took["cold"] + 3, took
+
+
+def test_statement_on_folded_words(spark):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{MEDIUM}/{t}.parquet')")
+    want = Counter(con.execute(f"SELECT doc_id, item_id, start_word, n_equal, n_item, n_seeds FROM ({OP6})").fetchall())
+    got = Counter((r.doc_id, r.item_id, r.start_word, r.n_equal, r.n_item, r.n_seeds) for r in QUERIES["op6_decontamination"](spark, MEDIUM).collect())
+    assert got == want and len(want) > 10
+
+
 def test_folded_words(spark):
     """Capitals, changed punctuation and lone punctuation do not hide a passage."""
     words = "the straße of seven bridges, where nobody's boat has ever been seen twice in one summer night by two people".split()
