@@ -8,10 +8,12 @@ is a result.  All other messages are left alone.
 * *Linking*: calls and results meet in an equi-join on (conversation, identifier).  The
   first result after the call answers it; ``n_results`` counts all that name it.
 * *Order*: ``level`` is 0 for a call that waits for no other, else one more than the
-  highest level of the calls it names in ``after``.  Levels are found in rounds of joins,
-  as many as the longest chain is long; calls in or behind a cycle, or behind a call
-  that does not exist, get no level.  Sorting by (level, turn, position) is a
-  topological order; no conversation is gathered into one task for it.
+  highest level of the calls it names in ``after``; calls in or behind a cycle, or behind a
+  call that does not exist, get no level.  Calls that wait for exactly one other form chains,
+  whose ends are found by path doubling: a chain of n calls takes log n rounds of joins.  What
+  is left are calls that wait for several; rounds over them alone, with whole chains as
+  weighted edges, give the levels.  Sorting by (level, turn, position) is a topological
+  order; no conversation is gathered into one task for it.
 * *Validation*: arguments are held against the tool's schema (required names, types,
   ranges, allowed values, no other names); ``errors`` lists what is wrong in order.
 * *Serialisation*: ``json`` is canonical: sorted keys, no spaces, nulls left in.
@@ -93,33 +95,56 @@ def link(calls: DataFrame, results: DataFrame) -> DataFrame:
 
 def order(calls: DataFrame) -> DataFrame:
     """``uid`` and ``level`` of every call that can be ordered."""
-    waits = materialize(
-        calls.select("uid", "conv", F.explode("after").alias("call_id")), "chat-waits")
+    waits = calls.select("uid", "conv", F.explode("after").alias("call_id"))
     known = calls.select(F.col("uid").alias("dep"), "conv", "call_id")
     edges = materialize(_same(waits, known, "left").select("uid", "dep"), "chat-edges")
-    first = calls.select("uid").join(waits.select("uid").distinct(), "uid", "left_anti")
-    done = materialize(first.withColumn("level", F.lit(0)), "chat-levels")
-    frontier, level, parts = done, 0, [done]
-    rest = edges
-    while not frontier.isEmpty():
-        level += 1
+    counted = edges.groupBy("uid").agg(F.count(F.lit(1)).alias("n"), F.first("dep").alias("dep"))
+    single = materialize(counted.where("n = 1 AND dep IS NOT NULL").select("uid", "dep"), "chat-single")
+    chained = _chain_ends(single)
+    roots = calls.select("uid").join(edges.select("uid").distinct(), "uid", "left_anti").withColumn("level", F.lit(0))
+    # calls that wait for several, or for a call that is not there
+    end = chained.select(F.col("uid").alias("dep"), "to", "steps")
+    rest = materialize(edges.join(single.select("uid"), "uid", "left_anti").join(end, "dep", "left").select(
+        "uid", F.coalesce("to", "dep").alias("dep"), (F.coalesce("steps", F.lit(0)) + 1).alias("steps"),
+        F.lit(None).cast("int").alias("level")), "chat-rest")
+    frontier = materialize(roots, "chat-levels")
+    parts = [frontier]
+    while not rest.isEmpty() and not frontier.isEmpty():
+        at = frontier.select(F.col("uid").alias("at"), F.col("level").alias("found"))
+        marked = materialize(rest.join(at, F.col("dep") == F.col("at"), "left").select(
+            "uid", "dep", "steps", F.coalesce("level", F.col("found") + F.col("steps")).alias("level")), "chat-marked")
         # a call is ready when all the calls it waits for have a level
-        at = frontier.select(F.col("uid").alias("dep"), F.lit(True).alias("ready"))
-        marked = rest.join(at, "dep", "left").select("uid", "dep", F.coalesce("ready", F.lit(False)).alias("ready"))
-        marked = materialize(marked, "chat-marked")
-        open_ = marked.where("NOT ready").select("uid", "dep")
-        frontier = materialize(marked.groupBy("uid").agg(F.min("ready").alias("all_ready")).where("all_ready")
-                                     .select("uid", F.lit(level).alias("level")), "chat-levels")
+        ready = marked.groupBy("uid").agg(F.min(F.col("level").isNotNull()).alias("ready"), F.max("level").alias("level"))
+        frontier = materialize(ready.where("ready").select("uid", "level"), "chat-levels")
         parts.append(frontier)
-        if rest is not edges:
-            release(rest)
-        rest = materialize(open_, "chat-open")
+        release(rest)
+        rest = materialize(marked.join(frontier.select("uid"), "uid", "left_anti"), "chat-rest")
         release(marked)
-    release(waits, edges, rest)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    behind = chained.join(out.withColumnRenamed("uid", "to"), "to").select("uid", (F.col("level") + F.col("steps")).alias("level"))
+    release(edges, single, rest)
+    return out.unionByName(behind)
+
+
+def _chain_ends(single: DataFrame) -> DataFrame:
+    """Of calls ``uid`` that wait for one other, ``dep``: the first call behind them that does not
+    (``to``) and how many ``steps`` it is away; calls in or behind a cycle of such calls have none."""
+    inner = single.select(F.col("uid").alias("i"))
+    now = materialize(single.join(inner, F.col("dep") == F.col("i"), "left").select(
+        "uid", F.col("dep").alias("to"), F.lit(1).alias("steps"), F.col("i").isNull().alias("ended")), "chat-chains")
+    left, before = now.where("NOT ended").count(), -1
+    # a round without a new end leaves cycles only: of a chain, the next call in line always gets one
+    while left and left != before:
+        on = now.select(F.col("uid").alias("via"), F.col("to").alias("end"), F.col("steps").alias("more"), F.col("ended").alias("over"))
+        far = now.where("NOT ended").join(on, F.col("to") == F.col("via")).select(
+            "uid", F.col("end").alias("to"), (F.col("steps") + F.col("more")).alias("steps"), F.col("over").alias("ended"))
+        following = materialize(now.where("ended").unionByName(far), "chat-chains")
+        release(now)
+        now, before = following, left
+        left = now.where("NOT ended").count()
+    return now.where("ended").select("uid", "to", "steps")
 
 
 def _errors(schemas: Mapping[str, Mapping]) -> Column:
@@ -129,7 +154,8 @@ def _errors(schemas: Mapping[str, Mapping]) -> Column:
     for tool, schema in sorted(schemas.items()):
         checks = []
         for p, rule in sorted(schema["properties"].items()):
-            value = f"try_variant_get(arguments, {lit(f'$.{p}')}, 'variant')"
+            path = '$["' + p + '"]'
+            value = f"try_variant_get(arguments, {lit(path)}, 'variant')"
             has = f"array_contains(names, {lit(p)})"
             if p in schema.get("required", ()):
                 checks.append(f"CASE WHEN NOT {has} THEN {lit(f'missing {p}')} END")
@@ -185,25 +211,26 @@ def traffic(conversations: DataFrame) -> DataFrame:
     Every assistant turn becomes a call whose tool, arguments (some of them wrong) and
     dependency follow from the turn's number and text; every other turn from 1 on becomes
     the result of the call one turn before it, whether there is one or not.  A call waits
-    for the one two turns before it within its group of eight turns; every eleventh turn
-    issues two calls, the first of which waits for the second.
+    for the one two turns before it, so chains run the length of the conversation; every
+    eleventh turn issues two calls, the first of which waits for the second as well.  Texts
+    travel whole, as arguments and as results.
     """
     words = F.size(F.split(F.trim("text"), " +"))
     call = lambda turn: F.concat(F.lit("c"), F.coalesce(turn.cast("string"), F.lit("")))
     t = F.col("turn")
-    search = F.struct((words % 25).alias("limit"), F.substring("text", 1, 40).alias("query"),
+    search = F.struct((words % 25).alias("limit"), F.col("text").alias("query"),
                       F.when(t % 3 == 0, "fuzzy").when(t % 3 == 1, "loose").alias("mode"))
     fetch = F.struct(F.when(words % 2 == 0, F.to_json(F.struct(words.alias("page")))).otherwise(F.lit('{"raw":"yes"}')).alias("a"))
     arguments = F.when(words % 3 == 0, F.get_json_object(F.to_json(fetch), "$.a")).otherwise(F.to_json(search))
     name = F.when(words % 3 == 0, "fetch").when(words % 17 == 1, "browse").otherwise("search")
-    after = F.when(t % 11 == 10, F.concat(F.lit('["'), call(t), F.lit('b"]'))).when(
-        (t % 8 >= 2) & (t % 13 != 12), F.concat(F.lit('["'), call(t - 2), F.lit('"]'))).otherwise(F.lit("[]"))
+    ids = F.filter(F.array(F.when(t >= 2, call(t - 2)), F.when(t % 11 == 10, F.concat(call(t), F.lit("b")))), lambda c: c.isNotNull())
+    after = F.to_json(ids)
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     one = F.concat(F.lit('{"id":'), quoted(call(t)), F.lit(',"name":'), quoted(name), F.lit(',"arguments":'), arguments,
                    F.lit(',"after":'), after, F.lit("}"))
     two = F.concat(F.lit(',{"id":'), quoted(F.concat(call(t), F.lit("b"))), F.lit(',"name":"fetch","arguments":{"page":0.5},"after":[]}'))
     issued = F.concat(F.lit('{"tool_calls":['), one, F.when(t % 11 == 10, two).otherwise(F.lit("")), F.lit("]}"))
-    result = F.to_json(F.struct(call(t - 1).alias("call_id"), F.substring("text", 1, 80).alias("content")))
+    result = F.to_json(F.struct(call(t - 1).alias("call_id"), F.col("text").alias("content")))
     assistant = F.col("role") == "assistant"
     return conversations.where(assistant | (t >= 1)).select(
         "conv_id", "turn", F.when(assistant, "assistant").otherwise("tool").alias("role"),

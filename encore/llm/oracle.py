@@ -27,22 +27,22 @@ OP1 = """
 OP2 = """
     WITH RECURSIVE t AS (SELECT *, len(string_split_regex(trim(text), ' +')) AS n FROM conversations),
     a AS (SELECT conv_id, turn, n, text, turn % 11 = 10 AS twice,
-                 NOT turn % 11 = 10 AND turn % 8 >= 2 AND turn % 13 <> 12 AS waits,
+                 turn >= 2 AS waits,
                  CASE WHEN n % 3 = 0 THEN 'fetch' WHEN n % 17 = 1 THEN 'browse' ELSE 'search' END AS name,
                  CASE WHEN turn % 3 = 0 THEN 'fuzzy' WHEN turn % 3 = 1 THEN 'loose' END AS mode
           FROM t WHERE role = 'assistant'),
-    levels AS (SELECT conv_id, turn, CASE WHEN twice THEN 1 ELSE 0 END AS level FROM a WHERE NOT waits
+    levels AS (SELECT conv_id, turn, 0 AS level FROM a WHERE NOT waits
                UNION ALL SELECT a.conv_id, a.turn, level + 1 FROM levels JOIN a ON a.conv_id = levels.conv_id AND a.turn = levels.turn + 2 AND a.waits),
     c AS (SELECT conv_id, turn, CAST(0 AS INTEGER) AS position, 'c' || turn AS call_id, name, level, n, mode,
                  CASE WHEN n % 3 <> 0 THEN '{"limit":' || n % 25 || CASE WHEN mode IS NULL THEN '' ELSE ',"mode":"' || mode || '"' END
-                                           || ',"query":' || to_json(substr(text, 1, 40)) || '}'
+                                           || ',"query":' || to_json(text) || '}'
                       WHEN n % 2 = 0 THEN '{"page":' || n || '}' ELSE '{"raw":"yes"}' END AS arguments,
                  CASE WHEN name = 'browse' THEN ['unknown tool'] WHEN name = 'fetch' THEN CASE WHEN n % 2 = 0 THEN [] ELSE ['missing page', 'type of raw'] END
                       ELSE CASE WHEN n % 25 BETWEEN 1 AND 20 THEN [] ELSE ['range of limit'] END || CASE WHEN mode = 'loose' THEN ['value of mode'] ELSE [] END
                  END AS errors
           FROM a LEFT JOIN levels USING (conv_id, turn)
           UNION ALL SELECT conv_id, turn, 1, 'c' || turn || 'b', 'fetch', 0, n, mode, '{"page":0.5}', [] FROM a WHERE twice),
-    r AS (SELECT conv_id, turn AS result_turn, 'c' || (turn - 1) AS call_id, substr(text, 1, 80) AS content
+    r AS (SELECT conv_id, turn AS result_turn, 'c' || (turn - 1) AS call_id, text AS content
           FROM t WHERE role <> 'assistant' AND turn >= 1)
     SELECT conv_id, turn, position, call_id, name, level, result_turn, CAST(result_turn IS NOT NULL AS BIGINT) AS n_results,
            array_to_string(errors, '; ') AS errors, len(errors) = 0 AS valid,

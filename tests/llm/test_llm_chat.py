@@ -115,6 +115,36 @@ def test_hot_conversation(spark):
     assert _got(format_calls(df, SCHEMAS)) == _brute(rows)
 
 
+def test_chains_and_joins(spark):
+    """A chain of 1000 calls, chains that meet, cycles with tails, a hole in a chain."""
+    def call(conv, turn, i, *after):
+        return conv, turn, "assistant", json.dumps({"tool_calls": [{"id": i, "name": "fetch", "arguments": {"page": turn}, "after": list(after)}]})
+    rows = [call(1, k, f"c{k}", *[f"c{k - 1}"] * (k > 0)) for k in range(1000)]
+    rows += [call(2, k, f"c{k}", *(f"c{j}" for j in (k - 1, k // 2) if 0 <= j < k)) for k in range(12)]
+    rows += [call(3, k, f"a{k}", f"a{(k + 1) % 7}") for k in range(7)] + [call(3, 10 + k, f"t{k}", f"t{k - 1}" if k else "a3") for k in range(5)]
+    rows += [call(4, k, f"c{k}", f"c{k - 1}" if k != 5 else "hole") for k in range(1, 12)]
+    rows += [call(5, 0, "r"), *(call(5, k, f"x{k}", f"x{k - 1}" if k > 1 else "r") for k in range(1, 9)),
+             *(call(5, k, f"y{k}", f"y{k - 1}" if k > 1 else "r") for k in range(1, 4)), call(5, 20, "m", "x8", "y3"),
+             *(call(5, 20 + k, f"z{k}", f"z{k - 1}" if k > 1 else "m") for k in range(1, 6)), call(5, 40, "n", "z5", "m", "r")]
+    df = spark.createDataFrame([(*r, "", 0) for r in rows], SCHEMA).repartition(3)
+    assert _got(format_calls(df, SCHEMAS)) == _brute(rows)
+
+
+def test_names_with_dots(spark):
+    schemas = {"t": {"required": ["a.b"], "properties": {"a.b": {"type": "integer", "maximum": 3}, "a": {"type": "string"}}}}
+    rows = [(1, k, "assistant", json.dumps({"tool_calls": [{"id": f"c{k}", "name": "t", "arguments": a}]}))
+            for k, a in enumerate([{"a.b": 1}, {"a.b": 9}, {"a": "x"}, {"a": "x", "a.b": "y"}])]
+    out = {r.turn: r.errors for r in format_calls(spark.createDataFrame([(*r, "", 0) for r in rows], SCHEMA), schemas).collect()}
+    assert out == {0: [], 1: ["range of a.b"], 2: ["missing a.b"], 3: ["type of a.b"]}
+
+
+def test_whole_texts_travel(spark):
+    rows = [(1, 0, "user", "q", "", 0), (1, 1, "assistant", "word " * 4001 + "end", "", 0), (1, 2, "user", "answer " * 5000 + "end", "", 0)]
+    out = format_calls(traffic(spark.createDataFrame(rows, SCHEMA)), SCHEMAS).collect()
+    assert [json.loads(r.json)["content"] for r in out] == [rows[2][3]]
+    assert [json.loads(r.json)["arguments"]["query"] for r in out if r.name == "search"] == [rows[1][3]] * sum(r.name == "search" for r in out)
+
+
 def test_query_columns(spark):
     out = QUERIES["op2_chat_format"](spark, SMALL)
     assert {"conv_id", "turn", "call_id", "level", "errors", "valid", "json"} <= set(out.columns)
