@@ -9,7 +9,9 @@ leave the arrays, the rest are compacted, until no pair remains.
 The library merges one pair at a time.  Merging several occurrences at once gives
 the same result unless a merge makes a new pair that ranks no worse than the one
 being merged; a word where that happens merges only its leftmost occurrence in
-that round.
+that round.  A long word of that kind (a run of thousands of blanks, whose pieces all rank
+alike) would take a round per merge, so it leaves the arrays and its pairs are merged in
+order from a heap, which is the definition itself.
 
 Supported models: BPE with identity normalisation, white space escaped and not
 collapsed, byte fallback, no user-defined pieces; others raise ``ValueError``.
@@ -22,6 +24,7 @@ order do not matter; columns other than the id and the text are dropped.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
@@ -36,6 +39,8 @@ SPACE = "▁"
 TABLE_ENTRIES = 200_000
 #: Distinct words merged at a time, which bounds the arrays.
 MERGED = 20_000
+#: Symbols from which a word whose merges depend on their order is merged from a heap.
+IN_ORDER = 64
 _NONE = np.int64(1) << np.int64(40)
 
 
@@ -176,6 +181,7 @@ class Encoder:
         self.cut = re.compile(".+" if inner else
                               f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" + f"|[{alone}]" * bool(alone), re.DOTALL)
         self.table: dict[str, bytes] = {}
+        self.pair_of: dict[int, tuple[int, int]] | None = None  # made when first needed
         text = [b"" if t in (Pieces.CONTROL,) else bytes([int(p[3:5], 16)]) if t == Pieces.BYTE
                 else " ⁇ ".encode() if t == Pieces.UNKNOWN
                 else p.replace(SPACE, " ").encode()
@@ -230,6 +236,41 @@ class Encoder:
         stay[np.flatnonzero(merge) + 1] = False
         return out[stay], stay
 
+    def _in_order(self, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merge one word's symbols pair by pair, the best and of equals the leftmost first: what is left, and where."""
+        if self.pair_of is None:
+            keys = self.pairs.keys[self.pairs.at >= 0].tolist()
+            at = self.pairs.at[self.pairs.at >= 0]
+            self.pair_of = dict(zip(keys, zip(self.ranks[at].tolist(), self.made[at].tolist(), strict=True), strict=True))
+        size, pair_of, now = int(self.size), self.pair_of, sym.tolist()
+        n = len(now)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[int, int, int, int]] = []
+
+        def offer(k: int) -> None:
+            if 0 <= k and after[k] < n and now[k] >= 0 and now[after[k]] >= 0:
+                found = pair_of.get(now[k] * size + now[after[k]])
+                if found is not None:
+                    heapq.heappush(heap, (found[0], k, now[k], now[after[k]]))
+
+        for k in range(n - 1):
+            offer(k)
+        gone = [False] * n
+        while heap:
+            _, k, a, b = heapq.heappop(heap)
+            j = after[k]
+            if gone[k] or now[k] != a or j >= n or now[j] != b:
+                continue  # one of the two has merged meanwhile
+            now[k] = pair_of[a * size + b][1]
+            gone[j] = True
+            after[k] = after[j]
+            if after[j] < n:
+                before[after[j]] = k
+            offer(before[k])
+            offer(k)
+        place = np.flatnonzero(~np.array(gone))
+        return np.array(now, np.int64)[place], place
+
     def _encode_words(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
@@ -270,6 +311,16 @@ class Encoder:
                                    + np.tile([0, 1], len(pos)) * np.repeat(~inside, 2))
             unsafe = np.unique(np.concatenate([seg[stay][bad], seg[pos][inside & (right[::2] <= best[pos])]]))
             if len(unsafe):
+                size = np.bincount(seg)[unsafe]
+                long = unsafe[size >= IN_ORDER]
+                if len(long):
+                    for word in long.tolist():
+                        mine = np.flatnonzero(seg == word)
+                        symbols, place = self._in_order(sym[mine])
+                        final[at[mine[place]]] = symbols
+                    rest = ~np.isin(seg, long)
+                    sym, seg, at, rank, made = (x[rest] for x in (sym, seg, at, rank, made))
+                    continue
                 leftmost = np.append(True, seg[pos][1:] != seg[pos][:-1])
                 merge[pos] = leftmost | ~np.isin(seg[pos], unsafe)
                 merged, stay = self._merge(sym, made, merge)

@@ -55,6 +55,23 @@ def test_encoder_equals_the_library():
         assert ours.decode(ids) == sp.decode(want), text
 
 
+def test_long_runs_of_blanks():
+    """Runs whose pieces all rank alike, alone, beside words and mixed with other white space."""
+    lib = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rnd = random.Random(4)
+    texts = [" " * 100_000, " \t" * 50_000, "word" + " " * 30_000 + "word", "a" + "  " * 9_999 + "b ", "\n" + " " * 8_001 + "\n",
+             "".join(rnd.choice(["   ", "the", "\t", " " * 77, "é", "aaaa"]) for _ in range(20_000)), "=" * 50_000, "-=" * 20_000, "a" * 50_000]
+    texts += [" " * n for n in range(1, 200)]
+    encoder = Encoder(load_pieces(MODEL))
+    start = time.monotonic()
+    got = encoder.encode_batch(texts)
+    took = time.monotonic() - start
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [lib.encode(t, add_bos=True, add_eos=True) for t in texts]
+    start = time.monotonic()
+    Encoder(load_pieces(MODEL)).encode_batch([" " * 100_000])
+    assert time.monotonic() - start < 2 and took < 20
+
+
 def test_word_table_is_bounded(monkeypatch):
     import encore.llm.pieces as module
     texts = [f"word{k} other{k % 7}" for k in range(200)]
