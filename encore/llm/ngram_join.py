@@ -25,9 +25,8 @@ over ``(m / block) ** 2 / 2`` units of bounded size.
 Edge cases: a null text counts as empty; texts without words are copies of each other
 and linked to nothing else; rows that repeat an id and text are copies of one another;
 an id with several texts takes part with each, and its rows' results may differ; rows
-with a null id get the class of their text (null if it has only such rows, which are
-linked to their copies alone); an empty table stays empty; columns beside the id and
-the text are dropped.
+with a null id take part like all others, and a class that has only such rows has a null
+id; an empty table stays empty; columns beside the id and the text are dropped.
 """
 
 from __future__ import annotations
@@ -254,19 +253,19 @@ def _node(text: Column) -> Column:
 
 
 def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """``node`` and ``text``, one row per node, of the rows with a needed id, however often ids and texts repeat."""
-    wanted = docs.join(broadcast_within(needed, BROADCAST_IDS), "id", "left_semi")
+    """``node`` and ``text``, one row per node, of the rows with a needed id or none, however often ids and texts repeat."""
+    wanted = docs.join(broadcast_within(needed, BROADCAST_IDS), "id", "left_semi").unionByName(docs.where("id IS NULL"))
     return wanted.select(_node(F.col("text")).alias("node"), "text").dropDuplicates(["node"])
 
 
 def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: float, recall: float, block: int) -> DataFrame:
-    """``id``, ``node``, ``class_id``, ``n_links`` of every row."""
+    """``id``, ``node``, ``class_id``, ``n_links``, ``kept`` (whether the class is kept by this id and node) of every row."""
     bands, rows = choose_bands(threshold, recall)
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows_of = materialize(signatures(docs, n, bands, rows), "join-signatures")
     nodes = materialize(rows_of.groupBy("node").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                     F.first("bands").alias("bands")), "join-nodes")
-    met = nodes.where("bands IS NOT NULL AND rep IS NOT NULL").select("node", F.posexplode("bands").alias("band", "bucket"))
+    met = nodes.where("bands IS NOT NULL").select("node", F.posexplode("bands").alias("band", "bucket"))
     buckets = materialize(met.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "join-buckets")
     cuts = F.ceil(F.col("size") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
@@ -278,7 +277,7 @@ def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: fl
     dealt = ["bucket", "i", "j"]
     pairs = placed.repartition(*dealt).sortWithinPartitions(*dealt)
     left = materialize(pairs.mapInArrow(_left_in_unit(bands), pairs.schema), "join-left")
-    needed = materialize(left.select(F.col("rep").alias("id")).distinct(), "join-needed")
+    needed = materialize(left.where("rep IS NOT NULL").select(F.col("rep").alias("id")).distinct(), "join-needed")
     ready = (left.join(_texts(docs, needed), "node").select(*dealt, "block", "band", "node", "copies", "bands", "text")
                  .repartition(*dealt).sortWithinPartitions(*dealt))
     found = materialize(ready.mapInArrow(_verified(n, threshold, bands), "node binary, links long, root binary"), "join-links")
@@ -287,11 +286,14 @@ def _classified(df: DataFrame, id_col: str, text_col: str, n: int, threshold: fl
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     info = nodes.select("node", "rep", "copies").join(links, "node", "left").join(joined, "node", "left")
     info = materialize(info.withColumn("root", F.coalesce("root", "node")), "join-info")
-    classes = info.groupBy("root").agg(F.min("rep").alias("class_id"))
+    # the smallest id of a class, and of its nodes with this id the smallest; nulls come last
+    classes = info.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("nameless"), "rep", "node")).alias("least"))
     info = materialize(info.join(classes, "root").select(
-        F.col("node").alias("key"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "join-classes")
+        F.col("node").alias("key"), F.col("least.rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        (F.col("least.node") == F.col("node")).alias("chosen")), "join-classes")
     release(found, nodes)
-    return rows_of.join(info, F.col("node") == F.col("key")).select("id", "node", "class_id", "n_links")
+    return rows_of.join(info, F.col("node") == F.col("key")).select(
+        "id", "node", "class_id", "n_links", (F.col("chosen") & F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
@@ -304,23 +306,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = SHINGLE,
              threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """One row of each class, that of the smallest id, with all columns.
+    """One row of each class, with all columns: of its smallest id, and where that id has several
+    texts of the class, the one with the smallest digest.
 
-    An id that is its own class's smallest keeps one row; of the rows without an id one
-    per text stays, unless a row with an id has the same text.
+    Rows are told apart by id and text, so other texts under the same id are judged by
+    their own classes; a class that has only rows without an id keeps one of them.
     """
     rows = _classified(df, id_col, text_col, n, threshold, recall, block)
-    # ids that go, or have more rows than one
+    # ids that have rows to drop, or more rows than one
     odd = materialize(rows.where("id IS NOT NULL").groupBy("id").agg(
-        F.min(F.col("class_id") == F.col("id")).alias("stays"), F.count(F.lit(1)).alias("rows")).where("NOT stays OR rows > 1"), "join-odd")
-    nameless = rows.where("class_id IS NULL").select("node").distinct()
+        F.min("kept").alias("stays"), F.count(F.lit(1)).alias("rows")).where("NOT stays OR rows > 1").select("id"), "join-odd")
+    listed = broadcast_within(odd, BROADCAST_IDS)
+    kept = rows.where("kept").select("id", "node").distinct()
+    named = materialize(kept.join(listed, "id", "left_semi").withColumnRenamed("id", "own"), "join-kept")
+    nameless = kept.where("id IS NULL").select("node")
     names = [f"c{k}" for k in range(len(df.columns))]
     docs = df.toDF(*names)
     key, text = (F.col(names[df.columns.index(c)]) for c in (id_col, text_col))
-    listed = broadcast_within(odd, BROADCAST_IDS)
     single = docs.where(key.isNotNull()).join(listed, key.cast("long") == F.col("id"), "left_anti")
-    repeated = (docs.join(broadcast_within(odd.where("stays"), BROADCAST_IDS), key.cast("long") == F.col("id"))
-                    .dropDuplicates(["id"]).select(*names))
+    again = docs.where(key.isNotNull()).join(broadcast_within(named.select("own").distinct().transform(
+        lambda d: materialize(d, "join-own")), BROADCAST_IDS), key.cast("long") == F.col("own"), "left_semi")
+    chosen = (again.withColumn("digest", _node(text))
+                   .join(named, (key.cast("long") == F.col("own")) & (F.col("digest") == F.col("node")))
+                   .dropDuplicates(["digest"]).select(*names))
     unnamed = (docs.where(key.isNull()).withColumn("digest", _node(text))
                    .join(nameless, F.col("digest") == F.col("node")).dropDuplicates(["digest"]).select(*names))
-    return single.unionByName(repeated).unionByName(unnamed).toDF(*df.columns)
+    return single.unionByName(chosen).unionByName(unnamed).toDF(*df.columns)

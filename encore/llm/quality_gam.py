@@ -75,10 +75,11 @@ def text_features(text: str | None) -> list[float]:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     distinct = len(set(words))
     pairs = set(zip(words, words[1:], strict=False))
+    # short_distinct: distinct words of each stretch of 100, so that long texts do not look repetitive
     return [
         np.log1p(size), np.log1p(n), sizes.mean(), (sizes > 12).mean(), share[2], ((upper > 1) & (lower == 0)).mean(),
         share[1], share[3], share[6], share[5], share[4], share[7], (odd > 0).mean(), ((upper + lower + wide) == 0).mean(),
-        distinct / n, len(set(words[:100])) / min(n, 100), np.log1p(len(lines)), np.log1p(size / len(lines)),
+        distinct / n, sum(len(set(words[k:k + 100])) for k in range(0, n, 100)) / n, np.log1p(len(lines)), np.log1p(size / len(lines)),
         len(set(lines)) / len(lines), np.mean([x.rstrip().endswith((b".", b"?")) for x in lines]),
         1 - len(pairs) / max(1, n - 1), raw.count(b"!") / n,
     ]

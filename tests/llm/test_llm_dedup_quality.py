@@ -1,6 +1,7 @@
 """Near duplicates, components, the classifier and the pipeline."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -94,14 +95,26 @@ def test_near_duplicate_edges(spark):
     text, other = near_group(3, 1)[0], near_group(4, 1)[0]
     again = [(7, text), (7, text), (8, text), (None, text), (None, other), (None, other), (9, other + " end"), (3, "x"), (3, "y")]
     got = Counter((r.doc_id, r.class_id, r.n_links) for r in near_duplicates(frame(spark, again)).collect())
-    assert got == Counter({(7, 7, 3): 2, (8, 7, 3): 1, (None, 7, 3): 1, (None, None, 1): 2, (9, 9, 0): 1, (3, 3, 0): 2})
+    assert got == Counter({(7, 7, 3): 2, (8, 7, 3): 1, (None, 7, 3): 1, (None, 9, 2): 2, (9, 9, 2): 1, (3, 3, 0): 2})
     kept = keep_one(frame(spark, again))
     assert kept.columns == frame(spark, again).columns
-    assert Counter(r.doc_id for r in kept.collect()) == Counter({7: 1, None: 1, 9: 1, 3: 1})
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        {(7, text): 1, (9, other + " end"): 1, (3, "x"): 1, (3, "y"): 1})
     empty = frame(spark, again).limit(0)
     assert near_duplicates(empty).count() == 0 and keep_one(empty).count() == 0
 
 
+def test_every_class_keeps_a_row(spark):
+    """Ids with several unrelated texts, and near duplicates without an id."""
+    a, b, c = (near_group(k, 1, changes=0)[0] for k in (11, 12, 13))
+    rows = [(5, a), (9, a), (5, b), (2, b), (3, "x"), (3, "y"), (None, c), (None, c + " end"), (None, a + " end"), (8, b + " end")]
+    kept = Counter((r.doc_id, r.text) for r in keep_one(frame(spark, rows)).collect())
+    assert len(kept) == sum(kept.values()) == 5
+    assert set(kept) - {(None, c), (None, c + " end")} == {(5, a), (2, b), (3, "x"), (3, "y")}
+    got = Counter((r.doc_id, r.class_id, r.n_links) for r in near_duplicates(frame(spark, rows)).collect())
+    assert got == Counter([(5, 5, 2), (9, 5, 2), (5, 2, 2), (2, 2, 2), (3, 3, 0), (3, 3, 0), (None, None, 1), (None, None, 1), (None, 5, 2), (8, 2, 2)])
+
+
 def test_repeated_rows_with_near_duplicates(spark):
     """Rows that repeat an id and text, and an id with many similar texts, are each counted once."""
     text, near = near_group(3, 1, changes=0)[0], near_group(3, 1, changes=0)[0] + " end"
@@ -163,6 +176,89 @@ def test_scores_are_table_sums():
     assert max(len(t) for t in model.tables) <= quality_gam.BINS
 
 
+def _slow_fit(x, y):
+    """Cyclic boosting in plain loops over rows: per feature a tree of two levels, then pairs; the scores of all rows."""
+    n, d = len(x), len(x[0])
+    p = (sum(y) + 1) / (n + 2)
+    total = [math.log(p / (1 - p))] * n
+    edges = [sorted(set(np.quantile([r[j] for r in x], np.arange(1, quality_gam.BINS) / quality_gam.BINS).tolist())) for j in range(d)]
+    bins = [[sum(e <= r[j] for e in edges[j]) for j in range(d)] for r in x]
+
+    def state():
+        q = [1 / (1 + math.exp(-t)) for t in total]
+        return [a - b for a, b in zip(y, q)], [max(b * (1 - b), 1e-6) for b in q]
+
+    def tree(rows, of, lo, hi, depth, g, h):
+        """{bin: value} for bins lo to hi - 1 of the rows that fall there."""
+        mine = [r for r in rows if lo <= of[r] < hi]
+        gs, hs = sum(g[r] for r in mine), sum(h[r] for r in mine)
+        flat = {k: gs / (hs + 1) for k in range(lo, hi)}
+        if depth == 0 or hi - lo < 2:
+            return flat
+        best = None
+        for k in range(lo, hi - 1):
+            left = [r for r in mine if of[r] <= k]
+            if len(left) < quality_gam.LEAST or len(mine) - len(left) < quality_gam.LEAST:
+                continue
+            gl, hl = sum(g[r] for r in left), sum(h[r] for r in left)
+            gain = gl ** 2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs ** 2 / (hs + 1)
+            if best is None or gain > best[0] + 1e-12:
+                best = gain, k
+        if best is None or not best[0] > 1e-9:
+            return flat
+        return tree(rows, of, lo, best[1] + 1, depth - 1, g, h) | tree(rows, of, best[1] + 1, hi, depth - 1, g, h)
+
+    clip = lambda v: min(4, max(-4, v))
+    for _ in range(quality_gam.ROUNDS):
+        for j in range(d):
+            g, h = state()
+            step = tree(range(n), [b[j] for b in bins], 0, len(edges[j]) + 1, 2, g, h)
+            total = [t + quality_gam.RATE * clip(step[b[j]]) for t, b in zip(total, bins)]
+    size = quality_gam.PAIR_BINS
+    coarse = [[b[j] * size // (len(edges[j]) + 1) for j in range(d)] for b in bins]
+
+    def plane(i, j):
+        g, h = state()
+        best = None
+        for first, second in ((i, j), (j, i)):
+            for k in range(1, size):
+                value, gain = {}, 0.0
+                for half in (range(k), range(k, size)):
+                    rows = [r for r in range(n) if coarse[r][first] in half]
+                    leaf = tree(rows, [c[second] for c in coarse], 0, size, 1, g, h)
+                    for v in set(leaf.values()):
+                        inside = [r for r in rows if leaf[coarse[r][second]] == v]
+                        gain += sum(g[r] for r in inside) ** 2 / (sum(h[r] for r in inside) + 1)
+                    value |= {(a, b): leaf[b] for a in half for b in range(size)}
+                if best is None or gain > best[0] + 1e-12:
+                    best = gain, first, second, value
+        return best
+
+    gains = sorted((-plane(i, j)[0], i, j) for i in range(d) for j in range(i + 1, d))
+    for _ in range(quality_gam.PAIR_ROUNDS):
+        for _, i, j in gains[:quality_gam.PAIRS]:
+            _, first, second, value = plane(i, j)
+            total = [t + quality_gam.RATE * clip(value[c[first], c[second]]) for t, c in zip(total, coarse)]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+def test_fit_matches_plain_loops(monkeypatch):
+    for name, value in (("BINS", 6), ("PAIR_BINS", 4), ("ROUNDS", 4), ("PAIR_ROUNDS", 3), ("PAIRS", 2), ("LEAST", 5)):
+        monkeypatch.setattr(quality_gam, name, value)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(90, 3))
+    y = ((x[:, 0] + rng.normal(size=90) * 0.3 > 0) ^ (x[:, 1] > 0.4)).astype(float)
+    model = fit(x, y)
+    assert np.allclose(model.score(model.bins(x)), _slow_fit(x.tolist(), y.tolist()), atol=1e-9)
+
+
+def test_every_feature_reads_the_whole_text():
+    words = [f"w{k}" for k in range(5000)]
+    late = text_features(" ".join(words[:4000] + ["same"] * 1000))
+    at = FEATURES.index("short_distinct")
+    assert text_features(" ".join(words))[at] == 1 and late[at] == pytest.approx(0.8 + 10 / 5000)
+
+
 def test_classifier_edges(spark):
     rows = [(k // 2 or None, t) for k, t in enumerate(EDGES)]
     df = frame(spark, rows)
