@@ -1,0 +1,131 @@
+"""Stored rank indexes, counts of writes, sketches and variants."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from encore.operators.sketches import merge_sketches, relative_error, sketch_parts
+from encore.sources.counted import prepare_counted, write_counted
+from encore.sources.paging import RANK, RankIndex, write_rank_index
+from encore.sources.variants import ORIGIN, read_variants, write_variant
+from encore.sources.views import sales_interactions, sales_interactions_raw
+
+from conftest import SMALL
+
+
+def _plan(df, capsys):
+    capsys.readouterr()
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_pages_of_a_stored_index(spark, scratch, capsys):
+    source = sales_interactions(spark, SMALL)
+    keys = ["user_id", "item_id", "l_orderkey", "l_linenumber"]
+    write_rank_index(source, keys, f"{scratch}/index", num_partitions=5, rows_per_file=1000)
+    want = [tuple(r) for r in source.orderBy(*keys).collect()]
+    index = RankIndex(spark, f"{scratch}/index")
+    for offset, size in ((0, 10), (990, 20), (1000, 1000), (len(want) - 5, 100), (3000, 0), (len(want) + 7, 5), (5500, None)):
+        page = index.page(offset, size).orderBy(RANK).collect()
+        assert [tuple(r)[:-1] for r in page] == want[offset:None if size is None else offset + size]
+        assert [r[RANK] for r in page] == list(range(offset + 1, offset + 1 + len(page)))
+    with pytest.raises(ValueError):
+        index.page(-1, 3)
+
+
+def test_a_later_page_numbers_and_shuffles_nothing(spark, scratch, capsys):
+    write_rank_index(sales_interactions(spark, SMALL), ["l_orderkey", "l_linenumber"], f"{scratch}/index", num_partitions=4, rows_per_file=500)
+    index = RankIndex(spark, f"{scratch}/index")
+    first, second = index.page(0, 300), index.page(1100, 300)
+    plan = _plan(second, capsys)
+    assert "Exchange" not in plan and "Window" not in plan and "Sort" not in plan
+    assert "PartitionFilters" in plan and "1 <=" not in plan and "PushedFilters: [IsNotNull(__rank), GreaterThan(__rank,1100)" in plan
+    # each page opens the files of its own folder only
+    read = lambda df: {os.path.basename(os.path.dirname(f)) for f in df.select("_metadata.file_path").distinct().toPandas()["file_path"]}
+    assert read(index.rows().where("__rank <= 300 AND __folder = 0")) == {"__folder=0"}
+    spark.sparkContext.setJobGroup("second-page", "")
+    assert second.count() == 300 and first.count() == 300
+    spark.sparkContext.setJobGroup("tests", "")
+
+
+def test_index_edges(spark, scratch):
+    df = spark.createDataFrame([(None, "b"), (2, "a"), (2, "a"), (1, None), (None, "a")], "k int, v string")
+    write_rank_index(df, "k", f"{scratch}/a", num_partitions=3, rows_per_file=2)
+    got = [tuple(r) for r in RankIndex(spark, f"{scratch}/a").page(0, None).orderBy(RANK).collect()]
+    assert got == [(None, "a", 1), (None, "b", 2), (1, None, 3), (2, "a", 4), (2, "a", 5)]
+    write_rank_index(df.limit(0), "k", f"{scratch}/b", num_partitions=3)
+    assert RankIndex(spark, f"{scratch}/b").page(0, 9).count() == 0
+    with pytest.raises(ValueError):
+        write_rank_index(df.withColumn(RANK, F.lit(1)), "k", f"{scratch}/c", num_partitions=1)
+
+
+def test_counts_come_from_the_write(spark):
+    raw = sales_interactions_raw(spark, SMALL)
+    raw = raw.unionByName(raw.limit(50))  # copies
+    tables, counts = prepare_counted(raw, ["user_id", "item_id", "l_orderkey", "l_linenumber"])
+    got = {r.stage: r.n_rows for r in counts.collect()}
+    rows = [tuple(r) for r in raw.collect()]
+    clean = {r for r in rows if r[0] is not None and r[1] is not None}
+    assert got["raw"] == len(rows) and got["deduplicated"] == len(clean)
+    assert got["non_null"] == sum(r[0] is not None and r[1] is not None for r in rows)
+    for side, flag in (("train", True), ("val", False)):
+        assert got[side] == tables["split"].where(F.col("is_train") == flag).count()
+        assert got[f"utility_{side}"] == tables["utility"].where(F.col("is_train") == flag).count()
+    assert got["train"] + got["val"] == len(clean)
+
+
+def test_counting_takes_one_pass(spark):
+    """Each table is written by one job that scans its source once; no further job counts it."""
+    tracker = spark.sparkContext.statusTracker()
+    df = spark.range(1000).repartition(4)
+    spark.sparkContext.setJobGroup("counted", "")
+    table, metrics = write_counted(df, "one-pass", {"n": F.count(F.lit(1)), "odd": F.sum(F.col("id") % 2)}, keep=F.col("id") < 10)
+    jobs = tracker.getJobIdsForGroup("counted")
+    spark.sparkContext.setJobGroup("tests", "")
+    assert metrics == {"n": 1000, "odd": 500} and table.count() == 10
+    assert len(jobs) <= 2  # the shuffle's map stage is a job of its own under adaptive execution
+    table, metrics = write_counted(df.limit(0), "nothing", {"n": F.count(F.lit(1))})
+    assert metrics == {"n": 0} and table.count() == 0
+
+
+def test_sketches_merge(spark, scratch):
+    df = spark.range(60_000).select((F.col("id") % 30).alias("day"), (F.col("id") % 7919).alias("user_id"),
+                                    F.when(F.col("id") % 3 > 0, F.col("id") % 501).alias("item_id"))
+    sketch_parts(df, ["day"], ["user_id", "item_id"]).write.parquet(f"{scratch}/parts")
+    parts = spark.read.parquet(f"{scratch}/parts")
+    assert parts.count() == 30
+    whole = merge_sketches(parts, [], ["user_id", "item_id"]).first()
+    assert whole.n_rows == 60_000
+    assert abs(whole.approx_user_id - 7919) <= relative_error() * 7919 and abs(whole.approx_item_id - 334) <= 2 + relative_error() * 334
+    week = merge_sketches(parts.withColumn("week", F.expr("day DIV 7")), ["week"], ["user_id"]).collect()
+    exact = {r.week: r.n for r in df.groupBy(F.expr("day DIV 7").alias("week")).agg(F.countDistinct("user_id").alias("n")).collect()}
+    assert all(abs(r.approx_user_id - exact[r.week]) <= relative_error() * exact[r.week] for r in week) and len(week) == 5
+    none = merge_sketches(sketch_parts(df.limit(0), ["day"], ["user_id"]), [], ["user_id"]).first()
+    assert (none.n_rows, none.approx_user_id) == (0, 0)
+    assert relative_error(10) > relative_error(14)
+
+
+def _files(path):
+    return {os.path.join(d, f): open(os.path.join(d, f), "rb").read() for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+
+
+def test_variants_are_overwritten_one_by_one(spark, scratch):
+    path = f"{scratch}/variants"
+    a, b = spark.range(5).withColumn("v", F.lit("a")), spark.range(3).withColumn("v", F.lit("b"))
+    write_variant(a, path, "full")
+    write_variant(b, path, "small set/ä=1")
+    before = _files(path)
+    write_variant(a.where("id < 2"), path, "full")
+    after = _files(path)
+    kept = {f: c for f, c in before.items() if "variant=full" not in f}
+    assert kept and all(after[f] == c for f, c in kept.items()) and not any(f in after for f in before if "variant=full" in f)
+    rows = read_variants(spark, path, a.schema, origin=True).collect()
+    assert sorted((r.id, r.v, r.variant) for r in rows) == [(0, "a", "full"), (0, "b", "small set/ä=1"), (1, "a", "full"),
+                                                           (1, "b", "small set/ä=1"), (2, "b", "small set/ä=1")]
+    assert all(("variant=full" in r[ORIGIN]) == (r.variant == "full") for r in rows)
+    assert read_variants(spark, path, a.schema, ["full"]).count() == 2 and read_variants(spark, path, a.schema, ["none"]).count() == 0
+    write_variant(a.limit(0), path, "full")
+    assert read_variants(spark, path, a.schema).count() == 5
+    with pytest.raises(ValueError):
+        write_variant(a.withColumn("variant", F.lit(1)), path, "x")
