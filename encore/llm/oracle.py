@@ -15,13 +15,26 @@ def _words(text: str) -> str:
     return f"list_filter(string_split_regex(coalesce({text}, ''), '{_SPACE}'), lambda x: x <> '')"
 
 
-OP1 = """
-    WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
-    q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
-    SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
-           CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
-           CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
-    FROM q"""
+# record by record: the WARC header, the HTTP header, and the payload of a response
+_LINE = r"chr(13) || chr(10)"
+OP1 = f"""
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+    q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p),
+    t AS (SELECT *, n >= 1000 AND page_id <> last AS again, sha1(html) AS digest,
+                 'HTTP/1.1 200 OK' || {_LINE} || 'Content-Type: text/html; charset=utf-8' || {_LINE} || 'Content-Length: ' || n || {_LINE} || {_LINE} AS http
+          FROM q),
+    r AS (SELECT *, 'WARC/1.1' || {_LINE} || 'WARC-Type: ' || CASE WHEN again THEN 'revisit' ELSE 'response' END || {_LINE}
+                    || 'WARC-Record-ID: <urn:x-record:' || page_id || '>' || {_LINE}
+                    || coalesce('WARC-Target-URI: ' || replace(replace(url, chr(13), '%0D'), chr(10), '%0A') || {_LINE}, '')
+                    || 'WARC-Date: 1970-01-01T00:00:00Z' || {_LINE} || 'WARC-Payload-Digest: sha1:' || digest || {_LINE}
+                    || CASE WHEN again THEN 'WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest' || {_LINE}
+                                            || 'WARC-Refers-To: <urn:x-record:' || last || '>' || {_LINE} ELSE '' END
+                    || 'Content-Type: application/http;msgtype=response' || {_LINE}
+                    || 'Content-Length: ' || (strlen(http) + CASE WHEN again THEN 0 ELSE n END) || {_LINE} || {_LINE} || http
+                    || CASE WHEN again THEN '' ELSE html END || {_LINE} || {_LINE} AS record FROM t)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN again THEN last END AS refers_to, strlen(record) AS record_bytes, sha256(record) AS record_sha256
+    FROM r"""
 
 # the derived traffic of ``chat.traffic`` and what follows for each call, without going through JSON
 OP2 = """

@@ -44,7 +44,8 @@ def op1_warc(spark: SparkSession, base: str) -> DataFrame:
     write_archive(load_table(spark, base, "pages"), path)
     return read_archive(spark, path).select(
         F.col("id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
-        "payload_digest", "record_type", "refers_to")
+        "payload_digest", "record_type", "refers_to", F.octet_length("record").cast("long").alias("record_bytes"),
+        F.sha2("record", 256).alias("record_sha256"))
 
 
 def op2_chat_format(spark: SparkSession, base: str) -> DataFrame:

@@ -15,9 +15,10 @@ filed under the one of them that is rarest in the urls at hand (ties: the first
 the alphabet).  A url's tokens fetch the rules filed under them, and only those
 expressions run; rules without a whole token are tried on every url.
 
-Rules are a parameter held by the driver; the index is sent to the executors with
-the code, and ``max_rule_bytes`` bounds it (larger lists raise).  Token counts cover
-all urls: one aggregate over the tokens that occur in rules.  Judging is a narrow
+Rules are a parameter held by the driver; the index is broadcast, and ``max_rule_bytes``
+bounds it (larger lists raise).  Token counts cover all urls: the urls' tokens meet the
+rules' tokens in a broadcast join and are added up, so plans do not grow with the rules.  A task
+compiles an expression when a url first fetches its rule.  Judging is a narrow
 transformation without a shuffle, so hot hosts do not matter.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, fits no
@@ -61,7 +62,8 @@ class BlockPattern:
 
     def regex(self) -> str:
         """Against the whole url."""
-        return ".*" + ".*".join(map(re.escape, self.text.translate(_LOWER).split("*")))
+        # the first place of each part after the one before is as good as any, so nothing is tried again
+        return "".join(f"(?>.*?{re.escape(p)})" for p in self.text.translate(_LOWER).split("*"))
 
     def tokens(self) -> set[str]:
         return {m[0] for part in self.text.translate(_LOWER).split("*") for m in _TOKEN.finditer(part)
@@ -87,8 +89,10 @@ def token_counts(df: DataFrame, url_col: str, tokens: Sequence[str]) -> dict[str
     if not tokens:
         return {}
     lowered = F.translate(F.col(url_col), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    found = F.array_intersect(F.regexp_extract_all(lowered, F.lit("([0-9a-z]+)"), 1), F.array(*map(F.lit, tokens)))
-    rows = df.select(F.explode(found).alias("token")).groupBy("token").count().collect()
+    found = F.array_distinct(F.regexp_extract_all(lowered, F.lit("([0-9a-z]+)"), 1))
+    wanted = df.sparkSession.createDataFrame(pa.table({"rule_token": list(tokens)}))  # bounded by ``max_rule_bytes``
+    rows = (df.select(F.explode(found).alias("token")).join(F.broadcast(wanted), F.col("token") == F.col("rule_token"))
+              .groupBy("token").count().collect())
     return {r["token"]: r["count"] for r in rows}
 
 
@@ -105,11 +109,21 @@ def judge_urls(df: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence
     for i, own in enumerate(tokens):
         filed[min(own, key=lambda t: (counts.get(t, 0), t)) if own else None].append(i)
     filed = dict(filed)
-    order = {i: (-len(r.text), r.action == "allow", r.text) for i, r in enumerate(rules) if isinstance(r, SiteRule)}
+    # as plain values: a broadcast class would have to be installed on the executors
+    shared = df.sparkSession.sparkContext.broadcast((
+        [r.text for r in rules], [r.action if isinstance(r, SiteRule) else None for r in rules], filed))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        regexes = [re.compile(r.regex(), re.DOTALL) for r in rules]
+        texts, actions, filed = shared.value
         always = filed.get(None, [])
+        compiled: dict[int, re.Pattern] = {}
+
+        def fits(i: int, site: str, lowered: str) -> bool:
+            if i not in compiled:
+                rule = BlockPattern(texts[i]) if actions[i] is None else SiteRule(texts[i], actions[i])
+                compiled[i] = re.compile(rule.regex(), re.DOTALL)
+            return compiled[i].match(lowered if actions[i] is None else site) is not None
+
         for batch in batches:
             out = []
             for url in batch.column(1).to_pylist():
@@ -117,11 +131,11 @@ def judge_urls(df: DataFrame, site_rules: Sequence[SiteRule], patterns: Sequence
                 lowered = (url or "").translate(_LOWER)
                 tried = [*always, *(i for t in set(_TOKEN.findall(lowered)) for i in filed.get(t, ()))]
                 site = host + path
-                hits = [i for i in tried if regexes[i].match(site if i in order else lowered)]
-                rule = min((i for i in hits if i in order), key=order.get, default=None)
-                pattern = min((rules[i].text for i in hits if i not in order), default=None)
-                verdict = rules[rule].action if rule is not None else "block" if pattern is not None else "allow"
-                out.append((host, path, None if rule is None else rules[rule].text, verdict,
+                hits = [i for i in tried if fits(i, site, lowered)]
+                rule = min((i for i in hits if actions[i] is not None), key=lambda i: (-len(texts[i]), actions[i] == "allow", texts[i]), default=None)
+                pattern = min((texts[i] for i in hits if actions[i] is None), default=None)
+                verdict = actions[rule] if rule is not None else "block" if pattern is not None else "allow"
+                out.append((host, path, None if rule is None else texts[rule], verdict,
                             pattern if rule is None else None, len(tried)))
             columns = list(zip(*out, strict=True)) or [()] * 6
             yield pa.RecordBatch.from_arrays(

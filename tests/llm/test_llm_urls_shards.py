@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -56,6 +57,24 @@ def test_rules_are_tried_by_their_rarest_token(spark):
     assert [(r.rule, r.n_tried) for r in out if r.page_id == 50] == [("rare.com/a/", 2)]
 
 
+def test_many_rules(spark):
+    """100,000 rules, of which a url tries those filed under its tokens; and a pattern with many stars on a long url."""
+    rules = [SiteRule(f"host{k}.org/p{k % 7}/", "block" if k % 2 else "allow") for k in range(100_000)]
+    urls = [f"http://www.host{k}.org/p{k % 7}/x" for k in range(0, 100_000, 997)] + ["http://host5.org/q", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    start = time.monotonic()
+    out = {r.page_id: r for r in judge_urls(df, rules).collect()}
+    took = time.monotonic() - start
+    for n, k in enumerate(range(0, 100_000, 997)):
+        assert (out[n].rule, out[n].verdict) == (f"host{k}.org/p{k % 7}/", "block" if k % 2 else "allow") and out[n].n_tried <= 2
+    assert out[len(urls) - 2].rule is None and took < 60
+    stars = BlockPattern("a*a*a*a*a*a*a*a*b/c")
+    long = spark.createDataFrame([(1, "http://x/" + "a" * 100_000), (2, "http://x/" + "a" * 1000 + "zb/c")], "page_id long, url string")
+    start = time.monotonic()
+    assert {r.page_id: r.verdict for r in judge_urls(long, [], [stars]).collect()} == {1: "allow", 2: "block"}
+    assert time.monotonic() - start < 20
+
+
 def test_rule_bytes_are_bounded(spark):
     with pytest.raises(ValueError, match="max_rule_bytes"):
         judge_urls(spark.createDataFrame([(1, "u")], "page_id long, url string"), [SiteRule("org/", "allow")], max_rule_bytes=3)
@@ -89,3 +108,19 @@ def test_query_places_every_document(spark):
     out = QUERIES["op7_sharding"](spark, MEDIUM)
     assert out.count() == spark.read.parquet(f"{MEDIUM}/documents.parquet").count()
     assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()
+
+
+def test_table_is_filled_by_turns():
+    """The lookup table against a version that lets shards name their slots in full preference lists."""
+    shards, size = [f"s{k}" for k in range(7)], 101
+    lists = []
+    for name in shards:
+        h = hashlib.sha256(name.encode()).digest()
+        offset, skip = int.from_bytes(h[:8], "big") % size, int.from_bytes(h[8:16], "big") % (size - 1) + 1
+        lists.append([(offset + j * skip) % size for j in range(size)])
+        assert sorted(lists[-1]) == list(range(size))  # a permutation: the size is a prime
+    owner = {}
+    for turn in range(size):
+        mine = turn % len(shards)
+        owner[next(slot for slot in lists[mine] if slot not in owner)] = shards[mine]
+    assert fill_table(shards, size) == [owner[slot] for slot in range(size)]
