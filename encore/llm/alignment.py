@@ -31,17 +31,20 @@ null ids; an empty table gives no rows; other columns are dropped.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.sizes import broadcast_within
-from encore.sources.scratch import materialize, release
+from encore.sources.scratch import materialize
 
 #: Characters and texts in a block (a longer text is a block of its own).
 BLOCK_CHARS, BLOCK_TEXTS = 1_500_000, 4_096
@@ -51,6 +54,10 @@ LANE = 128
 WIDTH = 1 << 32
 #: A group with more links than this is counted by its distinct ids instead of link by link.
 LARGE_GROUP = 4_096
+#: Words of A that a task remembers with their ids, to bound its memory.
+TABLE_ENTRIES = 300_000
+#: The pattern by which byte-level BPE cuts a text into words; fixed value of that format.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Ids of A whose highest counts are sent to all executors at most: more than any vocabulary in use.
 BROADCAST_IDS = 2_000_000
 
@@ -92,6 +99,12 @@ class Pair:
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_str(byte_level)
         self.a.encode_special_tokens = True  # their strings are ordinary text
+        model = json.loads(byte_level)
+        level = model.get("pre_tokenizer") or {}
+        # no merge crosses a word, so a word is encoded once; other models get whole texts
+        plain = level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space") and not model.get("normalizer")
+        self.cut = regex.compile(WORDS) if plain else None
+        self.table: dict[str, bytes] = {}
         self.b = spm.SentencePieceProcessor(model_proto=sentencepiece)
         byte_of = _byte_of()
         entries = {i: bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode()
@@ -104,15 +117,27 @@ class Pair:
         # how an id is written after another of its model, after the other model's, and after a group
         self.after = {s: np.array([f"{s}{i}" for i in range(most)], object) for s in ",|;"}
 
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        fast = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
+        if self.cut is None:
+            return [np.array(e.ids, np.int64) for e in fast(texts, add_special_tokens=False)]
+        words = [self.cut.findall(t) for t in texts]
+        seen = set().union(*words)
+        if len(seen) + len(self.table) > TABLE_ENTRIES:
+            self.table.clear()  # what a block needs is always there
+        new = sorted(seen.difference(self.table))
+        self.table.update(zip(new, (array("I", e.ids).tobytes() for e in fast(new, add_special_tokens=False)), strict=True))
+        return [np.frombuffer(b"".join(map(self.table.__getitem__, w)), np.uintc).astype(np.int64) for w in words]
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and B of each text; both empty where their bytes are not those of the text after a space."""
-        fast = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        a = [np.array(e.ids, np.int64) for e in fast([" " + t for t in texts], add_special_tokens=False)]
+        a = self._encode_a([" " + t for t in texts])
         b = [np.array(i, np.int64) for i in self.b.encode(texts, num_threads=1)]
         none = np.empty(0, np.int64)
         for k, t in enumerate(texts):
             want = np.frombuffer((" " + t).encode(), np.uint8)
-            if not t or not (np.array_equal(self.a_bytes.joined(a[k]), want) and np.array_equal(self.b_bytes.joined(b[k]), want)):
+            # the byte-level model loses nothing, or it loses bytes
+            if not t or int(self.a_bytes.length[a[k]].sum()) != len(want) or not np.array_equal(self.b_bytes.joined(b[k]), want):
                 a[k] = b[k] = none
         return a, b
 
@@ -292,6 +317,3 @@ def score_alignment(df: DataFrame, tokenizers: tuple[str, bytes], id_col: str =
     return rows.mapInArrow(
         _scored, f"id {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     ).withColumnRenamed("id", id_col)
-
-
-__all__ = ["load_tokenizers", "Pair", "lockstep", "links", "align_texts", "align", "pair_counts", "score_alignment", "release"]

@@ -1,31 +1,33 @@
 """Substring dedup by relative Lempel-Ziv parsing.
 
-The reference is the corpus, cut into blocks by content: of every run of ``window``
-words the seed (a ``SEED``-word run inside it) with the smallest hash is its anchor,
-and a block is the longest stretch of words whose runs all have the same anchor
-occurrence.  Equal runs have equal anchors, so all occurrences of a run lie in
-blocks filed under one anchor, and a document needs to be compared only with the
-reference blocks under its own anchors.
-
-1. *Index*: one row per distinct block under each anchor, with the smallest document
-   that owns it (partial aggregation, so thousands of copies are one row per task).
-2. *Parse*: a block whose owner is a smaller document is one factor.  Under anchors
-   with several distinct blocks, each distinct block is parsed run by run against
-   all blocks of the anchor at once: a factor starts at a run that a smaller
-   document owns and goes on as long as the next run also has a smaller owner.  Only
-   one row per distinct block and run of a document is moved, never pairs of blocks.
-3. *Boundaries*: factors are at least ``window`` words long by construction.  Runs
-   across the end of a factor or block belong to the anchor of their own, so they are
-   looked up like all others; touching and overlapping factors are joined.
-
-The union of the factors is exactly the set of words covered by a run that also
-starts in a document with a smaller id.  Runs and blocks are compared by 64-bit
-hashes, under an independent 64-bit anchor hash.
+Every document is parsed greedily against the documents with smaller ids: at a place from
+which a run of ``window`` words also stands in such a document, the longest factor that
+goes on like the reference is taken, and parsing resumes at its end.
+
+1. *Index*: documents are cut by content.  Of every run of ``window`` words the seed (a
+   ``SEED``-word run inside it) with the smallest hash is its anchor, and a block is the longest
+   stretch of words whose runs all have the same anchor occurrence.  Equal runs have equal anchors, so
+   all places of a run are filed under one anchor.  The index has one row per distinct block under
+   each anchor: the smallest document that has it, and where (partial aggregation, so thousands
+   of copies are one row per task).
+2. *Look up*: a block whose owner is a smaller document points to that place.  Under anchors with
+   several distinct blocks, each distinct block is looked up run by run among all blocks of the anchor at
+   once; one row per distinct block and run of a document is moved, never pairs of blocks.
+3. *Fetch*: the reference words that a document's runs point to come to it in blocks of ``REFERENCE``
+   words, each distinct one once per document.
+4. *Parse*: at the first run that points somewhere, words are compared, not hashes, and the
+   factor grows word by word until the reference differs or its fetched blocks end.  Factors
+   of less than ``window`` words (two runs with one hash) are none.
+5. *Boundaries*: runs that reach over the end of a factor may stand in another reference: the next
+   factor begins at the first of them that points somewhere, overlapping the last one.
+
+The union of the factors is exactly the set of words covered by a run that also starts in a
+document with a smaller id (a run is looked up by its 64-bit hash under an independent 64-bit anchor
+hash; what is found is compared word by word).
 
 Edge cases: a null text has no words; documents shorter than ``window`` have no runs;
 rows that repeat an id are one document to the comparison (a run never makes its own
-id's rows lose it) and each is cut alike if their texts are equal, and by the union
-of the factors of all rows of that id otherwise; rows with a null id are never cut and
+id's rows lose it) and each is cut by its own factors; rows with a null id are never cut and
 own nothing; an empty table stays empty; other columns are kept by ``remove_spans``.
 """
 
@@ -38,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.sizes import broadcast_within
 from encore.llm.words import WordHashes, mix, signed, window_hashes
 from encore.sources.scratch import materialize, release
 
@@ -45,7 +48,11 @@ from encore.sources.scratch import materialize, release
 WINDOW = 50
 #: Words in a seed: fewer give longer blocks, more let fewer short common phrases become anchors.
 SEED = 16
-#: Blocks to parse run by run whose hashes are sent to all executors at most; more are joined by a shuffle.
+#: Words in a block of reference text that is fetched.
+REFERENCE = 256
+#: Rows whose ids are sent to all executors at most (16 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Blocks to look up run by run whose hashes are sent to all executors at most; more are joined by a shuffle.
 BROADCAST_BLOCKS = 2_000_000
 
 
@@ -90,7 +97,7 @@ def _block_hashes(runs: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
 
 
 def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per distinct block of each row of (``id``, ``text``): ``anchor``, ``block`` (hash), ``id``,
+    """A row per distinct block of each row of (``id``, ``row``, ``text``): ``anchor``, ``block`` (hash), ``id``, ``row``,
     ``starts`` (repetitive texts have the same block again and again), ``n`` (runs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,42 +105,40 @@ def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 found = []
-                for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for i, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     hashes = table.of((text or "").encode().split())
                     if i is not None and len(hashes) >= window:
                         anchors, starts, counts, runs = _anchored(hashes, window, seed)
                         kinds, order, first, times = _distinct(_block_hashes(runs, starts, counts))
-                        found.append((anchors[first], kinds, np.full(len(kinds), i, np.int64),
+                        found.append((anchors[first], kinds, np.full(len(kinds), i, np.int64), np.full(len(kinds), row, np.int64),
                                       counts[first].astype(np.int32), starts[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "block", "id", "n"])
+                    yield _batch(found, ["anchor", "block", "id", "row", "n"])
 
-    return df.select("id", "text").mapInArrow(run, "anchor long, block long, id long, n int, starts array<int>")
+    return df.select("id", "row", "text").mapInArrow(run, "anchor long, block long, id long, row long, n int, starts array<int>")
 
 
 def _run_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per distinct run of the blocks of (``id``, ``text``) whose hashes are in ``wanted``:
-    ``anchor``, ``run``, ``id``, ``starts``."""
+    """A row per distinct run of the blocks of (``id``, ``row``, ``text``) whose hashes are in ``wanted``:
+    ``anchor``, ``run``, ``id``, ``row``, ``starts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 found = []
-                for i, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for i, row, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     hashes = table.of((text or "").encode().split())
-                    if len(hashes) < window:  # another row that has the same id
-                        continue
                     anchors, starts, counts, runs = _anchored(hashes, window, seed)
                     mine = np.isin(signed(_block_hashes(runs, starts, counts)), np.array(wanted, np.int64))
                     take = np.flatnonzero(np.repeat(mine, counts))
                     kinds, order, first, times = _distinct(runs[take])
                     found.append((np.repeat(anchors, counts)[take][first], kinds, np.full(len(kinds), i, np.int64),
-                                  take[order].astype(np.int32), times))
+                                  np.full(len(kinds), row, np.int64), take[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "run", "id"])
+                    yield _batch(found, ["anchor", "run", "id", "row"])
 
-    return df.select("id", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, starts array<int>")
+    return df.select("id", "row", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, row long, starts array<int>")
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -151,30 +156,145 @@ def _batch(found: list[tuple], names: list[str]) -> pa.RecordBatch:
         [*(pa.array(signed(c) if c.dtype == np.uint64 else c) for c in columns), lists], names=[*names, "starts"])
 
 
+def _reference_blocks(df: DataFrame) -> DataFrame:
+    """Of (``id``, ``row``, ``text``): ``r_id``, ``r_row``, ``r_block``, ``words`` of every ``REFERENCE`` words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(k, 64) for k in range(0, batch.num_rows, 64)):
+                out: tuple[list, ...] = ([], [], [], [])
+                for i, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                    words = (text or "").encode().split()
+                    for k in range(0, len(words), REFERENCE):
+                        for column, value in zip(out, (i, row, k // REFERENCE, b" ".join(words[k:k + REFERENCE])), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
+                                                  pa.array(out[3], pa.binary())], names=["r_id", "r_row", "r_block", "words"])
+
+    return df.select("id", "row", "text").mapInArrow(run, "r_id long, r_row long, r_block int, words binary")
+
+
+def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
+    """How many first words are equal, compared some at a time."""
+    n, at, step = min(len(a), len(b)), 0, 64
+    while at < n:
+        differ = a[at:min(at + step, n)] != b[at:min(at + step, n)]
+        if differ.any():
+            return at + int(np.argmax(differ))
+        at += step
+        step *= 2
+    return n
+
+
+def parse(words: list[bytes], seeds: list[tuple], blocks: dict[tuple, list[bytes]], window: int) -> list[tuple[int, int, int, int, int]]:
+    """The greedy factors of a document: (start, length, reference's id and row, place in it).
+
+    ``seeds``: (starts, length, id, row, place) of stretches whose runs point to a reference;
+    ``blocks``: the words of its blocks by (id, row, number).
+    """
+    number: dict[bytes, int] = {}
+    own = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
+    last = len(words) - window
+    refs: dict[tuple, int] = {}
+    ref, place = np.full(max(last + 1, 0), -1, np.int64), np.zeros(max(last + 1, 0), np.int64)
+    for starts, length, i, row, at in sorted(seeds, key=lambda x: (-x[2], x[1])):  # the smallest id and longest stretch wins
+        run = np.arange(length - window + 1)
+        where = (np.array(starts, np.int64)[:, None] + run).ravel()
+        there = np.broadcast_to(at + run, (len(starts), len(run))).ravel()
+        ref[where], place[where] = refs.setdefault((i, row), len(refs)), there
+    keys = list(refs)
+    texts: dict[tuple, np.ndarray] = {}
+
+    def text(key: tuple, block: int) -> np.ndarray:
+        """The reference's words from a block on, as far as blocks were fetched."""
+        if (key, block) not in texts:
+            got, k = [], block
+            while (*key, k) in blocks:
+                got += [number.get(w, -1) for w in blocks[(*key, k)]]
+                k += 1
+            texts[key, block] = np.array(got, np.int64)
+        return texts[key, block]
+
+    out = []
+    pointed = np.flatnonzero(ref >= 0)
+    at = 0
+    while at < len(pointed):
+        i = int(pointed[at])
+        key, there = keys[ref[i]], int(place[i])
+        length = _equal_words(own[i:], text(key, there // REFERENCE)[there % REFERENCE:])
+        if length >= window:
+            out.append((i, length, *key, there))
+            at = int(np.searchsorted(pointed, i + length - window + 1))  # runs over the factor's end are looked at
+        else:
+            at += 1  # another run with the same hash
+    return out
+
+
+def _factors(window: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
+            found = []
+            for i, row, text, seeds, fetched in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                blocks = {(f["r_id"], f["r_row"], f["r_block"]): f["words"].split() for f in fetched}
+                pointers = [(s["starts"], s["length"], s["own"]["id"], s["own"]["row"], s["own"]["place"]) for s in seeds]
+                found += [(i, row, *f) for f in parse((text or "").encode().split(), pointers, blocks, window)]
+            columns = list(zip(*found, strict=True)) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             names=["id", "row", "start", "length", "ref_id", "ref_row", "ref_start"])
+    return run
+
+
+def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id``, ``row`` (tells texts of one id apart), ``text``."""
+    text = F.col(text_col).cast("string")
+    return df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"), text.alias("text"))
+
+
 def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """The factors: ``id``, ``starts`` (places of equal factors), ``length`` (in words); not yet
-    joined where they overlap."""
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    """The factors: ``id`` and ``row`` of the document, ``start`` and ``length`` (in words), and ``ref_id``,
+    ``ref_row`` and ``ref_start`` of the reference they equal."""
+    docs = _tagged(df, id_col, text_col)
     rows = materialize(_block_table(docs, window, seed), "rlz-blocks")
+    where = F.min(F.struct("id", "row", F.element_at("starts", 1).alias("place"))).alias("own")
     # every distinct block with its smallest owner
-    owned = materialize(rows.groupBy("anchor", "block").agg(F.min("id").alias("owner"), F.max("id").alias("last")), "rlz-index")
-    whole = (rows.join(owned.where("owner < last").select("anchor", "block", "owner"), ["anchor", "block"])
-                 .where("id > owner").select("id", "starts", (F.col("n") + (window - 1)).alias("length")))
-    # under anchors with several distinct blocks, the owner of each is parsed run by run
+    owned = materialize(rows.groupBy("anchor", "block").agg(where, F.max("id").alias("last")), "rlz-index")
+    whole = (rows.join(owned.where("own.id < last").select("anchor", "block", "own"), ["anchor", "block"])
+                 .where("id > own.id").select("id", "row", "starts", (F.col("n") + (window - 1)).alias("length"), "own"))
+    # under anchors with several distinct blocks, the owner of each is looked up run by run
     several = materialize(
-        owned.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("owner").alias("lo"), F.max("last").alias("hi"))
+        owned.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("own.id").alias("lo"), F.max("last").alias("hi"))
              .where("k > 1 AND lo < hi").select("anchor"), "rlz-anchors")
-    wanted = materialize(owned.join(several, "anchor").groupBy(F.col("owner").alias("id"))
+    wanted = materialize(owned.join(several, "anchor").groupBy(F.col("own.id").alias("id"), F.col("own.row").alias("row"))
                               .agg(F.collect_list("block").alias("wanted")), "rlz-wanted")
     blocks = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    runs = _run_table(docs.join(F.broadcast(wanted) if blocks <= BROADCAST_BLOCKS else wanted, "id"), window, seed)
-    owners = materialize(runs.groupBy("anchor", "run").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-                             .where("owner < last").select("anchor", "run", "owner"), "rlz-owners")
-    single = (runs.join(owners, ["anchor", "run"]).where("id > owner")
-                  .select("id", "starts", F.lit(window).alias("length")))
-    out = materialize(whole.unionByName(single), "rlz-factors")
-    release(rows, owned, several, wanted, owners)
+    key = ["id", "row"]
+    once = docs.join(F.broadcast(wanted) if blocks <= BROADCAST_BLOCKS else wanted, key)
+    runs = materialize(_run_table(once, window, seed), "rlz-runs")
+    owners = materialize(runs.groupBy("anchor", "run").agg(where, F.max("id").alias("last"))
+                             .where("own.id < last").select("anchor", "run", "own"), "rlz-owners")
+    single = (runs.join(owners, ["anchor", "run"]).where("id > own.id")
+                  .select("id", "row", "starts", F.lit(window).alias("length"), "own"))
+    seeds = materialize(whole.unionByName(single), "rlz-seeds")
+    release(rows, owned, several, wanted, runs, owners)
+
+    # the reference words that each document points to
+    span = F.sequence(F.expr(f"own.place DIV {REFERENCE}").cast("int"), F.expr(f"(own.place + length - 1) DIV {REFERENCE}").cast("int"))
+    needed = materialize(seeds.select(*key, F.col("own.id").alias("r_id"), F.col("own.row").alias("r_row"), F.explode(span).alias("r_block"))
+                              .distinct(), "rlz-needed")
+    sources = broadcast_within(materialize(needed.select(F.col("r_id").alias("id"), F.col("r_row").alias("row")).distinct(), "rlz-sources"),
+                               BROADCAST_ROWS)
+    references = _reference_blocks(docs.join(sources, key, "left_semi").dropDuplicates(key))
+    fetched = (needed.join(references, ["r_id", "r_row", "r_block"]).groupBy(*key)
+                     .agg(F.collect_list(F.struct("r_id", "r_row", "r_block", "words")).alias("fetched")))
+    packed = seeds.groupBy(*key).agg(F.collect_set(F.struct("starts", "length", "own")).alias("seeds"))
+    targets = broadcast_within(materialize(seeds.select(*key).distinct(), "rlz-targets"), BROADCAST_ROWS)
+    parsed = (docs.join(targets, key, "left_semi").dropDuplicates(key).join(packed, key).join(fetched, key)
+                  .select(*key, "text", "seeds", "fetched"))
+    out = materialize(parsed.mapInArrow(
+        _factors(window), "id long, row long, start int, length int, ref_id long, ref_row long, ref_start int"), "rlz-factors")
+    release(seeds, needed)
     return out
 
 
@@ -183,11 +303,14 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
     """All rows and columns of ``df``; ``text_col`` is replaced by its kept words, joined by one
     space, where a span covers words of it.  With ``counts``, ``n_words`` and ``n_removed`` are added
     (and replace columns of these names)."""
-    packed = (spans.select("id", F.struct("starts", "length").alias("span"))
-                   .groupBy("id").agg(F.collect_list("span").alias("spans")))
+    packed = (spans.select(F.col("id").alias("s_id"), F.col("row").alias("s_row"), F.struct("start", "length").alias("span"))
+                   .groupBy("s_id", "s_row").agg(F.collect_list("span").alias("spans")))
     names = [f"c{k}" for k in range(len(df.columns))]
     at = df.columns.index(text_col)
-    joined = df.toDF(*names).join(packed, F.col(names[df.columns.index(id_col)]) == F.col("id"), "left").drop("id")
+    source = df.toDF(*names).withColumn(names[at], F.col(names[at]).cast("string"))
+    tag = F.xxhash64(F.coalesce(F.col(names[at]), F.lit("")))
+    joined = source.join(packed, (F.col(names[df.columns.index(id_col)]).cast("long") == F.col("s_id")) & (tag == F.col("s_row")),
+                         "left").drop("s_id", "s_row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
@@ -195,11 +318,10 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
             for text, found in zip(batch.column(at).to_pylist(), batch.column(len(names)).to_pylist(), strict=True):
                 words = (text or "").encode().split()
                 edge = np.zeros(len(words) + 1, np.int64)
-                for s in found or ():
-                    starts = np.array(s["starts"], np.int64)
-                    starts = starts[starts < len(words)]  # spans of another row of the same id
-                    np.add.at(edge, starts, 1)
-                    np.add.at(edge, np.minimum(starts + s["length"], len(words)), -1)
+                if found:
+                    start = np.array([f["start"] for f in found], np.int64)
+                    np.add.at(edge, start, 1)
+                    np.add.at(edge, start + np.array([f["length"] for f in found], np.int64), -1)
                 cut = np.cumsum(edge[:-1]) > 0
                 totals.append(len(words))
                 removed.append(int(cut.sum()))
@@ -210,9 +332,7 @@ def remove_spans(df: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([*columns, pa.array(totals, pa.int64()), pa.array(removed, pa.int64())],
                                              names=[*names, "n_words", "n_removed"])
 
-    schema = df.toDF(*names).withColumn(names[at], F.col(names[at]).cast("string")).schema
-    out = joined.withColumn(names[at], F.col(names[at]).cast("string")).mapInArrow(
-        run, schema.add("n_words", "long").add("n_removed", "long"))
+    out = joined.mapInArrow(run, source.schema.add("n_words", "long").add("n_removed", "long"))
     if not counts:
         return out.select(*(F.col(n).alias(c) for n, c in zip(names, df.columns, strict=True)))
     added = ["n_words", "n_removed"]
@@ -223,4 +343,3 @@ def kept_digest(text_col: str = "text"):
     """SHA-256 of the kept words joined by one space."""
     inner = F.btrim(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[ \t\n\x0B\f\r]+", " "), F.lit(" "))
     return F.sha2(inner.cast("binary"), 256)
-

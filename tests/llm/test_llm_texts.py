@@ -18,7 +18,7 @@ from encore.llm.oracle import OP6
 from encore.llm.pieces import Encoder, encode_decode, load_pieces
 from encore.llm.quality_llr import judge, ratio_table
 from encore.llm.queries import PIECE_MODEL, QUERIES, tokenizer_path
-from encore.llm.substring import _sliding_argmin, duplicate_spans, kept_digest, remove_spans
+from encore.llm.substring import REFERENCE, _sliding_argmin, duplicate_spans, kept_digest, parse, remove_spans
 
 from conftest import MEDIUM, SMALL
 
@@ -159,6 +159,64 @@ def test_substring_edges(spark):
     assert run_substrings(df.limit(0)) == []
 
 
+def brute_factors(rows, window=50):
+    """Greedy parses of documents whose runs occur once in a document: {(id, start, length, reference, place)}."""
+    words = {i: WORDS.findall(t) for i, t in rows}
+    first = {}
+    for i in sorted(words):
+        for k in range(len(words[i]) - window + 1):
+            first.setdefault(tuple(words[i][k:k + window]), (i, k))
+    out = set()
+    for i, w in words.items():
+        points = {k: first[tuple(w[k:k + window])] for k in range(len(w) - window + 1)}
+        points = {k: p for k, p in points.items() if p[0] < i}
+        near = {(r, b) for r, p in points.values() for b in range(p // REFERENCE, (p + window - 1) // REFERENCE + 1)}
+        k = 0
+        while k <= len(w) - window:
+            if k not in points:
+                k += 1
+                continue
+            r, p = points[k]
+            n = 0
+            while k + n < len(w) and p + n < len(words[r]) and (r, (p + n) // REFERENCE) in near and w[k + n] == words[r][p + n]:
+                n += 1
+            out.add((i, k, n, r, p))
+            k += n - window + 1
+    return out
+
+
+def test_factors_match_brute_force(spark):
+    """The factors themselves: longest matches, references that change inside a document, boundaries between two of them."""
+    rnd = random.Random(9)
+    w = [f"w{k}" for k in range(3000)]
+    rows = [(1, " ".join(w[:1200])), (2, " ".join(w[1000:2200])), (3, " ".join(w[900:1300])), (4, " ".join(w[500:700] + ["x"] + w[700:900])),
+            (5, " ".join(w[2100:2400] + w[0:300])), (6, " ".join(w[100:160] + w[130:190])), (7, " ".join(w[1150:1250]))]
+    for i in range(10, 40):  # cuttings of the earlier texts, put together
+        parts = []
+        for _ in range(rnd.randint(1, 5)):
+            a = rnd.randrange(2300)
+            parts += w[a:a + rnd.randint(20, 500)] + [f"n{i}_{rnd.randrange(10 ** 6)}"] * rnd.randint(0, 1)
+        rows.append((i, " ".join(parts)))
+    rows = [(i, t) for i, t in rows if len({tuple(x) for x in (WORDS.findall(t)[k:k + 50] for k in range(len(t.split()) - 49))}) == max(0, len(t.split()) - 49)]
+    got = {(r.id, r.start, r.length, r.ref_id, r.ref_start) for r in duplicate_spans(frame(spark, rows)).collect()}
+    assert got == brute_factors(rows) and len(rows) > 15
+    assert max(n for _, _, n, _, _ in got) > 400
+
+
+def test_equal_hashes_are_no_factor():
+    """Two runs that only share a hash: the words decide."""
+    words = [b"w%d" % k for k in range(60)]
+    other = words[:49] + [b"z"] + words[50:]
+    assert parse(words, [([0], 60, 1, 2, 0)], {(1, 2, 0): other}, 50) == []
+    assert parse(words, [([0], 60, 1, 2, 0)], {(1, 2, 0): words + [b"more"]}, 50) == [(0, 60, 1, 2, 0)]
+
+
+def test_rows_of_one_id_are_cut_by_their_own_factors(spark):
+    w = [f"w{k}" for k in range(200)]
+    rows = [(1, " ".join(w[:100])), (2, " ".join(w[20:90])), (2, " ".join(f"own{k}" for k in range(90)))]
+    assert sorted((i, n[:2]) for i, n in run_substrings(frame(spark, rows))) == [(1, (100, 0)), (2, (70, 70)), (2, (90, 0))]
+
+
 def test_hot_passage(spark):
     """A passage in every third document, each time in other surroundings, and many exact copies."""
     rnd = random.Random(2)
