@@ -16,6 +16,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.als_solution import normal_residuals
 from encore.operators.labels import explode_lists
 from encore.operators.metrics import ranking_metrics
 from encore.session import ensure_checkpoint_dir
@@ -102,8 +103,9 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
     """One metrics row per (rank, reg, alpha).
 
     Ratings, evaluation users and labels are persisted once for all fits.  Each
-    model is scored as soon as it is fitted and its factors are released before
-    the next fit; only its one row of metrics stays.
+    model is scored as soon as it is fitted, its users' factors are held against their
+    normal equations (``max_residual``, see ``als_solution``), and its factors are released
+    before the next fit; only its one row of numbers stays.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
@@ -119,7 +121,8 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
             model = build_als(rank, reg, alpha, max_iter, seed=seed, num_blocks=num_blocks, user_col=user_col,
                               item_col=item_col, rating_col=rating_col).fit(ratings)
             metrics = evaluate_als(model, users, labels, k, user_col, item_col).first()
-            rows.append((int(rank), float(reg), float(alpha), *metrics))
+            gap = normal_residuals(ratings, model.userFactors, model.itemFactors, reg, alpha, user_col, item_col, rating_col)
+            rows.append((int(rank), float(reg), float(alpha), *metrics, gap.agg(F.max("residual")).first()[0]))
             held = spark.sparkContext._jsc.getPersistentRDDs()
             for i in set(held) - before:  # the model's factors
                 held[i].unpersist()
@@ -127,7 +130,7 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
         for f in shared:
             f.unpersist()
     return spark.createDataFrame(
-        rows, "rank int, reg_param double, alpha double, map_at_k double, ndcg_at_k double, precision_at_k double, n_users long")
+        rows, "rank int, reg_param double, alpha double, map_at_k double, ndcg_at_k double, precision_at_k double, n_users long, max_residual double")
 
 
 __all__ = ["prepare_ratings", "build_als", "fit_als", "recommend", "recommendation_lists",

