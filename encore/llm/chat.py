@@ -15,7 +15,8 @@ is a result.  All other messages are left alone.
   weighted edges, give the levels.  Sorting by (level, turn, position) is a topological
   order; no conversation is gathered into one task for it.
 * *Validation*: arguments are held against the tool's schema (required names, types,
-  ranges, allowed values, no other names); ``errors`` lists what is wrong in order.
+  ranges, allowed values, types of an array's items, no other names, and the same for objects
+  within objects); ``errors`` lists what is wrong in order, an object's own first.
 * *Serialisation*: ``json`` is canonical: sorted keys, no spaces, nulls left in.
 
 Only DataFrame functions; JSON is handled as VARIANT.  Schemas are a parameter and
@@ -147,30 +148,46 @@ def _chain_ends(single: DataFrame) -> DataFrame:
     return now.where("ended").select("uid", "to", "steps")
 
 
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _checks(schema: Mapping, holder: str, names: str, where: str) -> str:
+    """What is wrong with the object ``holder`` (VARIANT), whose names are ``names``: an SQL array of strings."""
+    own, inner = [], []
+    for p, rule in sorted(schema.get("properties", {}).items()):
+        if '"' in p:
+            raise ValueError(f"a property's name must not have quotation marks: {p}")
+        path, shown = '$["' + p + '"]', where + p
+        value = f"try_variant_get({holder}, {_lit(path)}, 'variant')"
+        has = f"coalesce(array_contains({names}, {_lit(p)}), false)"
+        is_type = lambda v, kind: f"coalesce(schema_of_variant({v}) RLIKE {_lit('^(' + _TYPES[kind] + ')$')}, false)"
+        typed = is_type(value, rule["type"])
+        if p in schema.get("required", ()):
+            own.append(f"CASE WHEN NOT {has} THEN {_lit(f'missing {shown}')} END")
+        own.append(f"CASE WHEN {has} AND NOT {typed} THEN {_lit(f'type of {shown}')} END")
+        number = f"try_variant_get({value}, '$', 'double')"
+        bounds = [f"{number} {sign} {rule[key]}" for key, sign in (("minimum", "<"), ("maximum", ">")) if key in rule]
+        if bounds:
+            own.append(f"CASE WHEN {has} AND {typed} AND ({' OR '.join(bounds)}) THEN {_lit(f'range of {shown}')} END")
+        if "enum" in rule:
+            allowed = ", ".join(map(_lit, rule["enum"]))
+            own.append(f"CASE WHEN {has} AND {typed} AND try_variant_get({value}, '$', 'string') NOT IN ({allowed}) THEN {_lit(f'value of {shown}')} END")
+        if "items" in rule:
+            each = f"exists(try_variant_get({value}, '$', 'array<variant>'), x -> NOT {is_type('x', rule['items']['type'])})"
+            own.append(f"CASE WHEN {has} AND {typed} AND {each} THEN {_lit(f'items of {shown}')} END")
+        if "properties" in rule:
+            deeper = _checks(rule, value, f"json_object_keys(to_json({value}))", shown + ".")
+            inner.append(f"CASE WHEN {has} AND {typed} THEN {deeper} ELSE CAST(array() AS array<string>) END")
+    known = ", ".join(map(_lit, sorted(schema.get("properties", {})))) or "CAST(NULL AS string)"
+    unknown = f"transform(array_sort(array_except({names}, array({known}))), x -> concat({_lit('unknown ' + where)}, x))"
+    found = f"filter(array({', '.join(own) or 'CAST(NULL AS string)'}), x -> x IS NOT NULL)"
+    return f"concat({', '.join([found, unknown, *inner])})"
+
+
 def _errors(schemas: Mapping[str, Mapping]) -> Column:
     """What is wrong with ``arguments`` for the tool ``name``, as an array of strings."""
-    lit = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    cases = ""
-    for tool, schema in sorted(schemas.items()):
-        checks = []
-        for p, rule in sorted(schema["properties"].items()):
-            path = '$["' + p + '"]'
-            value = f"try_variant_get(arguments, {lit(path)}, 'variant')"
-            has = f"array_contains(names, {lit(p)})"
-            if p in schema.get("required", ()):
-                checks.append(f"CASE WHEN NOT {has} THEN {lit(f'missing {p}')} END")
-            typed = f"schema_of_variant({value}) RLIKE {lit('^(' + _TYPES[rule['type']] + ')$')}"
-            checks.append(f"CASE WHEN {has} AND NOT coalesce({typed}, false) THEN {lit(f'type of {p}')} END")
-            number = f"try_variant_get({value}, '$', 'double')"
-            bounds = [f"{number} {sign} {rule[key]}" for key, sign in (("minimum", "<"), ("maximum", ">")) if key in rule]
-            if bounds:
-                checks.append(f"CASE WHEN {has} AND {typed} AND ({' OR '.join(bounds)}) THEN {lit(f'range of {p}')} END")
-            if "enum" in rule:
-                allowed = ", ".join(lit(e) for e in rule["enum"])
-                checks.append(f"CASE WHEN {has} AND {typed} AND try_variant_get({value}, '$', 'string') NOT IN ({allowed}) THEN {lit(f'value of {p}')} END")
-        names = ", ".join(map(lit, sorted(schema["properties"])))
-        unknown = f"transform(array_sort(array_except(names, array({names}))), x -> concat('unknown ', x))"
-        cases += f" WHEN {lit(tool)} THEN concat(filter(array({', '.join(checks)}), x -> x IS NOT NULL), {unknown})"
+    cases = "".join(f" WHEN {_lit(tool)} THEN {_checks(schema, 'arguments', 'names', '')}" for tool, schema in sorted(schemas.items()))
     return F.expr(f"CASE WHEN names IS NULL THEN array('arguments') ELSE CASE name{cases} ELSE array('unknown tool') END END")
 
 

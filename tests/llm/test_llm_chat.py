@@ -138,6 +138,20 @@ def test_names_with_dots(spark):
     assert out == {0: [], 1: ["range of a.b"], 2: ["missing a.b"], 3: ["type of a.b"]}
 
 
+def test_nested_schemas(spark):
+    schemas = {"t": {"required": ["where"], "properties": {
+        "tags": {"type": "array", "items": {"type": "string"}},
+        "where": {"type": "object", "required": ["city"], "properties": {
+            "city": {"type": "string", "enum": ["it's", "b"]}, "at": {"type": "object", "properties": {"x": {"type": "number", "maximum": 1}}}}}}}}
+    cases = [({"where": {"city": "b"}}, []), ({"where": {}}, ["missing where.city"]), ({"where": 3}, ["type of where"]), ({}, ["missing where"]),
+             ({"where": {"city": "it's", "at": {"x": 2, "z": 0}, "y": 1}}, ["unknown where.y", "range of where.at.x", "unknown where.at.z"]),
+             ({"where": {"city": "c", "at": 1}, "tags": ["a", 1]}, ["items of tags", "type of where.at", "value of where.city"]),
+             ({"where": {"city": None}, "tags": []}, ["type of where.city"])]
+    rows = [(1, k, "assistant", json.dumps({"tool_calls": [{"id": f"c{k}", "name": "t", "arguments": a}]}), "", 0) for k, (a, _) in enumerate(cases)]
+    out = {r.turn: r.errors for r in format_calls(spark.createDataFrame(rows, SCHEMA), schemas).collect()}
+    assert out == {k: e for k, (_, e) in enumerate(cases)}
+
+
 def test_whole_texts_travel(spark):
     rows = [(1, 0, "user", "q", "", 0), (1, 1, "assistant", "word " * 4001 + "end", "", 0), (1, 2, "user", "answer " * 5000 + "end", "", 0)]
     out = format_calls(traffic(spark.createDataFrame(rows, SCHEMA)), SCHEMAS).collect()

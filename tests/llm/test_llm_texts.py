@@ -258,6 +258,18 @@ def test_op10_query_base_columns(spark):
     assert np.mean([k == bool(q) for k, q in judged]) > 0.97
 
 
+def test_verdicts_on_documents_left_out(spark):
+    """Three quarters of the labels make the target; the verdicts are measured on the rest."""
+    base = MEDIUM.replace("sf0.01", "sf0.1")
+    left_out = "crc32(CAST(CAST(doc_id AS string) AS binary)) % 4 = 2"
+    labels = spark.read.parquet(f"{base}/labels.parquet")
+    out = judge(spark.read.parquet(f"{base}/documents.parquet"), labels.where(f"quality = 1 AND NOT {left_out}").select("doc_id"))
+    judged = out.join(labels.where(left_out), "doc_id").where("NOT base_failed").select("kept", "quality", "score").toPandas()
+    assert len(judged) > 300 and (judged.kept == (judged.quality == 1)).mean() > 0.9
+    good, bad = judged.score[judged.quality == 1].to_numpy(), judged.score[judged.quality == 0].to_numpy()
+    assert (good[:, None] > bad).mean() > 0.9  # a good document scores above a bad one
+
+
 def test_likelihood_ratio(spark):
     """The scores follow from the counts of the hash classes, and those from all documents."""
     rows = [(1, "good words only here"), (2, "bad words | | |"), (3, "good words"), (None, "good"), (3, "good words"), (4, None), (5, "")]
