@@ -84,8 +84,12 @@ def page(df: DataFrame, order_cols: Sequence[str], offset: int, size: int | None
 def bounded_export(df: DataFrame, order_cols: Sequence[str], max_rows: int, path: str | None = None,
                    mode: str = "overwrite", *, num_partitions: int) -> DataFrame:
     """The first ``max_rows`` rows in key order (a deterministic LIMIT, whatever the input's
-    size); written to ``path`` and read back when given."""
-    bounded = page(df, order_cols, 0, max_rows, num_partitions=num_partitions)
+    size); written to ``path`` and read back when given.
+
+    Whole rows are numbered in one range shuffle: an export is a large part of its input,
+    so numbering keys alone and joining the rows back (``page``) would move more.
+    """
+    bounded = row_index(df, order_cols, _IDX, num_partitions=num_partitions).where(F.col(_IDX) <= max_rows).drop(_IDX)
     if path is None:
         return bounded
     bounded.write.mode(mode).parquet(path)
