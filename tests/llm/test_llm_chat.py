@@ -53,13 +53,15 @@ def _brute(messages):
                     calls.append((conv, turn, k, c["id"], c["name"], c.get("arguments"), set(c.get("after") or [])))
         if role == "tool" and v.get("call_id") is not None:
             results.append((conv, turn, v["call_id"], v.get("content")))
-    level = {}
+    level, named = {}, {}
+    for n, c in enumerate(calls):
+        named.setdefault((c[0], c[3]), []).append(n)
+    waits = [[named.get((c[0], a), []) for a in c[6]] for c in calls]
     while True:
         new = {}
-        for n, (conv, _, _, _, _, _, after) in enumerate(calls):
+        for n, deps in enumerate(waits):
             if n in level:
                 continue
-            deps = [[m for m, d in enumerate(calls) if d[0] == conv and d[3] == a] for a in after]
             if all(d and all(m in level for m in d) for d in deps):
                 new[n] = max((level[m] + 1 for d in deps for m in d), default=0)
         if not new:
