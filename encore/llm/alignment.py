@@ -5,11 +5,15 @@ SentencePiece BPE model (B, which adds the space itself); both give pieces of th
 The byte offsets where a token of A and a token of B both end cut the tokens into groups, and
 every token of A in a group is linked to every token of B in it.
 
-Texts are handled in blocks.  One numpy state vector holds a lane per document: the next
-token of A and of B and where its open group began.  In each step all lanes compare the ends of
-their two tokens and advance the one that is behind, or both and cut the group there; lanes
-that are done leave the vector.  A long document is several lanes: each starts at a place where
-tokens of both end, so the vector stays full however long the longest text is.
+Texts are handled in blocks.  No merge of either model crosses from a character into white space
+that follows it (but for white space that a piece of B has there), so tokens of both end there: these
+places cut the block's documents into stretches.  One numpy state vector advances all documents at
+once, a lane for each different stretch: the next token of A and of B and where the open group
+began.  In each step all lanes compare the ends of their two tokens and advance the one that is
+behind, or both and cut the group there; lanes that are done leave the vector.  A stretch is encoded and
+merged once as long as a task remembers it, and a document's groups are those of its
+stretches in order.  A long stretch is several lanes: each starts at a place where tokens of both
+end, so the vector stays full.  Models that do not allow the cuts get whole texts as stretches.
 
 A link's weight is the number of documents of the whole corpus that hold its pair of ids:
 
@@ -33,16 +37,18 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from array import array
+import re
 from collections.abc import Iterator
+from dataclasses import astuple
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.pieces import MERGED, SPACE, Encoder, Pieces, load_pieces
 from encore.llm.sizes import broadcast_within
 from encore.sources.scratch import materialize
 
@@ -54,18 +60,33 @@ LANE = 128
 WIDTH = 1 << 32
 #: A group with more links than this is counted by its distinct ids instead of link by link.
 LARGE_GROUP = 4_096
-#: Words of A that a task remembers with their ids, to bound its memory.
-TABLE_ENTRIES = 300_000
+#: Stretches of texts that a task remembers, to bound its memory.
+TABLE_ENTRIES = 500_000
 #: The pattern by which byte-level BPE cuts a text into words; fixed value of that format.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: From this character on, stretches are left to the model's own library, whose tables of letters may be others.
+PLAIN = "\u0250"
+#: White space as the byte-level model's pattern has it; fixed value of that format.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Ids of A whose highest counts are sent to all executors at most: more than any vocabulary in use.
 BROADCAST_IDS = 2_000_000
 
 
-def load_tokenizers(byte_level_path: str, sentencepiece_path: str) -> tuple[str, bytes]:
-    """The two model files (driver side; a few megabytes)."""
-    with open(byte_level_path, encoding="utf-8") as a, open(sentencepiece_path, "rb") as b:
-        return a.read(), b.read()
+def load_tokenizers(byte_level_path: str, sentencepiece_path: str) -> tuple[str, tuple, bool]:
+    """The two models (driver side; a few megabytes) as plain values, and whether A's merges may be
+    done by rank: its words are cut by ``WORDS``, ids rise with the merges, and every entry
+    encodes to itself, so that two tokens whose bytes make an entry only ever meet as its own merge."""
+    with open(byte_level_path, encoding="utf-8") as f:
+        text = f.read()
+    from tokenizers import Tokenizer
+    whole, model = Tokenizer.from_str(text), json.loads(text)
+    level, body = model.get("pre_tokenizer") or {}, model["model"]
+    plain = level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space") and not model.get("normalizer")
+    made = [body["vocab"].get("".join(m.split(" ") if isinstance(m, str) else m), -1) for m in body.get("merges", ())]
+    by_rank = bool(plain and body.get("type") == "BPE" and not any(body.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                   "end_of_word_suffix", "byte_fallback")) and made == sorted(set(made)) and min(made, default=-1) >= 256
+                   and all(len(whole.model.tokenize(e)) == 1 for e in body["vocab"]))
+    return text, astuple(load_pieces(sentencepiece_path)), by_rank
 
 
 def _byte_of() -> dict[str, int]:
@@ -90,56 +111,142 @@ class _Bytes:
         return self.blob[np.repeat(self.start[ids] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
+class _Lists:
+    """A list of numbers per remembered stretch, in flat arrays."""
+
+    def __init__(self, columns: int = 1) -> None:
+        self.flat = [np.empty(0, np.int64) for _ in range(columns)]
+        self.size = self.start = np.empty(0, np.int64)
+
+    def add(self, size: np.ndarray, *flat: np.ndarray) -> None:
+        self.size = np.concatenate([self.size, size])
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = [np.concatenate(c) for c in zip(self.flat, flat, strict=True)]
+
+    def places(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the lists of ``index`` are in the flat arrays, and which of ``index`` each place is for."""
+        size = self.size[index]
+        of = np.repeat(np.arange(len(index)), size)
+        return np.arange(len(of)) + (self.start[index] - (np.cumsum(size) - size))[of], of
+
+
 class Pair:
     """The two models in a task."""
 
-    def __init__(self, byte_level: str, sentencepiece: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import sentencepiece as spm
-        from tokenizers import Tokenizer
-        self.a = Tokenizer.from_str(byte_level)
-        self.a.encode_special_tokens = True  # their strings are ordinary text
+    def __init__(self, byte_level: str, pieces: tuple, by_rank: bool):
+        self.byte_level = byte_level
+        self.a = None  # the library's own encoder, made when first needed
         model = json.loads(byte_level)
         level = model.get("pre_tokenizer") or {}
-        # no merge crosses a word, so a word is encoded once; other models get whole texts
         plain = level.get("type") == "ByteLevel" and level.get("use_regex") and not level.get("add_prefix_space") and not model.get("normalizer")
-        self.cut = regex.compile(WORDS) if plain else None
-        self.table: dict[str, bytes] = {}
-        self.b = spm.SentencePieceProcessor(model_proto=sentencepiece)
+        self.b = Encoder(Pieces(*pieces))
+        # white space that follows another character in some piece of B: no cut before it
+        normal = [p.replace(SPACE, " ") for p, t in zip(self.b.model.pieces, self.b.model.types, strict=True) if t == Pieces.NORMAL]
+        held = {y for p in normal for x, y in zip(p, p[1:], strict=False) if y in WHITE and x not in WHITE}
+        if plain and self.b.model.dummy_prefix and " " not in held:
+            more = f"(?:[{''.join(sorted(held))}][{WHITE}]*[^{WHITE}]*)*" if held else ""
+            self.cut = re.compile(f"[{WHITE}]*[^{WHITE}]+{more}|[{WHITE}]+")
+        else:
+            self.cut = re.compile(".+", re.DOTALL)
         byte_of = _byte_of()
-        entries = {i: bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode()
-                   for e, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocab = model["model"]["vocab"] | {t["content"]: t["id"] for t in model.get("added_tokens") or ()}
+        entries = {i: bytes(byte_of[c] for c in e) if all(c in byte_of for c in e) else e.encode() for e, i in vocab.items()}
+        self.ranked = None
+        if by_rank:
+            import tiktoken
+            self.ranked = tiktoken.Encoding("a", pat_str=WORDS, special_tokens={},
+                                            mergeable_ranks={entries[i]: i for i in model["model"]["vocab"].values()}).encode_ordinary
         self.a_bytes = _Bytes([entries.get(i, b"") for i in range(max(entries, default=-1) + 1)])
-        n = self.b.get_piece_size()
-        self.b_bytes = _Bytes([bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i)
-                               else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(n)])
-        most = max(len(self.a_bytes.length), n)
+        model_b = self.b.model
+        self.b_bytes = _Bytes([bytes([int(p[3:5], 16)]) if t == Pieces.BYTE else p.replace(SPACE, " ").encode()
+                               for p, t in zip(model_b.pieces, model_b.types, strict=True)])
+        most = max(len(self.a_bytes.length), len(model_b.pieces))
         # how an id is written after another of its model, after the other model's, and after a group
         self.after = {s: np.array([f"{s}{i}" for i in range(most)], object) for s in ",|;"}
-
-    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
-        fast = getattr(self.a, "encode_batch_fast", self.a.encode_batch)
-        if self.cut is None:
-            return [np.array(e.ids, np.int64) for e in fast(texts, add_special_tokens=False)]
-        words = [self.cut.findall(t) for t in texts]
-        seen = set().union(*words)
-        if len(seen) + len(self.table) > TABLE_ENTRIES:
-            self.table.clear()  # what a block needs is always there
-        new = sorted(seen.difference(self.table))
-        self.table.update(zip(new, (array("I", e.ids).tobytes() for e in fast(new, add_special_tokens=False)), strict=True))
-        return [np.frombuffer(b"".join(map(self.table.__getitem__, w)), np.uintc).astype(np.int64) for w in words]
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of A and B of each text; both empty where their bytes are not those of the text after a space."""
-        a = self._encode_a([" " + t for t in texts])
-        b = [np.array(i, np.int64) for i in self.b.encode(texts, num_threads=1)]
-        none = np.empty(0, np.int64)
-        for k, t in enumerate(texts):
-            want = np.frombuffer((" " + t).encode(), np.uint8)
-            # the byte-level model loses nothing, or it loses bytes
-            if not t or int(self.a_bytes.length[a[k]].sum()) != len(want) or not np.array_equal(self.b_bytes.joined(b[k]), want):
-                a[k] = b[k] = none
-        return a, b
+        self._forget()
+
+    def _forget(self) -> None:
+        self.table: dict[str, int] = {}
+        self.counts = np.empty((4, 0), np.int64)  # tokens of A and of B, groups, links of each stretch; all 0 if bytes differ
+        self.whole = np.empty(0, bool)
+        self.written: list[str] = []  # a stretch's groups
+        self.links = _Lists(2)  # its different pairs and how often each is linked
+
+    def _encode_a(self, part: list[str]) -> list[list[int]]:
+        if self.ranked is not None:
+            out = [self.ranked(c) if max(c) < PLAIN else None for c in part]
+            rest = [k for k, ids in enumerate(out) if ids is None]
+        else:
+            out, rest = [None] * len(part), list(range(len(part)))
+        if rest:
+            if self.a is None:
+                os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+                from tokenizers import Tokenizer
+                self.a = Tokenizer.from_str(self.byte_level)
+                self.a.encode_special_tokens = True  # their strings are ordinary text
+            for k, e in zip(rest, self.a.encode_batch([part[k] for k in rest], add_special_tokens=False), strict=True):
+                out[k] = e.ids
+        return out
+
+    def _remember(self, cut: list[str]) -> None:
+        for k in range(0, len(cut), MERGED):
+            part = cut[k:k + MERGED]
+            a = self._encode_a(part)
+            size_a = np.fromiter(map(len, a), np.int64, len(a))
+            ids_a = np.fromiter(chain.from_iterable(a), np.int64, int(size_a.sum()))
+            b = self.b._encode_words([c.replace(" ", SPACE) for c in part])
+            size_b = np.fromiter(map(len, b), np.int64, len(b)) // 4
+            ids_b = np.frombuffer(b"".join(b), "<u4").astype(np.int64)
+            text = [c.encode() for c in part]
+            whole = self._same(self.a_bytes, ids_a, size_a, text) & self._same(self.b_bytes, ids_b, size_b, text)
+            ids_a, ids_b = ids_a[np.repeat(whole, size_a)], ids_b[np.repeat(whole, size_b)]
+            size_a, size_b = size_a * whole, size_b * whole
+            self._align(ids_a, size_a, ids_b, size_b)
+            self.whole = np.concatenate([self.whole, whole])
+            self.table.update(zip(part, range(len(self.table), len(self.table) + len(part)), strict=True))
+
+    def _align(self, ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray) -> None:
+        """Merge the two models' tokens of new stretches and keep their groups and links."""
+        n, end_a, end_b = len(n_a), np.cumsum(n_a), np.cumsum(n_b)
+        groups = lockstep(np.cumsum(self.a_bytes.length[ids_a]), np.cumsum(self.b_bytes.length[ids_b]), end_a, end_b)
+        of = np.searchsorted(end_a, groups[:, 0], "right")
+        n_links = np.zeros(n, np.int64)
+        np.add.at(n_links, of, (groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2]))
+        self.counts = np.concatenate([self.counts, [n_a, n_b, np.bincount(of, minlength=n), n_links]], 1)
+        marks = _written(self, groups, ids_a, ids_b).tolist()
+        self.written += ["".join(marks[end - size:end])[1:] for size, end in zip((n_a + n_b).tolist(), (end_a + end_b).tolist(), strict=True)]
+        group, pair, times = links(groups, ids_a, ids_b)
+        order = np.lexsort((pair, of[group]))
+        stretch, pair, times = of[group][order], pair[order], times[order]
+        new = np.flatnonzero(np.append(True, (stretch[1:] != stretch[:-1]) | (pair[1:] != pair[:-1]))[:len(pair)])
+        self.links.add(np.bincount(stretch[new], minlength=n), pair[new], np.add.reduceat(times, new) if len(new) else times)
+
+    @staticmethod
+    def _same(own: _Bytes, ids: np.ndarray, size: np.ndarray, text: list[bytes]) -> np.ndarray:
+        """Whether the bytes of each stretch's ids are the stretch."""
+        ends = np.append(0, np.cumsum(own.length[ids]))[np.append(0, np.cumsum(size))]
+        same = np.diff(ends) == np.fromiter(map(len, text), np.int64, len(text))
+        blob = own.joined(ids).tobytes()
+        if same.all() and blob == b"".join(text):
+            return same
+        return np.array([blob[x:y] == t for x, y, t in zip(ends.tolist(), ends[1:].tolist(), text, strict=False)], bool)
+
+    def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all texts' stretches in order, and the text of each; none for texts whose tokens'
+        bytes are not those of the text after a space."""
+        cut = [self.cut.findall(" " + t) if t else [] for t in texts]
+        words = list(chain.from_iterable(cut))
+        seen = set(words)
+        new = list(seen.difference(self.table))
+        if len(self.table) + len(new) > TABLE_ENTRIES:
+            self._forget()  # what a block needs is always there
+            new = list(seen)
+        self._remember(new)
+        index = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
+        doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
+        lost = np.zeros(len(texts), bool)
+        lost[doc[~self.whole[index]]] = True
+        return (index[~lost[doc]], doc[~lost[doc]]) if lost.any() else (index, doc)
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarray, lane: int = LANE) -> np.ndarray:
@@ -204,29 +311,29 @@ def _written(pair: Pair, groups: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarra
 def align_texts(pair: Pair, texts: list[str | None]) -> dict[str, np.ndarray | list]:
     """Per text ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups_sha256``, and ``n_pairs``; then per text and
     distinct pair ``at`` (a place in ``pairs``) and ``times``; ``pairs`` with ``docs`` (texts that have them)."""
-    a, b = pair.encode([t or "" for t in texts])
-    ids_a, ids_b = np.concatenate([*a, np.empty(0, np.int64)]), np.concatenate([*b, np.empty(0, np.int64)])
-    n_a, n_b = (np.array([len(x) for x in v], np.int64) for v in (a, b))
-    doc_a, doc_b = np.cumsum(n_a), np.cumsum(n_b)
-    groups = lockstep(np.cumsum(pair.a_bytes.length[ids_a]), np.cumsum(pair.b_bytes.length[ids_b]), doc_a, doc_b)
-    doc = np.searchsorted(doc_a, groups[:, 0], "right")
-    size = (groups[:, 1] - groups[:, 0]) * (groups[:, 3] - groups[:, 2])
-    n_links = np.zeros(len(texts), np.int64)
-    np.add.at(n_links, doc, size)
-    written = _written(pair, groups, ids_a, ids_b)
-    ends = (doc_a + doc_b).tolist()
-    digests = ["" if not n else hashlib.sha256("".join(written[end - n:end].tolist())[1:].encode()).hexdigest()
-               for n, end in zip((n_a + n_b).tolist(), ends, strict=True)]
-    group, link, times = links(groups, ids_a, ids_b)
-    pairs, place = np.unique(link, return_inverse=True)
-    # a document's links of one pair in one number
-    key, back = np.unique(doc[group] * len(pairs) + place.ravel(), return_inverse=True)
-    count = np.zeros(len(key), np.int64)
-    np.add.at(count, back.ravel(), times)
-    of, at = np.divmod(key, max(len(pairs), 1))
-    return {"n_a": n_a, "n_b": n_b, "n_groups": np.bincount(doc, minlength=len(texts)), "n_links": n_links, "groups_sha256": digests,
-            "n_pairs": np.bincount(of, minlength=len(texts)), "at": at, "times": count, "pairs": pairs,
-            "docs": np.bincount(at, minlength=len(pairs))}
+    n = len(texts)
+    index, doc = pair.stretches([t or "" for t in texts])
+    sums = [np.bincount(doc, c[index], n).astype(np.int64) for c in pair.counts]
+    held, ends = list(map(pair.written.__getitem__, index.tolist())), np.cumsum(np.bincount(doc, minlength=n)).tolist()
+    digests = ["" if a == b else hashlib.sha256(";".join(held[a:b]).encode()).hexdigest() for a, b in zip([0, *ends], ends, strict=False)]
+    # each document's different stretches, then its different pairs
+    total = len(pair.table)
+    key, often = np.unique(doc * total + index, return_counts=True)
+    of, stretch = np.divmod(key, max(total, 1))
+    used = np.unique(stretch)
+    here, _ = pair.links.places(used)
+    pairs, place = np.unique(pair.links.flat[0][here], return_inverse=True)
+    number = np.empty(len(pair.links.flat[0]), np.int64)
+    number[here] = place.ravel()
+    there, row = pair.links.places(stretch)
+    key, times = of[row] * len(pairs) + number[there], pair.links.flat[1][there] * often[row]
+    order = np.argsort(key)
+    key, times = key[order], times[order]
+    new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    of, at = np.divmod(key[new], max(len(pairs), 1))
+    return {"n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3], "groups_sha256": digests,
+            "n_pairs": np.bincount(of, minlength=n), "at": at, "times": np.add.reduceat(times, new) if len(new) else times,
+            "pairs": pairs, "docs": np.bincount(at, minlength=len(pairs))}
 
 
 _DOC = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string", "n_pairs": "long"}
@@ -234,19 +341,21 @@ _LINKS = {"at": "int", "times": "long", "pairs": "long", "docs": "long"}
 _ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
 
 
-def align(df: DataFrame, tokenizers: tuple[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(df: DataFrame, tokenizers: tuple[str, tuple, bool], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per block of rows of ``df``: ``block``, ``ids`` and the lists of ``align_texts``."""
-    shared = df.sparkSession.sparkContext.broadcast(tokenizers)  # the model files
+    # a worker keeps the models and what it remembers from task to task, beside the broadcast value
+    shared = df.sparkSession.sparkContext.broadcast({"models": tokenizers})
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, number = None, TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
 
         def block(ids: list, texts: list) -> pa.RecordBatch:
-            nonlocal number, pair
-            if pair is None:
-                pair = Pair(*shared.value)
-            found = align_texts(pair, texts)
+            nonlocal number
+            held = shared.value
+            if "pair" not in held:
+                held["pair"] = Pair(*held["models"])
+            found = align_texts(held["pair"], texts)
             number += 1
             columns = [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.concat_arrays(ids))]
             for name, kind in (_DOC | _LINKS).items():
@@ -303,7 +412,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
 
-def score_alignment(df: DataFrame, tokenizers: tuple[str, bytes], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_alignment(df: DataFrame, tokenizers: tuple[str, tuple, bool], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row the id, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best`` (links whose pair has the
     highest count of its A id), ``count_sum`` (over its links) and ``groups_sha256``."""
     blocks = materialize(align(df, tokenizers, id_col, text_col), "align-blocks")
