@@ -97,7 +97,7 @@ def _block_hashes(runs: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> n
 
 
 def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per distinct block of each row of (``id``, ``row``, ``text``): ``anchor``, ``block`` (hash), ``id``, ``row``,
+    """A row per distinct block of each row of (``id``, ``text``): ``anchor``, ``block`` (hash), ``id``,
     ``starts`` (repetitive texts have the same block again and again), ``n`` (runs)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,40 +105,42 @@ def _block_table(df: DataFrame, window: int, seed: int) -> DataFrame:
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 found = []
-                for i, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for i, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     hashes = table.of((text or "").encode().split())
                     if i is not None and len(hashes) >= window:
                         anchors, starts, counts, runs = _anchored(hashes, window, seed)
                         kinds, order, first, times = _distinct(_block_hashes(runs, starts, counts))
-                        found.append((anchors[first], kinds, np.full(len(kinds), i, np.int64), np.full(len(kinds), row, np.int64),
+                        found.append((anchors[first], kinds, np.full(len(kinds), i, np.int64),
                                       counts[first].astype(np.int32), starts[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "block", "id", "row", "n"])
+                    yield _batch(found, ["anchor", "block", "id", "n"])
 
-    return df.select("id", "row", "text").mapInArrow(run, "anchor long, block long, id long, row long, n int, starts array<int>")
+    return df.select("id", "text").mapInArrow(run, "anchor long, block long, id long, n int, starts array<int>")
 
 
 def _run_table(df: DataFrame, window: int, seed: int) -> DataFrame:
-    """A row per distinct run of the blocks of (``id``, ``row``, ``text``) whose hashes are in ``wanted``:
-    ``anchor``, ``run``, ``id``, ``row``, ``starts``."""
+    """A row per distinct run of the blocks of (``id``, ``text``) whose hashes are in ``wanted``:
+    ``anchor``, ``run``, ``id``, ``starts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
         for batch in batches:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 found = []
-                for i, row, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                for i, text, wanted in zip(*(c.to_pylist() for c in part.columns), strict=True):
                     hashes = table.of((text or "").encode().split())
+                    if len(hashes) < window:  # another row that has the same id
+                        continue
                     anchors, starts, counts, runs = _anchored(hashes, window, seed)
                     mine = np.isin(signed(_block_hashes(runs, starts, counts)), np.array(wanted, np.int64))
                     take = np.flatnonzero(np.repeat(mine, counts))
                     kinds, order, first, times = _distinct(runs[take])
                     found.append((np.repeat(anchors, counts)[take][first], kinds, np.full(len(kinds), i, np.int64),
-                                  np.full(len(kinds), row, np.int64), take[order].astype(np.int32), times))
+                                  take[order].astype(np.int32), times))
                 if found:
-                    yield _batch(found, ["anchor", "run", "id", "row"])
+                    yield _batch(found, ["anchor", "run", "id"])
 
-    return df.select("id", "row", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, row long, starts array<int>")
+    return df.select("id", "text", "wanted").mapInArrow(run, "anchor long, run long, id long, starts array<int>")
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -186,47 +188,66 @@ def _equal_words(a: np.ndarray, b: np.ndarray) -> int:
     return n
 
 
-def parse(words: list[bytes], seeds: list[tuple], blocks: dict[tuple, list[bytes]], window: int) -> list[tuple[int, int, int, int, int]]:
-    """The greedy factors of a document: (start, length, reference's id and row, place in it).
+def parse(words: list[bytes], seeds: list[tuple], blocks: dict[tuple, dict[int, list[bytes]]], window: int) -> list[tuple[int, int, int, int]]:
+    """The greedy factors of a document: (start, length, reference's id, place in it).
 
-    ``seeds``: (starts, length, id, row, place) of stretches whose runs point to a reference;
-    ``blocks``: the words of its blocks by (id, row, number).
+    ``seeds``: (starts, length, id, place) of stretches whose runs point to a reference; ``blocks``: the words
+    of its blocks by (id, number), by row that has the id.  Where several references are pointed to, the
+    longest factor is taken, of equal ones that of the smallest id.
     """
     number: dict[bytes, int] = {}
     own = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
-    last = len(words) - window
-    refs: dict[tuple, int] = {}
-    ref, place = np.full(max(last + 1, 0), -1, np.int64), np.zeros(max(last + 1, 0), np.int64)
-    for starts, length, i, row, at in sorted(seeds, key=lambda x: (-x[2], x[1])):  # the smallest id and longest stretch wins
+    runs = max(len(words) - window + 1, 0)
+    layers: list[tuple[np.ndarray, np.ndarray]] = []  # which reference and place each run points to; further ones in further layers
+    ids = sorted({i for _, _, i, _ in seeds})
+    order = {i: k for k, i in enumerate(ids)}
+    for starts, length, i, at in sorted(seeds, key=lambda x: (x[2], -x[1])):
         run = np.arange(length - window + 1)
         where = (np.array(starts, np.int64)[:, None] + run).ravel()
         there = np.broadcast_to(at + run, (len(starts), len(run))).ravel()
-        ref[where], place[where] = refs.setdefault((i, row), len(refs)), there
-    keys = list(refs)
-    texts: dict[tuple, np.ndarray] = {}
-
-    def text(key: tuple, block: int) -> np.ndarray:
-        """The reference's words from a block on, as far as blocks were fetched."""
-        if (key, block) not in texts:
-            got, k = [], block
-            while (*key, k) in blocks:
-                got += [number.get(w, -1) for w in blocks[(*key, k)]]
+        inside = where < runs  # the stretch may be of another row that has the id
+        where, there = where[inside], there[inside]
+        for ref, place in layers:
+            free = ref[where] < 0
+            ref[where[free]], place[where[free]] = order[i], there[free]
+            rest = ~free & ((ref[where] != order[i]) | (place[where] != there))
+            where, there = where[rest], there[rest]
+        if len(where):
+            ref, place = np.full(runs, -1, np.int64), np.zeros(runs, np.int64)
+            ref[where], place[where] = order[i], there
+            layers.append((ref, place))
+    texts: dict[tuple, list[np.ndarray]] = {}
+
+    def text(i: int, block: int) -> list[np.ndarray]:
+        """The reference's words from a block on, as far as blocks were fetched, of each row that has the id."""
+        if (i, block) not in texts:
+            got: dict[int, list[int]] = {}
+            k = block
+            while (i, k) in blocks:
+                for row, held in blocks[i, k].items():
+                    if k == block or len(got.get(row, ())) == (k - block) * REFERENCE:
+                        got.setdefault(row, []).extend(number.get(w, -1) for w in held)
                 k += 1
-            texts[key, block] = np.array(got, np.int64)
-        return texts[key, block]
+            texts[i, block] = [np.array(g, np.int64) for _, g in sorted(got.items())]
+        return texts[i, block]
 
     out = []
-    pointed = np.flatnonzero(ref >= 0)
+    pointed = np.flatnonzero(np.any([ref >= 0 for ref, _ in layers], 0)) if layers else np.empty(0, np.int64)
     at = 0
     while at < len(pointed):
-        i = int(pointed[at])
-        key, there = keys[ref[i]], int(place[i])
-        length = _equal_words(own[i:], text(key, there // REFERENCE)[there % REFERENCE:])
-        if length >= window:
-            out.append((i, length, *key, there))
-            at = int(np.searchsorted(pointed, i + length - window + 1))  # runs over the factor's end are looked at
+        k = int(pointed[at])
+        best = (0, 0, 0)
+        for ref, place in layers:
+            if ref[k] >= 0:
+                i, there = ids[ref[k]], int(place[k])
+                for words_there in text(i, there // REFERENCE):
+                    length = _equal_words(own[k:], words_there[there % REFERENCE:])
+                    best = max(best, (length, -i, -there))
+        if best[0] >= window:
+            out.append((k, best[0], -best[1], -best[2]))
+            at = int(np.searchsorted(pointed, k + best[0] - window + 1))  # runs over the factor's end are looked at
         else:
-            at += 1  # another run with the same hash
+            at += 1  # another run with the same hash, or of another row
     return out
 
 
@@ -235,13 +256,13 @@ def _factors(window: int):
         for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
             found = []
             for i, row, text, seeds, fetched in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                blocks = {(f["r_id"], f["r_row"], f["r_block"]): f["words"].split() for f in fetched}
-                pointers = [(s["starts"], s["length"], s["own"]["id"], s["own"]["row"], s["own"]["place"]) for s in seeds]
+                blocks = {(f["r_id"], f["r_block"]): {v["r_row"]: v["words"].split() for v in f["variants"]} for f in fetched}
+                pointers = [(s["starts"], s["length"], s["own"]["id"], s["own"]["place"]) for s in seeds]
                 found += [(i, row, *f) for f in parse((text or "").encode().split(), pointers, blocks, window)]
-            columns = list(zip(*found, strict=True)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+            columns = list(zip(*found, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                             names=["id", "row", "start", "length", "ref_id", "ref_row", "ref_start"])
+                                             names=["id", "row", "start", "length", "ref_id", "ref_start"])
     return run
 
 
@@ -253,47 +274,47 @@ def _tagged(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def duplicate_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """The factors: ``id`` and ``row`` of the document, ``start`` and ``length`` (in words), and ``ref_id``,
-    ``ref_row`` and ``ref_start`` of the reference they equal."""
+    """The factors: ``id`` and ``row`` (a hash of the text) of the document, ``start`` and ``length`` (in words), and
+    ``ref_id`` and ``ref_start`` of the reference they equal."""
     docs = _tagged(df, id_col, text_col)
     rows = materialize(_block_table(docs, window, seed), "rlz-blocks")
-    where = F.min(F.struct("id", "row", F.element_at("starts", 1).alias("place"))).alias("own")
-    # every distinct block with its smallest owner
+    where = F.min(F.struct("id", F.element_at("starts", 1).alias("place"))).alias("own")
+    # every distinct block with its smallest owner; the joins of the index are planned alike at every size
     owned = materialize(rows.groupBy("anchor", "block").agg(where, F.max("id").alias("last")), "rlz-index")
-    whole = (rows.join(owned.where("own.id < last").select("anchor", "block", "own"), ["anchor", "block"])
-                 .where("id > own.id").select("id", "row", "starts", (F.col("n") + (window - 1)).alias("length"), "own"))
+    shared = owned.where("own.id < last").select("anchor", "block", "own")
+    whole = (rows.join(shared.hint("merge"), ["anchor", "block"])
+                 .where("id > own.id").select("id", "starts", (F.col("n") + (window - 1)).alias("length"), "own"))
     # under anchors with several distinct blocks, the owner of each is looked up run by run
     several = materialize(
         owned.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), F.min("own.id").alias("lo"), F.max("last").alias("hi"))
              .where("k > 1 AND lo < hi").select("anchor"), "rlz-anchors")
-    wanted = materialize(owned.join(several, "anchor").groupBy(F.col("own.id").alias("id"), F.col("own.row").alias("row"))
-                              .agg(F.collect_list("block").alias("wanted")), "rlz-wanted")
+    wanted = materialize(owned.select("anchor", "block", F.col("own.id").alias("id")).join(several.hint("merge"), "anchor")
+                              .groupBy("id").agg(F.collect_list("block").alias("wanted")), "rlz-wanted")
     blocks = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    key = ["id", "row"]
-    once = docs.join(F.broadcast(wanted) if blocks <= BROADCAST_BLOCKS else wanted, key)
+    once = docs.join(F.broadcast(wanted) if blocks <= BROADCAST_BLOCKS else wanted, "id")
     runs = materialize(_run_table(once, window, seed), "rlz-runs")
     owners = materialize(runs.groupBy("anchor", "run").agg(where, F.max("id").alias("last"))
                              .where("own.id < last").select("anchor", "run", "own"), "rlz-owners")
-    single = (runs.join(owners, ["anchor", "run"]).where("id > own.id")
-                  .select("id", "row", "starts", F.lit(window).alias("length"), "own"))
+    single = (runs.join(owners.hint("merge"), ["anchor", "run"]).where("id > own.id")
+                  .select("id", "starts", F.lit(window).alias("length"), "own"))
     seeds = materialize(whole.unionByName(single), "rlz-seeds")
     release(rows, owned, several, wanted, runs, owners)
 
     # the reference words that each document points to
     span = F.sequence(F.expr(f"own.place DIV {REFERENCE}").cast("int"), F.expr(f"(own.place + length - 1) DIV {REFERENCE}").cast("int"))
-    needed = materialize(seeds.select(*key, F.col("own.id").alias("r_id"), F.col("own.row").alias("r_row"), F.explode(span).alias("r_block"))
-                              .distinct(), "rlz-needed")
-    sources = broadcast_within(materialize(needed.select(F.col("r_id").alias("id"), F.col("r_row").alias("row")).distinct(), "rlz-sources"),
-                               BROADCAST_ROWS)
-    references = _reference_blocks(docs.join(sources, key, "left_semi").dropDuplicates(key))
-    fetched = (needed.join(references, ["r_id", "r_row", "r_block"]).groupBy(*key)
-                     .agg(F.collect_list(F.struct("r_id", "r_row", "r_block", "words")).alias("fetched")))
-    packed = seeds.groupBy(*key).agg(F.collect_set(F.struct("starts", "length", "own")).alias("seeds"))
-    targets = broadcast_within(materialize(seeds.select(*key).distinct(), "rlz-targets"), BROADCAST_ROWS)
-    parsed = (docs.join(targets, key, "left_semi").dropDuplicates(key).join(packed, key).join(fetched, key)
-                  .select(*key, "text", "seeds", "fetched"))
+    needed = materialize(seeds.select("id", F.col("own.id").alias("r_id"), F.explode(span).alias("r_block")).distinct(), "rlz-needed")
+    sources = broadcast_within(materialize(needed.select(F.col("r_id").alias("id")).distinct(), "rlz-sources"), BROADCAST_ROWS)
+    # rows that repeat a text are one variant, already in partial aggregation
+    references = (_reference_blocks(docs.join(sources, "id", "left_semi"))
+                  .groupBy("r_id", "r_block").agg(F.collect_set(F.struct("r_row", "words")).alias("variants")))
+    fetched = (needed.join(references, ["r_id", "r_block"]).groupBy("id")
+                     .agg(F.collect_list(F.struct("r_id", "r_block", "variants")).alias("fetched")))
+    packed = seeds.groupBy("id").agg(F.collect_set(F.struct("starts", "length", "own")).alias("seeds"))
+    targets = broadcast_within(materialize(seeds.select("id").distinct(), "rlz-targets"), BROADCAST_ROWS)
+    parsed = (docs.join(targets, "id", "left_semi").join(packed, "id").join(fetched, "id")
+                  .select("id", "row", "text", "seeds", "fetched"))
     out = materialize(parsed.mapInArrow(
-        _factors(window), "id long, row long, start int, length int, ref_id long, ref_row long, ref_start int"), "rlz-factors")
+        _factors(window), "id long, row long, start int, length int, ref_id long, ref_start int").distinct(), "rlz-factors")
     release(seeds, needed)
     return out
 

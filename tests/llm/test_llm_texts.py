@@ -207,14 +207,20 @@ def test_equal_hashes_are_no_factor():
     """Two runs that only share a hash: the words decide."""
     words = [b"w%d" % k for k in range(60)]
     other = words[:49] + [b"z"] + words[50:]
-    assert parse(words, [([0], 60, 1, 2, 0)], {(1, 2, 0): other}, 50) == []
-    assert parse(words, [([0], 60, 1, 2, 0)], {(1, 2, 0): words + [b"more"]}, 50) == [(0, 60, 1, 2, 0)]
+    assert parse(words, [([0], 60, 1, 0)], {(1, 0): {0: other}}, 50) == []
+    assert parse(words, [([0], 60, 1, 0)], {(1, 0): {0: words + [b"more"]}}, 50) == [(0, 60, 1, 0)]
+    # the reference's id has two texts, and a stretch points to two references: the longest factor is taken
+    assert parse(words, [([0], 60, 1, 0)], {(1, 0): {0: other, 7: words}}, 50) == [(0, 60, 1, 0)]
+    assert parse(words, [([0], 50, 1, 0), ([0], 60, 2, 0)], {(1, 0): {0: words[:50]}, (2, 0): {0: words}}, 50) == [(0, 60, 2, 0)]
+    assert parse(words, [([0, 900], 60, 1, 0)], {(1, 0): {0: words}}, 50) == [(0, 60, 1, 0)]
 
 
 def test_rows_of_one_id_are_cut_by_their_own_factors(spark):
     w = [f"w{k}" for k in range(200)]
-    rows = [(1, " ".join(w[:100])), (2, " ".join(w[20:90])), (2, " ".join(f"own{k}" for k in range(90)))]
-    assert sorted((i, n[:2]) for i, n in run_substrings(frame(spark, rows))) == [(1, (100, 0)), (2, (70, 70)), (2, (90, 0))]
+    rows = [(1, " ".join(w[:100])), (2, " ".join(w[20:90])), (2, " ".join(f"own{k}" for k in range(90))), (2, " ".join(w[20:90])),
+            (1, " ".join(w[100:200])), (3, " ".join(w[120:180] + ["x"] + w[:60]))]
+    assert sorted((i, n[:2]) for i, n in run_substrings(frame(spark, rows))) == [
+        (1, (100, 0)), (1, (100, 0)), (2, (70, 70)), (2, (70, 70)), (2, (90, 0)), (3, (121, 120))]
 
 
 def test_hot_passage(spark):
