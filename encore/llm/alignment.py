@@ -61,7 +61,7 @@ WIDTH = 1 << 32
 #: A group with more links than this is counted by its distinct ids instead of link by link.
 LARGE_GROUP = 4_096
 #: Stretches of texts that a task remembers, to bound its memory.
-TABLE_ENTRIES = 500_000
+TABLE_ENTRIES = 250_000
 #: The pattern by which byte-level BPE cuts a text into words; fixed value of that format.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: From this character on, stretches are left to the model's own library, whose tables of letters may be others.

@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 #: Entries after which a task's table of encoded words starts anew, to bound its memory.
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 100_000
 #: Distinct words merged at a time, which bounds the arrays.
-MERGED = 20_000
+MERGED = 10_000
 #: Symbols from which a word whose merges depend on their order is merged from a heap.
 IN_ORDER = 64
 _NONE = np.int64(1) << np.int64(40)

@@ -13,7 +13,7 @@ import xxhash
 #: Odd multiplier of the rolling window hash (arithmetic modulo 2**64).
 BASE = 0x9E3779B97F4A7C15
 #: Entries after which a task's word table starts anew, to bound its memory.
-TABLE_ENTRIES = 200_000
+TABLE_ENTRIES = 100_000
 
 
 class WordHashes(dict):
