@@ -216,20 +216,21 @@ def parse(words: list[bytes], seeds: list[tuple], blocks: dict[tuple, dict[int,
             ref, place = np.full(runs, -1, np.int64), np.zeros(runs, np.int64)
             ref[where], place[where] = order[i], there
             layers.append((ref, place))
-    texts: dict[tuple, list[np.ndarray]] = {}
-
-    def text(i: int, block: int) -> list[np.ndarray]:
-        """The reference's words from a block on, as far as blocks were fetched, of each row that has the id."""
-        if (i, block) not in texts:
-            got: dict[int, list[int]] = {}
-            k = block
-            while (i, k) in blocks:
-                for row, held in blocks[i, k].items():
-                    if k == block or len(got.get(row, ())) == (k - block) * REFERENCE:
-                        got.setdefault(row, []).extend(number.get(w, -1) for w in held)
-                k += 1
-            texts[i, block] = [np.array(g, np.int64) for _, g in sorted(got.items())]
-        return texts[i, block]
+    mapped: dict[tuple, np.ndarray] = {}
+
+    def matched(k: int, i: int, row: int, there: int) -> int:
+        """How many words from the k-th on are those of the reference's row, as far as its blocks were fetched."""
+        length, block, at = 0, there // REFERENCE, there % REFERENCE
+        while row in (held := blocks.get((i, block), {})):
+            if (i, block, row) not in mapped:
+                mapped[i, block, row] = np.array([number.get(w, -1) for w in held[row]], np.int64)
+            part = mapped[i, block, row][at:]
+            n = _equal_words(own[k + length:], part)
+            length += n
+            if n < len(part) or len(held[row]) < REFERENCE:
+                break
+            block, at = block + 1, 0
+        return length
 
     out = []
     pointed = np.flatnonzero(np.any([ref >= 0 for ref, _ in layers], 0)) if layers else np.empty(0, np.int64)
@@ -240,9 +241,8 @@ def parse(words: list[bytes], seeds: list[tuple], blocks: dict[tuple, dict[int,
         for ref, place in layers:
             if ref[k] >= 0:
                 i, there = ids[ref[k]], int(place[k])
-                for words_there in text(i, there // REFERENCE):
-                    length = _equal_words(own[k:], words_there[there % REFERENCE:])
-                    best = max(best, (length, -i, -there))
+                for row in blocks.get((i, there // REFERENCE), ()):
+                    best = max(best, (matched(k, i, row, there), -i, -there))
         if best[0] >= window:
             out.append((k, best[0], -best[1], -best[2]))
             at = int(np.searchsorted(pointed, k + best[0] - window + 1))  # runs over the factor's end are looked at
