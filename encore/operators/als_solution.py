@@ -11,7 +11,8 @@ n its positive ratings.  Spark's solver ends with the users' half step.
 Y'Y is a sum of outer products, one aggregate over the fixed factors whose state has
 rank x rank numbers.  The rest of the left side is a sum over the row's ratings of
 alpha * |r| * (y . x) * y, so no matrix per row is ever built: ratings meet both factors in
-equi-joins and one grouped vector sum gives the residual.  Only columns, no Python.
+equi-joins, and their terms are summed place by place, in the row's own partition.  Only columns,
+no Python.
 
 Edge cases: rows without ratings and ratings without factors give no row; null and unknown
 ids are dropped as by the fit; a zero right side is solved by zero factors.
@@ -38,39 +39,39 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def _norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x * x))
-
-
 def normal_residuals(ratings: DataFrame, solved: DataFrame, fixed: DataFrame, reg: float, alpha: float,
                      row_col: str = "user_id", other_col: str = "item_id", rating_col: str = "total_count") -> DataFrame:
     """``row_col``, ``n_ratings`` and ``residual`` (of the row's normal equation, relative to its terms) of every
     rated row of ``solved``, given the other side's factors ``fixed`` (both: ``id``, ``features``)."""
     # one row of rank * rank numbers; empty factors give an empty sum
     g = gram(fixed).select(F.first("gram")).scalar()
-    x = solved.select(F.col("id").alias("__x_id"), F.col("features").alias("__x"))
+    size = F.size("__x")
+    gx = F.transform(F.sequence(F.lit(0), size - 1), lambda j: _dot(F.slice("__g", j * size + 1, size), F.col("__x")))
+    # the Gram matrix meets a row once, below the join, and not once per rating
+    x = (solved.select(F.col("id").alias("__x_id"), F.col("features").alias("__x")).withColumn("__g", g)
+               .select("__x_id", "__x", gx.alias("__gx")))
     y = fixed.select(F.col("id").alias("__y_id"), F.col("features").alias("__y"))
     rated = (ratings.select(F.col(row_col).cast("int").alias("__row"), F.col(other_col).cast("int").alias("__other"),
                             F.col(rating_col).cast("float").cast("double").alias("__r"))
                     .join(y, F.col("__other") == F.col("__y_id")).join(x, F.col("__row") == F.col("__x_id")))
     more = F.lit(float(alpha)) * F.abs("__r")
     liked = F.when(F.col("__r") > 0, 1 + more).otherwise(F.lit(0.0))
-    scaled = lambda w: array_to_vector(F.transform("__y", lambda v: v.cast("double") * w))
-    summed = (rated.withColumn("__left", scaled(more * _dot(F.col("__y"), F.col("__x")))).withColumn("__right", scaled(liked))
-                   .groupBy("__row").agg(F.count(F.lit(1)).alias("n_ratings"), F.count(F.when(F.col("__r") > 0, 1)).alias("__n"),
-                                         vector_to_array(Summarizer.sum(F.col("__left"))).alias("__left"),
-                                         vector_to_array(Summarizer.sum(F.col("__right"))).alias("__right")))
-    full = summed.join(x, F.col("__row") == F.col("__x_id")).withColumn("__g", g)
-    rank = F.size("__x")
-    shrunk = F.lit(float(reg)) * F.col("__n")
-    gx = F.transform(F.sequence(F.lit(0), rank - 1), lambda j: _dot(F.slice("__g", j * rank + 1, rank), F.col("__x")))
-    left = F.zip_with(F.zip_with(gx, F.col("__left"), lambda a, b: a + b), F.col("__x"), lambda a, v: a + shrunk * v.cast("double"))
+    # one number per rating and place, so that the sums are plain ones; a weight is found once per rating
+    weighed = rated.select("__row", "__r", (more * _dot(F.col("__y"), F.col("__x"))).alias("__w"), liked.alias("__liked"),
+                           F.arrays_zip("__y", "__x", "__gx").alias("__places"))
+    places = weighed.select("__row", "__r", "__w", "__liked", F.posexplode("__places").alias("__j", "__p"))
+    v = F.col("__p")["__y"].cast("double")
+    summed = places.groupBy("__row", "__j").agg(
+        F.count(F.lit(1)).alias("n_ratings"), F.count(F.when(F.col("__r") > 0, 1)).alias("__n"),
+        F.sum(F.col("__w") * v).alias("__left"), F.sum(F.col("__liked") * v).alias("__right"),
+        F.first(F.col("__p")["__x"].cast("double")).alias("__x"), F.first(F.col("__p")["__gx"]).alias("__gx"))
+    whole = F.col("__gx") + F.col("__left") + F.lit(float(reg)) * F.col("__n") * F.col("__x")
+    norm = lambda c: F.sqrt(F.sum(c * c))
     # the sizes of the terms that cancel
-    terms = _norm(F.col("__gx")) + _norm(F.col("__left")) + _norm(F.col("__right"))
-    gap = _norm(F.zip_with(F.col("__all"), F.col("__right"), lambda a, b: a - b))
-    out = full.withColumn("__gx", gx).withColumn("__all", left)
+    terms = norm(F.col("__gx")) + norm(F.col("__left")) + norm(F.col("__right"))
+    out = summed.groupBy("__row").agg(F.max("n_ratings").alias("n_ratings"), norm(whole - F.col("__right")).alias("__gap"), terms.alias("__terms"))
     return out.select(F.col("__row").alias(row_col), "n_ratings",
-                      F.when(terms > 0, gap / terms).otherwise(gap).alias("residual"))
+                      F.when(F.col("__terms") > 0, F.col("__gap") / F.col("__terms")).otherwise(F.col("__gap")).alias("residual"))
 
 
 def check_last_half_step(model, ratings: DataFrame, reg: float, alpha: float, tolerance: float = TOLERANCE,

@@ -112,3 +112,12 @@ def test_pruned_edges(spark):
     assert [(r.item_id, r.rank) for r in recommend_pruned(users, items, 5, num_partitions=2).collect()] == [(7, 1), (8, 2)]
     assert recommend_pruned(users.limit(0), items, 5, num_partitions=2).count() == 0
     assert recommend_pruned(users, items.limit(0), 5, num_partitions=2).count() == 0
+
+
+def test_ratings_are_summed_by_plain_sums_and_weighed_once(spark, fitted):
+    train, model = fitted
+    plan = normal_residuals(train, model.userFactors, model.itemFactors, REG, ALPHA)._jdf.queryExecution().optimizedPlan().toString()
+    sums = [x for x in plan.splitlines() if "Aggregate [__row" in x]
+    assert sums and not any("summarizer" in x.lower() or "AggregateMetrics" in x for x in sums)
+    # the product of both factors is below the rows' places, not in them
+    assert plan.index("Generate posexplode") < plan.index("aggregate(zip_with(__y")
