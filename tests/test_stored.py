@@ -129,3 +129,16 @@ def test_variants_are_overwritten_one_by_one(spark, scratch):
     assert read_variants(spark, path, a.schema).count() == 5
     with pytest.raises(ValueError):
         write_variant(a.withColumn("variant", F.lit(1)), path, "x")
+
+
+def test_counted_stages_are_shuffled_in_small_parts(spark, monkeypatch):
+    """A task's memory follows the size of a part, not that of the input."""
+    from encore.sources import counted
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.files.maxPartitionBytes")
+    now = lambda: [spark.conf.get(k, None) for k in keys]
+    before, seen, plain = now(), [], counted.materialize
+    monkeypatch.setattr(counted, "materialize", lambda df, name: seen.append(now()) or plain(df, name))
+    rows = [(u, i, 10 * u + i) for u in range(5) for i in range(6)] + [(1, 1, 11), (None, 1, 5)]
+    tables, counts = counted.prepare_counted(spark.createDataFrame(rows, "user_id int, item_id int, k int"), ["user_id", "item_id", "k"])
+    assert seen == [[str(counted.PART_BYTES), str(counted.PARTS), str(counted.PART_BYTES)]] * 3 and now() == before
+    assert [r.n_rows for r in counts.orderBy("stage_order").collect()][:3] == [32, 31, 30] and tables["split"].count() == 30
