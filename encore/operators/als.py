@@ -20,6 +20,7 @@ from encore.operators.als_solution import normal_residuals
 from encore.operators.labels import explode_lists
 from encore.operators.metrics import ranking_metrics
 from encore.session import ensure_checkpoint_dir
+from encore.sources.scratch import materialize, release
 
 
 def prepare_ratings(utility: DataFrame, user_col: str = "user_id", item_col: str = "item_id",
@@ -88,9 +89,13 @@ def recommendation_lists(recs: DataFrame, user_col: str = "user_id", item_col: s
 
 
 def evaluate_als(model: ALSModel, eval_users: DataFrame, labels: DataFrame, k: int = 100,
-                 user_col: str = "user_id", item_col: str = "item_id") -> DataFrame:
-    """MAP / NDCG / precision at k over the users the model recommends to."""
-    recs = recommend(model, eval_users, k, user_col, item_col)
+                 user_col: str = "user_id", item_col: str = "item_id", recs: DataFrame | None = None) -> DataFrame:
+    """MAP / NDCG / precision at k over the users the model recommends to.
+
+    ``recs``: the same model's, users' and k's ``recommend`` rows, where the caller keeps them.
+    """
+    if recs is None:
+        recs = recommend(model, eval_users, k, user_col, item_col)
     lab = labels.select(F.col(user_col).cast("int").alias(user_col),
                         F.col(item_col).cast("int").alias(item_col))
     return ranking_metrics(recs, lab, k, users="recommended", user_col=user_col, item_col=item_col)
@@ -102,16 +107,18 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
              item_col: str = "item_id", rating_col: str = "total_count") -> DataFrame:
     """One metrics row per (rank, reg, alpha).
 
-    Ratings, evaluation users and labels are persisted once for all fits.  Each
-    model is scored as soon as it is fitted, its users' factors are held against their
-    normal equations (``max_residual``, see ``als_solution``), and its factors are released
+    Ratings and evaluation users are persisted, labels written, once for all fits.  Each
+    model is scored as soon as it is fitted, from recommendations that are written once as the
+    metrics read them twice; its users' factors are held against their normal equations
+    (``max_residual``, see ``als_solution``), and its factors and recommendations are released
     before the next fit; only its one row of numbers stays.
     """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
     shared = [f.persist(StorageLevel.MEMORY_AND_DISK) for f in (
-        prepare_ratings(train, user_col, item_col, rating_col), eval_users.select(user_col).distinct(), labels)]
-    ratings, users, labels = shared
+        prepare_ratings(train, user_col, item_col, rating_col), eval_users.select(user_col).distinct())]
+    ratings, users = shared
+    labels = materialize(labels, "als-labels")
     rows = []
     try:
         for f in shared:
@@ -120,7 +127,9 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
             before = set(spark.sparkContext._jsc.getPersistentRDDs())
             model = build_als(rank, reg, alpha, max_iter, seed=seed, num_blocks=num_blocks, user_col=user_col,
                               item_col=item_col, rating_col=rating_col).fit(ratings)
-            metrics = evaluate_als(model, users, labels, k, user_col, item_col).first()
+            recs = materialize(recommend(model, users, k, user_col, item_col), "als-recs")
+            metrics = evaluate_als(model, users, labels, k, user_col, item_col, recs).first()
+            release(recs)
             gap = normal_residuals(ratings, model.userFactors, model.itemFactors, reg, alpha, user_col, item_col, rating_col)
             rows.append((int(rank), float(reg), float(alpha), *metrics, gap.agg(F.max("residual")).first()[0]))
             held = spark.sparkContext._jsc.getPersistentRDDs()
@@ -129,6 +138,7 @@ def als_grid(train: DataFrame, eval_users: DataFrame, labels: DataFrame,
     finally:
         for f in shared:
             f.unpersist()
+        release(labels)
     return spark.createDataFrame(
         rows, "rank int, reg_param double, alpha double, map_at_k double, ndcg_at_k double, precision_at_k double, n_users long, max_residual double")
 

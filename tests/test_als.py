@@ -7,6 +7,7 @@ import sys
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from encore.operators import als as als_ops
 from encore.operators.als import als_grid, evaluate_als, fit_als, recommend, recommendation_lists
 from encore.operators.labels import label_lists
 from encore.plans.catalogue import events_split_utility
@@ -73,3 +74,21 @@ def test_grid_releases_its_models(spark):
     m = evaluate_als(one, val.select("user_id"), label_lists(val, 10), 10).first()
     row = out.filter("reg_param = 0.1").first()
     assert abs(row.map_at_k - m.map_at_k) < 1e-9 and row.n_users == m.n_users
+
+
+def _made(spark):
+    rows = [(u, i, 1 + (u * i) % 3) for u in range(12) for i in range(9) if (u + 2 * i) % 4]
+    return spark.createDataFrame(rows, "user_id long, item_id int, total_count long")
+
+
+def test_grid_scores_recommendations_that_are_written_once(spark, monkeypatch):
+    util = _made(spark)
+    seen, evaluate = [], als_ops.evaluate_als
+
+    def spy(model, users, labels, k, user_col, item_col, recs=None):
+        seen.append(recs is not None and bool(recs.inputFiles()))
+        return evaluate(model, users, labels, k, user_col, item_col, recs)
+
+    monkeypatch.setattr(als_ops, "evaluate_als", spy)
+    out = als_grid(util, util.select("user_id"), label_lists(util, 5), [3], [0.1, 0.2], [1.0], 5, 1, seed=1, num_blocks=2)
+    assert out.count() == 2 and seen == [True, True]
