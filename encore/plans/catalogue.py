@@ -422,11 +422,12 @@ def q_als_recommend_all(spark, base):
 def _metric_checks(model, train: DataFrame, val: DataFrame, params) -> DataFrame:
     """The metrics' range, their difference from Spark ML's evaluator on array-valued lists, and whether
     every user's factors solve their normal equation."""
-    labels = label_lists(val, EVENT_K)
-    m = als_ops.evaluate_als(model, val.select("user_id"), labels, EVENT_K)
-    recs = als_ops.recommendation_lists(als_ops.recommend(model, val.select("user_id"), EVENT_K), out_col="prediction")
-    pairs = recs.join(label_arrays(labels, EVENT_K, out_col="label"), "user_id").select(
-        F.col("prediction").cast("array<double>").alias("prediction"), F.col("label").cast("array<double>").alias("label"))
+    # written once: the metrics read labels and recommendations twice each, and every call of the evaluator reads all pairs
+    labels = materialize(label_lists(val, EVENT_K), "als-labels")
+    recs = materialize(als_ops.recommend(model, val.select("user_id"), EVENT_K), "als-recs")
+    m = als_ops.evaluate_als(model, val.select("user_id"), labels, EVENT_K, recs=recs)
+    pairs = materialize(als_ops.recommendation_lists(recs, out_col="prediction").join(label_arrays(labels, EVENT_K, out_col="label"), "user_id").select(
+        F.col("prediction").cast("array<double>").alias("prediction"), F.col("label").cast("array<double>").alias("label")), "als-pairs")
     second = {name: RankingEvaluator(metricName=name, k=EVENT_K).evaluate(pairs)
               for name in ("meanAveragePrecisionAtK", "ndcgAtK", "precisionAtK")}
     gap = normal_residuals(train, model.userFactors, model.itemFactors, params["reg"], params["alpha"])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from encore.operators import als as als_ops
 from encore.operators.als import als_grid, evaluate_als, fit_als, recommend, recommendation_lists
 from encore.operators.labels import label_lists
-from encore.plans.catalogue import events_split_utility
+from encore.plans.catalogue import _metric_checks, events_split_utility
 
 from conftest import MEDIUM, ROOT, SMALL
 
@@ -92,3 +92,12 @@ def test_grid_scores_recommendations_that_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(als_ops, "evaluate_als", spy)
     out = als_grid(util, util.select("user_id"), label_lists(util, 5), [3], [0.1, 0.2], [1.0], 5, 1, seed=1, num_blocks=2)
     assert out.count() == 2 and seen == [True, True]
+
+
+def test_metric_checks_recommend_once(spark, monkeypatch):
+    util = _made(spark)
+    model = fit_als(util, rank=3, reg=0.1, alpha=1.0, max_iter=1, seed=1, num_blocks=2)
+    calls, plain = [], als_ops.recommend
+    monkeypatch.setattr(als_ops, "recommend", lambda *a, **b: calls.append(1) or plain(*a, **b))
+    row = _metric_checks(model, util, util, dict(reg=0.1, alpha=1.0)).first()
+    assert len(calls) == 1 and row.n_users == 12 and all(row[c] for c in row.asDict())
