@@ -11,14 +11,15 @@ places cut the block's documents into stretches.  One numpy state vector advance
 once, a lane for each different stretch: the next token of A and of B and where the open group
 began.  In each step all lanes compare the ends of their two tokens and advance the one that is
 behind, or both and cut the group there; lanes that are done leave the vector.  A stretch is encoded and
-merged once as long as a task remembers it, and a document's groups are those of its
-stretches in order.  A long stretch is several lanes: each starts at a place where tokens of both
+merged once as long as a worker remembers it, and a document's groups are those of its
+stretches in order.  Texts are cut part by part, and what a worker remembers is bounded in characters: when it is full,
+stretches stay that several parts had.  A long stretch is several lanes: each starts at a place where tokens of both
 end, so the vector stays full.  Models that do not allow the cuts get whole texts as stretches.
 
 A link's weight is the number of documents of the whole corpus that hold its pair of ids:
 
 1. *Align*: a row per block: its documents, the block's distinct pairs with their number of
-   documents, and each document's links as places in that list.  The written table is all
+   documents, and each document's links as places in that list, packed into few bytes.  The written table is all
    that is tokenised once and read later.
 2. *Count*: the blocks' pairs are added up in a shuffle (a hot pair is one row per block there,
    and partial aggregation leaves one per task); the highest count of each A id is a table no
@@ -34,18 +35,20 @@ null ids; an empty table gives no rows; other columns are dropped.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import json
 import os
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import astuple
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm.pieces import MERGED, SPACE, Encoder, Pieces, load_pieces
@@ -54,14 +57,18 @@ from encore.sources.scratch import materialize
 
 #: Characters and texts in a block (a longer text is a block of its own).
 BLOCK_CHARS, BLOCK_TEXTS = 1_500_000, 4_096
+#: Texts that a worker gets at a time at most.
+BATCH_ROWS = 512
 #: Tokens of A after which a lane ends at the next place where tokens of both models end.
 LANE = 128
 #: A pair of ids as one number: A's id times this, plus B's id.
 WIDTH = 1 << 32
 #: A group with more links than this is counted by its distinct ids instead of link by link.
 LARGE_GROUP = 4_096
-#: Stretches of texts that a task remembers, to bound its memory.
-TABLE_ENTRIES = 250_000
+#: Characters of texts handled at a time, which bounds the arrays, and stretches of a longer text.
+PART_CHARS, PART_STRETCHES = 300_000, 30_000
+#: Characters of stretches that a worker remembers, each with so many more for what is kept with it, to bound its memory.
+TABLE_CHARS, ENTRY_CHARS = 4_000_000, 20
 #: The pattern by which byte-level BPE cuts a text into words; fixed value of that format.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: From this character on, stretches are left to the model's own library, whose tables of letters may be others.
@@ -123,6 +130,13 @@ class _Lists:
         self.start = np.cumsum(self.size) - self.size
         self.flat = [np.concatenate(c) for c in zip(self.flat, flat, strict=True)]
 
+    def keep(self, index: np.ndarray) -> None:
+        """Only the lists of ``index``, in its order."""
+        at, _ = self.places(index)
+        self.flat = [c[at] for c in self.flat]
+        self.size = self.size[index]
+        self.start = np.cumsum(self.size) - self.size
+
     def places(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the lists of ``index`` are in the flat arrays, and which of ``index`` each place is for."""
         size = self.size[index]
@@ -163,15 +177,31 @@ class Pair:
         most = max(len(self.a_bytes.length), len(model_b.pieces))
         # how an id is written after another of its model, after the other model's, and after a group
         self.after = {s: np.array([f"{s}{i}" for i in range(most)], object) for s in ",|;"}
-        self._forget()
-
-    def _forget(self) -> None:
         self.table: dict[str, int] = {}
+        self.chars = 0  # of the table's stretches, with ``ENTRY_CHARS`` for each
+        self.used = np.empty(0, np.int64)  # parts that had the stretch
         self.counts = np.empty((4, 0), np.int64)  # tokens of A and of B, groups, links of each stretch; all 0 if bytes differ
         self.whole = np.empty(0, bool)
         self.written: list[str] = []  # a stretch's groups
         self.links = _Lists(2)  # its different pairs and how often each is linked
 
+    def _forget(self, needed: set[str]) -> None:
+        """Only the stretches of ``needed`` stay, and of the others those that several parts had, the commonest first,
+        in half of the table."""
+        names = list(self.table)
+        cost = np.fromiter(map(len, names), np.int64, len(names)) + ENTRY_CHARS
+        here = np.fromiter(map(needed.__contains__, names), bool, len(names))
+        common = np.argsort(-self.used, kind="stable")
+        common = common[(self.used[common] > 1) & ~here[common]]
+        here[common[np.cumsum(cost[common]) <= TABLE_CHARS // 2]] = True
+        stay = np.flatnonzero(here)
+        self.table = {names[k]: i for i, k in enumerate(stay.tolist())}
+        self.chars = int(cost[stay].sum())
+        self.used = self.used[stay] // 2  # what was common once goes in time
+        self.counts, self.whole = self.counts[:, stay], self.whole[stay]
+        self.written = [self.written[k] for k in stay.tolist()]
+        self.links.keep(stay)
+
     def _encode_a(self, part: list[str]) -> list[list[int]]:
         if self.ranked is not None:
             out = [self.ranked(c) if max(c) < PLAIN else None for c in part]
@@ -231,22 +261,43 @@ class Pair:
             return same
         return np.array([blob[x:y] == t for x, y, t in zip(ends.tolist(), ends[1:].tolist(), text, strict=False)], bool)
 
-    def stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of all texts' stretches in order, and the text of each; none for texts whose tokens'
-        bytes are not those of the text after a space."""
-        cut = [self.cut.findall(" " + t) if t else [] for t in texts]
-        words = list(chain.from_iterable(cut))
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number in the table of each stretch of a part."""
         seen = set(words)
         new = list(seen.difference(self.table))
-        if len(self.table) + len(new) > TABLE_ENTRIES:
-            self._forget()  # what a block needs is always there
-            new = list(seen)
+        chars = sum(map(len, new)) + ENTRY_CHARS * len(new)
+        if self.table and self.chars + chars > TABLE_CHARS:
+            self._forget(seen)  # what a part needs is always there
         self._remember(new)
+        self.chars += chars
         index = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
-        doc = np.repeat(np.arange(len(texts)), np.fromiter(map(len, cut), np.int64, len(cut)))
-        lost = np.zeros(len(texts), bool)
-        lost[doc[~self.whole[index]]] = True
-        return (index[~lost[doc]], doc[~lost[doc]]) if lost.any() else (index, doc)
+        had = np.zeros(len(self.table), np.int64)
+        had[index] = 1
+        self.used = had + np.append(self.used, np.zeros(len(new), np.int64))
+        return index
+
+    def parts(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Part by part the numbers of all texts' stretches in order, and the text of each."""
+        words, doc, chars = [], [], 0
+        for k, text in enumerate(texts):
+            for cut in self._cut(" " + text) if text else ():
+                words += cut
+                doc += [k] * len(cut)
+                chars += sum(map(len, cut))
+                if chars >= PART_CHARS:
+                    yield self.numbers(words), np.array(doc, np.int64)
+                    words, doc, chars = [], [], 0
+        if words:
+            yield self.numbers(words), np.array(doc, np.int64)
+
+    def _cut(self, text: str) -> Iterator[list[str]]:
+        """The stretches of a text in order, of a long one some at a time."""
+        if len(text) <= PART_CHARS:
+            yield self.cut.findall(text)
+        else:
+            found = (m.group() for m in self.cut.finditer(text))
+            while some := list(islice(found, PART_STRETCHES)):
+                yield some
 
 
 def lockstep(end_a: np.ndarray, end_b: np.ndarray, doc_a: np.ndarray, doc_b: np.ndarray, lane: int = LANE) -> np.ndarray:
@@ -312,37 +363,85 @@ def align_texts(pair: Pair, texts: list[str | None]) -> dict[str, np.ndarray | l
     """Per text ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``groups_sha256``, and ``n_pairs``; then per text and
     distinct pair ``at`` (a place in ``pairs``) and ``times``; ``pairs`` with ``docs`` (texts that have them)."""
     n = len(texts)
-    index, doc = pair.stretches([t or "" for t in texts])
-    sums = [np.bincount(doc, c[index], n).astype(np.int64) for c in pair.counts]
-    held, ends = list(map(pair.written.__getitem__, index.tolist())), np.cumsum(np.bincount(doc, minlength=n)).tolist()
-    digests = ["" if a == b else hashlib.sha256(";".join(held[a:b]).encode()).hexdigest() for a, b in zip([0, *ends], ends, strict=False)]
+    sums, lost = np.zeros((4, n), np.int64), np.zeros(n, bool)
+    hashes: list = [None] * n
+    found = []
+    for index, doc in pair.parts([t or "" for t in texts]):
+        lost[doc[~pair.whole[index]]] = True
+        for own, c in zip(sums, pair.counts, strict=True):
+            np.add.at(own, doc, c[index])
+        held, first = list(map(pair.written.__getitem__, index.tolist())), np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+        for k, a, b in zip(doc[first].tolist(), first.tolist(), [*first[1:].tolist(), len(doc)], strict=True):
+            if hashes[k] is None:
+                hashes[k] = hashlib.sha256()
+            else:
+                hashes[k].update(b";")
+            hashes[k].update(";".join(held[a:b]).encode())
+        found.append(_linked(pair, index, doc))
+    sums[:, lost] = 0
+    of, linked, times = (np.concatenate(c) for c in zip(*found, strict=True)) if found else np.empty((3, 0), np.int64)
+    if lost.any():
+        of, linked, times = (c[~lost[of]] for c in (of, linked, times))
+    pairs, at = np.unique(linked, return_inverse=True)
+    key, times = _added(of * len(pairs) + at.ravel(), times)
+    of, at = np.divmod(key, max(len(pairs), 1))
+    return {"n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3],
+            "groups_sha256": ["" if h is None or gone else h.hexdigest() for h, gone in zip(hashes, lost.tolist(), strict=True)],
+            "n_pairs": np.bincount(of, minlength=n), "at": at, "times": times,
+            "pairs": pairs, "docs": np.bincount(at, minlength=len(pairs))}
+
+
+def _linked(pair: Pair, index: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The text, the pair of ids and how often it is linked there, for the texts' different pairs of a part."""
     # each document's different stretches, then its different pairs
     total = len(pair.table)
     key, often = np.unique(doc * total + index, return_counts=True)
-    of, stretch = np.divmod(key, max(total, 1))
+    of, stretch = np.divmod(key, total)
     used = np.unique(stretch)
     here, _ = pair.links.places(used)
     pairs, place = np.unique(pair.links.flat[0][here], return_inverse=True)
     number = np.empty(len(pair.links.flat[0]), np.int64)
     number[here] = place.ravel()
     there, row = pair.links.places(stretch)
-    key, times = of[row] * len(pairs) + number[there], pair.links.flat[1][there] * often[row]
+    key, times = _added(of[row] * len(pairs) + number[there], pair.links.flat[1][there] * often[row])
+    of, at = np.divmod(key, max(len(pairs), 1))
+    return of, pairs[at], times
+
+
+def _added(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys in order, and the sum for each."""
     order = np.argsort(key)
     key, times = key[order], times[order]
     new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
-    of, at = np.divmod(key[new], max(len(pairs), 1))
-    return {"n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3], "groups_sha256": digests,
-            "n_pairs": np.bincount(of, minlength=n), "at": at, "times": np.add.reduceat(times, new) if len(new) else times,
-            "pairs": pairs, "docs": np.bincount(at, minlength=len(pairs))}
+    return key[new], np.add.reduceat(times, new) if len(new) else times
+
+
+def packed(at: np.ndarray, times: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The links of a block's documents (``sizes`` of each, places ascending) as gaps and counts of few bytes, compressed."""
+    gaps = np.diff(at, prepend=0)
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    gaps[first] = at[first]
+    parts = [c.astype(np.min_scalar_type(int(c.max(initial=0)))) for c in (gaps, times)]
+    return zlib.compress(bytes(p.itemsize for p in parts) + b"".join(p.tobytes() for p in parts), 1)
+
+
+def unpacked(blob: bytes, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``at`` and ``times`` of ``packed``."""
+    held, n = zlib.decompress(blob), int(sizes.sum())
+    gaps = np.frombuffer(held, f"u{held[0]}", n, 2).astype(np.int64)
+    times = np.frombuffer(held, f"u{held[1]}", n, 2 + n * held[0]).astype(np.int64)
+    at, sizes = np.cumsum(gaps), sizes[sizes > 0]
+    first = np.cumsum(sizes) - sizes
+    return at - np.repeat(at[first] - gaps[first], sizes), times
 
 
 _DOC = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string", "n_pairs": "long"}
-_LINKS = {"at": "int", "times": "long", "pairs": "long", "docs": "long"}
-_ARROW = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
+_LINKS = {"pairs": "long", "docs": "long"}
+_ARROW = {"long": pa.int64(), "string": pa.string()}
 
 
 def align(df: DataFrame, tokenizers: tuple[str, tuple, bool], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per block of rows of ``df``: ``block``, ``ids`` and the lists of ``align_texts``."""
+    """A row per block of rows of ``df``: ``block``, ``ids``, the lists of ``align_texts`` and, ``packed``, the links."""
     # a worker keeps the models and what it remembers from task to task, beside the broadcast value
     shared = df.sparkSession.sparkContext.broadcast({"models": tokenizers})
     source = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -361,24 +460,36 @@ def align(df: DataFrame, tokenizers: tuple[str, tuple, bool], id_col: str = "doc
             for name, kind in (_DOC | _LINKS).items():
                 values = pa.array(found[name], _ARROW[kind])
                 columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values))
-            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", *_DOC, *_LINKS])
+            columns.append(pa.array([packed(found["at"], found["times"], found["n_pairs"])], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", *_DOC, *_LINKS, "links"])
 
         ids, texts, chars = [], [], 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                for at, text in enumerate(part.column(1).to_pylist()):
-                    if texts and (chars + len(text or "") > BLOCK_CHARS or len(texts) == BLOCK_TEXTS):
-                        yield block(ids, texts)
-                        ids, texts, chars = [], [], 0
-                    ids.append(part.column(0).slice(at, 1))
-                    texts.append(text)
-                    chars += len(text or "")
+            for k in range(batch.num_rows):
+                text = batch.column(1)[k].as_py()
+                if texts and (chars + len(text or "") > BLOCK_CHARS or len(texts) == BLOCK_TEXTS):
+                    yield block(ids, texts)
+                    ids, texts, chars = [], [], 0
+                ids.append(batch.column(0).take(pa.array([k])))  # a copy, for a slice would hold the batch
+                texts.append(text)
+                chars += len(text or "")
         if texts:
             yield block(ids, texts)
 
     kind = source.schema["id"].dataType.simpleString()
-    return source.mapInArrow(run, f"block long, ids array<{kind}>, " + ", ".join(f"{c} array<{t}>" for c, t in (_DOC | _LINKS).items()))
+    return source.mapInArrow(run, f"block long, ids array<{kind}>, " + ", ".join(f"{c} array<{t}>" for c, t in (_DOC | _LINKS).items()) + ", links binary")
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """While it is open, workers get ``rows`` rows at a time at most: a batch is whole in the memory of both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(min(rows, int(before)) if before and int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -394,17 +505,17 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(batch.num_rows):
-            row = {c: batch.column(c)[k].values for c in ("ids", *_DOC, "at", "times")}
+            row = {c: batch.column(c)[k].values for c in ("ids", *_DOC)}
             info = batch.column("scores")[k].values
             n = len(row["n_a"])
             sizes = row["n_pairs"].to_numpy()
             doc = np.repeat(np.arange(n), sizes)
             best, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
             if len(doc):
-                place, at = info.field("place").to_numpy(), row["at"].to_numpy()
+                place = info.field("place").to_numpy()
+                at, times = unpacked(batch.column("links")[k].as_py(), sizes)
                 count, first = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
                 count[place], first[place] = info.field("count").to_numpy(), info.field("best").to_numpy()
-                times = row["times"].to_numpy()
                 np.add.at(total, doc, times * count[at])
                 np.add.at(best, doc, times * first[at])
             yield pa.RecordBatch.from_arrays(
@@ -415,7 +526,8 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score_alignment(df: DataFrame, tokenizers: tuple[str, tuple, bool], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row the id, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best`` (links whose pair has the
     highest count of its A id), ``count_sum`` (over its links) and ``groups_sha256``."""
-    blocks = materialize(align(df, tokenizers, id_col, text_col), "align-blocks")
+    with small_batches(df.sparkSession):
+        blocks = materialize(align(df, tokenizers, id_col, text_col), "align-blocks")
     counts = materialize(pair_counts(blocks), "align-scores")
     wanted = blocks.select("block", F.posexplode("pairs").alias("place", "pair"))
     fetched = (wanted.join(counts, "pair").groupBy(F.col("block").alias("to"))

@@ -160,6 +160,57 @@ def test_lockstep_matches_sets_of_ends(lane):
     assert len(al.lockstep(np.empty(0, int), np.empty(0, int), np.zeros(3, int), np.zeros(3, int))) == 0
 
 
+def test_workers_remember_few_characters(libraries, models):
+    rng = np.random.default_rng(5)
+    pair = al.Pair(*models)
+    common = "some words that every text has, and a café"
+    held = []
+    for _ in range(4):
+        texts = ["".join(map(chr, rng.integers(0x4E00, 0x9000, 1500).tolist())) + " " + common for _ in range(1000)]
+        found = al.align_texts(pair, texts)
+        held.append(sum(map(len, pair.table)))
+        for k in range(0, 1000, 333):
+            groups = _groups(libraries, texts[k])
+            assert found["n_groups"][k] == len(groups) and found["n_links"][k] == sum(len(a) * len(b) for a, b in groups)
+    assert max(held) <= 4_000_000 and " every" in pair.table
+    assert pair.chars == sum(len(w) + al.ENTRY_CHARS for w in pair.table) and len(pair.written) == len(pair.table) == len(pair.used)
+
+
+@pytest.mark.parametrize("part, table", [(1, 1), (40, 300), (2000, 3000)])
+def test_small_parts_and_tables(libraries, models, monkeypatch, part, table):
+    texts = TEXTS + ["the cat and the dog " * 9, "the dog and the ▁ cat"] + TEXTS[::-1]
+    want = al.align_texts(al.Pair(*models), texts)
+    monkeypatch.setattr(al, "PART_CHARS", part)
+    monkeypatch.setattr(al, "PART_STRETCHES", 7)
+    monkeypatch.setattr(al, "TABLE_CHARS", table)
+    pair = al.Pair(*models)
+    for _ in range(2):
+        found = al.align_texts(pair, texts)
+        assert {k: list(v) for k, v in found.items()} == {k: list(v) for k, v in want.items()}
+
+
+def test_packed_links():
+    rng = np.random.default_rng(3)
+    for most in (1, 200, 70_000, 5_000_000_000):
+        sizes = rng.integers(0, 5, 50) * rng.integers(0, 40, 50)
+        at = np.concatenate([np.sort(rng.choice(100_000, n, replace=False)) for n in sizes.tolist()] + [np.empty(0, np.int64)]).astype(np.int64)
+        times = rng.integers(1, most + 1, len(at))
+        got = al.unpacked(al.packed(at, times, sizes), sizes)
+        assert got[0].tolist() == at.tolist() and got[1].tolist() == times.tolist()
+    none = np.zeros(3, np.int64)
+    assert [len(x) for x in al.unpacked(al.packed(none[:0], none[:0], none), none)] == [0, 0]
+    times = np.ones(100_000, np.int64)
+    assert len(al.packed(np.arange(100_000), times, np.full(100, 1000))) < 100_000
+
+
+def test_batches_of_texts_are_small_while_aligned(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with al.small_batches(spark):
+        assert 0 < int(spark.conf.get(key)) <= 1000
+    assert spark.conf.get(key) == before
+
+
 def test_byte_table():
     assert al._byte_of() == _BYTES or {c: b for c, b in al._byte_of().items() if c in _BYTES} == _BYTES
     assert sorted(al._byte_of().values()) == list(range(256))
